@@ -387,7 +387,7 @@ def _import_users(spark, sf):
     rows = users_feed_rows(_t(spark, sf, "lineitem"))
     feed = from_rows(rows.toDF(*USERS_COLUMNS, "_ingest_order").drop("_ingest_order"), USERS_COLUMNS)
     feed.records = rows.toDF(*USERS_COLUMNS, "_ingest_order")
-    return imports.import_users(spark, feed, persist=False)
+    return imports.import_users(spark, feed, persist=True)
 
 
 def q_import_users(spark, sf):

@@ -56,12 +56,17 @@ def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool =
                          F.col("_metadata.file_block_start").alias("block"),
                          F.monotonically_increasing_id().alias("pos"))
         raw = raw.select(*cols, CORRUPT_COLUMN, order.alias(INGEST_ORDER))
-    short = F.col(CORRUPT_COLUMN).isNotNull() & (field_count(F.col(CORRUPT_COLUMN)) < F.lit(len(columns)))
+    # Spark refuses a raw CSV scan whose pruned read schema is only the corrupt
+    # column (as ``count()`` on the rejects would be).  Appending an empty piece of
+    # the first data column keeps that column in every read schema; the value is
+    # unchanged (``concat_ws`` skips a null piece).
+    line = F.concat_ws("", F.col(CORRUPT_COLUMN), F.substring(F.col(columns[0]), 1, 0))
+    short = F.col(CORRUPT_COLUMN).isNotNull() & (field_count(line) < F.lit(len(columns)))
     tagged = raw.withColumn(REASON, F.when(short, F.lit("short_record")))
     keep = [c for c in tagged.columns if c not in (CORRUPT_COLUMN, REASON)]
     records = tagged.filter(F.col(REASON).isNull()).select(*keep)
     rejects = tagged.filter(F.col(REASON).isNotNull()) \
-        .select(F.col(columns[0]).alias("key"), F.col(CORRUPT_COLUMN).alias("record"), REASON)
+        .select(F.col(columns[0]).alias("key"), line.alias("record"), REASON)
     return Feed(records, rejects)
 
 
