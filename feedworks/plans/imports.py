@@ -62,12 +62,13 @@ def _key_rule(key: str) -> quality.Rule:
 
 # =========================================================================== G1
 def import_users(spark: SparkSession, source, multi_line: bool = True,
-                 persist: bool = True) -> dict[str, DataFrame]:
+                 persist: bool = True, known_users: DataFrame | None = None) -> dict[str, DataFrame]:
     """G1: users feed -> users, user_followers, user_following, rejects.
 
     Edges come from every record with a parsable key (also later duplicates of a
     key), must reference loaded users at both ends (Q12), and are unique per pair
     (K4).  Self edges are kept for followers and dropped for following (P4).
+    ``known_users`` (``author_id``) are users loaded earlier; edges may point to them.
     """
     feed = _feed(spark, source, USERS_COLUMNS, multi_line)
     r = feed.records
@@ -97,12 +98,15 @@ def import_users(spark: SparkSession, source, multi_line: bool = True,
                                     key_name="user_id")
     following = flatten.explode_ids(keyed, "author_id", F.col("user_following"), "following_id",
                                     key_name="user_id", drop_self=True)
+    parents = users.select("author_id")
+    if known_users is not None:
+        parents = parents.unionByName(known_users.select("author_id"))
     edge_out, edge_rejects = {}, []
     for name, edges, other in (("user_followers", followers, "follower_id"),
                                ("user_following", following, "following_id")):
-        ok, miss_u = quality.fk_split(edges, "user_id", users, "author_id", allow_null=False,
+        ok, miss_u = quality.fk_split(edges, "user_id", parents, "author_id", allow_null=False,
                                       name="fk:user_id")
-        ok, miss_o = quality.fk_split(ok, other, users, "author_id", allow_null=False,
+        ok, miss_o = quality.fk_split(ok, other, parents, "author_id", allow_null=False,
                                       name=f"fk:{other}")
         edge_out[name] = upsert.dedup_pairs(ok, ["user_id", other])
         edge_rejects += [miss_u.select(F.lit(name).alias("table"),
@@ -124,14 +128,16 @@ def import_users(spark: SparkSession, source, multi_line: bool = True,
 # =========================================================================== G2
 def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
                    multi_line: bool = True, persist: bool = True,
-                   compat: bool = False) -> dict[str, DataFrame]:
+                   compat: bool = False,
+                   known_recipes: DataFrame | None = None) -> dict[str, DataFrame]:
     """Recipes feed -> recipes, keywords, recipe_ingredients, recipe_instructions.
 
     Numerics are parsed as doubles (C3) then stored as INTEGER (C9, half-even) or
     NUMERIC(3,1) (C10); a given value that does not fit is a reject (Q15).  The
     author must be a loaded user when ``users`` is given (Q11, null allowed).
     Children come from every keyed record and must reference a loaded recipe (Q13);
-    they have no unique key, so duplicates stay (K5).
+    they have no unique key, so duplicates stay (K5).  ``known_recipes``
+    (``recipe_id``) are recipes loaded earlier; children may belong to them.
     """
     feed = _feed(spark, source, RECIPES_COLUMNS, multi_line)
     r = feed.records
@@ -172,12 +178,15 @@ def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
                                      "ingredient_text", compat=compat)
     steps = flatten.explode_steps(keyed, "recipe_id", F.col("recipe_instructions"),
                                   compat=compat)
+    loaded = recipes.select("recipe_id")
+    if known_recipes is not None:
+        loaded = loaded.unionByName(known_recipes.select("recipe_id"))
     children = {}
     for name, df, schema, sid in (("keywords", kw, KEYWORDS, "keyword_id"),
                                   ("recipe_ingredients", ing, RECIPE_INGREDIENTS, "ingredient_id"),
                                   ("recipe_instructions", steps, RECIPE_INSTRUCTIONS,
                                    "instruction_id")):
-        ok = quality.semi(df, "recipe_id", recipes, "recipe_id")
+        ok = quality.semi(df, "recipe_id", loaded, "recipe_id")
         children[name] = conform(flatten.with_surrogate_id(ok, sid), schema)
 
     parts = [feed.rejects.select(F.lit("recipes").alias("table"), "key", quality.REASON),

@@ -50,12 +50,17 @@ def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool =
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     raw = reader.csv(path)
-    cols = [F.col(c) for c in columns]
     if ingest_order:
-        order = F.struct(F.col("_metadata.file_path").alias("file"),
-                         F.col("_metadata.file_block_start").alias("block"),
-                         F.monotonically_increasing_id().alias("pos"))
-        raw = raw.select(*cols, CORRUPT_COLUMN, order.alias(INGEST_ORDER))
+        raw = raw.withColumn(INGEST_ORDER, F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("pos")))
+    return split_records(raw, columns)
+
+
+def split_records(raw: DataFrame, columns: list[str]) -> Feed:
+    """Records with at least ``len(columns)`` fields are kept (extra fields
+    dropped); shorter records become ``short_record`` rejects."""
     # Spark refuses a raw CSV scan whose pruned read schema is only the corrupt
     # column (as ``count()`` on the rejects would be).  Appending an empty piece of
     # the first data column keeps that column in every read schema; the value is
@@ -63,7 +68,7 @@ def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool =
     line = F.concat_ws("", F.col(CORRUPT_COLUMN), F.substring(F.col(columns[0]), 1, 0))
     short = F.col(CORRUPT_COLUMN).isNotNull() & (field_count(line) < F.lit(len(columns)))
     tagged = raw.withColumn(REASON, F.when(short, F.lit("short_record")))
-    keep = [c for c in tagged.columns if c not in (CORRUPT_COLUMN, REASON)]
+    keep = [c for c in columns + [INGEST_ORDER] if c in tagged.columns]
     records = tagged.filter(F.col(REASON).isNull()).select(*keep)
     rejects = tagged.filter(F.col(REASON).isNotNull()) \
         .select(F.col(columns[0]).alias("key"), line.alias("record"), REASON)
