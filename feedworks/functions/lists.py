@@ -64,6 +64,19 @@ def normalize_list_text(c) -> Column:
 
 
 # --------------------------------------------------------------------------- C6
+def id_items(c, compat: bool = False) -> Column:
+    """C6 before item cleaning: the raw text items of an id-list cell (array<string>).
+
+    Blank / ``null`` / ``NULL`` / null -> [].  Repaired (default) first removes a
+    ``c(..)`` / ``[..]`` wrapper and quotes.
+    """
+    t = jtrim(c)
+    if not compat:
+        t = F.regexp_replace(_unwrap(t), r"[\"']", "")
+    empty = F.array().cast("array<string>")
+    return F.when(t.isNull() | _null_list_cell(jtrim(c)), empty).otherwise(F.split(t, ","))
+
+
 def parse_ids(c, compat: bool = False) -> Column:
     """Comma list of ids -> array<int>; each item cleaned by C2; bad items dropped;
     order and duplicates kept.  Blank / ``null`` / ``NULL`` / null -> [].
@@ -71,12 +84,8 @@ def parse_ids(c, compat: bool = False) -> Column:
     Repaired (default) first removes a ``c(..)`` / ``[..]`` wrapper and quotes, so
     ``c(1,2,3)`` gives [1,2,3]; ``compat=True`` gives [2] like the original contract.
     """
-    t = jtrim(c)
-    if not compat:
-        t = F.regexp_replace(_unwrap(t), r"[\"']", "")
-    ids = F.filter(F.transform(F.split(t, ","), lambda x: safe_int(x)), lambda x: x.isNotNull())
-    empty = F.array().cast("array<int>")
-    return F.when(t.isNull() | _null_list_cell(t), empty).otherwise(ids)
+    ids = F.transform(id_items(c, compat), lambda x: safe_int(x))
+    return F.filter(ids, lambda x: x.isNotNull())
 
 
 # --------------------------------------------------------------------------- C7

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks.functions import lists
+from feedworks.functions.numeric import safe_int
 from feedworks.functions.text import _col, safe_str
 
 
@@ -28,11 +29,17 @@ def explode_ids(df: DataFrame, key: str, cell, id_name: str, key_name: str | Non
                 compat: bool = False, drop_self: bool = False) -> DataFrame:
     """Id-list cell -> (key, id) edge rows, ids cleaned by C2.
 
-    ``drop_self`` removes edges pointing back to the row's own key (P4).
+    Same rows as ``explode(parse_ids(cell))``, but the items are exploded first and
+    cleaned afterwards, so C2 runs in whole-stage generated code rather than inside
+    an (interpreted) lambda.  ``drop_self`` removes edges pointing back to the row's
+    own key (P4).
     """
-    out = explode_list(df, key, lists.parse_ids(cell, compat=compat), id_name, key_name)
+    out_key = key_name or key
+    parts = lists.id_items(cell, compat=compat)
+    raw = df.select(F.col(key).alias(out_key), F.explode(parts).alias("_item"))
+    out = raw.select(out_key, safe_int("_item").alias(id_name)).filter(F.col(id_name).isNotNull())
     if drop_self:
-        out = out.filter(F.col(id_name) != F.col(key_name or key))
+        out = out.filter(F.col(id_name) != F.col(out_key))
     return out
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from feedworks import functions as fx
 from feedworks.operators import changes, flatten, quality, reports, sinks, upsert
+from feedworks.operators.layout import spread
 from feedworks.plans import imports, suites
 from feedworks.schemas import USERS_COLUMNS
 from feedworks.sources import from_rows, table
@@ -40,6 +41,12 @@ def _t(spark, sf, name) -> DataFrame:
     return table(spark, sf, name)
 
 
+def _heavy(spark, sf, name) -> DataFrame:
+    """A table about to get CPU-heavy row-local parsing: spread over the cores when
+    its scan has fewer splits than cores (no-op on large inputs)."""
+    return spread(table(spark, sf, name))
+
+
 def _r(c: str, n: int = AVG_DIGITS) -> Column:
     return F.round(F.col(c), n).alias(c)
 
@@ -183,13 +190,13 @@ def _follower_cells(li: DataFrame) -> DataFrame:
 
 
 def q_edge_dedup(spark, sf):
-    cells = _follower_cells(_t(spark, sf, "lineitem"))
+    cells = _follower_cells(_heavy(spark, sf, "lineitem"))
     edges = flatten.explode_ids(cells, "user_id", F.col("cell"), "follower_id")
     return upsert.dedup_pairs(edges, ["user_id", "follower_id"])
 
 
 def q_edge_no_self(spark, sf):
-    li = _t(spark, sf, "lineitem")
+    li = _heavy(spark, sf, "lineitem")
     cells = li.select(F.col("l_suppkey").cast("int").alias("user_id"),
                       F.concat_ws(",", F.col("l_partkey").cast("string"),
                                   F.col("l_suppkey").cast("string")).alias("cell"))
@@ -243,17 +250,17 @@ INT_CELLS = ["a_pad", "b_dot", "c_neg", "d_plus", "e_big", "f_bigdot", "g_exp",
 
 
 def q_clean_int(spark, sf):
-    cells = _int_cells(_t(spark, sf, "lineitem"))
+    cells = _int_cells(_heavy(spark, sf, "lineitem"))
     return cells.select("l_orderkey", "l_linenumber", *[fx.safe_int(c).alias(c) for c in INT_CELLS])
 
 
 def q_int_or_zero(spark, sf):
-    cells = _int_cells(_t(spark, sf, "lineitem"))
+    cells = _int_cells(_heavy(spark, sf, "lineitem"))
     return cells.select("l_orderkey", "l_linenumber", *[fx.int_or_zero(c).alias(c) for c in INT_CELLS])
 
 
 def q_clean_str(spark, sf):
-    docs = _t(spark, sf, "documents")
+    docs = _heavy(spark, sf, "documents")
     return docs.select("doc_id", fx.safe_str("text").alias("text_clean"),
                        fx.str_or_empty("source").alias("source_clean"),
                        fx.within_length(fx.safe_str("text"), 100).alias("fits_100"))
@@ -323,17 +330,17 @@ def q_explode_ingredients(spark, sf):
 
 
 def q_parse_steps(spark, sf):
-    docs = _t(spark, sf, "documents")
+    docs = _heavy(spark, sf, "documents")
     return flatten.explode_steps(docs, "doc_id", F.col("text"), key_name="doc_id")
 
 
 def q_split_quoted_compat(spark, sf):
-    docs = _t(spark, sf, "documents")
+    docs = _heavy(spark, sf, "documents")
     return flatten.explode_list(docs, "doc_id", fx.split_quoted("text", compat=True), "item")
 
 
 def q_explode_likers(spark, sf):
-    ev = _t(spark, sf, "events")
+    ev = _heavy(spark, sf, "events")
     cell = F.concat(F.lit("["), F.col("user_id").cast("string"), F.lit(", "),
                     F.col("user_id").cast("string"), F.lit(",null]"))
     cells = ev.select(F.col("event_id").cast("int").alias("review_id"), cell.alias("likes"))

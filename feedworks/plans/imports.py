@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from feedworks.functions import (parse_date, safe_double, safe_int, safe_str, to_decimal,
                                  to_int_half_even)
 from feedworks.operators import flatten, quality, upsert
+from feedworks.operators.layout import spread
 from feedworks.operators.sinks import conform
 from feedworks.schemas import (KEYWORDS, RECIPE_INGREDIENTS, RECIPE_INSTRUCTIONS,
                                RECIPE_INT_COLUMNS, RECIPES, RECIPES_COLUMNS, REVIEW_LIKERS,
@@ -48,7 +49,10 @@ def _order(df: DataFrame):
 
 
 def _feed(spark, source, columns, multi_line) -> Feed:
-    return source if isinstance(source, Feed) else read_feed(spark, source, columns, multi_line)
+    """The scanned feed, its records spread over the cluster's cores when the scan
+    has fewer splits (e.g. one multi-line file); a no-op on large inputs."""
+    feed = source if isinstance(source, Feed) else read_feed(spark, source, columns, multi_line)
+    return Feed(spread(feed.records), feed.rejects)
 
 
 def _persist(df: DataFrame, persist: bool) -> DataFrame:
