@@ -107,25 +107,30 @@ def left_join_distinct(users: DataFrame, edges: DataFrame, user_key: str, edge_u
     Same result, planned for skew: a left join shuffles all edges of one user to one
     task, and a left outer join cannot split its right side.  Instead
 
+    * the edges are scanned once and counted per (user, target) pair, partially
+      aggregated before the shuffle (a pair key spreads even a hot user);
     * the AVG over join rows is a weighted mean, each user weighted by its number of
-      edge rows (1 when it has none); the weights come from a partially aggregated
-      count per user, so the join sees one row per user;
-    * the distinct targets come from distinct (user, target) pairs (partial
-      aggregation again) joined to the filtered users: an inner join, which AQE may
-      broadcast or split when a user is hot.
+      edge rows (1 when it has none): the weights are the pair counts summed per
+      user, so the join sees one row per user;
+    * the distinct targets come from the pairs joined to the filtered users:
+      an inner join, which AQE may broadcast or split when a user is hot.
     """
     u = users if pred is None else users.filter(pred)
     u = u.select(F.col(user_key).alias("_k"), F.col(group_col).alias("_g"),
                  F.col(value_col).alias("_v"))
 
-    fan = edges.groupBy(F.col(edge_user).alias("_k")).agg(F.count(F.lit(1)).alias("_w"))
+    pair_counts = edges.groupBy(F.col(edge_user).alias("_k"), F.col(edge_target).alias("_t")) \
+        .agg(F.count(F.lit(1)).alias("_c"))
+    fan = pair_counts.groupBy("_k").agg(F.sum("_c").alias("_w"))
     weighted = u.join(fan, "_k", "left").select("_g", "_v", F.coalesce("_w", F.lit(1)).alias("_w"))
     means = weighted.groupBy("_g").agg(
         (F.sum(F.col("_v") * F.col("_w")) /
          F.sum(F.when(F.col("_v").isNotNull(), F.col("_w")))).alias(avg_name))
 
-    pairs = edges.select(F.col(edge_user).alias("_k"), F.col(edge_target).alias("_t")) \
-        .filter(F.col("_t").isNotNull()).dropDuplicates(["_k", "_t"])
+    # No null filter here (COUNT(DISTINCT) skips nulls), and the count stays
+    # referenced: both branches then share one identical pair-count subtree, whose
+    # exchange Spark reuses, so the edges are scanned and shuffled once.
+    pairs = pair_counts.filter(F.col("_c") > 0).select("_k", "_t")
     reached = pairs.join(u.select("_k", "_g"), "_k").select("_g", "_t")
     distinct = reached.groupBy("_g").agg(F.countDistinct("_t").alias(distinct_name))
 
