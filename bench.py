@@ -28,7 +28,8 @@ HEADLINE = [
     "count_all", "filter_counts", "update_count", "suite_deleted", "suite_grouped",
     "suite_joined", "file_suite_bands", "file_suite_high_female", "conditional_summary",
     "keep_first", "keep_first_existing", "edge_dedup", "quality_rejects", "parse_steps",
-    "split_quoted_compat", "import_users", "import_followers", "fk_valid", "cascade_delete",
+    "split_quoted_compat", "import_users", "import_followers", "import_recipes",
+    "import_instructions", "import_reviews", "fk_valid", "cascade_delete",
 ]
 
 

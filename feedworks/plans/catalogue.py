@@ -21,7 +21,7 @@ from feedworks import functions as fx
 from feedworks.operators import changes, flatten, quality, reports, sinks, upsert
 from feedworks.operators.layout import spread
 from feedworks.plans import imports, suites
-from feedworks.schemas import USERS_COLUMNS
+from feedworks.schemas import RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS
 from feedworks.sources import from_rows, table
 
 PART_USERS = suites.UserCols(key="p_partkey", name="p_name", gender="p_type", age="p_size",
@@ -391,10 +391,9 @@ def users_feed_rows(li: DataFrame) -> DataFrame:
 
 def _import_users(spark, sf):
     """G1 over the derived feed; "first" is the lineitem order (l_orderkey, l_linenumber)."""
-    rows = users_feed_rows(_t(spark, sf, "lineitem"))
-    feed = from_rows(rows.toDF(*USERS_COLUMNS, "_ingest_order").drop("_ingest_order"), USERS_COLUMNS)
-    feed.records = rows.toDF(*USERS_COLUMNS, "_ingest_order")
-    return imports.import_users(spark, feed, persist=True)
+    rows = users_feed_rows(_heavy(spark, sf, "lineitem")).toDF(*USERS_COLUMNS, "_ingest_order")
+    return imports.import_users(spark, from_rows(rows, USERS_COLUMNS + ["_ingest_order"]),
+                                persist=True)
 
 
 def q_import_users(spark, sf):
@@ -414,6 +413,95 @@ def q_import_rejects(spark, sf):
     return rej.groupBy("table", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ============================================================== G2 / G3 imports on derived feeds
+def recipes_feed_rows(li: DataFrame) -> DataFrame:
+    """A raw recipes feed (27 text cells) with one record per lineitem row; the key
+    (l_orderkey) repeats, "first" is the lineitem order."""
+    s = lambda c: F.col(c).cast("string")
+    lit = F.lit
+    calories = F.when(F.col("l_linestatus") == "O", F.concat(lit("-"), s("l_partkey"), lit(".5"))) \
+        .otherwise(F.concat(s("l_partkey"), lit(".5")))
+    cells = [
+        s("l_orderkey"), F.concat(lit("Recipe "), s("l_orderkey")), s("l_suppkey"), lit("Chef"),
+        F.concat(lit("PT"), s("l_linenumber"), lit("M")), lit(None).cast("string"), lit("PT1H"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.concat(lit("Line "), s("l_linenumber"), lit(" of "), s("l_orderkey")), s("l_returnflag"),
+        F.concat(lit('c("'), s("l_returnflag"), lit('", "'), s("l_linestatus"), lit(', x")')),
+        F.concat(lit('c("part '), s("l_partkey"), lit('", "supp '), s("l_suppkey"), lit('")')),
+        F.concat((F.col("l_linenumber") - 1).cast("string"), lit("."), s("l_linenumber")),
+        s("l_quantity"), calories,
+        *[s("l_linenumber")] * 8,
+        (F.col("l_linenumber") - 1).cast("string"), s("l_linestatus"),
+        F.concat(lit('c("cut '), s("l_partkey"), lit('", "", "cook, '), s("l_suppkey"), lit(' min")')),
+        F.concat(lit('c("'), s("l_suppkey"), lit('", "'), s("l_partkey"), lit('")')),
+    ]
+    return li.select(*cells, F.struct("l_orderkey", "l_linenumber").alias("_ingest_order")) \
+        .toDF(*RECIPES_COLUMNS, "_ingest_order")
+
+
+def _import_recipes(spark, sf):
+    rows = recipes_feed_rows(_heavy(spark, sf, "lineitem"))
+    return imports.import_recipes(spark, from_rows(rows, RECIPES_COLUMNS + ["_ingest_order"]),
+                                  persist=True)
+
+
+def q_import_recipes(spark, sf):
+    r = _import_recipes(spark, sf)["recipes"]
+    return r.withColumn("favorite_users", F.array_join("favorite_users", "|"))
+
+
+def q_import_keywords(spark, sf):
+    return _import_recipes(spark, sf)["keywords"].drop("keyword_id")
+
+
+def q_import_ingredients(spark, sf):
+    return _import_recipes(spark, sf)["recipe_ingredients"].drop("ingredient_id")
+
+
+def q_import_instructions(spark, sf):
+    return _import_recipes(spark, sf)["recipe_instructions"].drop("instruction_id")
+
+
+def q_import_recipe_rejects(spark, sf):
+    rej = _import_recipes(spark, sf)["rejects"]
+    return rej.groupBy("table", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reviews_feed_rows(orders: DataFrame) -> DataFrame:
+    """A raw reviews feed (9 text cells), one record per order, keyed by customer."""
+    s = lambda c: F.col(c).cast("string")
+    lit = F.lit
+    prio = F.substring("o_orderpriority", 1, 1).cast("int")
+    cells = [
+        s("o_custkey"), s("o_orderkey"),
+        F.when(F.col("o_orderstatus") == "P", lit("")).otherwise(s("o_custkey")), lit("Critic"),
+        F.concat((prio + 2).cast("string"), lit(".9")), s("o_orderstatus"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.concat(s("o_custkey"), lit(", "), s("o_orderkey"), lit(",x,,"), s("o_custkey")),
+    ]
+    return orders.select(*cells, F.struct("o_orderkey").alias("_ingest_order")) \
+        .toDF(*REVIEWS_COLUMNS, "_ingest_order")
+
+
+def _import_reviews(spark, sf):
+    rows = reviews_feed_rows(_heavy(spark, sf, "orders"))
+    return imports.import_reviews(spark, from_rows(rows, REVIEWS_COLUMNS + ["_ingest_order"]),
+                                  persist=True)
+
+
+def q_import_reviews(spark, sf):
+    return _import_reviews(spark, sf)["reviews"]
+
+
+def q_import_likers(spark, sf):
+    return _import_reviews(spark, sf)["review_likers"].drop("like_id")
+
+
+def q_import_review_rejects(spark, sf):
+    rej = _import_reviews(spark, sf)["rejects"]
+    return rej.groupBy("table", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     "count_all": q_count_all,
     "filter_counts": q_filter_counts,
@@ -464,4 +552,12 @@ QUERIES = {
     "import_followers": q_import_followers,
     "import_following": q_import_following,
     "import_rejects": q_import_rejects,
+    "import_recipes": q_import_recipes,
+    "import_keywords": q_import_keywords,
+    "import_ingredients": q_import_ingredients,
+    "import_instructions": q_import_instructions,
+    "import_recipe_rejects": q_import_recipe_rejects,
+    "import_reviews": q_import_reviews,
+    "import_likers": q_import_likers,
+    "import_review_rejects": q_import_review_rejects,
 }

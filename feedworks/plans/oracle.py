@@ -126,7 +126,9 @@ USERS_RAW = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CAST(l_partkey AS VARCHAR) || ',' || CAST(l_partkey + 7 AS VARCHAR) AS ing_cell
 FROM lineitem"""
 USERS_LOADED = f"""SELECT author_id, author_name, gender, age, followers_count, following_count FROM (
-  SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY l_orderkey, l_linenumber) AS rn
+  SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY l_orderkey, l_linenumber,
+      author_name NULLS FIRST, gender NULLS FIRST, age NULLS FIRST, followers_count NULLS FIRST,
+      following_count NULLS FIRST) AS rn
   FROM ({USERS_RAW}) WHERE author_id IS NOT NULL AND gender IN ('Male', 'Female')) WHERE rn = 1"""
 FOL_EDGES = f"""SELECT author_id AS user_id, unnest({parse_ids('fol_cell')}) AS follower_id
   FROM ({USERS_RAW}) WHERE author_id IS NOT NULL"""
@@ -296,3 +298,93 @@ _dbl_cells = """SELECT p_partkey,
 ORACLE["clean_double_round"] = "SELECT p_partkey, " + ", ".join(
     f"try_cast(round_even({safe_double(c)}, 0) AS INTEGER) AS {c}" for c in DOUBLE_CELLS) + \
     f" FROM ({_dbl_cells})"
+
+
+# --------------------------------------------------------------------------- G2 / G3
+def _v(c: str) -> str:
+    return f"CAST({c} AS VARCHAR)"
+
+
+RECIPES_RAW = f"""SELECT l_orderkey, l_linenumber, l_shipdate,
+  {_v('l_orderkey')} AS c_id, 'Recipe ' || {_v('l_orderkey')} AS c_name, {_v('l_suppkey')} AS c_author,
+  'PT' || {_v('l_linenumber')} || 'M' AS c_cook, 'PT1H' AS c_total,
+  'Line ' || {_v('l_linenumber')} || ' of ' || {_v('l_orderkey')} AS c_desc, l_returnflag AS c_cat,
+  'c("' || l_returnflag || '", "' || l_linestatus || ', x")' AS c_kw,
+  'c("part ' || {_v('l_partkey')} || '", "supp ' || {_v('l_suppkey')} || '")' AS c_ing,
+  {_v('l_linenumber - 1')} || '.' || {_v('l_linenumber')} AS c_rating,
+  {_v('l_quantity')} AS c_reviews,
+  CASE WHEN l_linestatus = 'O' THEN '-' || {_v('l_partkey')} || '.5' ELSE {_v('l_partkey')} || '.5' END AS c_cal,
+  {_v('l_linenumber')} AS c_nut, {_v('l_linenumber - 1')} AS c_serv, l_linestatus AS c_yield,
+  'c("cut ' || {_v('l_partkey')} || '", "", "cook, ' || {_v('l_suppkey')} || ' min")' AS c_steps,
+  'c("' || {_v('l_suppkey')} || '", "' || {_v('l_partkey')} || '")' AS c_fav
+FROM lineitem"""
+
+_NUTR = ["fat_content", "saturated_fat_content", "cholesterol_content", "sodium_content",
+         "carbohydrate_content", "fiber_content", "sugar_content", "protein_content"]
+
+
+def _half_even(c: str) -> str:
+    return f"try_cast(round_even({safe_double(c)}, 0) AS INTEGER)"
+
+
+RECIPES_TYPED = f"""SELECT l_orderkey, l_linenumber, c_kw, c_ing, c_steps,
+  {safe_int('c_id')} AS recipe_id, {safe_str('c_name')} AS recipe_name, {safe_int('c_author')} AS author_id,
+  {safe_str('c_cook')} AS cook_time, CAST(NULL AS VARCHAR) AS prep_time, {safe_str('c_total')} AS total_time,
+  CAST(l_shipdate AS DATE) AS date_published, {safe_str('c_desc')} AS description,
+  {safe_str('c_cat')} AS recipe_category,
+  try_cast({safe_double('c_rating')} AS DECIMAL(3,1)) AS aggregated_rating,
+  {_half_even('c_reviews')} AS review_count, {_half_even('c_cal')} AS calories,
+  {", ".join(f"{_half_even('c_nut')} AS {c}" for c in _NUTR)},
+  {_half_even('c_serv')} AS recipe_servings, {safe_str('c_yield')} AS recipe_yield,
+  array_to_string({normalize_list('c_fav')}, '|') AS favorite_users
+FROM ({RECIPES_RAW})"""
+
+RECIPES_TAGGED = f"""SELECT *, CASE
+  WHEN recipe_id IS NULL THEN 'bad_key:recipe_id'
+  WHEN recipe_name IS NULL THEN 'not_null:recipe_name'
+  WHEN aggregated_rating < 0 OR aggregated_rating > 5 THEN 'range:aggregated_rating'
+  WHEN calories < 0 THEN 'range:calories'
+  WHEN recipe_servings <= 0 THEN 'range:recipe_servings' END AS reason
+FROM ({RECIPES_TYPED})"""
+
+_RECIPE_COLS = ["recipe_id", "recipe_name", "author_id", "cook_time", "prep_time", "total_time",
+                "date_published", "description", "recipe_category", "aggregated_rating",
+                "review_count", "calories"] + _NUTR + ["recipe_servings", "recipe_yield",
+                                                       "favorite_users"]
+RECIPES_LOADED = f"""SELECT {", ".join(_RECIPE_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY recipe_id ORDER BY l_orderkey, l_linenumber,
+      {", ".join(c + " ASC NULLS FIRST" for c in _RECIPE_COLS[1:])}) AS rn
+  FROM ({RECIPES_TAGGED}) WHERE reason IS NULL) WHERE rn = 1"""
+RECIPE_CHILD_SRC = (f"SELECT * FROM ({RECIPES_TYPED}) WHERE recipe_id IS NOT NULL "
+                    f"AND recipe_id IN (SELECT recipe_id FROM ({RECIPES_LOADED}))")
+
+ORACLE["import_recipes"] = RECIPES_LOADED
+ORACLE["import_keywords"] = (f"SELECT recipe_id, unnest({parse_strs('c_kw')}) AS keyword_text "
+                             f"FROM ({RECIPE_CHILD_SRC})")
+ORACLE["import_ingredients"] = f"""SELECT recipe_id, unnest(list_filter(list_transform(
+    {normalize_list('c_ing')}, lambda g: {jt(safe_str('g'))}), lambda g: g IS NOT NULL AND g <> ''))
+    AS ingredient_text FROM ({RECIPE_CHILD_SRC})"""
+ORACLE["import_instructions"] = f"""WITH a AS (SELECT recipe_id, list_filter(list_transform(
+        {parse_strs('c_steps')}, lambda s: {jt('s')}), lambda s: s <> '') AS l FROM ({RECIPE_CHILD_SRC}))
+    SELECT recipe_id, CAST(i AS INTEGER) AS step_order, l[i] AS instruction_text
+    FROM (SELECT recipe_id, l, unnest(range(1, len(l) + 1)) AS i FROM a)"""
+ORACLE["import_recipe_rejects"] = f"""SELECT 'recipes' AS "table", reason AS reject_reason, count(*) AS n
+    FROM ({RECIPES_TAGGED}) WHERE reason IS NOT NULL GROUP BY 1, 2"""
+
+REVIEWS_TYPED = f"""SELECT o_orderkey, {_v('o_custkey')} || ', ' || {_v('o_orderkey')} || ',x,,' || {_v('o_custkey')} AS c_likes,
+  {safe_int(_v('o_custkey'))} AS review_id, {safe_int(_v('o_orderkey'))} AS recipe_id,
+  {safe_int("CASE WHEN o_orderstatus = 'P' THEN '' ELSE " + _v('o_custkey') + " END")} AS author_id,
+  {safe_int(_v("CAST(substr(o_orderpriority, 1, 1) AS INTEGER) + 2") + " || '.9'")} AS rating,
+  {safe_str('o_orderstatus')} AS review_content,
+  CAST(o_orderdate AS DATE) AS date_submitted, CAST(NULL AS DATE) AS date_modified
+FROM orders"""
+REVIEWS_TAGGED = f"""SELECT *, CASE WHEN review_id IS NULL THEN 'bad_key:review_id'
+  WHEN author_id IS NULL THEN 'not_null:author_id'
+  WHEN rating < 0 OR rating > 5 THEN 'range:rating' END AS reason FROM ({REVIEWS_TYPED})"""
+ORACLE["import_reviews"] = f"""SELECT review_id, recipe_id, author_id, rating, review_content,
+    date_submitted, date_modified FROM (SELECT *, row_number() OVER (PARTITION BY review_id
+    ORDER BY o_orderkey) AS rn FROM ({REVIEWS_TAGGED}) WHERE reason IS NULL) WHERE rn = 1"""
+ORACLE["import_likers"] = (f"SELECT review_id, unnest({parse_ids('c_likes')}) AS liker_id "
+                           f"FROM ({REVIEWS_TYPED}) WHERE review_id IS NOT NULL")
+ORACLE["import_review_rejects"] = f"""SELECT 'reviews' AS "table", reason AS reject_reason, count(*) AS n
+    FROM ({REVIEWS_TAGGED}) WHERE reason IS NOT NULL GROUP BY 1, 2"""

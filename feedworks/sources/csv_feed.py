@@ -75,14 +75,12 @@ def split_records(raw: DataFrame, columns: list[str]) -> Feed:
     return Feed(records, rejects)
 
 
-def from_rows(df: DataFrame, columns: list[str], order: Column | None = None) -> Feed:
-    """Treat an existing all-text DataFrame as a feed (positional rename, no rejects).
+def from_rows(df: DataFrame, columns: list[str]) -> Feed:
+    """Treat an existing text DataFrame as a feed: columns are renamed by position (an
+    ``_ingest_order`` column may follow the feed's columns); there are no read rejects.
 
     Used when records arrive from another source (a table, a stream)."""
-    renamed = df.toDF(*columns[:len(df.columns)]) if len(df.columns) == len(columns) else \
-        df.select(*[F.col(df.columns[i]).cast("string").alias(c) for i, c in enumerate(columns)])
-    if order is not None:
-        renamed = renamed.withColumn(INGEST_ORDER, order)
+    renamed = df.toDF(*columns)
     empty = renamed.limit(0).select(F.lit(None).cast("string").alias("key"),
                                     F.lit(None).cast("string").alias("record"),
                                     F.lit(None).cast("string").alias(REASON))
