@@ -11,14 +11,13 @@ from feedworks.functions.text import _col, jtrim
 INT_MAX = 2147483647
 INT_MIN = -2147483648
 
-# Text shapes accepted by Java's integer and double parsers (decimal
-# forms; Java also reads hex floats, which are not supported here).
+# The integer text shape Java's ``Integer.parseInt`` accepts, and the
+# special double spellings: Java takes only "NaN" / "Infinity" (with a sign), Spark's
+# cast also takes any-case "nan", "inf", "infinity".
 INT_TEXT = r"^[+-]?[0-9]+$"
-DOUBLE_TEXT = (r"^[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?))$")
-
-# Casting is guarded by these shapes so that a cast never sees text it cannot parse:
-# a failed cast raises inside the JVM (tens of microseconds per value), a regex test
-# and a branch cost a fraction of that.
+JAVA_SPECIAL = r"^[+-]?(NaN|Infinity)$"
+ANY_SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
+INF = float("inf")
 
 
 def double_to_int(d) -> Column:
@@ -30,42 +29,69 @@ def double_to_int(d) -> Column:
             .otherwise(clamped.cast("int")))
 
 
+def raw_double(t: Column) -> Column:
+    """The cast step of :func:`parse_double`: blank text never reaches the cast."""
+    return F.when(t != F.lit(""), t.try_cast("double"))
+
+
+def java_double(t: Column, raw: Column) -> Column:
+    """The check step of :func:`parse_double` given the trimmed text and its cast."""
+    special = F.isnan(raw) | (F.abs(raw) == F.lit(INF))
+    not_java = t.rlike(ANY_SPECIAL) & ~t.rlike(JAVA_SPECIAL)
+    return F.when(special & not_java, F.lit(None).cast("double")).otherwise(raw)
+
+
 def parse_double(t: Column) -> Column:
-    """Java ``Double.parseDouble`` on already-trimmed text, null when it would throw."""
-    return F.when(t.rlike(DOUBLE_TEXT), t.try_cast("double"))
+    """Java ``Double.parseDouble`` on already-trimmed text, null when it would throw.
+
+    Spark's string -> double cast is ``Double.parseDouble`` itself (decimal, exponent,
+    ``d`` / ``f`` suffix and hex forms alike) plus any-case ``nan`` / ``inf`` words,
+    which Java rejects; only NaN / infinite results are checked against Java's
+    spellings.  Blank text never reaches the cast (a failed cast costs an exception
+    inside the JVM; malformed non-blank text is rare in feeds).
+    """
+    return java_double(t, raw_double(t))
 
 
-# The parsed double is tested in the first CASE condition, which Spark always
-# evaluates; subexpression elimination then computes it once per value and every
-# later branch reuses it.
+def int_from(t: Column, d: Column) -> Column:
+    """C2 given the trimmed text ``t`` and its Java double ``d``."""
+    clamped = F.greatest(F.least(d, F.lit(float(INT_MAX))), F.lit(float(INT_MIN)))
+    return (F.when(d.isNull(), F.lit(None).cast("int"))
+            .when(t.contains("."), F.when(F.isnan(d), F.lit(0)).otherwise(clamped.cast("int")))
+            .when(t.rlike(INT_TEXT) & d.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX))),
+                  d.cast("int")))
+
+
+def strict_int_from(t: Column, d: Column) -> Column:
+    """Java ``Integer.parseInt`` given the trimmed text and its Java double."""
+    return F.when(t.rlike(INT_TEXT) & d.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX))),
+                  d.cast("int"))
+
 
 def parse_int(t: Column) -> Column:
     """Java ``Integer.parseInt`` on already-trimmed text, null when it would throw.
 
-    Digit strings are read through the guarded double parse: exact for every value
-    in the 32-bit range; out-of-range values fail the bounds test.
+    Digit strings are read through the double parse: exact for every value in the
+    32-bit range; out-of-range values fail the bounds test.
     """
-    d = parse_double(t)
-    return (F.when(d.isNull() | ~t.rlike(INT_TEXT), F.lit(None).cast("int"))
-            .when(d.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX))), d.cast("int")))
+    return strict_int_from(t, parse_double(t))
 
 
 def safe_int(c) -> Column:
     """Strict int of the trimmed text; else, only if it has a '.', a double
-    truncated toward zero with saturation; else null."""
+    truncated toward zero with saturation; else null.
+
+    As one expression the parse is repeated in the CASE branches; DataFrame code
+    cleaning many cells should use :func:`feedworks.functions.staged.clean_columns`,
+    which trims and parses each cell once.
+    """
     t = jtrim(c)
-    d = parse_double(t)
-    clamped = F.greatest(F.least(d, F.lit(float(INT_MAX))), F.lit(float(INT_MIN)))
-    return (F.when(d.isNull(), F.lit(None).cast("int"))
-            .when(t.rlike(INT_TEXT),
-                  F.when(d.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX))), d.cast("int")))
-            .when(t.contains("."), F.when(F.isnan(d), F.lit(0)).otherwise(clamped.cast("int"))))
+    return int_from(t, parse_double(t))
 
 
 def safe_double(c) -> Column:
     """Double of the trimmed text, null when blank or malformed."""
-    t = jtrim(c)
-    return F.when(t != F.lit(""), parse_double(t))
+    return parse_double(jtrim(c))
 
 
 def to_int_half_even(d) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = None) -> DataFrame:
     """Give CPU-heavy row-local work (parsing, cleaning) at least one task per core.
 
     Input that arrives in fewer splits than the cluster has cores (one multi-line
@@ -13,8 +13,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task.  In that case rows are redistributed round-robin before the heavy
     projection.  On large inputs with at least ``min_partitions`` splits (the
     default parallelism) nothing is added: no shuffle.
+
+    ``by`` names a column that is unique per row and reproduced exactly when a task
+    is recomputed (a feed's ingest order: file, split, position); rows are then
+    hash-partitioned on it, which needs no sort.  Otherwise the round-robin
+    repartition is used, which Spark sorts first so that a retried task sends every
+    row to the same place.  Row contents are never hashed: exact copies of one row
+    (possibly a third of the input) would all land in one task.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, by) if by else df.repartition(target)

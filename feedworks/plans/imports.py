@@ -16,8 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.functions import (parse_date, safe_double, safe_int, safe_str, to_decimal,
-                                 to_int_half_even)
+from feedworks.functions.staged import clean_columns
 from feedworks.operators import flatten, quality, upsert
 from feedworks.operators.layout import spread
 from feedworks.operators.sinks import conform
@@ -52,7 +51,8 @@ def _feed(spark, source, columns, multi_line) -> Feed:
     """The scanned feed, its records spread over the cluster's cores when the scan
     has fewer splits (e.g. one multi-line file); a no-op on large inputs."""
     feed = source if isinstance(source, Feed) else read_feed(spark, source, columns, multi_line)
-    return Feed(spread(feed.records), feed.rejects)
+    by = INGEST_ORDER if INGEST_ORDER in feed.records.columns else None
+    return Feed(spread(feed.records, by=by), feed.rejects)
 
 
 def _persist(df: DataFrame, persist: bool) -> DataFrame:
@@ -76,15 +76,13 @@ def import_users(spark: SparkSession, source, multi_line: bool = True,
     """
     feed = _feed(spark, source, USERS_COLUMNS, multi_line)
     r = feed.records
-    typed = r.select(
-        safe_int("author_id").alias("author_id"),
-        safe_str("author_name").alias("author_name"),
-        safe_str("gender").alias("gender"),
-        safe_int("age").alias("age"),
-        safe_int("followers_count").alias("followers_count"),
-        safe_int("following_count").alias("following_count"),
-        F.col("user_followers"), F.col("user_following"),
-        *([F.col(INGEST_ORDER)] if INGEST_ORDER in r.columns else []))
+    order = [INGEST_ORDER] if INGEST_ORDER in r.columns else []
+    typed = clean_columns(r, [
+        ("author_id", "int", "author_id"), ("author_name", "str", "author_name"),
+        ("gender", "str", "gender"), ("age", "int", "age"),
+        ("followers_count", "int", "followers_count"),
+        ("following_count", "int", "following_count")],
+        keep=["user_followers", "user_following"] + order)
     typed = _persist(typed, persist)
 
     rules = [_key_rule("author_id"),
@@ -145,22 +143,18 @@ def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
     """
     feed = _feed(spark, source, RECIPES_COLUMNS, multi_line)
     r = feed.records
-    dbl = {c: safe_double(c) for c in ["aggregated_rating"] + RECIPE_INT_COLUMNS}
-    typed = r.select(
-        safe_int("recipe_id").alias("recipe_id"),
-        safe_str("recipe_name").alias("recipe_name"),
-        safe_int("author_id").alias("author_id"),
-        *[safe_str(c).alias(c) for c in ("cook_time", "prep_time", "total_time")],
-        parse_date("date_published").alias("date_published"),
-        safe_str("description").alias("description"),
-        safe_str("recipe_category").alias("recipe_category"),
-        to_decimal(dbl["aggregated_rating"], 3, 1).alias("aggregated_rating"),
-        *[to_int_half_even(dbl[c]).alias(c) for c in RECIPE_INT_COLUMNS],
-        safe_str("recipe_yield").alias("recipe_yield"),
-        flatten.list_column(F.col("favorite_users")).alias("favorite_users"),
-        *[dbl[c].alias(f"_raw_{c}") for c in dbl],
-        "keywords", "recipe_ingredient", "recipe_instructions",
-        *([F.col(INGEST_ORDER)] if INGEST_ORDER in r.columns else []))
+    dbl = ["aggregated_rating"] + RECIPE_INT_COLUMNS
+    order = [INGEST_ORDER] if INGEST_ORDER in r.columns else []
+    typed = clean_columns(r, [
+        ("recipe_id", "int", "recipe_id"), ("recipe_name", "str", "recipe_name"),
+        ("author_id", "int", "author_id"),
+        *[(c, "str", c) for c in ("cook_time", "prep_time", "total_time")],
+        ("date_published", "date", "date_published"), ("description", "str", "description"),
+        ("recipe_category", "str", "recipe_category"),
+        ("aggregated_rating", "decimal_3_1", "aggregated_rating"),
+        *[(c, "int_half_even", c) for c in RECIPE_INT_COLUMNS],
+        ("recipe_yield", "str", "recipe_yield"), ("favorite_users", "list", "favorite_users")],
+        keep=["keywords", "recipe_ingredient", "recipe_instructions"] + order, raw_doubles=True)
     typed = _persist(typed, persist)
 
     rules = [_key_rule("recipe_id"), quality.not_null("recipe_name")]
@@ -207,16 +201,13 @@ def import_reviews(spark: SparkSession, source, multi_line: bool = True,
     likers keep duplicates (K5)."""
     feed = _feed(spark, source, REVIEWS_COLUMNS, multi_line)
     r = feed.records
-    typed = r.select(
-        safe_int("review_id").alias("review_id"),
-        safe_int("recipe_id").alias("recipe_id"),
-        safe_int("author_id").alias("author_id"),
-        safe_int("rating").alias("rating"),
-        safe_str("review_content").alias("review_content"),
-        parse_date("date_submitted").alias("date_submitted"),
-        parse_date("date_modified").alias("date_modified"),
-        "likes",
-        *([F.col(INGEST_ORDER)] if INGEST_ORDER in r.columns else []))
+    order = [INGEST_ORDER] if INGEST_ORDER in r.columns else []
+    typed = clean_columns(r, [
+        ("review_id", "int", "review_id"), ("recipe_id", "int", "recipe_id"),
+        ("author_id", "int", "author_id"), ("rating", "int", "rating"),
+        ("review_content", "str", "review_content"),
+        ("date_submitted", "date", "date_submitted"), ("date_modified", "date", "date_modified")],
+        keep=["likes"] + order)
     typed = _persist(typed, persist)
     rules = [_key_rule("review_id"), quality.not_null("author_id"),
              quality.in_range("rating", RATING_MIN, RATING_MAX)]

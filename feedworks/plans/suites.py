@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedworks.functions import int_or_zero, safe_str
+from feedworks.functions.staged import clean_columns
 from feedworks.operators import changes, reports
 from feedworks.schemas import USERS_COLUMNS
 from feedworks.sources.csv_feed import read_feed
@@ -88,14 +88,12 @@ def file_users(spark, path) -> DataFrame:
     """S5 + S6: the file suite's reader: one record per line, missing ints are 0."""
     feed = read_feed(spark, path, USERS_COLUMNS, multi_line=False, ingest_order=False)
     r = feed.records
-    return r.select(int_or_zero("author_id").alias("author_id"),
-                    safe_str("author_name").alias("author_name"),
-                    safe_str("gender").alias("gender"),
-                    int_or_zero("age").alias("age"),
-                    int_or_zero("followers_count").alias("followers_count"),
-                    int_or_zero("following_count").alias("following_count"),
-                    safe_str("user_followers").alias("user_followers"),
-                    safe_str("user_following").alias("user_following"))
+    return clean_columns(r, [
+        ("author_id", "int_or_zero", "author_id"), ("author_name", "str", "author_name"),
+        ("gender", "str", "gender"), ("age", "int_or_zero", "age"),
+        ("followers_count", "int_or_zero", "followers_count"),
+        ("following_count", "int_or_zero", "following_count"),
+        ("user_followers", "str", "user_followers"), ("user_following", "str", "user_following")])
 
 
 def file_suite(users: DataFrame, cols: UserCols = UserCols(),

@@ -93,3 +93,11 @@ def test_parse_strs_cuts_items(spark):
 def test_decade(spark):
     assert run(spark, [0, 9, 10, 27, -15, None], fx.decade, "int") == [0, 0, 10, 20, -10, None]
     assert run(spark, [27], fx.decade_label, "int") == ["20-29"]
+
+
+def test_safe_double_java_forms(spark):
+    vals = ["0x1.8p1", "-Infinity", "inf", "INFINITY", "1e400", "+NaN", "nan", "1.0f", "", " 2 "]
+    out = run(spark, vals, fx.safe_double)
+    assert out[0] == 3.0 and out[1] == float("-inf") and out[2] is None and out[3] is None
+    assert out[4] == float("inf") and out[5] != out[5] and out[6] is None
+    assert out[7:] == [1.0, None, 2.0]
