@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks.functions import lists
-from feedworks.functions.numeric import safe_int
+from feedworks.functions.staged import clean_columns
 from feedworks.functions.text import _col, safe_str
 
 
@@ -37,7 +37,8 @@ def explode_ids(df: DataFrame, key: str, cell, id_name: str, key_name: str | Non
     out_key = key_name or key
     parts = lists.id_items(cell, compat=compat)
     raw = df.select(F.col(key).alias(out_key), F.explode(parts).alias("_item"))
-    out = raw.select(out_key, safe_int("_item").alias(id_name)).filter(F.col(id_name).isNotNull())
+    out = clean_columns(raw, [(id_name, "int", "_item")], keep=[out_key]) \
+        .select(out_key, id_name).filter(F.col(id_name).isNotNull())
     if drop_self:
         out = out.filter(F.col(id_name) != F.col(out_key))
     return out
