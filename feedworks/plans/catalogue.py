@@ -445,6 +445,10 @@ def _import_recipes(spark, sf):
                                   persist=True)
 
 
+def q_import_metrics(spark, sf):
+    return _import_users(spark, sf)["metrics"]
+
+
 def q_import_recipes(spark, sf):
     r = _import_recipes(spark, sf)["recipes"]
     return r.withColumn("favorite_users", F.array_join("favorite_users", "|"))
@@ -552,6 +556,7 @@ QUERIES = {
     "import_followers": q_import_followers,
     "import_following": q_import_following,
     "import_rejects": q_import_rejects,
+    "import_metrics": q_import_metrics,
     "import_recipes": q_import_recipes,
     "import_keywords": q_import_keywords,
     "import_ingredients": q_import_ingredients,

@@ -5,7 +5,9 @@ them.  The cleaned parent feeds both the parent table and its child tables, so i
 persisted (memory and disk; on executor loss Spark recomputes the lost blocks from
 the scan).
 
-Rejects of every step share one layout: ``table, key, reject_reason``.
+Rejects of every step share one layout: ``table, key, reject_reason``.  ``metrics``
+(A8, A9) counts the rows of every stage: read, short, rejected, valid, loaded and
+each child table.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks.functions.staged import clean_columns
-from feedworks.operators import flatten, quality, upsert
+from feedworks.operators import flatten, metrics, quality, upsert
 from feedworks.operators.layout import spread
 from feedworks.operators.sinks import conform
 from feedworks.schemas import (KEYWORDS, RECIPE_INGREDIENTS, RECIPE_INSTRUCTIONS,
@@ -123,8 +125,11 @@ def import_users(spark: SparkSession, source, multi_line: bool = True,
                              USER_FOLLOWING)
     rejects = _union([feed.rejects.select(F.lit("users").alias("table"), "key", quality.REASON),
                       _rejects("users", bad, "author_id")] + edge_rejects)
+    stats = metrics.stage_counts("users", {
+        "read": typed, "short_record": feed.rejects, "rejected": bad, "valid": valid,
+        "loaded": users, "user_followers": user_followers, "user_following": user_following})
     return {"users": users, "user_followers": user_followers, "user_following": user_following,
-            "rejects": rejects, "cleaned": typed}
+            "rejects": rejects, "metrics": stats, "cleaned": typed}
 
 
 # =========================================================================== G2
@@ -191,7 +196,11 @@ def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
              _rejects("recipes", bad, "recipe_id")]
     if fk_bad is not None:
         parts.append(_rejects("recipes", fk_bad, "recipe_id"))
-    return {"recipes": recipes, **children, "rejects": _union(parts), "cleaned": typed}
+    stats = metrics.stage_counts("recipes", {
+        "read": typed, "short_record": feed.rejects, "rejected": bad, "valid": valid,
+        "loaded": recipes, **children})
+    return {"recipes": recipes, **children, "rejects": _union(parts), "metrics": stats,
+            "cleaned": typed}
 
 
 # =========================================================================== G3
@@ -218,5 +227,8 @@ def import_reviews(spark: SparkSession, source, multi_line: bool = True,
     review_likers = conform(flatten.with_surrogate_id(likers, "like_id"), REVIEW_LIKERS)
     rejects = _union([feed.rejects.select(F.lit("reviews").alias("table"), "key", quality.REASON),
                       _rejects("reviews", bad, "review_id")])
+    stats = metrics.stage_counts("reviews", {
+        "read": typed, "short_record": feed.rejects, "rejected": bad, "valid": valid,
+        "loaded": reviews, "review_likers": review_likers})
     return {"reviews": reviews, "review_likers": review_likers, "rejects": rejects,
-            "cleaned": typed}
+            "metrics": stats, "cleaned": typed}

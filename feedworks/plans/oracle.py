@@ -388,3 +388,14 @@ ORACLE["import_likers"] = (f"SELECT review_id, unnest({parse_ids('c_likes')}) AS
                            f"FROM ({REVIEWS_TYPED}) WHERE review_id IS NOT NULL")
 ORACLE["import_review_rejects"] = f"""SELECT 'reviews' AS "table", reason AS reject_reason, count(*) AS n
     FROM ({REVIEWS_TAGGED}) WHERE reason IS NOT NULL GROUP BY 1, 2"""
+
+ORACLE["import_metrics"] = f"""
+    SELECT 'users' AS "table", 'read' AS stage, count(*) AS "rows" FROM lineitem
+    UNION ALL SELECT 'users', 'short_record', 0
+    UNION ALL SELECT 'users', 'rejected', count(*) FROM ({USERS_RAW})
+        WHERE author_id IS NULL OR gender NOT IN ('Male', 'Female')
+    UNION ALL SELECT 'users', 'valid', count(*) FROM ({USERS_RAW})
+        WHERE author_id IS NOT NULL AND gender IN ('Male', 'Female')
+    UNION ALL SELECT 'users', 'loaded', count(*) FROM ({USERS_LOADED})
+    UNION ALL SELECT 'users', 'user_followers', count(*) FROM ({ORACLE['import_followers']})
+    UNION ALL SELECT 'users', 'user_following', count(*) FROM ({ORACLE['import_following']})"""

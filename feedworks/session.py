@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,8 +66,3 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def scratch_dir(prefix: str = "feedworks-") -> str:
-    """Local scratch folder for tests only."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
