@@ -100,6 +100,25 @@ def split_quoted(c, compat: bool = True) -> Column:
     return F.coalesce(F.filter(items, lambda x: x != F.lit("")), F.array().cast("array<string>"))
 
 
+def strip_item_quotes(x: Column) -> Column:
+    """Repaired item: drop a leading quote and an unescaped trailing quote, unescape."""
+    return _strip_item_quotes(x)
+
+
+def repaired_items(c) -> Column:
+    """Raw items of a repaired list cell (wrapper removed, split on commas outside
+    quotes, trimmed, empties dropped); blank / ``null`` cells -> []."""
+    t = jtrim(c)
+    empty = F.array().cast("array<string>")
+    return F.when(t.isNull() | _null_list_cell(t), empty).otherwise(split_quoted(_unwrap(t), compat=False))
+
+
+def item_kept(x: Column) -> Column:
+    """True when a raw repaired item survives cleaning (C1 would not null it)."""
+    y = jtrim(_strip_item_quotes(x))
+    return (y != F.lit("")) & (F.lower(y) != F.lit("null"))
+
+
 def _strip_item_quotes(x: Column) -> Column:
     x = F.regexp_replace(x, r'^"|(?<!\\)"$', "")
     return F.replace(x, F.lit('\\"'), F.lit('"'))

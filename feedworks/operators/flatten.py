@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedworks.functions import lists
 from feedworks.functions.staged import clean_columns
-from feedworks.functions.text import _col, safe_str
+from feedworks.functions.text import _col, jtrim, safe_str
 
 
 def with_surrogate_id(df: DataFrame, name: str) -> DataFrame:
@@ -72,17 +72,25 @@ def explode_steps(df: DataFrame, key: str, cell, text_name: str = "instruction_t
     """Ordered steps.  Items are parsed (C8), blank items dropped (P3), then
     numbered 1..n over the kept items.
 
+    Repaired mode keeps the raw items that survive cleaning (one light predicate
+    per item), numbers them with ``posexplode`` and cleans each exploded item in
+    generated code, instead of cleaning inside array lambdas.
+
     ``compat=True`` first cuts the whole cell to ``max_len`` characters, as the
     original loader did (later steps are then lost).
     """
+    out_key = key_name or key
     c = _col(cell)
     if compat:
-        c = safe_str(c, max_len)
-    items = lists.nonblank_items(lists.parse_strs(c, compat=compat, max_len=max_len))
-    return df.select(F.col(key).alias(key_name or key),
-                     F.posexplode(items).alias("_pos", text_name)) \
-        .select(key_name or key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name),
-                text_name)
+        items = lists.nonblank_items(lists.parse_strs(safe_str(c, max_len), compat=True,
+                                                      max_len=max_len))
+        return df.select(F.col(key).alias(out_key), F.posexplode(items).alias("_pos", text_name)) \
+            .select(out_key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name), text_name)
+    kept = F.filter(lists.repaired_items(c), lists.item_kept)
+    exploded = df.select(F.col(key).alias(out_key), F.posexplode(kept).alias("_pos", "_item"))
+    text = jtrim(safe_str(lists.strip_item_quotes(F.col("_item")), max_len))
+    return exploded.select(out_key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name),
+                           text.alias(text_name))
 
 
 def list_column(cell, text: bool = False) -> Column:

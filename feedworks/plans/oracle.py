@@ -392,6 +392,7 @@ ORACLE["import_review_rejects"] = f"""SELECT 'reviews' AS "table", reason AS rej
 ORACLE["import_metrics"] = f"""
     SELECT 'users' AS "table", 'read' AS stage, count(*) AS "rows" FROM lineitem
     UNION ALL SELECT 'users', 'short_record', 0
+    UNION ALL SELECT 'users', 'backslash_quote', 0
     UNION ALL SELECT 'users', 'rejected', count(*) FROM ({USERS_RAW})
         WHERE author_id IS NULL OR gender NOT IN ('Male', 'Female')
     UNION ALL SELECT 'users', 'valid', count(*) FROM ({USERS_RAW})

@@ -179,3 +179,11 @@ def test_sinks_roundtrip(spark, feed_dir):
     assert spark.read.parquet(d + "/users_sorted").count() == 5
     sinks.write_parquet(out["user_followers"], d + "/edges")
     assert spark.read.parquet(d + "/edges").count() == 4
+
+
+def test_backslash_quote_warning(spark, feed_dir):
+    path = os.path.join(feed_dir, "escaped.csv")
+    with open(path, "w") as f:
+        f.write('h1,h2,h3,h4,h5,h6,h7,h8\n1,"Al \\"x\\" B",Male,30,1,1,,\n2,Bo,Male,30,1,1,,\n')
+    stats = dict(((r.stage), r.rows) for r in imports.import_users(spark, path)["metrics"].collect())
+    assert stats["backslash_quote"] == 1 and stats["read"] == 2
