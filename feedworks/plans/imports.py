@@ -22,6 +22,7 @@ from feedworks.functions.staged import clean_columns
 from feedworks.operators import flatten, metrics, quality, upsert
 from feedworks.operators.layout import spread
 from feedworks.operators.sinks import conform
+from feedworks.session import materialize
 from feedworks.schemas import (KEYWORDS, RECIPE_INGREDIENTS, RECIPE_INSTRUCTIONS,
                                RECIPE_INT_COLUMNS, RECIPES, RECIPES_COLUMNS, REVIEW_LIKERS,
                                REVIEWS, REVIEWS_COLUMNS, USER_FOLLOWERS, USER_FOLLOWING, USERS,
@@ -57,7 +58,16 @@ def _feed(spark, source, columns, multi_line) -> Feed:
     return Feed(spread(feed.records, by=by), feed.rejects)
 
 
-def _persist(df: DataFrame, persist: bool) -> DataFrame:
+def _persist(df: DataFrame, persist) -> DataFrame:
+    """Keep the cleaned feed for its several outputs.
+
+    ``True``: memory and disk on the executors (lost blocks are recomputed from the
+    scan).  ``"checkpoint"``: a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (lineage cut; nothing recomputed after an executor
+    loss).  ``False``: recompute per output.
+    """
+    if persist == "checkpoint":
+        return materialize(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
 
 

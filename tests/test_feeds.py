@@ -187,3 +187,8 @@ def test_backslash_quote_warning(spark, feed_dir):
         f.write('h1,h2,h3,h4,h5,h6,h7,h8\n1,"Al \\"x\\" B",Male,30,1,1,,\n2,Bo,Male,30,1,1,,\n')
     stats = dict(((r.stage), r.rows) for r in imports.import_users(spark, path)["metrics"].collect())
     assert stats["backslash_quote"] == 1 and stats["read"] == 2
+
+
+def test_import_with_checkpoint(spark, feed_dir):
+    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), persist="checkpoint")
+    assert out["users"].count() == 5 and out["user_followers"].count() == 4
