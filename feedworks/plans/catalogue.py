@@ -57,8 +57,7 @@ def q_count_all(spark, sf):
 
 
 def q_filter_counts(spark, sf):
-    return suites.db_suite(_t(spark, sf, "part"), _t(spark, sf, "lineitem"), PART_USERS,
-                           PART_PARAMS)["counts"]
+    return suites.suite_counts(_t(spark, sf, "part"), PART_USERS, PART_PARAMS)
 
 
 def q_filter_between(spark, sf):
@@ -135,22 +134,23 @@ def q_delete_where(spark, sf):
 
 
 # ============================================================== G4 / G5 suites
-def _db(spark, sf):
-    return suites.db_suite(_t(spark, sf, "part"), _t(spark, sf, "lineitem"), PART_USERS,
-                           PART_PARAMS)
+def _after(spark, sf):
+    return suites.suite_changes(_t(spark, sf, "part"), PART_USERS, PART_PARAMS)
 
 
 def q_suite_deleted(spark, sf):
-    return _db(spark, sf)["deleted"]
+    return _after(spark, sf)[1]
 
 
 def q_suite_grouped(spark, sf):
-    return _db(spark, sf)["grouped"].select("p_type", _r("avg_followers"), _r("avg_following"),
-                                            "count")
+    out = suites.suite_grouped(_after(spark, sf)[2], PART_USERS, PART_PARAMS)
+    return out.select("p_type", _r("avg_followers"), _r("avg_following"), "count")
 
 
 def q_suite_joined(spark, sf):
-    return _db(spark, sf)["joined"].select("p_type", "unique_followers", _r("avg_followers"))
+    out = suites.suite_joined(_after(spark, sf)[2], _t(spark, sf, "lineitem"), PART_USERS,
+                              PART_PARAMS)
+    return out.select("p_type", "unique_followers", _r("avg_followers"))
 
 
 def _file(spark, sf):

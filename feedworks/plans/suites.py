@@ -50,37 +50,61 @@ class SuiteParams:
 
 
 # =========================================================================== G4
-def db_suite(users: DataFrame, edges: DataFrame, cols: UserCols = UserCols(),
-             p: SuiteParams = SuiteParams()) -> dict[str, DataFrame]:
-    """The eight statements in order.  The grouped and join statements see the
-    table after the update and the delete, as in the original run order.
-
-    Returns ``counts`` (one row: all, age range, followers, gender), ``updated`` and
-    ``deleted`` (affected-row counts), ``users_after`` (table after both changes),
-    ``grouped`` (A3) and ``joined`` (A4).
-    """
+def suite_counts(users: DataFrame, cols: UserCols = UserCols(),
+                 p: SuiteParams = SuiteParams()) -> DataFrame:
+    """G4 statements 1-4 in one scan: all rows, age range, followers, gender."""
     age, fol = F.col(cols.age), F.col(cols.followers)
-    counts = reports.filter_counts(users, {
+    return reports.filter_counts(users, {
         "total": F.lit(True),
         "age_in_range": reports.between(age, p.age_low, p.age_high),
         "followers_over": reports.greater(fol, p.followers_min),
         "gender_match": reports.equals(cols.gender, p.gender_value),
     })
+
+
+def suite_changes(users: DataFrame, cols: UserCols = UserCols(),
+                  p: SuiteParams = SuiteParams()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G4 statements 5-6: (updated count, deleted count, table after both changes)."""
+    age, fol = F.col(cols.age), F.col(cols.followers)
     upd_cond = age < F.lit(p.update_age_below)
     updated_count = changes.affected(users, upd_cond, "updated")
     after_update = changes.update_where(users, cols.followers, fol + F.lit(1), upd_cond)
     doomed = changes.victims(after_update, cols.key, age > F.lit(p.delete_age_above), p.delete_limit)
     deleted_count = doomed.agg(F.count(F.lit(1)).alias("deleted"))
     after = changes.delete_in(after_update, cols.key, doomed, bounded_rows=p.delete_limit)
-    grouped = reports.group_having_sort(
+    return updated_count, deleted_count, after
+
+
+def suite_grouped(after: DataFrame, cols: UserCols = UserCols(),
+                  p: SuiteParams = SuiteParams()) -> DataFrame:
+    """G4 statement 7 (A3) on the changed table."""
+    return reports.group_having_sort(
         after, cols.gender, {"avg_followers": cols.followers, "avg_following": cols.following},
-        pred=reports.between(age, p.group_age_low, p.group_age_high),
+        pred=reports.between(cols.age, p.group_age_low, p.group_age_high),
         min_count=p.group_min_count, order_by="avg_followers")
-    joined = reports.left_join_distinct(
+
+
+def suite_joined(after: DataFrame, edges: DataFrame, cols: UserCols = UserCols(),
+                 p: SuiteParams = SuiteParams()) -> DataFrame:
+    """G4 statement 8 (A4) on the changed table."""
+    return reports.left_join_distinct(
         after, edges, cols.key, cols.edge_user, cols.edge_target, cols.gender, cols.followers,
-        pred=reports.between(age, p.join_age_low, p.join_age_high))
-    return {"counts": counts, "updated": updated_count, "deleted": deleted_count,
-            "users_after": after, "grouped": grouped, "joined": joined}
+        pred=reports.between(cols.age, p.join_age_low, p.join_age_high))
+
+
+def db_suite(users: DataFrame, edges: DataFrame, cols: UserCols = UserCols(),
+             p: SuiteParams = SuiteParams()) -> dict[str, DataFrame]:
+    """The eight statements in order.  The grouped and join statements see the
+    table after the update and the delete, as in the original run order.
+
+    Returns ``counts`` (one row: all, age range, followers, gender), ``updated`` and
+    ``deleted`` (affected-row counts), ``users_after`` (table after both changes),
+    ``grouped`` (A3) and ``joined`` (A4).
+    """
+    updated, deleted, after = suite_changes(users, cols, p)
+    return {"counts": suite_counts(users, cols, p), "updated": updated, "deleted": deleted,
+            "users_after": after, "grouped": suite_grouped(after, cols, p),
+            "joined": suite_joined(after, edges, cols, p)}
 
 
 # =========================================================================== G5
