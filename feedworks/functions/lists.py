@@ -50,17 +50,22 @@ def _unwrap(t: Column) -> Column:
 # --------------------------------------------------------------------------- C5
 def normalize_list(c) -> Column:
     """C5 (array form): drop a leading ``c(`` and trailing ``)``, drop every ``"``,
-    collapse whitespace, split on every comma, trim, drop empties.  null -> []."""
+    collapse whitespace, split on every comma, trim, drop empties.  null -> [].
+
+    Splitting on a comma together with the characters <= U+0020 around it leaves
+    every item trimmed, and ``array_remove`` drops the empty ones: no array lambdas.
+    """
     s = F.regexp_replace(_col(c), r"^c\(|\)$", "")
     s = F.regexp_replace(F.replace(s, F.lit('"'), F.lit("")), r"\s+", " ")
-    items = F.transform(F.split(jtrim(s), ","), lambda x: jtrim(x))
-    return F.coalesce(F.filter(items, lambda x: x != F.lit("")), F.array().cast("array<string>"))
+    items = F.array_remove(F.split(jtrim(s), r"[\x00-\x20]*,[\x00-\x20]*"), "")
+    return F.coalesce(items, F.array().cast("array<string>"))
 
 
 def normalize_list_text(c) -> Column:
     """C5 (text form): ``["a","b"]`` with every item double-quoted; null -> ``[]``."""
-    quoted = F.transform(normalize_list(c), lambda x: F.concat(F.lit('"'), x, F.lit('"')))
-    return F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]"))
+    items = normalize_list(c)
+    return F.when(F.size(items) == 0, F.lit("[]")) \
+        .otherwise(F.concat(F.lit('["'), F.array_join(items, '","'), F.lit('"]')))
 
 
 # --------------------------------------------------------------------------- C6
