@@ -88,9 +88,11 @@ def explode_steps(df: DataFrame, key: str, cell, text_name: str = "instruction_t
             .select(out_key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name), text_name)
     kept = F.filter(lists.repaired_items(c), lists.item_kept)
     exploded = df.select(F.col(key).alias(out_key), F.posexplode(kept).alias("_pos", "_item"))
-    text = jtrim(safe_str(lists.strip_item_quotes(F.col("_item")), max_len))
-    return exploded.select(out_key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name),
-                           text.alias(text_name))
+    # Staged so the unquoting and trimming run once per item (kept items are never
+    # blank or "null", so C1 reduces to the cut).
+    unquoted = exploded.select(out_key, "_pos", jtrim(lists.strip_item_quotes(F.col("_item"))).alias("_t"))
+    return unquoted.select(out_key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name),
+                           jtrim(F.substring("_t", 1, max_len)).alias(text_name))
 
 
 def list_column(cell, text: bool = False) -> Column:

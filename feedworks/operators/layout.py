@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = None) -> DataFrame:
     """Give CPU-heavy row-local work (parsing, cleaning) at least one task per core.
 
+    Apply it right after a scan (and narrow steps): the split count of a scan is
+    known without running anything, while on a plan that already shuffles Spark
+    would have to run that shuffle to report its partition count.
+
     Input that arrives in fewer splits than the cluster has cores (one multi-line
     CSV file, a Parquet file with one row group, a gzip file) is scanned by one
     task.  In that case rows are redistributed round-robin before the heavy

@@ -51,11 +51,14 @@ def _order(df: DataFrame):
 
 
 def _feed(spark, source, columns, multi_line) -> Feed:
-    """The scanned feed, its records spread over the cluster's cores when the scan
-    has fewer splits (e.g. one multi-line file); a no-op on large inputs."""
-    feed = source if isinstance(source, Feed) else read_feed(spark, source, columns, multi_line)
-    by = INGEST_ORDER if INGEST_ORDER in feed.records.columns else None
-    return Feed(spread(feed.records, by=by), feed.rejects)
+    """The feed to import.  A feed scanned here has its records spread over the
+    cluster's cores when the scan has fewer splits (e.g. one multi-line file); a
+    no-op on large inputs.  A ``Feed`` passed in is used as it is (its producer
+    decides its partitioning)."""
+    if isinstance(source, Feed):
+        return source
+    feed = read_feed(spark, source, columns, multi_line)
+    return Feed(spread(feed.records, by=INGEST_ORDER), feed.rejects)
 
 
 def _persist(df: DataFrame, persist) -> DataFrame:
