@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, simhash
+from . import bpe, mixing, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +26,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=mixing.WEIGHTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op5_bpe, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op5_bpe, op8_secrets, op10_mixing)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
