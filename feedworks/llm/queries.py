@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, secrets, simhash
+from . import balltree, bpe, embed_dedup, mixing, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +22,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_balltree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -34,5 +43,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=mixing.WEIGHTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op5_bpe, op8_secrets, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup, op8_secrets,
+                                   op10_mixing)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
