@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, embed_dedup, mixing, quality, secrets, simhash
+from . import balltree, bpe, embed_dedup, mixing, quality, secrets, simhash, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=mixing.WEIGHTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup, op8_secrets,
-                                   op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup, op7_suffix,
+                                   op8_secrets, op10_mixing)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
