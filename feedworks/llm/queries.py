@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, embed_dedup, mixing, quality, secrets, simhash, suffix
+from . import balltree, bpe, chunks, embed_dedup, mixing, quality, secrets, simhash, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +43,14 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup_chunks(_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=mixing.WEIGHTS)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup, op7_suffix,
-                                   op8_secrets, op10_mixing)}
+                                   op8_secrets, op9_chunks, op10_mixing)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
