@@ -13,38 +13,43 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import bucketed, ship, stored
 
-SCHEMA = "ids array<long>, lens binary, texts binary"
+SCHEMA = "ids array<string>, lens binary, texts binary, size long"
 
 
-def pack(docs: DataFrame, name: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """(``block`` long, ``ids``, ``lens``, ``texts``) of all rows of ``docs``, blocks of about
-    ``block_bytes`` or one longer text.  Null texts are empty."""
-    ship(docs.sparkSession)
+def pack_keys(rows: DataFrame, name: str, block_bytes: int, in_buckets: bool = True) -> DataFrame:
+    """(``block`` long, ``ids``, ``lens``, ``texts``, ``size``) of all rows (``key`` string,
+    ``text``), blocks of about ``block_bytes`` or one longer text.  Null texts are empty."""
+    ship(rows.sparkSession)
 
     def packed(batches):
-        ids, raw, size = [], [], 0
+        keys, raw, size = [], [], 0
         for batch in batches:
-            for i, t in zip(batch["id"].tolist(), batch["text"].tolist()):
+            for key, t in zip(batch["key"], batch["text"]):
                 data = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
                 if raw and size + len(data) > block_bytes:
-                    yield row(ids, raw)
-                    ids, raw, size = [], [], 0
-                ids.append(None if i is None or i != i else int(i))
+                    yield row(keys, raw)
+                    keys, raw, size = [], [], 0
+                keys.append(key if isinstance(key, str) else None)
                 raw.append(data)
                 size += len(data)
         if raw:
-            yield row(ids, raw)
+            yield row(keys, raw)
 
-    def row(ids, raw):
+    def row(keys, raw):
         lens = np.array([len(r) for r in raw], np.int64)
-        return pd.DataFrame({"ids": [ids], "lens": [lens.tobytes()],
+        return pd.DataFrame({"ids": [keys], "lens": [lens.tobytes()], "size": [int(lens.sum())],
                              "texts": [zstandard.ZstdCompressor(level=3).compress(b"".join(raw))]})
 
-    # the id as text: pandas would make doubles of longs beside nulls
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    return stored(rows.mapInPandas(packed, SCHEMA).select(F.monotonically_increasing_id().alias("block"), "*"), name)
+    out = rows.select("key", "text").mapInPandas(packed, SCHEMA).select(F.monotonically_increasing_id().alias("block"), "*")
+    return bucketed(out, name, "block") if in_buckets else stored(out, name)
+
+
+def pack(docs: DataFrame, name: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
+    """Blocks of all rows of ``docs``, the ids as text."""
+    named = docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"))
+    return pack_keys(named, name, block_bytes, in_buckets=False)
 
 
 def unpack(lens: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -78,7 +78,7 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 b, offsets = blocks.unpack(r.lens, r.texts)
                 found: dict[bytes, list] = {}
                 for i, (_, _, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
-                    i = None if i is None or i != i else int(i)
+                    i = None if i is None else int(i)
                     for d in digests:
                         known = found.get(d)
                         if known is None:
@@ -107,7 +107,7 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                     np.array([x["d1"], x["d2"]], np.int64).tobytes(): x["first"] for x in r.again}
                 out = []
                 for i, (lo, ends, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
-                    i = None if i is None or i != i else int(i)
+                    i = None if i is None else int(i)
                     n, shared, gone, k, met = (ends[-1] if ends else 0), 0, [], 0, set()
                     while k < len(ends):
                         j = k

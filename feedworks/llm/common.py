@@ -9,7 +9,6 @@ import zipfile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 _SPACE = np.zeros(256, bool)
@@ -57,9 +56,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_of(column: str = "text"):
-    """The text, a null one as empty."""
-    return F.coalesce(F.col(column), F.lit(""))
+def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """Like ``stored``, cut by a key into as many buckets as shuffles have partitions: joins
+    on the key need not move these rows."""
+    spark = df.sparkSession
+    table = f"feedworks_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, by).option("path", shared_dir(spark, name)).saveAsTable(table)
+    return spark.table(table)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, chunks, embed_dedup, mixing, quality, secrets, simhash, suffix
+from . import balltree, bpe, chunks, embed_dedup, katz, mixing, quality, secrets, simhash, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=mixing.WEIGHTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup, op7_suffix,
-                                   op8_secrets, op9_chunks, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_katz, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup,
+                                   op7_suffix, op8_secrets, op9_chunks, op10_mixing)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}

@@ -286,7 +286,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     lo, hi = int(offsets[k]), int(offsets[k + 1])
                     cut = gone[lo:hi]
                     kept, runs = b[lo:hi][~cut].tobytes(), _runs(cut)
-                    row = (None if i is None or i != i else str(int(i)), hi - lo, int(cut.sum()), len(runs) // 2,
+                    row = (i, hi - lo, int(cut.sum()), len(runs) // 2,
                            hashlib.sha256(kept).hexdigest())
                     out.append((*row, kept, runs.reshape(-1, 2).tolist()) if with_kept else row)
                 yield pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
