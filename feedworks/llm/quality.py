@@ -200,3 +200,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, folds: int = 5, thresho
     scored = docs.select("doc_id", held_out("doc_id", folds).alias("held_out"),
                          model.score(docs.sparkSession, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, *, folds: int = 5, threshold: float = 0.3, **fit_args) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose text scores ``threshold`` or more."""
+    model = fit(docs.where(~held_out("doc_id", folds)), labels, **fit_args)
+    return docs.where(model.score(docs.sparkSession, F.col("text")) >= threshold)
