@@ -72,12 +72,12 @@ def segments(b: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tupl
     np.add.at(whole, offsets[:-1][long], 1)
     np.add.at(whole, offsets[1:][long] - length + 1, -1)
     inside = np.cumsum(whole[:n]) > 0
-    text = np.searchsorted(offsets, np.arange(n)[inside], "right")
     start = np.flatnonzero(inside)
     if not len(start):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     anchor = at[start]
-    new = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(text) != 0) | (np.diff(start) != 1)) + 1
+    # the windows of two texts are never next to each other: a text's last places start none
+    new = np.flatnonzero((anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)) + 1
     first = np.concatenate([[0], new])
     last = np.concatenate([new, [len(start)]]) - 1
     return hashes[anchor[first]], start[first], start[last]
@@ -87,15 +87,19 @@ def _digest(data) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def block_segments(lens: bytes, texts: bytes, length: int, gram: int):
-    """Per segment of a block: anchor, digest, first and last start in the block's bytes."""
+def block_segments(lens: bytes, texts: bytes, length: int, gram: int, only=None):
+    """Bytes and offsets of a block, and per segment anchor, digest, first and last start; with
+    ``only`` of the segments with these anchors alone."""
     b, offsets = blocks.unpack(lens, texts)
     out = []
-    for lo, hi in blocks.slices(offsets):
+    for lo, hi in blocks.slices(offsets, 1 << 17):
         at, end = int(offsets[lo]), int(offsets[hi])
         h, first, last = segments(b[at:end], offsets[lo:hi + 1] - at, length, gram)
         out.append((h.view(np.int64), first + at, last + at))
     h, first, last = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+    if only is not None:
+        some = np.isin(h, np.asarray(only, np.int64))
+        h, first, last = h[some], first[some], last[some]
     view = memoryview(b)
     d = np.array([_digest(view[i:j + length]) for i, j in zip(first.tolist(), last.tolist())], np.int64)
     return b, offsets, h, d, first, last
@@ -108,7 +112,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k:n + k]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     k = key[order]
     head = np.concatenate([[True], k[1:] != k[:-1]])
     place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
@@ -124,7 +128,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
             break
         pos = order[todo]
         after = np.where(pos + h < n, rank[np.minimum(pos + h, n - 1)] + 1, 0)
-        sub = np.argsort((place[todo].astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64), kind="stable")
+        sub = np.argsort((place[todo].astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64))
         order[todo], after = pos[sub], after[sub]
         group = place[todo]
         fresh = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
@@ -132,7 +136,8 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
         place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
         rank[order[todo]] = place[todo]
         h *= 2
-    return order
+    # what is still equal goes by position: Kasai's step needs i before j to mean i + 1 before j + 1
+    return order[np.argsort((place.astype(np.uint64) << np.uint64(32)) | order.astype(np.uint64))]
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
@@ -203,7 +208,7 @@ def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int)
     def cut(batches):
         for batch in batches:
             for r in batch.itertuples():
-                b, _, h, d, first, last = block_segments(r.lens, r.texts, length, gram)
+                b, _, h, d, first, last = block_segments(r.lens, r.texts, length, gram, [w["h"] for w in r.wanted])
                 where = dict(zip(zip(h.tolist(), d.tolist()), zip(first.tolist(), last.tolist())))
                 rows = [(w["h"], w["d"], w["n"], w["variants"], b[i:j + length].tobytes())
                         for w in r.wanted for i, j in [where[w["h"], w["d"]]]]
@@ -260,6 +265,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     repeated ids keep a row for each row, and repeated rows repeat each other; an empty
     table gives no rows; other columns are not read.
     """
+    if length < 2:
+        raise ValueError("length must be 2 or more")
     gram = min(gram, length)
     packed = blocks.pack(docs, "sa-blocks", id_col=id_col, text_col=text_col)
     seen, repeated = repeated_segments(packed, length, gram, variants)
@@ -269,26 +276,29 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def removed(batches):
         for batch in batches:
             for r in batch.itertuples():
-                if r.repeats is None:
-                    b, offsets = blocks.unpack(r.lens, r.texts)
-                    gone = np.zeros(len(b) + 1, np.int32)
-                else:
-                    b, offsets, h, d, first, _ = block_segments(r.lens, r.texts, length, gram)
-                    spans = {(x["h"], x["d"]): np.frombuffer(x["spans"], np.int64).reshape(-1, 2) for x in r.repeats}
-                    gone = np.zeros(len(b) + 1, np.int32)
-                    for key, at in zip(zip(h.tolist(), d.tolist()), first.tolist()):
-                        for lo, hi in spans.get(key, ()):
-                            gone[at + lo] += 1
-                            gone[at + hi - 1 + length] -= 1
-                gone = np.cumsum(gone)[:-1] > 0
-                out = []
-                for k, i in enumerate(r.ids):
-                    lo, hi = int(offsets[k]), int(offsets[k + 1])
-                    cut = gone[lo:hi]
-                    kept, runs = b[lo:hi][~cut].tobytes(), _runs(cut)
-                    row = (i, hi - lo, int(cut.sum()), len(runs) // 2,
-                           hashlib.sha256(kept).hexdigest())
-                    out.append((*row, kept, runs.reshape(-1, 2).tolist()) if with_kept else row)
+                repeats = r.repeats if r.repeats is not None else []
+                b, offsets, h, d, first, _ = block_segments(r.lens, r.texts, length, gram, [x["h"] for x in repeats])
+                spans = {(x["h"], x["d"]): np.frombuffer(x["spans"], np.int64).tolist() for x in repeats}
+                ends = set(offsets.tolist())  # a run that ends with its text does not go on in the next
+                gone: list[list[int]] = []  # maximal removed runs; windows come in the order of their starts
+                for key, at in zip(zip(h.tolist(), d.tolist()), first.tolist()):
+                    runs = iter(spans.get(key, ()))
+                    for lo, hi in zip(runs, runs):
+                        start, end = at + lo, at + hi - 1 + length
+                        if gone and start <= gone[-1][1] and start not in ends:
+                            gone[-1][1] = max(end, gone[-1][1])
+                        else:
+                            gone.append([start, end])
+                out, view, k = [], memoryview(b), 0
+                for i, (lo, hi) in zip(r.ids, zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                    kept, at, own = [], lo, []  # views: the bytes are copied once
+                    while k < len(gone) and gone[k][0] < hi:
+                        kept.append(view[at:gone[k][0]])
+                        own.append([gone[k][0] - lo, gone[k][1] - lo])
+                        at, k = gone[k][1], k + 1
+                    kept = b"".join([*kept, view[at:hi]])
+                    row = (i, hi - lo, hi - lo - len(kept), len(own), hashlib.sha256(kept).hexdigest())
+                    out.append((*row, kept, own) if with_kept else row)
                 yield pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
                                                  *(["kept", "spans"] if with_kept else [])])
 
