@@ -257,7 +257,7 @@ def _spans_of(batches):
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM,
-                   variants: int = 128, with_kept: bool = False) -> DataFrame:
+                   variants: int = 4096, with_kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (op7's contract) of each row; with
     ``with_kept`` also the remaining bytes and the removed spans (array of start, end).
 
