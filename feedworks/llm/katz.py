@@ -162,7 +162,7 @@ def _gathered(answers: DataFrame, name: str) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10,
-                block_bytes: int = 16 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+                block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (op2's contract).
 
     Learns bigrams from the rows whose crc32(id) is not divisible by ``folds``.  Null and empty
