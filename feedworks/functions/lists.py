@@ -2,8 +2,9 @@
 
 Feeds encode lists inside one text cell: ``1,2,3``, R-style ``c("a", "b")`` or
 ``["a","b"]``.  All parsers are pure Spark expressions (regexes, ``split``,
-``transform``, ``filter``), so they run inside whole-stage codegen on every
-executor and need no Python worker.
+``transform``, ``filter``): no Python worker is needed.  The array lambdas among them
+are interpreted, not part of the generated code; hot paths explode first and clean
+the items afterwards (``operators.flatten``).
 
 Two modes: the default *repaired* forms, and ``compat=True`` forms that keep the
 original feed contract's observable quirks where they are plain expressions.
@@ -65,9 +66,8 @@ def normalize_list(c) -> Column:
 
 def normalize_list_text(c) -> Column:
     """C5 (text form): ``["a","b"]`` with every item double-quoted; null -> ``[]``."""
-    items = normalize_list(c)
-    return F.when(F.size(items) == 0, F.lit("[]")) \
-        .otherwise(F.concat(F.lit('["'), F.array_join(items, '","'), F.lit('"]')))
+    quoted = F.transform(normalize_list(c), lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+    return F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]"))
 
 
 # --------------------------------------------------------------------------- C6
@@ -107,11 +107,6 @@ def split_quoted(c, compat: bool = True) -> Column:
     return F.coalesce(F.filter(items, lambda x: x != F.lit("")), F.array().cast("array<string>"))
 
 
-def strip_item_quotes(x: Column) -> Column:
-    """Repaired item: drop a leading quote and an unescaped trailing quote, unescape."""
-    return _strip_item_quotes(x)
-
-
 def repaired_items(c) -> Column:
     """Raw items of a repaired list cell (wrapper removed, split on commas outside
     quotes, trimmed, empties dropped); blank / ``null`` cells -> []."""
@@ -122,10 +117,11 @@ def repaired_items(c) -> Column:
 
 def item_kept(x: Column) -> Column:
     """True when a raw repaired item survives cleaning (C1 would not null it)."""
-    return ~F.lower(jtrim(_strip_item_quotes(x))).isin("", "null")
+    return ~F.lower(jtrim(strip_item_quotes(x))).isin("", "null")
 
 
-def _strip_item_quotes(x: Column) -> Column:
+def strip_item_quotes(x: Column) -> Column:
+    """Repaired item: drop a leading quote and an unescaped trailing quote, unescape."""
     x = F.regexp_replace(x, r'^"|(?<!\\)"$', "")
     return F.replace(x, F.lit('\\"'), F.lit('"'))
 
@@ -155,7 +151,7 @@ def parse_strs(c, compat: bool = False, max_len: int = 200) -> Column:
         items = F.filter(items, lambda x: x.isNotNull())
     else:
         raw = split_quoted(_unwrap(t), compat=False)
-        items = F.filter(F.transform(raw, lambda x: safe_str(_strip_item_quotes(x), max_len)),
+        items = F.filter(F.transform(raw, lambda x: safe_str(strip_item_quotes(x), max_len)),
                          lambda x: x.isNotNull())
     empty = F.array().cast("array<string>")
     return F.when(t.isNull() | _null_list_cell(t), empty).otherwise(items)

@@ -18,9 +18,10 @@ def parse_instant(c) -> Column:
     """C4: ISO instant text -> timestamp; any other shape (or an invalid date) -> null.
 
     No trimming: a leading blank makes the value null, as in the feeds' contract.
-    The guard is needed because Spark's cast alone also accepts a bare date.
+    The letters ``T`` and ``Z`` may be of either case.  The guard is needed because
+    Spark's cast alone also accepts a bare date.
     """
-    c = _col(c)
+    c = F.upper(_col(c))
     return F.when(c.rlike(ISO_INSTANT), c.try_cast("timestamp"))
 
 

@@ -28,7 +28,11 @@ def is_null_token(t: Column) -> Column:
 
 def safe_str(c, max_len: int | None = DEFAULT_MAX_LEN) -> Column:
     """Trim; blank or any-case ``null`` -> null; cut to ``max_len`` code points."""
-    t = jtrim(c)
+    return safe_str_of(jtrim(c), max_len)
+
+
+def safe_str_of(t: Column, max_len: int | None = DEFAULT_MAX_LEN) -> Column:
+    """:func:`safe_str` of text that is trimmed already."""
     kept = t if max_len is None else F.substring(t, 1, max_len)
     return F.when((t == F.lit("")) | is_null_token(t), F.lit(None).cast("string")).otherwise(kept)
 

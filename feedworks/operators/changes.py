@@ -37,18 +37,12 @@ def victims(df: DataFrame, key: str, cond: Column, limit: int) -> DataFrame:
     return df.filter(cond).select(key).orderBy(key).limit(limit)
 
 
-def delete_in(df: DataFrame, key: str, doomed: DataFrame, bounded_rows: int | None = None) -> DataFrame:
-    """``DELETE WHERE key IN (subquery)`` as an anti join.
-
-    When the caller can prove the subquery's row bound (``bounded_rows``, e.g. a
-    LIMIT), that side is broadcast; otherwise the join strategy is left to AQE.
-    """
-    right = doomed.select(F.col(key).alias(key))
-    if bounded_rows is not None:
-        right = F.broadcast(right)
-    return df.join(right, key, "left_anti")
+def delete_in(df: DataFrame, key: str, doomed: DataFrame) -> DataFrame:
+    """``DELETE WHERE key IN (subquery)`` as an anti join; Spark picks the strategy from
+    the size it finds."""
+    return df.join(doomed.select(F.col(key).alias(key)), key, "left_anti")
 
 
 def delete_in_limit(df: DataFrame, key: str, cond: Column, limit: int) -> DataFrame:
     """``DELETE FROM t WHERE key IN (SELECT key FROM t WHERE cond ORDER BY key LIMIT n)``."""
-    return delete_in(df, key, victims(df, key, cond, limit), bounded_rows=limit)
+    return delete_in(df, key, victims(df, key, cond, limit))

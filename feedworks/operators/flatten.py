@@ -26,7 +26,7 @@ def explode_list(df: DataFrame, key: str, items: Column, item_name: str,
 
 
 def explode_ids(df: DataFrame, key: str, cell, id_name: str, key_name: str | None = None,
-                compat: bool = False, drop_self: bool = False) -> DataFrame:
+                compat: bool = False, drop_self: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Id-list cell -> (key, id) edge rows, ids cleaned by C2.
 
     Same rows as ``explode(parse_ids(cell))``, but the items are exploded first and
@@ -36,9 +36,9 @@ def explode_ids(df: DataFrame, key: str, cell, id_name: str, key_name: str | Non
     """
     out_key = key_name or key
     parts = lists.id_items(cell, compat=compat)
-    raw = df.select(F.col(key).alias(out_key), F.explode(parts).alias("_item"))
-    out = clean_columns(raw, [(id_name, "int", "_item")], keep=[out_key]) \
-        .select(out_key, id_name).filter(F.col(id_name).isNotNull())
+    raw = df.select(F.col(key).alias(out_key), *keep, F.explode(parts).alias("_item"))
+    out = clean_columns(raw, [(id_name, "int", "_item")], keep=[out_key, *keep]) \
+        .select(out_key, id_name, *keep).filter(F.col(id_name).isNotNull())
     if drop_self:
         out = out.filter(F.col(id_name) != F.col(out_key))
     return out
@@ -93,8 +93,3 @@ def explode_steps(df: DataFrame, key: str, cell, text_name: str = "instruction_t
     unquoted = exploded.select(out_key, "_pos", jtrim(lists.strip_item_quotes(F.col("_item"))).alias("_t"))
     return unquoted.select(out_key, (F.col("_pos") + F.lit(1)).cast("int").alias(order_name),
                            jtrim(F.substring("_t", 1, max_len)).alias(text_name))
-
-
-def list_column(cell, text: bool = False) -> Column:
-    """Keep a normalised list on the parent row (array, or C5 text on request)."""
-    return lists.normalize_list_text(cell) if text else lists.normalize_list(cell)

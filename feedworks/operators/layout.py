@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = None) -> DataFrame:
-    """Give CPU-heavy row-local work (parsing, cleaning) at least one task per core.
+def spread(df: DataFrame, partitions: int | None = None, by: str | None = None) -> DataFrame:
+    """Deal rows out to ``partitions`` tasks before CPU-heavy row-local work, for input that the
+    caller knows can't be split (a gzip file, one multi-line CSV file, one row group).
 
-    Apply it right after a scan (and narrow steps): the split count of a scan is
-    known without running anything, while on a plan that already shuffles Spark
-    would have to run that shuffle to report its partition count.
-
-    Input that arrives in fewer splits than the cluster has cores (one multi-line
-    CSV file, a Parquet file with one row group, a gzip file) is scanned by one
-    task.  In that case rows are redistributed round-robin before the heavy
-    projection.  On large inputs with at least ``min_partitions`` splits (the
-    default parallelism) nothing is added: no shuffle.
+    Without ``partitions`` nothing is added, whatever the size: how many tasks scan a
+    splittable file is a setting of the scan (``spark.sql.files.maxPartitionBytes``,
+    ``spark.sql.files.minPartitionNum``), and costs no shuffle.
 
     ``by`` names a column that is unique per row and reproduced exactly when a task
     is recomputed (a feed's ingest order: file, split, position); rows are then
@@ -25,7 +20,6 @@ def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = No
     row to the same place.  Row contents are never hashed: exact copies of one row
     (possibly a third of the input) would all land in one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if not partitions:
         return df
-    return df.repartition(target, by) if by else df.repartition(target)
+    return df.repartition(partitions, by) if by else df.repartition(partitions)

@@ -6,8 +6,6 @@ action that writes the data (one pass), instead of a separate count job per numb
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -25,12 +23,12 @@ def partition_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def stage_counts(table: str, stages: dict[str, DataFrame]) -> DataFrame:
-    """A8 / A9 as a table: one row per (table, stage) with its row count."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(table).alias("table"), F.lit(stage).alias("stage"), "rows")
-             for stage, df in stages.items()]
-    return reduce(DataFrame.unionByName, parts)
+def stage_counts(df: DataFrame, table: str, stages: dict[str, Column]) -> DataFrame:
+    """A8 as a table: one row per (table, stage) with the number of rows of ``df`` that meet the
+    stage's condition, all counted in one pass."""
+    wide = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(f"_{i}") for i, c in enumerate(stages.values())])
+    pairs = ", ".join(f"'{name}', _{i}" for i, name in enumerate(stages))
+    return wide.selectExpr(f"'{table}' AS table", f"stack({len(stages)}, {pairs}) AS (stage, rows)")
 
 
 def throughput(rows: int, elapsed_ms: float) -> float:

@@ -62,12 +62,13 @@ def fits(raw, parsed, name: str) -> Rule:
 
 
 # ------------------------------------------------------------------ split
-def tag(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add ``reject_reason``: the name of the first failed rule, else null."""
+def tag(df: DataFrame, rules: list[Rule], read: str | None = None) -> DataFrame:
+    """Add ``reject_reason``: that of the reader (column ``read``), else the name of the first
+    failed rule, else null."""
     reason = F.lit(None).cast("string")
     for rule in reversed(rules):
         reason = F.when(rule.failed(), F.lit(rule.name)).otherwise(reason)
-    return df.withColumn(REASON, reason)
+    return df.withColumn(REASON, F.coalesce(F.col(read), reason) if read else reason)
 
 
 def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
@@ -87,34 +88,46 @@ def rule_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ referential
-def fk_split(df: DataFrame, fk: str, parent: DataFrame, parent_key: str,
-             allow_null: bool = True, name: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``fk`` is in ``parent`` (or null when allowed) vs the rest.
+def key_set(parent: DataFrame, parent_key: str, name: str) -> DataFrame:
+    """The distinct non-null keys of ``parent`` in a column ``name``.
 
-    One left join against the distinct parent keys tags every row, instead of a
-    semi join plus an anti join over the same input.  The distinct is planned on
-    the join key, so it reuses the join's partitioning; AQE turns the join into a
-    broadcast when the key set is measured small, and splits skewed child keys.
+    The aggregate is planned on a struct, so its output is not partitioned on ``name``
+    and a join on it gets an exchange of its own.  Adaptive execution splits the
+    partition of a hot key only where such a plain exchange lies under the join; for a
+    distinct planned on the join key itself it can't.
     """
-    keys = parent.select(F.col(parent_key).alias("_fk_hit_key")).distinct() \
-        .withColumn("_fk_hit", F.lit(True))
-    joined = df.join(keys, F.col(fk) == F.col("_fk_hit_key"), "left")
-    ok = F.coalesce(F.col("_fk_hit"), F.lit(False))
+    keys = parent.where(F.col(parent_key).isNotNull()).groupBy(F.struct(F.col(parent_key).alias("k")).alias("_s"))
+    return keys.agg(F.lit(True).alias("_one")).select(F.col("_s.k").alias(name))
+
+
+def fk_tag(df: DataFrame, fk: str, parent: DataFrame, parent_key: str, hit: str) -> DataFrame:
+    """``df`` with a boolean ``hit``: whether ``fk`` is a key of ``parent``.  One left join
+    whose child side can be split where one key holds much of it."""
+    keys = key_set(parent, parent_key, "_fk_hit_key")
+    return df.join(keys, F.col(fk) == F.col("_fk_hit_key"), "left") \
+        .withColumn(hit, F.col("_fk_hit_key").isNotNull()).drop("_fk_hit_key")
+
+
+def fk_split(df: DataFrame, fk: str, parent: DataFrame, parent_key: str,
+             allow_null: bool = True, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``fk`` is in ``parent`` (or null when allowed) vs the rest,
+    both views of one tagged plan (:func:`fk_tag`)."""
+    ok = F.col("_fk_hit")
     if allow_null:
         ok = ok | F.col(fk).isNull()
-    reason = F.lit(name or f"fk:{fk}")
-    tagged = joined.withColumn(REASON, F.when(~ok, reason)).drop("_fk_hit_key", "_fk_hit")
+    tagged = fk_tag(df, fk, parent, parent_key, "_fk_hit") \
+        .withColumn(REASON, F.when(~ok, F.lit(name or f"fk:{fk}"))).drop("_fk_hit")
     return tagged.filter(F.col(REASON).isNull()).drop(REASON), tagged.filter(F.col(REASON).isNotNull())
 
 
 def semi(df: DataFrame, fk: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows with a parent (EXISTS)."""
-    return df.join(parent.select(F.col(parent_key).alias(fk)), fk, "left_semi")
+    return df.join(key_set(parent, parent_key, fk), fk, "left_semi")
 
 
 def anti(df: DataFrame, fk: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows without a parent (NOT EXISTS)."""
-    return df.join(parent.select(F.col(parent_key).alias(fk)), fk, "left_anti")
+    return df.join(key_set(parent, parent_key, fk), fk, "left_anti")
 
 
 def cascade_delete(child: DataFrame, fk: str, deleted_parents: DataFrame,

@@ -116,15 +116,18 @@ def left_join_distinct(users: DataFrame, edges: DataFrame, user_key: str, edge_u
       an inner join, which AQE may broadcast or split when a user is hot.
     """
     u = users if pred is None else users.filter(pred)
-    u = u.select(F.col(user_key).alias("_k"), F.col(group_col).alias("_g"),
-                 F.col(value_col).alias("_v"))
+    whole = users.schema[value_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    value = F.col(value_col).cast("decimal(19,0)") if whole else F.col(value_col)
+    u = u.select(F.col(user_key).alias("_k"), F.col(group_col).alias("_g"), value.alias("_v"))
 
     pair_counts = edges.groupBy(F.col(edge_user).alias("_k"), F.col(edge_target).alias("_t")) \
         .agg(F.count(F.lit(1)).alias("_c"))
     fan = pair_counts.groupBy("_k").agg(F.sum("_c").alias("_w"))
-    weighted = u.join(fan, "_k", "left").select("_g", "_v", F.coalesce("_w", F.lit(1)).alias("_w"))
+    weight = F.coalesce("_w", F.lit(1)).cast("decimal(19,0)" if whole else "bigint")
+    weighted = u.join(fan, "_k", "left").select("_g", "_v", weight.alias("_w"))
     means = weighted.groupBy("_g").agg(
-        (F.sum(F.col("_v") * F.col("_w")) /
+        # as decimals of 38 digits for whole numbers: a 64-bit sum would overflow at scale
+        (F.sum(F.col("_v") * F.col("_w")).cast("double") /
          F.sum(F.when(F.col("_v").isNotNull(), F.col("_w")))).alias(avg_name))
 
     # No null filter here (COUNT(DISTINCT) skips nulls), and the count stays
@@ -140,18 +143,6 @@ def left_join_distinct(users: DataFrame, edges: DataFrame, user_key: str, edge_u
     return out.orderBy(F.col(distinct_name).desc_nulls_first())
 
 
-def left_join_distinct_plain(users: DataFrame, edges: DataFrame, user_key: str, edge_user: str,
-                             edge_target: str, group_col: str, value_col: str,
-                             pred: Column | None = None, distinct_name: str = "unique_followers",
-                             avg_name: str = "avg_followers") -> DataFrame:
-    """The literal plan of :func:`left_join_distinct` (used to cross-check it)."""
-    u = users if pred is None else users.filter(pred)
-    j = u.join(edges, u[user_key] == edges[edge_user], "left")
-    out = j.groupBy(u[group_col]).agg(F.countDistinct(edges[edge_target]).alias(distinct_name),
-                                      F.avg(u[value_col]).alias(avg_name))
-    return out.filter(F.col(distinct_name) > 0).orderBy(F.col(distinct_name).desc_nulls_first())
-
-
 # ------------------------------------------------------------------ timings
 def timing_summary(timings: DataFrame, op_col: str = "op", ms_col: str = "ms",
                    base_op: str | None = None) -> DataFrame:

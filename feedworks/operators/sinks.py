@@ -72,11 +72,22 @@ def jdbc_writer(df: DataFrame, url: str, table: str, properties: dict | None = N
     return writer
 
 
-def write_reports(reports: dict[str, DataFrame], base_path: str, fmt: str = "parquet") -> None:
-    """One output per report table (timings, per-run counts, age bands)."""
+def write_reports(reports: dict[str, DataFrame], base_path: str, fmt: str = "parquet",
+                  files: int | None = None) -> None:
+    """One output per report table (timings, per-run counts, age bands).
+
+    A report is written by as many tasks as made it.  ``files`` asks for that many files
+    instead, dealt out anew, so that what lies upstream keeps its own parallelism.
+    """
     for name, df in reports.items():
-        writer = df.coalesce(1).write.mode("overwrite")
+        writer = (df.repartition(files) if files else df).write.mode("overwrite")
         if fmt == "csv":
             writer.option("header", True).csv(f"{base_path}/{name}")
         else:
             writer.parquet(f"{base_path}/{name}")
+
+
+def reset_targets(spark: SparkSession, targets: dict[str, T.StructType], base_path: str) -> None:
+    """Every target emptied to its schema, as a load from the beginning needs it."""
+    for name, schema in targets.items():
+        write_parquet(empty_table(spark, schema), f"{base_path}/{name}")

@@ -37,8 +37,16 @@ def keep_first(df: DataFrame, keys, order=None) -> DataFrame:
 def new_rows(new: DataFrame, existing: DataFrame, keys, order=None) -> DataFrame:
     """K2: the rows of ``new`` a keep-first load would insert into ``existing``."""
     keys = _as_list(keys)
-    first = keep_first(new, keys, order)
-    return first.join(existing.select(*keys), keys, "left_anti")
+    return without(keep_first(new, keys, order), existing, keys)
+
+
+def without(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` whose keys ``existing`` does not hold.  ``existing`` is first cut to the keys
+    of ``rows``: where those are few, Spark sends them to the scan of ``existing`` and only
+    what is found moves, however much earlier loads have written."""
+    wanted = rows.select(*keys)
+    found = existing.select(*keys).join(wanted, keys, "left_semi")
+    return rows.join(found, keys, "left_anti")
 
 
 def keep_first_append(new: DataFrame, existing: DataFrame, keys, order=None) -> DataFrame:
@@ -54,9 +62,4 @@ def dedup_pairs(edges: DataFrame, cols) -> DataFrame:
 def append_pairs(new_edges: DataFrame, existing: DataFrame, cols) -> DataFrame:
     """K4: edges a unique-pair load would add to ``existing``."""
     cols = _as_list(cols)
-    return dedup_pairs(new_edges, cols).join(existing.select(*cols), cols, "left_anti")
-
-
-def append_all(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """K5: no unique key, so duplicates are kept."""
-    return existing.unionByName(new)
+    return without(dedup_pairs(new_edges, cols), existing, cols)

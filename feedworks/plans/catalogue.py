@@ -23,6 +23,7 @@ from feedworks.operators.layout import spread
 from feedworks.plans import imports, suites
 from feedworks.schemas import RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS
 from feedworks.sources import from_rows, table
+from feedworks.sources.csv_feed import split_lines
 
 PART_USERS = suites.UserCols(key="p_partkey", name="p_name", gender="p_type", age="p_size",
                              followers="p_retailprice", following="p_size",
@@ -42,9 +43,11 @@ def _t(spark, sf, name) -> DataFrame:
 
 
 def _heavy(spark, sf, name) -> DataFrame:
-    """A table about to get CPU-heavy row-local parsing: spread over the cores when
-    its scan has fewer splits than cores (no-op on large inputs)."""
-    return spread(table(spark, sf, name))
+    """A table about to get CPU-heavy row-local parsing.  Whoever knows that its files can't
+    be split (one row group each) sets ``feedworks.input.partitions``; nothing is
+    dealt out anew otherwise."""
+    wanted = spark.conf.get("feedworks.input.partitions", None)
+    return spread(table(spark, sf, name), int(wanted) if wanted else None)
 
 
 def _r(c: str, n: int = AVG_DIGITS) -> Column:
@@ -90,8 +93,10 @@ def q_group_having_sort(spark, sf):
 
 
 def q_left_join_distinct(spark, sf):
-    edges = _t(spark, sf, "lineitem").filter(F.col("l_quantity") >= 49)
-    out = reports.left_join_distinct(_t(spark, sf, "part"), edges, "p_partkey", "l_partkey",
+    # every third part gets a key that no line has: users without edges
+    users = _t(spark, sf, "part").withColumn("p_partkey", F.when(F.col("p_partkey") % 3 == 0, -F.col("p_partkey"))
+                                             .otherwise(F.col("p_partkey")))
+    out = reports.left_join_distinct(users, _t(spark, sf, "lineitem"), "p_partkey", "l_partkey",
                                      "l_suppkey", "p_type", "p_retailprice",
                                      pred=reports.between("p_size", 18, 60))
     return out.select("p_type", "unique_followers", _r("avg_followers"))
@@ -210,8 +215,10 @@ def q_drop_columns(spark, sf):
 
 # ============================================================== Q11-Q14 referential
 def _fk(spark, sf):
-    cust = _t(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
-    return quality.fk_split(_t(spark, sf, "orders"), "o_custkey", cust, "c_custkey")
+    # orphans: the orders of every fifth customer point past the last key
+    orders = _t(spark, sf, "orders").withColumn("o_custkey", F.when(F.col("o_custkey") % 5 == 0, F.col("o_custkey") + 100_000_000)
+                                                .otherwise(F.col("o_custkey")))
+    return quality.fk_split(orders, "o_custkey", _t(spark, sf, "customer"), "c_custkey")
 
 
 def q_fk_valid(spark, sf):
@@ -413,6 +420,80 @@ def q_import_rejects(spark, sf):
     return rej.groupBy("table", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ============================================================== S1-S5 P1 P2 on lines of text
+def user_lines(li: DataFrame) -> DataFrame:
+    """One line of a users feed per lineitem row: a doubled quote and commas in the name, one
+    field too many on even lines, every seventh key no number, blank list cells on ``N`` rows."""
+    s = lambda c: F.col(c).cast("string")
+    key = F.when(F.col("l_partkey") % 7 == 0, F.concat(F.lit("x"), s("l_partkey"))).otherwise(s("l_partkey"))
+    name = F.concat(F.lit('"Ann ""the, '), s("l_suppkey"), F.lit('"", Lee"'))
+    gender = F.when(F.col("l_linestatus") == "O", F.lit("Male")).otherwise(F.lit("Female"))
+    ids = F.when(F.col("l_returnflag") == "N", F.lit("  ")).otherwise(
+        F.concat(F.lit('"'), s("l_suppkey"), F.lit(","), s("l_partkey"), F.lit('"')))
+    extra = F.when(F.col("l_linenumber") % 2 == 0, F.lit(",one more")).otherwise(F.lit(""))
+    line = F.concat_ws(",", key, name, gender, s("l_linenumber"), s("l_orderkey"), s("l_suppkey"), ids, ids)
+    return li.select(F.concat(line, extra).alias("_line"), F.struct("l_orderkey", "l_linenumber").alias("_ingest_order"),
+                     "l_orderkey", "l_linenumber", "l_returnflag")
+
+
+def _lines_query(spark, sf, line: Column):
+    rows = user_lines(_heavy(spark, sf, "lineitem"))
+    return split_lines(rows.select(line.alias("_line"), "l_orderkey", "l_linenumber"), USERS_COLUMNS)
+
+
+def q_feed_lines(spark, sf):
+    return _lines_query(spark, sf, F.col("_line")).records
+
+
+def q_feed_short(spark, sf):
+    """Lines of ``R`` rows end after their third field."""
+    cut = F.regexp_extract("_line", r'^([^,]*,"[^"]*""[^"]*""[^"]*",[^,]*)', 1)
+    feed = _lines_query(spark, sf, F.when(F.col("l_returnflag") == "R", cut).otherwise(F.col("_line")))
+    return feed.rejects.groupBy("key", "lines", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_feed_escaped(spark, sf):
+    """Quotes in the name escaped by backslashes instead of doubled."""
+    return _lines_query(spark, sf, F.replace(F.col("_line"), F.lit('""'), F.lit('\\"'))).records
+
+
+def q_feed_unterminated(spark, sf):
+    """The name of ``A`` rows lacks its last quote: reading those lines costs no other line."""
+    broken = F.replace(F.col("_line"), F.lit('"", Lee"'), F.lit('"", Lee'))
+    feed = _lines_query(spark, sf, F.when(F.col("l_returnflag") == "A", broken).otherwise(F.col("_line")))
+    kept = feed.records.select(F.lit("read").alias("reject_reason"))
+    return kept.unionByName(feed.rejects.select("reject_reason")).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _import_lines(spark, sf):
+    lines = user_lines(_heavy(spark, sf, "lineitem")).select("_line", "_ingest_order")
+    return imports.import_users(spark, split_lines(lines, USERS_COLUMNS))
+
+
+def q_feed_import_rejects(spark, sf):
+    """Keys that are no numbers; every other record loads or is checked on."""
+    rej = _import_lines(spark, sf)["rejects"].where("table = 'users'")
+    return rej.groupBy("key", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_feed_import_edges(spark, sf):
+    """Blank list cells give no edge; loaded users at both ends."""
+    return _import_lines(spark, sf)["user_followers"].drop("id")
+
+
+# ============================================================== C6 C8 as the feeds' first reader had them
+def q_parse_ids_compat(spark, sf):
+    p = _t(spark, sf, "part")
+    cell = F.concat(F.lit("c("), F.col("p_size").cast("string"), F.lit(", "), F.col("p_partkey").cast("string"), F.lit(", "),
+                    F.col("p_size").cast("string"), F.lit(")"))
+    return p.select("p_partkey", F.explode(fx.parse_ids(cell, compat=True)).alias("id"))
+
+
+def q_parse_strs_compat(spark, sf):
+    p = _t(spark, sf, "part")
+    return p.select("p_partkey", F.explode(fx.parse_strs(_brand_cell(p), compat=True)).alias("item"))
+
+
 # ============================================================== G2 / G3 imports on derived feeds
 def recipes_feed_rows(li: DataFrame) -> DataFrame:
     """A raw recipes feed (27 text cells) with one record per lineitem row; the key
@@ -565,4 +646,12 @@ QUERIES = {
     "import_reviews": q_import_reviews,
     "import_likers": q_import_likers,
     "import_review_rejects": q_import_review_rejects,
+    "feed_lines": q_feed_lines,
+    "feed_short": q_feed_short,
+    "feed_escaped": q_feed_escaped,
+    "feed_unterminated": q_feed_unterminated,
+    "feed_import_rejects": q_feed_import_rejects,
+    "feed_import_edges": q_feed_import_edges,
+    "parse_ids_compat": q_parse_ids_compat,
+    "parse_strs_compat": q_parse_strs_compat,
 }

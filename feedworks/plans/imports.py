@@ -1,13 +1,14 @@
 """Feed imports (G1-G3): scan -> clean -> validate -> keep-first -> children.
 
 Each job returns lazy DataFrames in a dict; nothing runs until the caller writes
-them.  The cleaned parent feeds both the parent table and its child tables, so it is
-persisted (memory and disk; on executor loss Spark recomputes the lost blocks from
-the scan).
-
-Rejects of every step share one layout: ``table, key, reject_reason``.  ``metrics``
-(A8, A9) counts the rows of every stage: read, short, rejected, valid, loaded and
-each child table.
+them.  The cleaned feed, with the reason of every record that is turned down, feeds the
+parent table, its child tables, the rejects and the counts, so it is persisted (memory
+and disk; on executor loss Spark recomputes the lost blocks from the scan).
+
+Rejects of every step share one layout: ``table, key, reject_reason, record, lines``
+(the text and its number of lines for records that could not be read).  ``metrics`` (A8)
+counts the feed in one pass: read, each read error, rejected, valid, and the text cells
+that were cut; ``plans.load`` counts what is written (A9) while it is written.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks.functions.staged import clean_columns
+from feedworks.functions.text import DEFAULT_MAX_LEN, jtrim
 from feedworks.operators import flatten, metrics, quality, upsert
 from feedworks.operators.layout import spread
 from feedworks.operators.sinks import conform
@@ -35,11 +37,8 @@ AUTHOR_NAME_MAX = 100
 GENDER_MAX = 10
 AGE_MIN_EXCLUSIVE, AGE_MAX = 0, 120
 RATING_MIN, RATING_MAX = 0, 5
-
-
-def _rejects(table: str, df: DataFrame, key: str) -> DataFrame:
-    return df.select(F.lit(table).alias("table"), F.col(key).cast("string").alias("key"),
-                     F.col(quality.REASON))
+READ_ERRORS = ["short_record", "unterminated_quote", "swallowed_records", "escaped_quote"]
+READ = "_read_reason"
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -50,15 +49,21 @@ def _order(df: DataFrame):
     return [INGEST_ORDER] if INGEST_ORDER in df.columns else None
 
 
-def _feed(spark, source, columns, multi_line) -> Feed:
-    """The feed to import.  A feed scanned here has its records spread over the
-    cluster's cores when the scan has fewer splits (e.g. one multi-line file); a
-    no-op on large inputs.  A ``Feed`` passed in is used as it is (its producer
-    decides its partitioning)."""
-    if isinstance(source, Feed):
-        return source
-    feed = read_feed(spark, source, columns, multi_line)
-    return Feed(spread(feed.records, by=INGEST_ORDER), feed.rejects)
+def _source(spark, source, columns, multi_line, partitions) -> DataFrame:
+    """All records of the feed, those that could not be read among them, with ``READ``.
+
+    ``partitions`` deals the records out to that many tasks after the scan, for files
+    that can't be split; a ``Feed`` passed in keeps the partitioning of its producer."""
+    feed = source if isinstance(source, Feed) else read_feed(spark, source, columns, multi_line)
+    tagged = feed.tagged
+    if tagged is None:
+        tagged = feed.records.select("*", F.lit(None).cast("string").alias("record"),
+                                     F.lit(None).cast("int").alias("lines"), F.lit(None).cast("string").alias(quality.REASON))
+    if not isinstance(source, Feed):
+        tagged = spread(tagged, partitions, by=INGEST_ORDER)
+    return tagged.withColumnRenamed(quality.REASON, READ).withColumns({
+        "record": F.when(F.col(READ).isNotNull(), F.col("record")),
+        "lines": F.when(F.col(READ).isNotNull(), F.col("lines"))})
 
 
 def _persist(df: DataFrame, persist) -> DataFrame:
@@ -74,105 +79,138 @@ def _persist(df: DataFrame, persist) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
 
 
-def _escaped_quotes(records: DataFrame, columns: list[str]) -> DataFrame:
-    """Records with a backslash-escaped quote in any cell (H1): the reader honours
-    doubled quotes only, so such cells keep the backslash and may be misaligned;
-    counted as a warning in ``metrics``."""
-    cells = F.concat_ws("\u0001", *[F.col(c) for c in columns if c in records.columns])
-    return records.filter(cells.contains('\\"'))
-
-
 def _key_rule(key: str) -> quality.Rule:
     """The key must parse as an int."""
     return quality.Rule(f"bad_key:{key}", F.col(key).isNotNull())
 
 
+def _typed(src: DataFrame, key: str, specs, keep: list[str], rules: list[quality.Rule], persist,
+           max_len: int | None, raw_doubles: bool = False) -> DataFrame:
+    """The cleaned feed with ``reject_reason`` of the reader or of the first failed rule, and the
+    text of the key in ``_key``: of a record that could not be read, what stands before its
+    first comma."""
+    order = [INGEST_ORDER] if INGEST_ORDER in src.columns else []
+    named = src.withColumn("_key", F.coalesce(jtrim(key), F.regexp_extract("record", r"^\s*([^,]*)", 1)))
+    typed = clean_columns(named, specs, keep=[*keep, "_key", "record", "lines", READ, *order], raw_doubles=raw_doubles,
+                          max_len=max_len, cut_flags=True)
+    return _persist(quality.tag(typed, rules, read=READ), persist)
+
+
+def _valid(typed: DataFrame, drop: list[str]) -> DataFrame:
+    flags = [c for c in typed.columns if c.startswith(("_cut_", "_raw_"))]
+    return typed.filter(F.col(quality.REASON).isNull()).drop(quality.REASON, READ, "_key", "record", "lines", *flags, *drop)
+
+
+def _keyed(typed: DataFrame, key: str) -> DataFrame:
+    """Records that could be read and have a key; children come from these."""
+    return typed.filter(F.col(READ).isNull() & F.col(key).isNotNull())
+
+
+def _feed_rejects(table: str, typed: DataFrame) -> DataFrame:
+    return typed.filter(F.col(quality.REASON).isNotNull()).select(
+        F.lit(table).alias("table"), F.col("_key").alias("key"), quality.REASON, "record", "lines")
+
+
+def _row_rejects(table: str, df: DataFrame, key: Column, reason: Column) -> DataFrame:
+    return df.select(F.lit(table).alias("table"), key.alias("key"), reason.alias(quality.REASON),
+                     F.lit(None).cast("string").alias("record"), F.lit(None).cast("int").alias("lines"))
+
+
+def _metrics(table: str, typed: DataFrame) -> DataFrame:
+    """A8 in one pass over the cleaned feed: no join, no second scan."""
+    readable, reason = F.col(READ).isNull(), F.col(quality.REASON)
+    stages = {"read": readable, **{r: F.col(READ) == r for r in READ_ERRORS},
+              "rejected": readable & reason.isNotNull(), "valid": reason.isNull()}
+    cut = {f"cut:{c.removeprefix('_cut_')}": readable & F.col(c) for c in typed.columns if c.startswith("_cut_")}
+    return metrics.stage_counts(typed, table, {**stages, **cut})
+
+
+def _new_parents(valid: DataFrame, key: str, known: DataFrame | None, schema) -> tuple[DataFrame, DataFrame]:
+    """(rows to load, all keys loaded after that): keep-first within the feed, and against
+    ``known``, the rows that the target has already (K2)."""
+    first = upsert.keep_first(valid, key, _order(valid))
+    if known is None:
+        rows = conform(first, schema)
+        return rows, rows.select(key)
+    rows = conform(upsert.without(first, known, [key]), schema)
+    return rows, rows.select(key).unionByName(known.select(F.col(key).cast(schema[key].dataType)))
+
+
 # =========================================================================== G1
-def import_users(spark: SparkSession, source, multi_line: bool = True,
-                 persist: bool = True, known_users: DataFrame | None = None) -> dict[str, DataFrame]:
-    """G1: users feed -> users, user_followers, user_following, rejects.
+def import_users(spark: SparkSession, source, multi_line: bool = False, persist: bool = True,
+                 known_users: DataFrame | None = None, partitions: int | None = None,
+                 max_len: int | None = DEFAULT_MAX_LEN) -> dict[str, DataFrame]:
+    """G1: users feed -> users, user_followers, user_following, rejects, metrics.
 
     Edges come from every record with a parsable key (also later duplicates of a
     key), must reference loaded users at both ends (Q12), and are unique per pair
     (K4).  Self edges are kept for followers and dropped for following (P4).
-    ``known_users`` (``author_id``) are users loaded earlier; edges may point to them.
+    ``known_users`` (``author_id``) are users loaded earlier: their keys are not loaded
+    again, and edges may point to them.  Text is cut to ``max_len`` (None: whole).
     """
-    feed = _feed(spark, source, USERS_COLUMNS, multi_line)
-    r = feed.records
-    order = [INGEST_ORDER] if INGEST_ORDER in r.columns else []
-    typed = clean_columns(r, [
-        ("author_id", "int", "author_id"), ("author_name", "str", "author_name"),
-        ("gender", "str", "gender"), ("age", "int", "age"),
-        ("followers_count", "int", "followers_count"),
-        ("following_count", "int", "following_count")],
-        keep=["user_followers", "user_following"] + order)
-    typed = _persist(typed, persist)
-
+    src = _source(spark, source, USERS_COLUMNS, multi_line, partitions)
     rules = [_key_rule("author_id"),
              quality.not_null("author_name"),
              quality.max_length("author_name", AUTHOR_NAME_MAX),
              quality.in_set("gender", GENDERS),
              quality.max_length("gender", GENDER_MAX),
              quality.in_range("age", AGE_MIN_EXCLUSIVE, AGE_MAX, low_inclusive=False)]
-    valid, bad = quality.split(typed, rules)
-    users = conform(upsert.keep_first(valid.drop("user_followers", "user_following"),
-                                      "author_id", _order(valid)), USERS)
-
-    keyed = typed.filter(F.col("author_id").isNotNull())
-    followers = flatten.explode_ids(keyed, "author_id", F.col("user_followers"), "follower_id",
-                                    key_name="user_id")
-    following = flatten.explode_ids(keyed, "author_id", F.col("user_following"), "following_id",
-                                    key_name="user_id", drop_self=True)
-    parents = users.select("author_id")
-    if known_users is not None:
-        parents = parents.unionByName(known_users.select("author_id"))
-    edge_out, edge_rejects = {}, []
-    for name, edges, other in (("user_followers", followers, "follower_id"),
-                               ("user_following", following, "following_id")):
-        ok, miss_u = quality.fk_split(edges, "user_id", parents, "author_id", allow_null=False,
-                                      name="fk:user_id")
-        ok, miss_o = quality.fk_split(ok, other, parents, "author_id", allow_null=False,
-                                      name=f"fk:{other}")
-        edge_out[name] = upsert.dedup_pairs(ok, ["user_id", other])
-        edge_rejects += [miss_u.select(F.lit(name).alias("table"),
-                                       F.concat_ws("->", "user_id", other).alias("key"),
-                                       quality.REASON),
-                         miss_o.select(F.lit(name).alias("table"),
-                                       F.concat_ws("->", "user_id", other).alias("key"),
-                                       quality.REASON)]
-    user_followers = conform(flatten.with_surrogate_id(edge_out["user_followers"], "id"),
-                             USER_FOLLOWERS)
-    user_following = conform(flatten.with_surrogate_id(edge_out["user_following"], "id"),
-                             USER_FOLLOWING)
-    rejects = _union([feed.rejects.select(F.lit("users").alias("table"), "key", quality.REASON),
-                      _rejects("users", bad, "author_id")] + edge_rejects)
-    stats = metrics.stage_counts("users", {
-        "read": typed, "short_record": feed.rejects,
-        "backslash_quote": _escaped_quotes(r, USERS_COLUMNS), "rejected": bad, "valid": valid,
-        "loaded": users, "user_followers": user_followers, "user_following": user_following})
-    return {"users": users, "user_followers": user_followers, "user_following": user_following,
-            "rejects": rejects, "metrics": stats, "cleaned": typed}
+    typed = _typed(src, "author_id", [
+        ("author_id", "int", "author_id"), ("author_name", "str", "author_name"),
+        ("gender", "str", "gender"), ("age", "int", "age"),
+        ("followers_count", "int", "followers_count"),
+        ("following_count", "int", "following_count")], ["user_followers", "user_following"], rules, persist, max_len)
+    users, parents = _new_parents(_valid(typed, ["user_followers", "user_following"]), "author_id", known_users, USERS)
+
+    # The user end depends on the record alone: it is checked before the lists are taken
+    # apart.  Both lists then go through one check of the other end, kept for the
+    # edges and the rejects.
+    keyed = quality.fk_tag(_keyed(typed, "author_id").select("author_id", "user_followers", "user_following"),
+                           "author_id", parents, "author_id", "_user_ok")
+    both = keyed.select("author_id", "_user_ok", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("table"), F.col(c).alias("cell")) for c in ("user_followers", "user_following")])).alias("_list"))
+    edges = flatten.explode_ids(both.select("author_id", "_user_ok", "_list.table", "_list.cell"), "author_id", F.col("cell"),
+                                "other", key_name="user_id", keep=("table", "_user_ok"))
+    edges = edges.filter((F.col("table") == "user_followers") | (F.col("user_id") != F.col("other")))
+    edges = quality.fk_tag(edges, "other", parents, "author_id", "_other_ok")
+    edges = _persist(edges, persist)
+    good = F.col("_user_ok") & F.col("_other_ok")
+    tables, edge_rejects = {}, []
+    for name, other, schema in (("user_followers", "follower_id", USER_FOLLOWERS),
+                                ("user_following", "following_id", USER_FOLLOWING)):
+        own = edges.filter(F.col("table") == name)
+        pairs = upsert.dedup_pairs(own.filter(good).select("user_id", F.col("other").alias(other)), ["user_id", other])
+        tables[name] = conform(flatten.with_surrogate_id(pairs, "id"), schema)
+        edge_rejects.append(_row_rejects(name, own.filter(~good), F.concat_ws("->", "user_id", "other"),
+                                         F.when(~F.col("_user_ok"), F.lit("fk:user_id")).otherwise(F.lit(f"fk:{other}"))))
+    return {"users": users, **tables, "rejects": _union([_feed_rejects("users", typed), *edge_rejects]),
+            "metrics": _metrics("users", typed), "cleaned": typed, "tagged_edges": edges}
 
 
 # =========================================================================== G2
 def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
-                   multi_line: bool = True, persist: bool = True,
-                   compat: bool = False,
-                   known_recipes: DataFrame | None = None) -> dict[str, DataFrame]:
+                   multi_line: bool = False, persist: bool = True, compat: bool = False,
+                   known_recipes: DataFrame | None = None, partitions: int | None = None,
+                   max_len: int | None = DEFAULT_MAX_LEN) -> dict[str, DataFrame]:
     """Recipes feed -> recipes, keywords, recipe_ingredients, recipe_instructions.
 
     Numerics are parsed as doubles (C3) then stored as INTEGER (C9, half-even) or
     NUMERIC(3,1) (C10); a given value that does not fit is a reject (Q15).  The
     author must be a loaded user when ``users`` is given (Q11, null allowed).
-    Children come from every keyed record and must reference a loaded recipe (Q13);
-    they have no unique key, so duplicates stay (K5).  ``known_recipes``
-    (``recipe_id``) are recipes loaded earlier; children may belong to them.
+    Children come from every keyed record and must reference a loaded recipe (Q13); a
+    record whose recipe is not loaded is a reject of ``recipe_children``.  They have
+    no unique key, so duplicates stay (K5).  ``known_recipes`` (``recipe_id``) are recipes
+    loaded earlier: they are not loaded again, and children may belong to them.
     """
-    feed = _feed(spark, source, RECIPES_COLUMNS, multi_line)
-    r = feed.records
+    src = _source(spark, source, RECIPES_COLUMNS, multi_line, partitions)
     dbl = ["aggregated_rating"] + RECIPE_INT_COLUMNS
-    order = [INGEST_ORDER] if INGEST_ORDER in r.columns else []
-    typed = clean_columns(r, [
+    lists = ["keywords", "recipe_ingredient", "recipe_instructions"]
+    rules = [_key_rule("recipe_id"), quality.not_null("recipe_name")]
+    rules += [quality.fits(f"_raw_{c}", c, c) for c in dbl]
+    rules += [quality.in_range("aggregated_rating", RATING_MIN, RATING_MAX),
+              quality.in_range("calories", 0),
+              quality.in_range("recipe_servings", 0, low_inclusive=False)]
+    typed = _typed(src, "recipe_id", [
         ("recipe_id", "int", "recipe_id"), ("recipe_name", "str", "recipe_name"),
         ("author_id", "int", "author_id"),
         *[(c, "str", c) for c in ("cook_time", "prep_time", "total_time")],
@@ -181,78 +219,46 @@ def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
         ("aggregated_rating", "decimal_3_1", "aggregated_rating"),
         *[(c, "int_half_even", c) for c in RECIPE_INT_COLUMNS],
         ("recipe_yield", "str", "recipe_yield"), ("favorite_users", "list", "favorite_users")],
-        keep=["keywords", "recipe_ingredient", "recipe_instructions"] + order, raw_doubles=True)
-    typed = _persist(typed, persist)
-
-    rules = [_key_rule("recipe_id"), quality.not_null("recipe_name")]
-    rules += [quality.fits(f"_raw_{c}", c, c) for c in dbl]
-    rules += [quality.in_range("aggregated_rating", RATING_MIN, RATING_MAX),
-              quality.in_range("calories", 0),
-              quality.in_range("recipe_servings", 0, low_inclusive=False)]
-    valid, bad = quality.split(typed, rules)
-    fk_bad = None
+        lists, rules, persist, max_len, raw_doubles=True)
+    valid, parts = _valid(typed, lists), [_feed_rejects("recipes", typed)]
     if users is not None:
         valid, fk_bad = quality.fk_split(valid, "author_id", users, "author_id", allow_null=True)
-    parents = valid.drop("keywords", "recipe_ingredient", "recipe_instructions",
-                         *[f"_raw_{c}" for c in dbl])
-    recipes = conform(upsert.keep_first(parents, "recipe_id", _order(parents)), RECIPES)
-
-    keyed = typed.filter(F.col("recipe_id").isNotNull())
-    kw = flatten.explode_strs(keyed, "recipe_id", F.col("keywords"), "keyword_text", compat=compat)
-    ing = flatten.explode_normalized(keyed, "recipe_id", F.col("recipe_ingredient"),
-                                     "ingredient_text", compat=compat)
-    steps = flatten.explode_steps(keyed, "recipe_id", F.col("recipe_instructions"),
-                                  compat=compat)
-    loaded = recipes.select("recipe_id")
-    if known_recipes is not None:
-        loaded = loaded.unionByName(known_recipes.select("recipe_id"))
-    children = {}
-    for name, df, schema, sid in (("keywords", kw, KEYWORDS, "keyword_id"),
-                                  ("recipe_ingredients", ing, RECIPE_INGREDIENTS, "ingredient_id"),
-                                  ("recipe_instructions", steps, RECIPE_INSTRUCTIONS,
-                                   "instruction_id")):
-        ok = quality.semi(df, "recipe_id", loaded, "recipe_id")
-        children[name] = conform(flatten.with_surrogate_id(ok, sid), schema)
-
-    parts = [feed.rejects.select(F.lit("recipes").alias("table"), "key", quality.REASON),
-             _rejects("recipes", bad, "recipe_id")]
-    if fk_bad is not None:
-        parts.append(_rejects("recipes", fk_bad, "recipe_id"))
-    stats = metrics.stage_counts("recipes", {
-        "read": typed, "short_record": feed.rejects,
-        "backslash_quote": _escaped_quotes(r, RECIPES_COLUMNS), "rejected": bad, "valid": valid,
-        "loaded": recipes, **children})
-    return {"recipes": recipes, **children, "rejects": _union(parts), "metrics": stats,
-            "cleaned": typed}
+        parts.append(_row_rejects("recipes", fk_bad, F.col("recipe_id").cast("string"), F.col(quality.REASON)))
+    recipes, loaded = _new_parents(valid, "recipe_id", known_recipes, RECIPES)
+
+    # One check of the whole records; the three lists are taken apart behind it.
+    keyed = _persist(quality.fk_tag(_keyed(typed, "recipe_id").select("recipe_id", *lists),
+                                    "recipe_id", loaded, "recipe_id", "_loaded"), persist)
+    own = keyed.filter(F.col("_loaded"))
+    kw = flatten.explode_strs(own, "recipe_id", F.col("keywords"), "keyword_text", compat=compat)
+    ing = flatten.explode_normalized(own, "recipe_id", F.col("recipe_ingredient"), "ingredient_text", compat=compat)
+    steps = flatten.explode_steps(own, "recipe_id", F.col("recipe_instructions"), compat=compat)
+    children = {name: conform(flatten.with_surrogate_id(df, sid), schema) for name, df, schema, sid in (
+        ("keywords", kw, KEYWORDS, "keyword_id"), ("recipe_ingredients", ing, RECIPE_INGREDIENTS, "ingredient_id"),
+        ("recipe_instructions", steps, RECIPE_INSTRUCTIONS, "instruction_id"))}
+    parts.append(_row_rejects("recipe_children", keyed.filter(~F.col("_loaded")), F.col("recipe_id").cast("string"),
+                              F.lit("fk:recipe_id")))
+    return {"recipes": recipes, **children, "rejects": _union(parts), "metrics": _metrics("recipes", typed),
+            "cleaned": typed, "tagged_children": keyed}
 
 
 # =========================================================================== G3
-def import_reviews(spark: SparkSession, source, multi_line: bool = True,
-                   persist: bool = True) -> dict[str, DataFrame]:
+def import_reviews(spark: SparkSession, source, multi_line: bool = False, persist: bool = True,
+                   known_reviews: DataFrame | None = None, partitions: int | None = None,
+                   max_len: int | None = DEFAULT_MAX_LEN) -> dict[str, DataFrame]:
     """Reviews feed -> reviews, review_likers.  No foreign keys are enforced;
-    likers keep duplicates (K5)."""
-    feed = _feed(spark, source, REVIEWS_COLUMNS, multi_line)
-    r = feed.records
-    order = [INGEST_ORDER] if INGEST_ORDER in r.columns else []
-    typed = clean_columns(r, [
+    likers keep duplicates (K5).  ``known_reviews`` are not loaded again."""
+    src = _source(spark, source, REVIEWS_COLUMNS, multi_line, partitions)
+    rules = [_key_rule("review_id"), quality.not_null("author_id"),
+             quality.in_range("rating", RATING_MIN, RATING_MAX)]
+    typed = _typed(src, "review_id", [
         ("review_id", "int", "review_id"), ("recipe_id", "int", "recipe_id"),
         ("author_id", "int", "author_id"), ("rating", "int", "rating"),
         ("review_content", "str", "review_content"),
         ("date_submitted", "date", "date_submitted"), ("date_modified", "date", "date_modified")],
-        keep=["likes"] + order)
-    typed = _persist(typed, persist)
-    rules = [_key_rule("review_id"), quality.not_null("author_id"),
-             quality.in_range("rating", RATING_MIN, RATING_MAX)]
-    valid, bad = quality.split(typed, rules)
-    reviews = conform(upsert.keep_first(valid.drop("likes"), "review_id", _order(valid)), REVIEWS)
-    keyed = typed.filter(F.col("review_id").isNotNull())
-    likers = flatten.explode_ids(keyed, "review_id", F.col("likes"), "liker_id")
+        ["likes"], rules, persist, max_len)
+    reviews, _ = _new_parents(_valid(typed, ["likes"]), "review_id", known_reviews, REVIEWS)
+    likers = flatten.explode_ids(_keyed(typed, "review_id"), "review_id", F.col("likes"), "liker_id")
     review_likers = conform(flatten.with_surrogate_id(likers, "like_id"), REVIEW_LIKERS)
-    rejects = _union([feed.rejects.select(F.lit("reviews").alias("table"), "key", quality.REASON),
-                      _rejects("reviews", bad, "review_id")])
-    stats = metrics.stage_counts("reviews", {
-        "read": typed, "short_record": feed.rejects,
-        "backslash_quote": _escaped_quotes(r, REVIEWS_COLUMNS), "rejected": bad, "valid": valid,
-        "loaded": reviews, "review_likers": review_likers})
-    return {"reviews": reviews, "review_likers": review_likers, "rejects": rejects,
-            "metrics": stats, "cleaned": typed}
+    return {"reviews": reviews, "review_likers": review_likers, "rejects": _feed_rejects("reviews", typed),
+            "metrics": _metrics("reviews", typed), "cleaned": typed}

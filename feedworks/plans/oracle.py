@@ -142,6 +142,10 @@ def _fk_tag(edges: str, other: str) -> str:
             f"FROM ({edges})")
 
 
+ORPHANED = """SELECT * REPLACE (CASE WHEN o_custkey % 5 = 0 THEN o_custkey + 100000000 ELSE o_custkey END AS o_custkey)
+    FROM orders"""
+LONE_PARTS = "SELECT * REPLACE (CASE WHEN p_partkey % 3 = 0 THEN -p_partkey ELSE p_partkey END AS p_partkey) FROM part"
+
 ORACLE = {
     "count_all": "SELECT count(*) AS n FROM part",
     "filter_counts": """SELECT count(*) AS total,
@@ -157,9 +161,9 @@ ORACLE = {
         round(avg(p_size), 6) AS avg_following, count(*) AS count FROM part
         WHERE p_size BETWEEN 20 AND 40 GROUP BY p_type HAVING count(*) > 10
         ORDER BY avg_followers DESC""",
-    "left_join_distinct": """SELECT u.p_type, count(DISTINCT e.l_suppkey) AS unique_followers,
+    "left_join_distinct": f"""SELECT u.p_type, count(DISTINCT e.l_suppkey) AS unique_followers,
         round(avg(u.p_retailprice), 6) AS avg_followers
-        FROM part u LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 49) e ON u.p_partkey = e.l_partkey
+        FROM ({LONE_PARTS}) u LEFT JOIN (SELECT * FROM lineitem ) e ON u.p_partkey = e.l_partkey
         WHERE u.p_size BETWEEN 18 AND 60 GROUP BY u.p_type
         HAVING count(DISTINCT e.l_suppkey) > 0 ORDER BY unique_followers DESC""",
     "decade_average": """SELECT CAST(p_size - p_size % 10 AS INTEGER) AS age_group,
@@ -212,11 +216,11 @@ ORACLE = {
             "CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR)")}) AS following_id
         FROM lineitem) WHERE following_id <> user_id""",
     "drop_columns": "SELECT p_partkey, p_type, p_size, p_retailprice FROM part",
-    "fk_valid": """SELECT * FROM orders o WHERE o.o_custkey IS NULL OR EXISTS
-        (SELECT 1 FROM customer c WHERE c.c_acctbal > 0 AND c.c_custkey = o.o_custkey)""",
-    "fk_rejects": """SELECT *, 'fk:o_custkey' AS reject_reason FROM orders o
+    "fk_valid": f"""SELECT * FROM ({ORPHANED}) o WHERE o.o_custkey IS NULL OR EXISTS
+        (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""",
+    "fk_rejects": f"""SELECT *, 'fk:o_custkey' AS reject_reason FROM ({ORPHANED}) o
         WHERE o.o_custkey IS NOT NULL AND NOT EXISTS
-        (SELECT 1 FROM customer c WHERE c.c_acctbal > 0 AND c.c_custkey = o.o_custkey)""",
+        (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""",
     "cascade_delete": """SELECT * FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o
         WHERE o.o_orderkey = l.l_orderkey AND o.o_orderpriority = '1-URGENT')""",
     "clean_str": f"""SELECT doc_id, {safe_str('text')} AS text_clean,
@@ -369,7 +373,9 @@ ORACLE["import_instructions"] = f"""WITH a AS (SELECT recipe_id, list_filter(lis
     SELECT recipe_id, CAST(i AS INTEGER) AS step_order, l[i] AS instruction_text
     FROM (SELECT recipe_id, l, unnest(range(1, len(l) + 1)) AS i FROM a)"""
 ORACLE["import_recipe_rejects"] = f"""SELECT 'recipes' AS "table", reason AS reject_reason, count(*) AS n
-    FROM ({RECIPES_TAGGED}) WHERE reason IS NOT NULL GROUP BY 1, 2"""
+    FROM ({RECIPES_TAGGED}) WHERE reason IS NOT NULL GROUP BY 1, 2
+    UNION ALL SELECT 'recipe_children', 'fk:recipe_id', n FROM (SELECT count(*) AS n FROM ({RECIPES_TYPED})
+        WHERE recipe_id IS NOT NULL AND recipe_id NOT IN (SELECT recipe_id FROM ({RECIPES_LOADED}))) WHERE n > 0"""
 
 REVIEWS_TYPED = f"""SELECT o_orderkey, {_v('o_custkey')} || ', ' || {_v('o_orderkey')} || ',x,,' || {_v('o_custkey')} AS c_likes,
   {safe_int(_v('o_custkey'))} AS review_id, {safe_int(_v('o_orderkey'))} AS recipe_id,
@@ -391,12 +397,39 @@ ORACLE["import_review_rejects"] = f"""SELECT 'reviews' AS "table", reason AS rej
 
 ORACLE["import_metrics"] = f"""
     SELECT 'users' AS "table", 'read' AS stage, count(*) AS "rows" FROM lineitem
-    UNION ALL SELECT 'users', 'short_record', 0
-    UNION ALL SELECT 'users', 'backslash_quote', 0
+    UNION ALL SELECT 'users', unnest(['short_record', 'unterminated_quote', 'swallowed_records', 'escaped_quote',
+        'cut:author_name', 'cut:gender']), 0
     UNION ALL SELECT 'users', 'rejected', count(*) FROM ({USERS_RAW})
         WHERE author_id IS NULL OR gender NOT IN ('Male', 'Female')
     UNION ALL SELECT 'users', 'valid', count(*) FROM ({USERS_RAW})
-        WHERE author_id IS NOT NULL AND gender IN ('Male', 'Female')
-    UNION ALL SELECT 'users', 'loaded', count(*) FROM ({USERS_LOADED})
-    UNION ALL SELECT 'users', 'user_followers', count(*) FROM ({ORACLE['import_followers']})
-    UNION ALL SELECT 'users', 'user_following', count(*) FROM ({ORACLE['import_following']})"""
+        WHERE author_id IS NOT NULL AND gender IN ('Male', 'Female')"""
+
+
+# --------------------------------------------------------------------------- lines of text
+# What the lines were made of, never a line taken apart.
+_BLANK_IDS = f"CASE WHEN l_returnflag = 'N' THEN NULL ELSE {_v('l_suppkey')} || ',' || {_v('l_partkey')} END"
+_LINE_KEY = f"CASE WHEN l_partkey % 7 = 0 THEN 'x' ELSE '' END || {_v('l_partkey')}"
+
+
+def _line_cells(quote: str) -> str:
+    return f"""SELECT l_orderkey, l_linenumber, {_LINE_KEY} AS author_id,
+        'Ann {quote}the, ' || {_v('l_suppkey')} || '{quote}, Lee' AS author_name,
+        CASE WHEN l_linestatus = 'O' THEN 'Male' ELSE 'Female' END AS gender, {_v('l_linenumber')} AS age,
+        {_v('l_orderkey')} AS followers_count, {_v('l_suppkey')} AS following_count,
+        {_BLANK_IDS} AS user_followers, {_BLANK_IDS} AS user_following FROM lineitem"""
+
+
+ORACLE["feed_lines"] = ORACLE["feed_escaped"] = _line_cells('"')
+ORACLE["feed_short"] = f"""SELECT {_LINE_KEY} AS key, 1 AS lines, 'short_record' AS reject_reason, count(*) AS n
+    FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1"""
+ORACLE["feed_unterminated"] = """SELECT CASE WHEN l_returnflag = 'A' THEN 'unterminated_quote' ELSE 'read' END AS reject_reason,
+    count(*) AS n FROM lineitem GROUP BY 1"""
+ORACLE["feed_import_rejects"] = f"""SELECT {_LINE_KEY} AS key, 'bad_key:author_id' AS reject_reason, count(*) AS n
+    FROM lineitem WHERE l_partkey % 7 = 0 GROUP BY 1"""
+ORACLE["feed_import_edges"] = """WITH u AS (SELECT DISTINCT CAST(l_partkey AS INTEGER) AS k FROM lineitem WHERE l_partkey % 7 <> 0),
+    e AS (SELECT CAST(l_partkey AS INTEGER) AS user_id, CAST(unnest([l_suppkey, l_partkey]) AS INTEGER) AS follower_id
+        FROM lineitem WHERE l_returnflag <> 'N' AND l_partkey % 7 <> 0)
+    SELECT DISTINCT user_id, follower_id FROM e WHERE follower_id IN (SELECT k FROM u)"""
+ORACLE["parse_ids_compat"] = "SELECT p_partkey, CAST(p_partkey AS INTEGER) AS id FROM part"
+ORACLE["parse_strs_compat"] = """SELECT p_partkey, unnest(['c("' || p_brand || '"', '"' || p_type || ', ' || p_name || '")']) AS item
+    FROM part"""

@@ -71,7 +71,7 @@ def suite_changes(users: DataFrame, cols: UserCols = UserCols(),
     after_update = changes.update_where(users, cols.followers, fol + F.lit(1), upd_cond)
     doomed = changes.victims(after_update, cols.key, age > F.lit(p.delete_age_above), p.delete_limit)
     deleted_count = doomed.agg(F.count(F.lit(1)).alias("deleted"))
-    after = changes.delete_in(after_update, cols.key, doomed, bounded_rows=p.delete_limit)
+    after = changes.delete_in(after_update, cols.key, doomed)
     return updated_count, deleted_count, after
 
 
@@ -110,7 +110,7 @@ def db_suite(users: DataFrame, edges: DataFrame, cols: UserCols = UserCols(),
 # =========================================================================== G5
 def file_users(spark, path) -> DataFrame:
     """S5 + S6: the file suite's reader: one record per line, missing ints are 0."""
-    feed = read_feed(spark, path, USERS_COLUMNS, multi_line=False, ingest_order=False)
+    feed = read_feed(spark, path, USERS_COLUMNS, ingest_order=False)
     r = feed.records
     return clean_columns(r, [
         ("author_id", "int_or_zero", "author_id"), ("author_name", "str", "author_name"),
@@ -141,21 +141,16 @@ def file_suite(users: DataFrame, cols: UserCols = UserCols(),
     bands = reports.decade_average(remaining.withColumn(cols.age, age), cols.age, cols.followers,
                                    avg_name="avg_followers")
     high_female = reports.above_global_avg(remaining, cols.followers, female)
-    before = users.agg(F.count_if(reports.between(age, p.age_low, p.age_high)).alias("age_in_range"),
-                       F.count_if(reports.greater(fol, p.followers_min)).alias("followers_over"),
-                       F.count_if(female).alias("female"),
-                       F.count_if(upd_cond).alias("updated"),
-                       F.count_if(del_cond).alias("deleted"))
-    after = remaining.agg(F.count(F.lit(1)).alias("remaining_users"))
-    high = high_female.agg(F.count(F.lit(1)).alias("high_follower_female"))
-    summary = _one_row(before, after, high)
+    # Two scans: the mean of what stays, then all counts (each user before and after its change).
+    stays, changed = ~F.coalesce(del_cond, F.lit(False)), F.when(upd_cond, fol + F.lit(1)).otherwise(fol)
+    mean = remaining.select(F.avg(cols.followers)).scalar()
+    summary = users.agg(F.count_if(reports.between(age, p.age_low, p.age_high)).alias("age_in_range"),
+                        F.count_if(reports.greater(fol, p.followers_min)).alias("followers_over"),
+                        F.count_if(female).alias("female"),
+                        F.count_if(upd_cond).alias("updated"),
+                        F.count_if(del_cond).alias("deleted"),
+                        F.count_if(stays).alias("remaining_users"),
+                        F.count_if(stays & female & (changed > mean)).alias("high_follower_female"))
     return {"by_age": by_age, "by_followers": by_followers, "females": females,
             "updated": updated, "remaining": remaining, "age_bands": bands,
             "high_follower_female": high_female, "summary": summary}
-
-
-def _one_row(*aggs: DataFrame) -> DataFrame:
-    """Put the columns of several one-row aggregates side by side (scalar subqueries)."""
-    first, rest = aggs[0], aggs[1:]
-    extra = [agg.select(F.first(c)).scalar().alias(c) for agg in rest for c in agg.columns]
-    return first.select(*[F.col(c) for c in first.columns], *extra)

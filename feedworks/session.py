@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every feedworks job relies on.  The session zone is pinned to UTC so that
@@ -45,15 +43,15 @@ def get_session(master: str | None = None, app_name: str = "feedworks",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a scratch folder created.
+    There is no folder of our own to fall back to: on a cluster each machine would
+    write to its own disk.  Tests set the setting themselves.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="feedworks-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 

@@ -1,8 +1,18 @@
 """Positional CSV feed reader.
 
-The header row is discarded and columns bind by position.  Records with fewer
-fields than the feed's arity are rejects (S2); longer records keep their first N
-fields (S4).  Nothing is inferred: every raw column is text.
+The header row is discarded and columns bind by position.  Nothing is inferred: every
+raw column is text.  Every line or record ends up either in ``records`` or in
+``rejects``, with a reason:
+
+* ``short_record``: fewer fields than the feed's arity (S2); longer records keep their
+  first N fields (S4);
+* ``unterminated_quote``: a quote that is never closed.  Read line by line it costs this
+  line only; read with newlines in cells the reject holds all the text up to the end of
+  the quote, and how many lines that is;
+* ``swallowed_records``: a cell (newlines allowed) that holds what looks like whole
+  records: an unclosed quote that met the next quote of the file;
+* ``escaped_quote``: a backslash before a quote in a record read with newlines in cells;
+  line by line such quotes are read as the reference rule has it.
 """
 
 from __future__ import annotations
@@ -11,68 +21,140 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedworks.schemas import CORRUPT_COLUMN, raw_schema
 
 INGEST_ORDER = "_ingest_order"
 REASON = "reject_reason"
+LINE = "_line"
+# A line is read as one cell: a separator no text should hold, and no quote.  Where a line
+# holds it all the same, the reader reports the whole line as a corrupt record.
+ONE_CELL = {"sep": "\u0001", "quote": "", "escape": ""}
+# Stands for an escaped backslash while a line is taken apart.
+_BACKSLASH = "\ue000"
 
 
 @dataclass
 class Feed:
-    """A scanned feed: positional text records and the records rejected at read time."""
+    """A scanned feed: positional text records and the records rejected at read time
+    (``key``, ``record``, ``lines``, ``reject_reason``).  ``tagged`` holds both, with the
+    reason, for counts in one pass; null for a feed that is not read from text."""
     records: DataFrame
     rejects: DataFrame
+    tagged: DataFrame | None = None
 
 
 def field_count(line: Column) -> Column:
-    """Fields in one raw CSV record: commas outside quoted sections, plus one."""
-    bare = F.regexp_replace(line, r'"[^"]*"', "")
+    """Fields in one raw CSV record: commas outside quoted sections, plus one.  A quote that
+    is never closed runs to the end."""
+    bare = F.regexp_replace(line, r'"[^"]*(?:"|$)', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + F.lit(1)
 
 
-def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool = True,
+def open_quote(line: Column) -> Column:
+    """Whether a quote is left open: an odd number of them (doubled ones count twice)."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def doubled_quotes(line: Column) -> Column:
+    """``\\"`` as a doubled quote and ``\\\\`` as one backslash (marked until the cells are cut)."""
+    marked = F.replace(line, F.lit("\\\\"), F.lit(_BACKSLASH))
+    return F.replace(marked, F.lit('\\"'), F.lit('""'))
+
+
+def split_lines(lines: DataFrame, columns: list[str], line: str = LINE) -> Feed:
+    """S1-S5 for text that comes line by line; other columns of ``lines`` stay with the records.
+
+    Backslash-escaped and doubled quotes are both read.
+    """
+    others = [c for c in lines.columns if c != line and c not in columns]
+    text = doubled_quotes(F.col(line))
+    reason = F.when(open_quote(F.col("_text")), F.lit("unterminated_quote")) \
+        .when(field_count(F.col("_text")) < F.lit(len(columns)), F.lit("short_record"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE"}
+    cells = F.from_csv(F.col("_text"), schema.simpleString()[7:-1].replace(":", " "), options)
+    tagged = (lines.select(*others, F.col(line).alias("record"), text.alias("_text"))
+              .withColumn(REASON, reason).withColumn("_cells", cells)
+              .select(*others, *[F.replace(F.col(f"_cells.{c}"), F.lit(_BACKSLASH), F.lit("\\")).alias(c) for c in columns],
+                      "record", F.lit(1).alias("lines"), REASON))
+    return _feed_of(tagged, columns)
+
+
+def read_lines(spark: SparkSession, path, ingest_order: bool = True) -> DataFrame:
+    """The lines of CSV files without their headers, in ``_line``; large files are split."""
+    raw = (spark.read.schema(f"{LINE} string, {CORRUPT_COLUMN} string").option("header", True)
+           .options(**ONE_CELL).option("mode", "PERMISSIVE").option("enforceSchema", True)
+           .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
+    return with_order(raw, ingest_order, F.col("_metadata.file_path"), F.col("_metadata.file_block_start")) \
+        .withColumn(LINE, whole_line()).drop(CORRUPT_COLUMN)
+
+
+def whole_line() -> Column:
+    return F.coalesce(F.col(CORRUPT_COLUMN), F.col(LINE), F.lit(""))
+
+
+def with_order(df: DataFrame, wanted: bool, file: Column, block: Column) -> DataFrame:
+    if not wanted:
+        return df
+    return df.withColumn(INGEST_ORDER, F.struct(file.alias("file"), block.alias("block"),
+                                                F.monotonically_increasing_id().alias("pos")))
+
+
+def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool = False,
               ingest_order: bool = True) -> Feed:
     """Scan one or many CSV files of a feed.
 
-    ``multi_line=True`` accepts newlines inside quoted cells but reads each file in
-    one task; feeds without such cells should pass ``False`` so large files split.
+    By default a record is a line: large files are split over the cluster.
+    ``multi_line=True`` accepts newlines inside quoted cells, but each file is read by one
+    task, and a file can't be split; use it for feeds that need it, cut into many files.
     Quotes are ``"``, doubled inside a quoted cell.
 
     ``ingest_order`` adds a sortable ``_ingest_order`` (file path, split start, row
     position) used to make keep-first loads deterministic.
     """
+    if not multi_line:
+        return split_lines(read_lines(spark, path, ingest_order), columns)
     reader = (spark.read.schema(raw_schema(columns))
               .option("header", True)
-              .option("multiLine", multi_line)
+              .option("multiLine", True)
               .option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", True)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
-    raw = reader.csv(path)
-    if ingest_order:
-        raw = raw.withColumn(INGEST_ORDER, F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos")))
+    raw = with_order(reader.csv(path), ingest_order, F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
     return split_records(raw, columns)
 
 
 def split_records(raw: DataFrame, columns: list[str]) -> Feed:
-    """Records with at least ``len(columns)`` fields are kept (extra fields
-    dropped); shorter records become ``short_record`` rejects."""
+    """S2 / S4 for records that the CSV source has cut into cells, newlines allowed."""
     # Spark refuses a raw CSV scan whose pruned read schema is only the corrupt
     # column (as ``count()`` on the rejects would be).  Appending an empty piece of
     # the first data column keeps that column in every read schema; the value is
     # unchanged (``concat_ws`` skips a null piece).
     line = F.concat_ws("", F.col(CORRUPT_COLUMN), F.substring(F.col(columns[0]), 1, 0))
-    short = F.col(CORRUPT_COLUMN).isNotNull() & (field_count(line) < F.lit(len(columns)))
-    tagged = raw.withColumn(REASON, F.when(short, F.lit("short_record")))
-    keep = [c for c in columns + [INGEST_ORDER] if c in tagged.columns]
-    records = tagged.filter(F.col(REASON).isNull()).select(*keep)
-    rejects = tagged.filter(F.col(REASON).isNotNull()) \
-        .select(F.col(columns[0]).alias("key"), line.alias("record"), REASON)
-    return Feed(records, rejects)
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull()
+    cells = F.concat_ws("\u0001", *[F.col(c) for c in columns])
+    record = F.when(corrupt, line).otherwise(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
+    inner = r"\n\s*-?[0-9]+,(?:[^\n,]*,){" + str(max(len(columns) - 2, 1)) + "}"
+    reason = F.when(corrupt & open_quote(line), F.lit("unterminated_quote")) \
+        .when(cells.rlike(inner), F.lit("swallowed_records")) \
+        .when(F.contains(cells, F.lit('\\"')) | (corrupt & F.contains(line, F.lit('\\"'))), F.lit("escaped_quote")) \
+        .when(corrupt & (field_count(line) < F.lit(len(columns))), F.lit("short_record"))
+    lines = F.length(record) - F.length(F.replace(record, F.lit("\n"), F.lit(""))) + 1
+    others = [c for c in raw.columns if c not in columns and c != CORRUPT_COLUMN]
+    tagged = raw.withColumn(REASON, reason).select(*others, *columns, record.alias("record"), lines.alias("lines"), REASON)
+    return _feed_of(tagged, columns)
+
+
+def _feed_of(tagged: DataFrame, columns: list[str]) -> Feed:
+    others = [c for c in tagged.columns if c not in (*columns, "record", "lines", REASON)]
+    records = tagged.filter(F.col(REASON).isNull()).select(*columns, *others)
+    # a record that could not be cut has no key cell: what stands before the first comma
+    key = F.coalesce(F.col(columns[0]), F.regexp_extract("record", r"^\s*([^,]*)", 1))
+    rejects = tagged.filter(F.col(REASON).isNotNull()).select(key.alias("key"), "record", "lines", REASON)
+    return Feed(records, rejects, tagged)
 
 
 def from_rows(df: DataFrame, columns: list[str]) -> Feed:
@@ -81,7 +163,6 @@ def from_rows(df: DataFrame, columns: list[str]) -> Feed:
 
     Used when records arrive from another source (a table, a stream)."""
     renamed = df.toDF(*columns)
-    empty = renamed.limit(0).select(F.lit(None).cast("string").alias("key"),
-                                    F.lit(None).cast("string").alias("record"),
-                                    F.lit(None).cast("string").alias(REASON))
+    empty = renamed.limit(0).select(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("record"),
+                                    F.lit(None).cast("int").alias("lines"), F.lit(None).cast("string").alias(REASON))
     return Feed(renamed, empty)

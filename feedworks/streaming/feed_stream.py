@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from feedworks.operators import quality, upsert
+from feedworks.operators import upsert
 from feedworks.plans import imports
 from feedworks.schemas import (CORRUPT_COLUMN, RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS,
                                raw_schema)
 from feedworks.session import checkpoint_dir
-from feedworks.sources.csv_feed import INGEST_ORDER, Feed, split_records
+from feedworks.sources.csv_feed import (LINE, ONE_CELL, Feed, split_lines, split_records, whole_line,
+                                        with_order)
 
 # Per feed, its columns, its import job, the parent table and key,
 # the unique-pair child tables and the plain child tables.
@@ -46,38 +47,37 @@ FEEDS = {
 BATCH = "_batch_id"
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None only where there is no such path.  Any other failure to
+    read it is an error: taken for a first load, it would append duplicates."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def _batch_feed(batch: DataFrame, columns: list[str]) -> Feed:
     # Row positions can only be numbered on the static batch, not in the stream.
-    order = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
-                     F.monotonically_increasing_id().alias("pos"))
-    return split_records(batch.withColumn(INGEST_ORDER, order), columns)
+    numbered = with_order(batch, True, F.col("_file"), F.col("_block")).drop("_file", "_block")
+    return split_lines(numbered, columns) if LINE in batch.columns else split_records(numbered, columns)
 
 
 def load_batch(spark: SparkSession, batch: DataFrame, batch_id: int, feed: str,
-               target: str) -> None:
-    """Load one micro-batch of raw feed rows into the targets under ``target``."""
+               target: str, users: str | None = None) -> None:
+    """Load one micro-batch of raw feed rows into the targets under ``target``.  ``users`` is the
+    folder of the loaded users, which the authors of recipes must be among (Q11)."""
     columns, job, (parent, key), pair_children, plain_children = FEEDS[feed]
-    loaded = _existing(spark, f"{target}/{parent}")
-    extra = {}
-    if loaded is not None and feed == "users":
-        extra["known_users"] = loaded
-    if loaded is not None and feed == "recipes":
-        extra["known_recipes"] = loaded
+    extra = {f"known_{parent}": existing(spark, f"{target}/{parent}")}
+    if users and feed == "recipes":
+        extra["users"] = spark.read.parquet(users)
     out = job(spark, _batch_feed(batch, columns), persist=True, **extra)
     try:
-        new_parents = out[parent] if loaded is None else \
-            out[parent].join(loaded.select(key), key, "left_anti")
-        new_parents.write.mode("append").parquet(f"{target}/{parent}")
+        out[parent].write.mode("append").parquet(f"{target}/{parent}")
         for child, pair in pair_children.items():
             rows = out[child].drop("id")
-            have = _existing(spark, f"{target}/{child}")
+            have = existing(spark, f"{target}/{child}")
             if have is not None:
                 rows = upsert.append_pairs(rows, have.select(*pair), pair)
             rows.withColumn("id", F.monotonically_increasing_id()) \
@@ -90,31 +90,40 @@ def load_batch(spark: SparkSession, batch: DataFrame, batch_id: int, feed: str,
             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH) \
             .parquet(f"{target}/{feed}_rejects")
     finally:
-        out["cleaned"].unpersist()
+        for kept in ("cleaned", "tagged_edges", "tagged_children"):
+            if kept in out:
+                out[kept].unpersist()
 
 
 def start(spark: SparkSession, source_dir: str, target: str, feed: str = "users",
           checkpoint: str | None = None, available_now: bool = True,
-          max_files_per_trigger: int | None = None, multi_line: bool = True):
+          max_files_per_trigger: int | None = None, multi_line: bool = False,
+          users: str | None = None):
     """Start the incremental import of ``feed`` files under ``source_dir``.
 
     ``available_now`` processes what is there in bounded batches and stops (the
     scheduled-job mode); otherwise the query keeps running with default triggers.
-    Returns the ``StreamingQuery``.
+    A record is a line unless ``multi_line`` is set (then each file is read by one task).
+    Recipes are checked against the users in the folder ``users``.  Returns the
+    ``StreamingQuery``.
     """
     columns = FEEDS[feed][0]
-    reader = (spark.readStream.schema(raw_schema(columns))
-              .option("header", True).option("multiLine", multi_line)
-              .option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", True)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+    reader = (spark.readStream.option("header", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir)
-    stream = stream.select(*columns, CORRUPT_COLUMN, F.col("_metadata.file_path").alias("_file"),
+    if multi_line:
+        stream = (reader.schema(raw_schema(columns)).option("multiLine", True).option("quote", '"').option("escape", '"')
+                  .option("ignoreLeadingWhiteSpace", True).csv(source_dir))
+        cells = [*columns, CORRUPT_COLUMN]
+    else:
+        stream = reader.schema(f"{LINE} string, {CORRUPT_COLUMN} string").options(**ONE_CELL).csv(source_dir)
+        cells = [whole_line().alias(LINE)]
+    stream = stream.select(*cells, F.col("_metadata.file_path").alias("_file"),
                            F.col("_metadata.file_block_start").alias("_block"))
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"feedworks-stream-{feed}")
     writer = (stream.writeStream.foreachBatch(
-        lambda df, batch_id: load_batch(spark, df, batch_id, feed, target))
+        lambda df, batch_id: load_batch(spark, df, batch_id, feed, target, users))
         .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = get_session(master="local[4]", app_name="feedworks-tests", shuffle_partitions=8,
-                    extra_conf={"spark.driver.memory": "4g",
+                    extra_conf={"spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
+                                "spark.checkpoint.dir": tempfile.mkdtemp(prefix="feedworks-test-shared-"),
                                 "spark.sql.adaptive.coalescePartitions.enabled": "true"})
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedworks.operators import sinks
 from feedworks.plans import imports, suites
+from feedworks.plans.load import load
 from feedworks.schemas import RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS
 from feedworks.sources import read_feed
 
@@ -79,7 +80,7 @@ def feed_dir():
 
 
 def test_read_feed_arity_and_quotes(spark, feed_dir):
-    feed = read_feed(spark, os.path.join(feed_dir, "users.csv"), USERS_COLUMNS)
+    feed = read_feed(spark, os.path.join(feed_dir, "users.csv"), USERS_COLUMNS, multi_line=True)
     recs = {r.author_id: r for r in feed.records.collect()}
     assert "6" not in recs and len(recs) == 10        # short row rejected, duplicates kept
     assert recs["8"].author_name == "Hal\nJones"
@@ -95,7 +96,7 @@ def test_read_feed_empty_inputs(spark, feed_dir):
 
 
 def test_import_users(spark, feed_dir):
-    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"))
+    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True)
     users = rows(out["users"], "author_id", "author_name", "gender", "age")
     assert users == [(1, "Alice", "Female", 30), (2, "Bob", "Male", 25), (7, "Gina", "Female", 22),
                      (8, "Hal\nJones", "Male", 33), (12, "Jo", "Male", 51)]
@@ -111,7 +112,7 @@ def test_import_users(spark, feed_dir):
 
 
 def test_import_recipes(spark, feed_dir):
-    users = imports.import_users(spark, os.path.join(feed_dir, "users.csv"))["users"]
+    users = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True)["users"]
     out = imports.import_recipes(spark, os.path.join(feed_dir, "recipes.csv"), users=users)
     r = out["recipes"].collect()
     assert [x.recipe_id for x in r] == [10]
@@ -131,6 +132,8 @@ def test_import_recipes(spark, feed_dir):
     assert reasons[("12", "range:calories")] == 1
     assert reasons[("13", "fk:author_id")] == 1
     assert reasons[("14", "not_null:recipe_name")] == 1
+    # records without a loaded recipe leave a reject for their children
+    assert all(reasons[(k, "fk:recipe_id")] == 1 for k in ("11", "12", "13", "14"))
 
 
 def test_import_reviews(spark, feed_dir):
@@ -155,7 +158,7 @@ def test_file_suite_on_csv(spark, feed_dir):
 
 
 def test_db_suite_on_import(spark, feed_dir):
-    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"))
+    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True)
     suite = suites.db_suite(out["users"], out["user_followers"],
                             p=suites.SuiteParams(group_min_count=0, delete_age_above=50))
     c = suite["counts"].first()
@@ -169,7 +172,7 @@ def test_db_suite_on_import(spark, feed_dir):
 
 
 def test_sinks_roundtrip(spark, feed_dir):
-    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"))
+    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True)
     d = tempfile.mkdtemp(prefix="feedworks-sink-")
     sinks.write_csv(out["users"], d + "/users_csv")
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
@@ -181,14 +184,93 @@ def test_sinks_roundtrip(spark, feed_dir):
     assert spark.read.parquet(d + "/edges").count() == 4
 
 
-def test_backslash_quote_warning(spark, feed_dir):
-    path = os.path.join(feed_dir, "escaped.csv")
+BROKEN = ('h1,h2,h3,h4,h5,h6,h7,h8\n1,Al,Male,30,1,1,,\n2,"Bo,Male,30,1,1,,\n3,Cy,Male,30,1,1,,\n'
+          '4,Di,Female,30,1,1,"1,3",\n5,Ed,Male,30,1,1,,\n')
+ESCAPED = ('h1,h2,h3,h4,h5,h6,h7,h8\n1,"Al \\"x, y\\" B",Male,30,1,1,,\n2,Bo,Male,30,1,1,,\n'
+           '3,"back\\\\",Male,30,1,1,1,2\n')
+
+
+def feed_file(text):
+    path = os.path.join(tempfile.mkdtemp(prefix="feedworks-test-"), "feed.csv")
     with open(path, "w") as f:
-        f.write('h1,h2,h3,h4,h5,h6,h7,h8\n1,"Al \\"x\\" B",Male,30,1,1,,\n2,Bo,Male,30,1,1,,\n')
-    stats = dict(((r.stage), r.rows) for r in imports.import_users(spark, path)["metrics"].collect())
-    assert stats["backslash_quote"] == 1 and stats["read"] == 2
+        f.write(text)
+    return path
+
+
+def test_unclosed_quote_costs_its_own_line_only(spark):
+    out = imports.import_users(spark, feed_file(BROKEN))
+    assert rows(out["users"], "author_id") == [(1,), (3,), (4,), (5,)]
+    assert rows(out["rejects"], "key", "reject_reason", "record", "lines") == \
+        [("2", "unterminated_quote", '2,"Bo,Male,30,1,1,,', 1)]
+    assert rows(out["user_followers"], "user_id", "follower_id") == [(4, 1), (4, 3)]
+    counts = {r.stage: r.rows for r in out["metrics"].collect()}
+    assert counts["read"] + counts["unterminated_quote"] == 5 and counts["valid"] == 4
+
+
+def test_unclosed_quote_with_newlines_allowed_keeps_what_it_swallowed(spark):
+    out = imports.import_users(spark, feed_file(BROKEN.replace('"1,3"', "")), multi_line=True)
+    assert rows(out["users"], "author_id") == [(1,)]
+    (bad,) = out["rejects"].collect()
+    assert bad.reject_reason == "unterminated_quote" and bad.lines >= 4 and "5,Ed" in bad.record
+    # a quote that meets the next one of the file: whole records in one cell
+    out = imports.import_users(spark, feed_file(BROKEN), multi_line=True)
+    reasons = {r.reject_reason: r for r in out["rejects"].where("table = 'users'").collect()}
+    assert "3,Cy" in "".join(r.record or "" for r in reasons.values())
+    total = out["users"].count() + sum(r.lines for r in reasons.values())
+    assert total == 5 and set(reasons) <= {"swallowed_records", "unterminated_quote", "short_record"}
+
+
+def test_backslash_escaped_quotes(spark):
+    out = imports.import_users(spark, feed_file(ESCAPED))
+    assert rows(out["users"], "author_id", "author_name") == [(1, 'Al "x, y" B'), (2, "Bo"), (3, "back\\")]
+    assert out["rejects"].count() == 0
+    assert rows(out["user_followers"], "user_id", "follower_id") == [(3, 1)]
+    out = imports.import_users(spark, feed_file(ESCAPED), multi_line=True)
+    assert rows(out["rejects"], "key", "reject_reason")[0] == ("1", "escaped_quote")
+    assert (1, 1) not in rows(out["tagged_edges"], "user_id", "other")
+
+
+def test_every_line_is_read_or_rejected(spark):
+    text = "h\n" + "".join(f"{i}{c}\n" for i, c in enumerate(
+        (",a,Male,1,1,1,,", ',"a', ",a", "", ',"a ""b"" c",Male,1,1,1,,', ",a\x01b,Male,1,1,1,,,", ',"a\\"",Male,1,1,1,,', '"',)))
+    feed = read_feed(spark, feed_file(text), USERS_COLUMNS)
+    assert feed.records.count() + feed.rejects.count() == 8
+    assert {r.reject_reason for r in feed.rejects.collect()} == {"short_record", "unterminated_quote"}
+
+
+def test_metrics_need_one_scan_and_no_join(spark, capsys):
+    out = imports.import_users(spark, feed_file(BROKEN), persist=False)
+    out["metrics"].explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan csv") == 1 and "Join" not in plan
+
+
+def test_cut_cells_are_counted_and_length_is_a_choice(spark):
+    path = feed_file("h1,h2,h3,h4,h5,h6,h7,h8\n1," + "n" * 80 + ",Male,30,1,1,,\n2,Bo,Male,30,1,1,,\n")
+    out = imports.import_users(spark, path, max_len=50)
+    assert {r.stage: r.rows for r in out["metrics"].collect()}["cut:author_name"] == 1
+    assert max(len(r.author_name) for r in out["users"].collect()) == 50
+    whole = imports.import_users(spark, path, max_len=None)["users"]
+    assert max(len(r.author_name) for r in whole.collect()) == 80
+
+
+def test_load_twice_adds_nothing(spark, feed_dir):
+    target = tempfile.mkdtemp(prefix="feedworks-load-")
+    feeds = {n: os.path.join(feed_dir, f"{n}.csv") for n in ("users", "recipes", "reviews")}
+    first = {(r.table, r.stage): r.rows for r in load(spark, feeds, target, reset=True, multi_line=True).collect()}
+    tables = ("users", "user_followers", "user_following", "recipes", "keywords", "recipe_ingredients",
+              "recipe_instructions", "reviews", "review_likers")
+    held = {t: spark.read.parquet(f"{target}/{t}").count() for t in tables}
+    assert held == {t: first[t, "loaded"] for t in tables} and held["users"] == 5 and held["keywords"] == 3
+    again = {(r.table, r.stage): r.rows for r in load(spark, feeds, target, multi_line=True).collect()}
+    assert all(again[t, "loaded"] == 0 for t in tables)
+    assert {t: spark.read.parquet(f"{target}/{t}").count() for t in tables} == held
+    assert spark.read.parquet(f"{target}/report").count() == len(again)
+    # a reset starts anew
+    load(spark, feeds, target, reset=True, multi_line=True)
+    assert {t: spark.read.parquet(f"{target}/{t}").count() for t in tables} == held
 
 
 def test_import_with_checkpoint(spark, feed_dir):
-    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), persist="checkpoint")
+    out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True, persist="checkpoint")
     assert out["users"].count() == 5 and out["user_followers"].count() == 4

@@ -1,9 +1,12 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from feedworks.functions import cut
 from feedworks.operators import metrics, sinks
+from feedworks.operators.layout import spread
 from feedworks.schemas import TARGETS
 from feedworks.session import checkpoint_dir, materialize
 
@@ -18,9 +21,8 @@ def test_observe_and_partition_counts(spark):
 
 
 def test_stage_counts(spark):
-    a, b = spark.range(3), spark.range(5)
-    out = sorted(tuple(r) for r in metrics.stage_counts("t", {"a": a, "b": b}).collect())
-    assert out == [("t", "a", 3), ("t", "b", 5)]
+    out = metrics.stage_counts(spark.range(5), "t", {"a": F.col("id") < 3, "b": F.lit(True), "none": F.lit(None).cast("boolean")})
+    assert sorted(tuple(r) for r in out.collect()) == [("t", "a", 3), ("t", "b", 5), ("t", "none", 0)]
 
 
 def test_write_reports_and_targets(spark):
@@ -43,3 +45,34 @@ def test_materialize_uses_checkpoint_dir(spark):
     path = checkpoint_dir(spark)
     df = materialize(spark.range(10).withColumn("x", F.col("id") * 2))
     assert df.count() == 10 and path
+
+
+def test_a_missing_shared_folder_is_an_error():
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_reports_keep_their_parallelism_and_layouts_read_back(spark):
+    d = tempfile.mkdtemp(prefix="feedworks-rep-")
+    wide = spark.range(0, 100, 1, 4)
+    sinks.write_reports({"r": wide}, d)
+    assert len([f for f in os.listdir(d + "/r") if f.endswith(".parquet")]) == 4
+    sinks.write_reports({"one": wide}, d, files=1)
+    assert len([f for f in os.listdir(d + "/one") if f.endswith(".parquet")]) == 1
+    sinks.reset_targets(spark, {"users": TARGETS["users"]}, d)
+    assert spark.read.parquet(d + "/users").schema.fieldNames() == TARGETS["users"].fieldNames()
+    sinks.write_bucketed(wide, "feedworks_bucketed", "id", 4)
+    assert spark.table("feedworks_bucketed").count() == 100
+    spark.sql("DROP TABLE feedworks_bucketed")
+    assert spread(wide) is wide and spread(wide, 3).rdd.getNumPartitions() == 3
+    assert [r[0] for r in spark.createDataFrame([("abcdef",), ("a",), (None,)], "v string").select(cut("v", 3)).collect()] == ["abc", "a", None]
