@@ -136,7 +136,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
         place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
         rank[order[todo]] = place[todo]
         h *= 2
-    # what is still equal goes by position: Kasai's step needs i before j to mean i + 1 before j + 1
+    # what is still equal goes by position, so that the order is the same in every run
     return order[np.argsort((place.astype(np.uint64) << np.uint64(32)) | order.astype(np.uint64))]
 
 
@@ -144,8 +144,12 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, starts: np.ndarray, most:
     """Length, ``most`` at most, that each suffix shares with the one before it in ``order``.
 
     Kasai's scan: going on by one byte loses one byte of the common prefix at most.  It
-    runs over all pieces of the text that begin at ``starts`` side by side."""
+    runs over all pieces of the text that begin at ``starts`` side by side.  ``order`` holds
+    for a limited depth only, so it may put two suffixes one way round and what follows
+    their first bytes the other; the scan then begins anew."""
     n = len(t)
+    rank = np.empty(n + 1, np.int64)
+    rank[order], rank[n] = np.arange(n), -1
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, np.int64)
@@ -158,7 +162,8 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, starts: np.ndarray, most:
         more[more] = t[(at + h)[more]] == t[(j + h)[more]]
         done = ~more
         shared[at[done]] = h[done]
-        h = np.where(more, h + 1, np.maximum(h - 1, 0))
+        goes_on = (j >= 0) & (rank[j + 1] >= 0) & (rank[j + 1] < rank[np.minimum(at + 1, n)])
+        h = np.where(more, h + 1, np.where(goes_on, np.maximum(h - 1, 0), 0))
         at = at + done
         live = at < end
         if not live.all():

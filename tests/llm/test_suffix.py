@@ -70,3 +70,32 @@ def test_suffix_order_and_common_prefixes():
             while k < 60 and max(a, b) + k < n and raw[a + k] == raw[b + k]:
                 k += 1
             assert shared[b] == k
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_repeats_with_an_order_of_limited_depth(seed):
+    """Copies much longer than the depth that go on differently: nothing is taken for repeated
+    that is not."""
+    rng = random.Random(seed)
+    line = lambda n: bytes(rng.choice(b"ab") for _ in range(n))
+    passage = line(150)
+    contents = [line(rng.randint(0, 6)) + passage[rng.randint(0, 30):rng.randint(100, 150)] + line(rng.randint(0, 6)) for _ in range(40)]
+    contents += [b"ab" * 60, b"ab" * 61, passage * 2]
+    weights = np.array([1] * (len(contents) - 1) + [2])
+    length = 20
+    seen = Counter()
+    for c, w in zip(contents, weights):
+        for k in range(len(c) - length + 1):
+            seen[c[k:k + length]] += int(w)
+    got = suffix.repeated_windows(contents, weights, length)
+    assert [m.tolist() for m in got] == [[seen[c[k:k + length]] >= 2 for k in range(len(c) - length + 1)] for c in contents]
+    text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8)
+    order = suffix.suffix_array(text, length)
+    starts = np.concatenate([[0], np.cumsum([len(c) + 1 for c in contents])[:-1]])
+    shared = suffix.common_prefixes(text, order, starts, length)
+    raw = text.tobytes()
+    for a, b in zip(order.tolist(), order[1:].tolist()):
+        k = 0
+        while k < length and max(a, b) + k < len(raw) and raw[a + k] == raw[b + k]:
+            k += 1
+        assert shared[b] == k
