@@ -481,6 +481,38 @@ def q_feed_import_edges(spark, sf):
     return _import_lines(spark, sf)["user_followers"].drop("id")
 
 
+# ============================================================== C7 on cells made of known items
+def q_split_quoted_items(spark, sf):
+    """Items with commas inside both kinds of quotes, an escaped quote, blanks, an empty item and
+    an unclosed quote that runs to the end of the cell."""
+    p = _t(spark, sf, "part")
+    s = lambda c: F.col(c).cast("string")
+    compat = F.concat(F.lit(" "), s("p_partkey"), F.lit(",'it, "), F.col("p_brand"), F.lit("',, \"a,b "), s("p_size"),
+                      F.lit("\" ,x\\\"y,'end, "), F.col("p_name"))
+    repaired = F.concat(F.lit("don't "), s("p_partkey"), F.lit(",\"p, \\\"q, "), F.col("p_brand"), F.lit("\",\t,z\\,w "), s("p_size"),
+                        F.lit(",\"end, "), F.col("p_name"))
+    cells = p.select("p_partkey", F.explode(F.array(
+        F.struct(F.lit("compat").alias("mode"), fx.split_quoted(compat, compat=True).alias("items")),
+        F.struct(F.lit("repaired").alias("mode"), fx.split_quoted(repaired, compat=False).alias("items")))).alias("c"))
+    return cells.select("p_partkey", "c.mode", F.posexplode("c.items").alias("pos", "item"))
+
+
+# ============================================================== C14 K14 A11
+def q_cut_text(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", fx.cut("text", 255).alias("text"))
+
+
+def q_surrogate_id(spark, sf):
+    ids = flatten.with_surrogate_id(_t(spark, sf, "lineitem"), "id")
+    return ids.agg(F.count("id").alias("rows"), F.count_distinct("id").alias("ids"), F.count_if(F.col("id") < 0).alias("negative"))
+
+
+def q_timing_summary(spark, sf):
+    """Events as timed operations: the mean of each kind, and its ratio to that of ``click``."""
+    out = reports.timing_summary(_t(spark, sf, "events"), "event_type", "value", base_op="click")
+    return out.select("event_type", _r("mean_ms"), "rounds", _r("ratio"))
+
+
 # ============================================================== C6 C8 as the feeds' first reader had them
 def q_parse_ids_compat(spark, sf):
     p = _t(spark, sf, "part")
@@ -652,6 +684,10 @@ QUERIES = {
     "feed_unterminated": q_feed_unterminated,
     "feed_import_rejects": q_feed_import_rejects,
     "feed_import_edges": q_feed_import_edges,
+    "split_quoted_items": q_split_quoted_items,
+    "cut_text": q_cut_text,
+    "surrogate_id": q_surrogate_id,
+    "timing_summary": q_timing_summary,
     "parse_ids_compat": q_parse_ids_compat,
     "parse_strs_compat": q_parse_strs_compat,
 }

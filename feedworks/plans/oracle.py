@@ -433,3 +433,16 @@ ORACLE["feed_import_edges"] = """WITH u AS (SELECT DISTINCT CAST(l_partkey AS IN
 ORACLE["parse_ids_compat"] = "SELECT p_partkey, CAST(p_partkey AS INTEGER) AS id FROM part"
 ORACLE["parse_strs_compat"] = """SELECT p_partkey, unnest(['c("' || p_brand || '"', '"' || p_type || ', ' || p_name || '")']) AS item
     FROM part"""
+# The items that the cells were made of.
+ORACLE["split_quoted_items"] = f"""WITH made AS (
+    SELECT p_partkey, 'compat' AS mode, [{_v('p_partkey')}, '''it, ' || p_brand || '''', '"a,b ' || {_v('p_size')} || '"',
+        'x\\"y', '''end, ' || p_name] AS items FROM part
+    UNION ALL SELECT p_partkey, 'repaired', ['don''t ' || {_v('p_partkey')}, '"p, \\"q, ' || p_brand || '"',
+        'z\\,w ' || {_v('p_size')}, '"end, ' || p_name] FROM part)
+    SELECT p_partkey, mode, CAST(i - 1 AS INTEGER) AS pos, items[i] AS item
+    FROM (SELECT *, unnest(range(1, len(items) + 1)) AS i FROM made)"""
+ORACLE["cut_text"] = "SELECT doc_id, substr(text, 1, 255) AS text FROM documents"
+ORACLE["surrogate_id"] = 'SELECT count(*) AS "rows", count(*) AS ids, 0 AS negative FROM lineitem'
+ORACLE["timing_summary"] = """WITH m AS (SELECT event_type, avg(value) AS mean_ms, count(*) AS rounds FROM events GROUP BY 1)
+    SELECT event_type, round(mean_ms, 6) AS mean_ms, rounds,
+        round(mean_ms / (SELECT mean_ms FROM m WHERE event_type = 'click'), 6) AS ratio FROM m"""
