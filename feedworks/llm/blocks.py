@@ -67,3 +67,29 @@ def slices(offsets: np.ndarray, limit: int = 1 << 20):
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield at, stop
         at = stop
+
+
+# Blocks and shards: a block asks each shard, a range of hashed keys, for what all blocks know of
+# its own distinct keys, and gets the answers in the order in which it asked.
+def squeeze(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+
+
+def spread(data: bytes, dtype=np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
+
+
+def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
+def by_shard(shard: np.ndarray):
+    """(shard, slice) of the runs of ascending shard numbers."""
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]]) if len(shard) else [0]
+    for lo, hi in zip(bounds, bounds[1:]):
+        yield int(shard[lo]), slice(int(lo), int(hi))
+
+
+def gathered(answers: DataFrame, column: str, name: str) -> DataFrame:
+    """(``block``, ``column``): a block's answers (``shard``, ``counts``), one for each shard."""
+    return stored(answers.groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias(column)), name)

@@ -1,9 +1,10 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the last 32 bytes; where its upper bits are zero a chunk ends, so
+A gear hash rolls over the last 16 bytes; where its upper bits are zero a chunk ends, so
 an insertion moves the borders next to it and no others.  Chunks with equal digests
 are one chunk.  The first document that holds it keeps it, others lose it where enough of
-them follow each other.
+them follow each other.  Digests meet in shards, ranges of them; each block of texts sends
+its distinct ones with their number, and learns which occur again and who was first.
 """
 
 from __future__ import annotations
@@ -17,29 +18,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
+from .blocks import by_shard, gathered, shard_of, spread, squeeze
 from .common import stored
 
 #: Values of the gear hash by byte; any fixed ones will do.
-_GEAR = np.random.default_rng(271828).integers(0, 1 << 32, 256, dtype=np.uint32)
-WINDOW = 32
+_GEAR = np.random.default_rng(271828).integers(0, 1 << 16, 256, dtype=np.uint16)
+WINDOW = 16
+#: Stands for a null id: after all others.
+LAST = np.iinfo(np.int64).max
 
 
 def gear(b: np.ndarray) -> np.ndarray:
-    """At each byte the hash of the 32 bytes up to it: h = 2 h + gear[byte], modulo 2**32."""
+    """At each byte the hash of the 16 bytes up to it: h = 2 h + gear[byte], modulo 2**16."""
     h, span = _GEAR[b], 1
     while span < WINDOW:
-        h[span:] += h[:-span] << np.uint32(span) if len(h) > span else 0
+        h[span:] += h[:-span] << np.uint16(span) if len(h) > span else 0
         span *= 2
     return h
 
 
 def cuts(b: np.ndarray, least: int, bits: int, most: int) -> list[int]:
     """Ends of the chunks of one text: after a byte where the upper ``bits`` of the hash are
-    zero, chunks having from ``least`` (32 or more) to ``most`` bytes; the last may have fewer."""
+    zero, chunks having from ``least`` (16 or more) to ``most`` bytes; the last may have fewer."""
     if least < WINDOW:
         raise ValueError("chunks must be as long as the hash's window")
     n, out, at = len(b), [], 0
-    ends = (np.flatnonzero(gear(b.copy()) >> np.uint32(32 - bits) == 0) + 1).tolist() if n else []
+    ends = (np.flatnonzero(gear(b.copy()) >> np.uint16(16 - bits) == 0) + 1).tolist() if n else []
     while at < n:
         k = bisect_left(ends, at + least)
         at = min(ends[k] if k < len(ends) else n, at + most, n)
@@ -56,8 +60,16 @@ def _doc_chunks(b: np.ndarray, offsets: np.ndarray, least: int, bits: int, most:
         yield lo, ends, [hashlib.blake2b(view[lo + i:lo + j], digest_size=16).digest() for i, j in zip([0, *ends], ends)]
 
 
-def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 32, bits: int = 5,
-                 most: int = 512, min_run: int = 100, with_kept: bool = False) -> DataFrame:
+def _group_starts(rows: np.ndarray) -> np.ndarray:
+    """Where a new value begins in sorted rows of two columns."""
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)]))
+
+
+def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 16, bits: int = 4,
+                 most: int = 512, min_run: int = 180, with_kept: bool = False, block_bytes: int = 8 << 20,
+                 shard_bytes: int = 16 << 20) -> DataFrame:
     """Per row: doc_id, n_bytes, n_chunks, n_shared, n_removed, n_spans, kept_sha256; with
     ``with_kept`` also the remaining bytes and the removed spans.
 
@@ -70,41 +82,75 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     null id come after all others and take themselves for one document.  Null texts are
     empty; an empty table gives no rows; other columns are not read.
     """
-    packed = blocks.pack(docs, "cdc-blocks", id_col=id_col, text_col=text_col)
-
-    def listed(batches):
+    spark = docs.sparkSession
+    named = docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"))
+    packed = blocks.pack_keys(named, "cdc-blocks", block_bytes)
+    total = packed.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, -(-total // shard_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def asked(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct digests of a block in the order (shard, digest), their number and least id."""
+        b, offsets = blocks.unpack(r.lens, r.texts)
+        every, ids = [], []
+        for i, (_, _, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
+            every += digests
+            ids.append((LAST if i is None else int(i), len(digests)))
+        halves = np.frombuffer(b"".join(every), np.uint64).reshape(-1, 2)
+        owner = np.repeat(np.array([i for i, _ in ids], np.int64), [n for _, n in ids])
+        order = np.lexsort((halves[:, 1], halves[:, 0]))
+        at = _group_starts(halves[order])
+        if not len(at):
+            return halves, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        n = np.diff(np.concatenate([at, [len(order)]]))
+        keys = halves[order][at]
+        return keys, n, np.minimum.reduceat(owner[order], at), shard_of(keys[:, 0], shards)
+
+    def ask(batches):
         for batch in batches:
             for r in batch.itertuples():
-                b, offsets = blocks.unpack(r.lens, r.texts)
-                found: dict[bytes, list] = {}
-                for i, (_, _, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
-                    i = None if i is None else int(i)
-                    for d in digests:
-                        known = found.get(d)
-                        if known is None:
-                            found[d] = [1, i]
-                        else:
-                            known[0] += 1
-                            if known[1] is None or i is not None and i < known[1]:
-                                known[1] = i
-                halves = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
-                yield pd.DataFrame({"block": r.block, "d1": halves[:, 0], "d2": halves[:, 1],
-                                    "n": [v[0] for v in found.values()],
-                                    "least": pd.array([v[1] for v in found.values()], "Int64")})
-
-    seen = stored(packed.select("block", "ids", "lens", "texts")
-                  .mapInPandas(listed, "block long, d1 long, d2 long, n long, least long"), "cdc-seen")
-    again = stored(seen.groupBy("d1", "d2").agg(F.sum("n").alias("n"), F.min("least").alias("first"))
-                   .where("n >= 2").select("d1", "d2", "first"), "cdc-again")
-    todo = stored(seen.select("block", "d1", "d2").join(again, ["d1", "d2"]).groupBy("block")
-                  .agg(F.collect_list(F.struct("d1", "d2", "first")).alias("again")), "cdc-todo")  # the block's own
+                keys, n, first, shard = asked(r)
+                rows = [(r.block, s, keys[at].tobytes(), squeeze(n[at].astype(np.int32)), squeeze(first[at])) for s, at in by_shard(shard)]
+                yield pd.DataFrame(rows, columns=["block", "shard", "digests", "n", "first"])
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        """For each digest asked: 0 if it occurs once, else 1; then the first ids of the latter."""
+        keys = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in pdf["digests"]]
+        both = np.concatenate(keys)
+        order = np.lexsort((both[:, 1], both[:, 0]))
+        at = _group_starts(both[order])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(at)), np.diff(np.concatenate([at, [len(order)]])))
+        total = np.bincount(group, np.concatenate([spread(x, np.int32) for x in pdf["n"]]))
+        first = np.minimum.reduceat(np.concatenate([spread(x) for x in pdf["first"]])[order], at)
+        out = []
+        for own in np.split(group, np.cumsum([len(k) for k in keys])[:-1]):
+            again = total[own] >= 2
+            out.append(squeeze(np.concatenate([again.astype(np.int64), first[own][again]])))
+        return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "counts": out})
+
+    answers = stored(packed.select("block", "ids", "lens", "texts")
+                     .mapInPandas(ask, "block long, shard long, digests binary, n binary, first binary")
+                     .groupBy("shard").applyInPandas(meet, "block long, shard long, counts binary"), "cdc-answers")
+    todo = gathered(answers, "again", "cdc-again")
+
+    def repeated(r) -> dict[bytes, int | None]:
+        """First ids by digest of the block's chunks that occur again."""
+        keys, _, _, shard = asked(r)
+        given = {p["shard"]: spread(p["counts"]) for p in r.again} if r.again is not None else {}
+        out: dict[bytes, int | None] = {}
+        for s, at in by_shard(shard):
+            n = at.stop - at.start
+            again = given[s][:n] > 0
+            firsts = given[s][n:].tolist()
+            out.update(zip(map(bytes, np.ascontiguousarray(keys[at][again]).view("V16").ravel()),
+                           [None if f == LAST else f for f in firsts]))
+        return out
 
     def removed(batches):
         for batch in batches:
             for r in batch.itertuples():
                 b, offsets = blocks.unpack(r.lens, r.texts)
-                first = {} if r.again is None else {
-                    np.array([x["d1"], x["d2"]], np.int64).tobytes(): x["first"] for x in r.again}
+                first = repeated(r)
                 out = []
                 for i, (lo, ends, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
                     i = None if i is None else int(i)

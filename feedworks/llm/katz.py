@@ -16,11 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
+from .blocks import by_shard, gathered, shard_of, spread, squeeze
 from .common import mix64, span_hashes, stored, word_bounds
 from .quality import held_out
 
@@ -31,14 +31,6 @@ _LOWER[65:91] += 32
 TOP, LEAST = 6, 1e-3
 
 
-def squeeze(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
-
-
-def spread(data: bytes, dtype=np.int64) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
-
-
 def discounted(counts_of_counts: list[int]) -> np.ndarray:
     """c* for c = 0, ..., TOP - 1 from n_1, ..., n_TOP by Katz's formula; where the numbers of
     counts don't allow it (gaps, or a value not in (0, c)), c - D with D = n_1 / (n_1 + 2 n_2)."""
@@ -78,10 +70,6 @@ def token_arrays(lens: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(counts)])
 
 
-def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
-    return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
 def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
@@ -121,9 +109,11 @@ class _Block:
         self.context_count = np.roll(counts[self.word], 1)
         self.context_count[first] = model.ends
         self.count = counts[self.word]
+        self.words = self.word = None  # not needed any more
         self.open = np.flatnonzero((self.count > 0) & (self.context_count > 0))
         key = pair_keys(context[self.open], self.tokens[self.open])
         keys, at, pair = np.unique(key, return_index=True, return_inverse=True)
+        del key
         at = self.open[at]
         parts = 1 + self.context_count[at] * 4 * shards // max(model.tokens, 1)
         salt = (mix64(self.tokens[at]) % parts.astype(np.uint64))
@@ -137,12 +127,6 @@ class _Block:
         self.pair_count = np.bincount(self.pair, self.train[self.open], len(order)).astype(np.int64)
 
 
-def _by_shard(shard: np.ndarray):
-    bounds = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]]) if len(shard) else [0]
-    for lo, hi in zip(bounds, bounds[1:]):
-        yield int(shard[lo]), slice(int(lo), int(hi))
-
-
 def _answer(parts, dtype=np.int32) -> np.ndarray:
     """A block's answers from all shards, in the order in which it asked."""
     got = sorted((p["shard"], p["counts"]) for p in parts) if parts is not None else []
@@ -156,11 +140,6 @@ def _of_counts(totals: np.ndarray) -> list[int]:
 N_COLUMNS = [f"n{r}" for r in range(1, TOP + 1)]
 
 
-def _gathered(answers: DataFrame, name: str) -> DataFrame:
-    # a block's own answers, one for each shard
-    return stored(answers.groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias(name)), f"katz-{name}")
-
-
 def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10,
                 block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (op2's contract).
@@ -188,7 +167,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 own = _Block(r.lens, r.texts, trained(r.ids))
                 counts = own.word_counts()
                 rows = [(r.block, s, own.words[at].tobytes(), squeeze(counts[at].astype(np.int32)))
-                        for s, at in _by_shard(shard_of(own.words, shards))]
+                        for s, at in by_shard(shard_of(own.words, shards))]
                 yield pd.DataFrame(rows, columns=["block", "shard", "words", "counts"])
 
     def count_words(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -217,7 +196,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lost = sum((sums[f"n{r}"] or 0) * (r - small[r]) for r in range(1, TOP))
     rest = n_words - sum(sums[f"n{r}"] or 0 for r in range(1, TOP))
     model = Unigrams(n_tokens, n_words, sums["ends"] or 0, small, (lost + LEAST * rest) / n_tokens if n_tokens else 1.0)
-    with_words = packed.join(_gathered(answers, "counted"), "block")
+    with_words = packed.join(gathered(answers, "counted", "katz-counted"), "block")
 
     def ask_pairs(batches):
         for batch in batches:
@@ -225,7 +204,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 own = _Block(r.lens, r.texts, trained(r.ids))
                 own.pairs(_answer(r.counted), model, shards)
                 rows = []
-                for s, at in _by_shard(own.shard):
+                for s, at in by_shard(own.shard):
                     context = own.pair_context[at]
                     first = np.concatenate([[0], np.flatnonzero(context[1:] != context[:-1]) + 1])
                     runs = np.diff(np.concatenate([first, [len(context)]]))
@@ -309,7 +288,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         none = {c: pd.Series([None] * len(k), dtype=t) for c, t in kinds.items() if c not in columns}
         return pd.DataFrame({"block": block, "k": k, **{c: columns.get(c, none.get(c)) for c in kinds}})
 
-    done = stored(with_words.join(_gathered(pairs, "paired"), "block", "left").select("block", "ids", "lens", "texts", "counted", "paired")
+    done = stored(with_words.join(gathered(pairs, "paired", "katz-paired"), "block", "left").select("block", "ids", "lens", "texts", "counted", "paired")
                   .mapInPandas(evaluate, "block long, k long, id string, n_tokens long, n_known long, base double, score double, "
                                              "context long, times long"), "katz-texts")
     weights = stored(weights, "katz-weights")

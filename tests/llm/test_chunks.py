@@ -13,15 +13,15 @@ SF001 = "/root/testdata/sf0.001"
 def plain_cuts(b, least, bits, most):
     out, start, h = [], 0, 0
     for i, x in enumerate(b):
-        h = (h * 2 + int(chunks._GEAR[x])) % 2**32
+        h = (h * 2 + int(chunks._GEAR[x])) % 2**16
         size = i + 1 - start
-        if size >= least and h >> (32 - bits) == 0 or size == most or i + 1 == len(b):
+        if size >= least and h >> (16 - bits) == 0 or size == most or i + 1 == len(b):
             out.append(i + 1)
             start = i + 1
     return out
 
 
-def brute(rows, least=32, bits=5, most=512, min_run=100):
+def brute(rows, least=16, bits=4, most=512, min_run=180):
     docs = []
     for i, t in rows:
         b = (t or "").encode()
@@ -63,16 +63,16 @@ def test_documents_match_brute_force(spark):
     assert got(docs) == want and any(r[4] for r in want)
 
 
-@pytest.mark.parametrize("min_run,most", [(100, 512), (0, 40)])
-def test_shared_passages_and_odd_rows(spark, min_run, most):
+@pytest.mark.parametrize("min_run,most,block_bytes", [(100, 512, 8 << 20), (0, 40, 700)])
+def test_shared_passages_and_odd_rows(spark, min_run, most, block_bytes):
     rng = random.Random(min_run)
     prose = lambda n: " ".join("".join(rng.choice("abcdeéü🙂 ") for _ in range(rng.randint(1, 9))) for _ in range(n))
     passages = [prose(90) for _ in range(4)]
     rows = [(i, prose(rng.randint(0, 40)) + rng.choice(passages) + prose(rng.randint(0, 20))) for i in range(40)]
     rows += [(100, passages[0] * 2), (101, "ab" * 900), (102, None), (103, ""), (None, passages[1]), (None, None), (None, "null only " * 50),
-             (104, "same row " * 60), (104, "same row " * 60), (105, "x" * 31), (106, "y" * 32), (108, prose(4000))]
+             (104, "same row " * 60), (104, "same row " * 60), (105, "x" * 15), (106, "y" * 16), (108, prose(4000))]
     df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, block string")
-    assert got(df, min_run=min_run, most=most) == brute(rows, min_run=min_run, most=most)
+    assert got(df, min_run=min_run, most=most, block_bytes=block_bytes, shard_bytes=block_bytes) == brute(rows, min_run=min_run, most=most)
     assert got(spark.createDataFrame([], df.schema)) == []
 
 
@@ -80,5 +80,23 @@ def test_insertion_moves_only_nearby_cuts():
     rng = np.random.default_rng(8)
     b = rng.integers(97, 123, 20000).astype(np.uint8)
     moved = np.concatenate([b[:7000], np.frombuffer(b"inserted", np.uint8), b[7000:]])
-    old, new = set(chunks.cuts(b, 32, 5, 512)), {c - 8 if c > 7000 else c for c in chunks.cuts(moved, 32, 5, 512)}
+    old, new = set(chunks.cuts(b, 16, 4, 512)), {c - 8 if c > 7000 else c for c in chunks.cuts(moved, 16, 4, 512)}
     assert len(old ^ new) < 12 and all(6500 < c < 8000 for c in old ^ new)
+
+
+def test_passages_of_over_fifty_words_are_caught_and_single_lines_left(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "the", "ti", "es"]) for _ in range(rng.randint(1, 4)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    line = prose(13)
+    rows, planted = [], {}
+    for g in range(60):
+        passage = prose(51)
+        for i in (2 * g, 2 * g + 1):
+            rows.append((i, f"{prose(rng.randint(3, 60))} {passage} {prose(rng.randint(3, 60))}"))
+            planted[i] = g
+    rows += [(1000 + i, f"{line}\n{prose(80)}\n{line}") for i in range(60)]
+    out = {r.doc_id: r for r in chunks.dedup_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught = {planted[i] for i in planted if out[i].n_removed > 0}
+    assert len(caught) >= 57 and all(out[2 * g].n_removed == 0 for g in range(60))
+    assert all(out[1000 + i].n_shared == 0 for i in range(60))
