@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-#: Pieces and token pairs remembered by one worker.
-PIECES, PAIRS = 400_000, 1_000_000
+#: Pieces and token pairs remembered by one worker (each twice at most, see _Remembered).
+PIECES, PAIRS = 150_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,11 +40,11 @@ class Codec:
         self.token = {i: t for t, i in ranks.items()}
         self.parents: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
-        self.pairs: dict[int, bool] = {}
+        self.pairs = _Remembered(self._fit_together, PAIRS)
         self.ids: dict[str, int] = {}
         self.spelled = _Remembered(
-            lambda piece: " ".join(map(str, self.encode_piece(piece.encode("utf-8", "surrogatepass")))))
-        self.decoded = _Remembered(lambda piece: self.decode(map(int, self.spelled[piece].split())))
+            lambda piece: " ".join(map(str, self.encode_piece(piece.encode("utf-8", "surrogatepass")))), PIECES)
+        self.written = {str(i): t for i, t in self.token.items()}
         self.automaton = ahocorasick.Automaton()
         # In order of rank: what merges into a token has lower ranks and is known already.
         for i, t in sorted(self.token.items()):
@@ -71,34 +71,25 @@ class Codec:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def fit_together(self, left: int, right: int) -> bool:
-        """Whether merging the bytes of both tokens gives these two tokens again.
+    def _fit_together(self, key: int) -> bool:
+        """Whether merging the bytes of two tokens (left << 20 | right) gives these two again.
 
         Undoes the merges of both sides from the last one back.  Before each step a
         merge across the border that comes earlier than the merges already undone
         would have been taken first, and so the two can't stand together.
         """
-        key = left << 20 | right
-        known = self.pairs.get(key)
-        if known is not None:
-            return known
-        a, b, undone, result = left, right, 1 << 30, None
-        while result is None:
+        a, b, undone = key >> 20, key & 0xFFFFF, 1 << 30
+        while True:
             across = self.merged.get((a, b))
             if across is not None and across < undone:
-                result = False
-                break
+                return False
             a_whole, b_whole = self.parents[a][0] == a, self.parents[b][0] == b
             if a_whole and b_whole:
-                result = True
-            elif b_whole or (not a_whole and a > b):
+                return True
+            if b_whole or (not a_whole and a > b):
                 undone, a = a, self.parents[a][1]
             else:  # on equal ranks the left merge comes first, so the right one is undone first
                 undone, b = b + 1, self.parents[b][0]
-        if len(self.pairs) >= PAIRS:
-            self.pairs.clear()
-        self.pairs[key] = result
-        return result
 
     def encode_piece(self, data: bytes) -> list[int]:
         """Token ids of one piece.  A position from which the rest can't be spelled is
@@ -116,10 +107,7 @@ class Codec:
             while size:
                 i = ids.get(s[at:at + size])
                 if i is not None and at + size not in dead:
-                    if last < 0:
-                        break
-                    fits = pairs.get(last << 20 | i)
-                    if fits or fits is None and self.fit_together(last, i):
+                    if last < 0 or pairs[last << 20 | i]:
                         break
                 size -= 1
             if size:
@@ -144,32 +132,44 @@ class Codec:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids in decimal joined by one space, and SHA-256 of
-        the decoded bytes.  A long text is worked off in parts, and what a piece encodes
-        and decodes to is remembered."""
+        the bytes decoded from them.  A long text is worked off in parts, and what a piece
+        encodes to is remembered."""
         n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
-        spelled, decoded = self.spelled.__getitem__, self.decoded.__getitem__
+        spelled, written = self.spelled.__getitem__, self.written.__getitem__
         pieces = (m[0] for m in self.split.finditer(text)) if len(text) > 1 << 20 else self.split.findall(text)
         for part in iter(lambda it=iter(pieces): list(islice(it, 1 << 16)), []):
-            if len(self.spelled) > PIECES:
-                self.spelled.clear()
-                self.decoded.clear()
             ids = " ".join(map(spelled, part))
             ids_hash.update(f" {ids}".encode() if n else ids.encode())
-            bytes_hash.update(b"".join(map(decoded, part)))
-            n += ids.count(" ") + 1
+            each = ids.split(" ")
+            bytes_hash.update(b"".join(map(written, each)))
+            n += len(each)
         return n, ids_hash.hexdigest(), bytes_hash.hexdigest()
 
 
 class _Remembered(dict):
-    """Values worked out by ``make`` when they are first asked for; none for long keys."""
+    """Values worked out by ``make`` when they are first asked for.
 
-    def __init__(self, make):
+    Holds ``most`` of them; then they become the older generation, from which those that are
+    asked for again come back, and the generation before is forgotten.  Long texts are
+    not kept.
+    """
+
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make = make
+        self.make, self.most, self.older = make, most, {}
+
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= 64:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if isinstance(key, int) or len(key) <= 64:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
             self[key] = value
         return value
 
@@ -211,6 +211,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col:
             if with_ids:
                 out["ids"] = [own.encode(t) for t in texts]
             yield out
+        own.spelled.forget()  # the worker lives on, maybe with other work
+        own.pairs.forget()
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
