@@ -19,12 +19,16 @@ _POW = np.ones(1, np.uint64)
 
 
 _SHIPPED: set[str] = set()
+#: Bytes of one Arrow batch to a Python worker: ten thousand long texts at once are too much.
+BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors' Python workers, once per application, as
-    ``--py-files`` does."""
+    """Make the session ready for this package's Python workers: batches of ``BATCH_BYTES`` at
+    most (one longer row is a batch of its own), and the package itself, sent once per
+    application as ``--py-files`` does."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if sc.applicationId not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(prefix="feedworks-py-"), "feedworks_py.zip")
