@@ -7,13 +7,15 @@ fixed constants.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedworks.functions.numeric import decade_label, round2
 from feedworks.functions.staged import clean_columns
-from feedworks.operators import changes, reports
+from feedworks.operators import changes, reports, sinks
 from feedworks.schemas import USERS_COLUMNS
 from feedworks.sources.csv_feed import read_feed
 
@@ -154,3 +156,45 @@ def file_suite(users: DataFrame, cols: UserCols = UserCols(),
     return {"by_age": by_age, "by_followers": by_followers, "females": females,
             "updated": updated, "remaining": remaining, "age_bands": bands,
             "high_follower_female": high_female, "summary": summary}
+
+
+def run_file_suite(spark, path, out_dir: str, rounds: int = 1, p: SuiteParams = SuiteParams()) -> dict[str, DataFrame]:
+    """G5 from end to end over the CSV files at ``path``: per round the read, the three filters, the
+    update, the delete and both reports, each timed; the users as read, as updated and
+    as left are written as CSV (K9) under ``out_dir``.
+
+    Writes and returns the report tables (K10): ``timings`` (op, round, ms), their
+    ``means`` (A11), ``runs`` (the counts of each round, A10) and ``age_bands`` (label,
+    mean with two decimals, C15, C16).
+    """
+    timings, runs = [], []
+
+    def timed(op, number, action):
+        start = time.perf_counter()
+        out = action()
+        timings.append((op, number, (time.perf_counter() - start) * 1000.0))
+        return out
+
+    def full(df):
+        return lambda: df.write.format("noop").mode("overwrite").save()
+
+    for number in range(1, rounds + 1):
+        users = file_users(spark, path)
+        out = file_suite(users, p=p)
+        timed("read", number, full(users))
+        timed("write", number, lambda: sinks.write_csv(users, f"{out_dir}/output_all"))
+        for op in ("by_age", "by_followers", "females", "updated"):
+            timed(op, number, full(out[op]))
+        sinks.write_csv(out["updated"], f"{out_dir}/output_updated")
+        timed("remaining", number, full(out["remaining"]))
+        sinks.write_csv(out["remaining"], f"{out_dir}/output_deleted")
+        timed("age_bands", number, full(out["age_bands"]))
+        timed("high_follower_female", number, full(out["high_follower_female"]))
+        runs.append((number, *out["summary"].first()))
+    frame = spark.createDataFrame(timings, "op string, round int, ms double")
+    columns = ", ".join(f"{c} long" for c in out["summary"].columns)
+    bands = out["age_bands"].select(decade_label("age_group").alias("age_group"), round2(F.col("avg_followers")).alias("avg_followers"))
+    reports_ = {"timings": frame, "means": reports.timing_summary(frame), "age_bands": bands,
+                "runs": spark.createDataFrame(runs, f"run int, {columns}")}
+    sinks.write_reports(reports_, out_dir, fmt="csv")
+    return reports_

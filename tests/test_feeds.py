@@ -157,6 +157,20 @@ def test_file_suite_on_csv(spark, feed_dir):
     assert set(bands) <= {0, 20, 30, 40, 50}
 
 
+def test_file_suite_reads_writes_and_reports(spark, feed_dir):
+    d = tempfile.mkdtemp(prefix="feedworks-suite-")
+    out = suites.run_file_suite(spark, os.path.join(feed_dir, "users.csv"), d, rounds=2)
+    users = suites.file_users(spark, os.path.join(feed_dir, "users.csv"))
+    read = lambda name: spark.read.option("header", True).option("escape", '"').csv(f"{d}/{name}")
+    assert read("output_all").count() == read("output_updated").count() == users.count()
+    assert read("output_deleted").count() == users.filter(F.col("age") <= 50).count()
+    ups = dict(rows(read("output_updated").where("age < 30 AND author_id = '2'"), "author_id", "followers_count"))
+    assert ups == {"2": "4"}
+    assert read("timings").count() == 2 * 9 and read("means").count() == 9
+    assert [r.run for r in out["runs"].orderBy("run").collect()] == [1, 2]
+    assert {r.age_group for r in read("age_bands").collect()} >= {"20-29", "30-39"}
+
+
 def test_db_suite_on_import(spark, feed_dir):
     out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True)
     suite = suites.db_suite(out["users"], out["user_followers"],
