@@ -47,20 +47,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = stored(e, "cc-edges")
     before = _state(e)
+    # tables of a round have at most two rows an edge: tasks by their number, not by the cluster's setting
+    tasks = max(8, -(-before[0] // 200_000))
     for _ in range(max_rounds):
         if not before[0]:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stored(both.groupBy("u").agg(F.min("v").alias("m"))
-                     .select("u", F.least("u", "m").alias("m")), "cc-min")
+                     .select("u", F.least("u", "m").alias("m")).coalesce(tasks), "cc-min")
         large = (both.where("v > u").join(low, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        large = stored(large, "cc-large")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
+        large = stored(large.coalesce(tasks), "cc-large")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), "cc-min")
         small = (large.join(low, "u").where("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = stored(small, "cc-small")
+        e = stored(small.coalesce(tasks), "cc-small")
         after = _state(e)
         if after == before:
             break
