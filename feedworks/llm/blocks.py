@@ -18,9 +18,10 @@ from .common import bucketed, ship, stored
 SCHEMA = "ids array<string>, lens binary, texts binary, size long"
 
 
-def pack_keys(rows: DataFrame, name: str, block_bytes: int, in_buckets: bool = True) -> DataFrame:
+def pack_keys(rows: DataFrame, name: str, block_bytes: int) -> DataFrame:
     """(``block`` long, ``ids``, ``lens``, ``texts``, ``size``) of all rows (``key`` string,
-    ``text``), blocks of about ``block_bytes`` or one longer text.  Null texts are empty."""
+    ``text``), blocks of about ``block_bytes`` or one longer text.  Null texts are empty.
+    The table is cut into buckets by block: joining a block's answers to it moves no text."""
     ship(rows.sparkSession)
 
     def packed(batches):
@@ -43,13 +44,13 @@ def pack_keys(rows: DataFrame, name: str, block_bytes: int, in_buckets: bool = T
                              "texts": [zstandard.ZstdCompressor(level=3).compress(b"".join(raw))]})
 
     out = rows.select("key", "text").mapInPandas(packed, SCHEMA).select(F.monotonically_increasing_id().alias("block"), "*")
-    return bucketed(out, name, "block") if in_buckets else stored(out, name)
+    return bucketed(out, name, "block")
 
 
 def pack(docs: DataFrame, name: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """Blocks of all rows of ``docs``, the ids as text."""
     named = docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"))
-    return pack_keys(named, name, block_bytes, in_buckets=False)
+    return pack_keys(named, name, block_bytes)
 
 
 def unpack(lens: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -83,8 +83,7 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     empty; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    named = docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text"))
-    packed = blocks.pack_keys(named, "cdc-blocks", block_bytes)
+    packed = blocks.pack(docs, "cdc-blocks", id_col=id_col, text_col=text_col, block_bytes=block_bytes)
     total = packed.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -229,9 +229,9 @@ def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int)
         spans = [_runs(m).tobytes() for m in masks]
         return pd.DataFrame({"h": pdf["h"].to_numpy(), "d": pdf["d"].to_numpy(), "spans": spans})[[len(s) > 0 for s in spans]]
 
-    # pieces of about 2 MB of text; equal windows share h, and so their piece
+    # pieces of about 1 MB of text; equal windows share h, and so their piece
     volume = found.where(F.col("variants") <= variants).agg(F.sum(F.length("content"))).first()[0] or 0
-    shards = max(1, -(-volume // (2 << 20)))
+    shards = max(1, -(-volume // (1 << 20)))
     usual = (found.where(F.col("variants") <= variants)
              .select("h", "d", "n", "content", F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"))
              .groupBy("shard").applyInPandas(shard, "h long, d long, spans binary"))
@@ -262,7 +262,7 @@ def _spans_of(batches):
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM,
-                   variants: int = 4096, with_kept: bool = False) -> DataFrame:
+                   variants: int = 2048, with_kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (op7's contract) of each row; with
     ``with_kept`` also the remaining bytes and the removed spans (array of start, end).
 
