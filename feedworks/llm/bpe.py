@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import ship
 
 #: Pieces and token pairs remembered by one worker (each twice at most, see _Remembered).
-PIECES, PAIRS = 150_000, 300_000
+PIECES, PAIRS = 250_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -212,7 +212,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col:
                 out["ids"] = [own.encode(t) for t in texts]
             yield out
         own.spelled.forget()  # the worker lives on, maybe with other work
-        own.pairs.forget()
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
