@@ -3,8 +3,9 @@
 A gear hash rolls over the last 16 bytes; where its upper bits are zero a chunk ends, so
 an insertion moves the borders next to it and no others.  Chunks with equal digests
 are one chunk.  The first document that holds it keeps it, others lose it where enough of
-them follow each other.  Digests meet in shards, ranges of them; each block of texts sends
-its distinct ones with their number, and learns which occur again and who was first.
+them follow each other, or where a short text is an exact copy.  Digests meet in shards,
+ranges of them; each block of texts sends its distinct ones with their number, and learns
+which occur again and who was first.
 """
 
 from __future__ import annotations
@@ -60,6 +61,11 @@ def _doc_chunks(b: np.ndarray, offsets: np.ndarray, least: int, bits: int, most:
         yield lo, ends, [hashlib.blake2b(view[lo + i:lo + j], digest_size=16).digest() for i, j in zip([0, *ends], ends)]
 
 
+def _whole(text: bytes) -> bytes:
+    """Digest of a whole text, never that of a chunk."""
+    return hashlib.blake2b(text, digest_size=16, person=b"text").digest()
+
+
 def _group_starts(rows: np.ndarray) -> np.ndarray:
     """Where a new value begins in sorted rows of two columns."""
     if not len(rows):
@@ -68,15 +74,17 @@ def _group_starts(rows: np.ndarray) -> np.ndarray:
 
 
 def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 16, bits: int = 4,
-                 most: int = 512, min_run: int = 180, with_kept: bool = False, block_bytes: int = 8 << 20,
-                 shard_bytes: int = 16 << 20) -> DataFrame:
+                 most: int = 512, min_run: int = 180, min_words: int | None = None, whole_texts: bool = False,
+                 with_kept: bool = False, block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """Per row: doc_id, n_bytes, n_chunks, n_shared, n_removed, n_spans, kept_sha256; with
     ``with_kept`` also the remaining bytes and the removed spans.
 
     A run of chunks that each occur again, in this text or another, counts if it has
-    ``min_run`` bytes or more; n_shared is the number of bytes in such runs.  Of these a chunk
-    is removed if a document with a smaller id holds it, or an earlier place of this one.
-    n_removed counts the bytes removed, n_spans the maximal runs of them.
+    ``min_run`` bytes or more, or ``min_words`` words or more (cut ones too); n_shared is the
+    number of bytes in such runs.  Of these a chunk is removed if a document with a smaller id
+    holds it, or an earlier place of this one.  With ``whole_texts``, a text of under
+    ``min_run`` bytes that occurs again whole is shared, and removed if a document with a
+    smaller id is equal to it.  n_removed counts the bytes removed, n_spans the maximal runs of them.
 
     An id stands for one document: a row repeated whole repeats no text, and rows with a
     null id come after all others and take themselves for one document.  Null texts are
@@ -91,7 +99,9 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         """Distinct digests of a block in the order (shard, digest), their number and least id."""
         b, offsets = blocks.unpack(r.lens, r.texts)
         every, ids = [], []
-        for i, (_, _, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
+        for i, (lo, ends, digests) in zip(r.ids, _doc_chunks(b, offsets, least, bits, most)):
+            if whole_texts and 0 < (ends[-1] if ends else 0) < min_run:
+                digests = [*digests, _whole(b[lo:lo + ends[-1]].tobytes())]
             every += digests
             ids.append((LAST if i is None else int(i), len(digests)))
         halves = np.frombuffer(b"".join(every), np.uint64).reshape(-1, 2)
@@ -159,7 +169,8 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                         while j < len(ends) and digests[j] in first:
                             j += 1
                         begin, stop = ends[k - 1] if k else 0, ends[j - 1] if j else 0
-                        counts = j > k and stop - begin >= min_run
+                        counts = j > k and (stop - begin >= min_run or min_words is not None and
+                                            len(b[lo + begin:lo + stop].tobytes().split()) >= min_words)
                         if counts:
                             shared += stop - begin
                         for m in range(k, max(j, k + 1)):
@@ -170,6 +181,8 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                                     gone.append([ends[m - 1] if m else 0, ends[m]])
                             met.add(digests[m])
                         k = max(j, k + 1)
+                    if whole_texts and 0 < n < min_run and (key := _whole(b[lo:lo + n].tobytes())) in first:
+                        shared, gone = n, gone if first[key] == i else [[0, n]]
                     at, kept = 0, []
                     for p, q in gone:
                         kept.append(b[lo + at:lo + p].tobytes())
@@ -185,3 +198,8 @@ def dedup_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return (packed.join(todo, "block", "left").select("ids", "lens", "texts", "again").mapInPandas(removed, schema)
             .select(F.col("id").cast("long").alias(id_col), "n_bytes", "n_chunks", "n_shared", "n_removed", "n_spans", "kept_sha256",
                     *(["kept", "spans"] if with_kept else [])))
+
+
+#: Of the registered query: a passage of over 50 words counts when its cut has lost both edges,
+#: a line of 13 words doesn't.
+PASSAGES = {"min_words": 16, "whole_texts": True}

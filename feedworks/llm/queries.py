@@ -48,7 +48,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.dedup_chunks(_table(spark, sf_dir, "documents"))
+    return chunks.dedup_chunks(_table(spark, sf_dir, "documents"), **chunks.PASSAGES)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

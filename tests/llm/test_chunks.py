@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from feedworks.llm import chunks
+from feedworks.llm import chunks, queries
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -100,3 +100,40 @@ def test_passages_of_over_fifty_words_are_caught_and_single_lines_left(spark):
     caught = {planted[i] for i in planted if out[i].n_removed > 0}
     assert len(caught) >= 57 and all(out[2 * g].n_removed == 0 for g in range(60))
     assert all(out[1000 + i].n_shared == 0 for i in range(60))
+
+
+@pytest.mark.parametrize("letters,least", [(4.5, 198), (3, 190)])
+def test_passages_of_51_words_in_two_documents(spark, letters, least):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(max(1, round(rng.gauss(letters, 1.5)))))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows, line = [], prose(13)
+    for g in range(200):
+        passage = prose(51)
+        rows += [(i, f"{prose(rng.randint(3, 60))} {passage} {prose(rng.randint(3, 60))}") for i in (2 * g, 2 * g + 1)]
+    rows += [(1000 + i, f"{line}\n{prose(80)}\n{line}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in chunks.dedup_chunks(df, **chunks.PASSAGES).collect()}
+    assert sum(out[2 * g + 1].n_removed > 0 for g in range(200)) >= least
+    assert all(out[2 * g].n_removed == 0 for g in range(200)) and all(out[1000 + i].n_shared == 0 for i in range(60))
+
+
+def test_short_exact_copies_go_whole(spark):
+    tail = "a very long text that ends with these words and a few others before them, " * 4
+    rows = [(0, tail + "Thank you."), (1, "Thank you."), (2, "Thank you."), (3, "Thank you!"), (None, "Thank you."), (4, ""), (5, ""),
+            (6, "seven words are quite enough for it"), (6, "seven words are quite enough for it"), (7, "x" * 179), (8, "x" * 179),
+            (None, "twice without an id"), (None, "twice without an id")]
+    out = chunks.dedup_chunks(spark.createDataFrame(rows, "doc_id long, text string"), **chunks.PASSAGES, block_bytes=40).collect()
+    gone = sorted((str(r.doc_id), r.n_removed, r.n_spans) for r in out if r.doc_id != 0 and r.n_removed)
+    assert gone == [("2", 10, 1), ("8", 179, 1), ("None", 10, 1)]
+    assert all(r.kept_sha256 == hashlib.sha256(b"").hexdigest() for r in out if r.doc_id in (2, 8))
+
+
+def test_query_removes_every_short_copy_of_the_documents(spark):
+    docs = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    first = {}
+    for i, b in sorted(docs):
+        first.setdefault(b, i)
+    short = {i for i, b in docs if 0 < len(b) < 180 and first[b] != i}
+    out = {r.doc_id: r for r in queries.op9_chunks(spark, "/root/testdata/sf0.01").collect()}
+    assert len(short) == 4 and all(out[i].n_removed == out[i].n_bytes for i in short)
