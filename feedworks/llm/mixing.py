@@ -62,10 +62,12 @@ def leaf_budgets(leaves: DataFrame, weights: dict[str, dict[str, int]], max_epoc
                  share: tuple[int, int], budget: int | None = None) -> DataFrame:
     """``leaves`` (domain, lang, source, available, n_docs) with ``tokens``, what each may
     spend: of ``budget``, or of that share of all available tokens."""
-    cap = (F.col("available") * max_epochs).alias("cap")
-    leaf = leaves.select(*LEVELS, "available", "n_docs", cap, _weight("source", weights).alias("weight"))
-    langs = leaf.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight("lang", weights))
-    tops = leaf.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("available").alias("available")) \
+    can = F.when(F.col("weight") > 0, F.col("cap")).otherwise(F.lit(0)).cast("long")  # weight 0 spends nothing, its parent must know
+    leaf = leaves.select(*LEVELS, "available", "n_docs", (F.col("available") * max_epochs).alias("cap"),
+                         _weight("source", weights).alias("weight")).withColumn("cap", can)
+    both = F.sum("cap").alias("cap"), F.sum("available").alias("available")
+    langs = leaf.groupBy("domain", "lang").agg(*both).withColumn("weight", _weight("lang", weights)).withColumn("cap", can)
+    tops = langs.groupBy("domain").agg(*both) \
         .withColumn("weight", _weight("domain", weights)).withColumn("root", F.lit(0))
     whole = F.lit(budget).cast("long") if budget is not None else \
         (F.expr(f"sum(available) over (partition by root) * {share[0]} div {share[1]}"))

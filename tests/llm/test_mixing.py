@@ -106,3 +106,17 @@ def test_shortage_goes_to_siblings_first(spark):
         "domain string, lang string, source string, available long, n_docs long")
     got = {r.source: r.tokens for r in mixing.leaf_budgets(leaves, {}, 1, (1, 1), 800).collect()}
     assert got == {"s1": 10, "s2": 390, "s3": 400}
+
+
+@pytest.mark.parametrize("weights,want", [
+    ({"source": {"s1": 0}}, {"s1": 0, "s2": 100, "s3": 900, "s4": 0}),  # the shortage of a goes to its sibling b
+    ({"source": {"s1": 0, "s3": 0}}, {"s1": 0, "s2": 100, "s3": 0, "s4": 900}),  # and that of all of d to e
+    ({"lang": {"a": 0}}, {"s1": 0, "s2": 0, "s3": 500, "s4": 500}),
+    ({"lang": {"a": 0, "b": 0}}, {"s1": 0, "s2": 0, "s3": 0, "s4": 1000})])
+def test_weight_zero_leaves_its_share_to_others(spark, weights, want):
+    data = [("d", "a", "s1", 1000, 9), ("d", "a", "s2", 100, 1), ("d", "b", "s3", 1000, 9), ("e", "c", "s4", 1000, 9)]
+    if weights == {"source": {"s1": 0}}:
+        data[3] = ("d", "b", "s4", 0, 1)
+    leaves = spark.createDataFrame(data, "domain string, lang string, source string, available long, n_docs long")
+    got = {r.source: r.tokens for r in mixing.leaf_budgets(leaves, weights, 1, (1, 1), 1000).collect()}
+    assert got == want
