@@ -39,11 +39,21 @@ BASE = (
     Rule("access", "(AKIA[A-Z0-9]+)", 1, 18),
     Rule("hex", "([0-9a-f]{16,})", 1, 16),
 )
+# A private key runs on from its header, over header lines and base64, to its END line; without
+# one, to the end of the base64 run: whole lines and a last short one.  Line ends may be written
+# out as in JSON.  Possessive repeats: no way back, and no recursion in Java's matcher.
+_BREAK, _BLANK = r"(?:[\r\n]|\\[rn])", r"(?:\s|\\[rn])"
+_KEY = "-----{} [A-Z ]{{0,20}}PRIVATE KEY-----"
+_HEADERS = rf"(?:{_BREAK}{{1,2}}[A-Za-z][A-Za-z0-9-]{{0,40}}:\x20[^\r\n\\]{{0,200}}+){{0,4}}+"
+_LAST = rf"""(?:{_BREAK}{{1,2}}+(?:[A-Za-z0-9+/]{{1,15}}={{1,2}}|(?:[A-Za-z0-9+/]{{4}}){{1,3}}(?=[\r\n"'\\])|[A-Za-z0-9+/]{{1,15}}$))?"""
+_RUN = rf"(?:{_BLANK}{{1,4}}+[A-Za-z0-9+/=]{{16,}}+)++{_LAST}"
+_PEM = rf"""({_KEY.format("BEGIN")}(?:{_HEADERS}(?:[A-Za-z0-9+/=\s\\"',]*+{_KEY.format("END")}|{_RUN}))?)"""
+
 #: Kinds beyond them.
 MORE = (
     Rule("github", "(gh[opsu]_[A-Za-z0-9]{36,})"),
     Rule("jwt", "(eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,})"),
-    Rule("pem", "(-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)"),
+    Rule("pem", _PEM),
 )
 
 

@@ -85,3 +85,30 @@ def test_plan_runs_no_python(spark, capsys):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     secrets.scan_secrets(docs).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_private_keys_go_with_their_body(spark):
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(n))
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = [line(64) for _ in range(25)] + [line(10) + "=="]
+    coded = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    blocks = ["\n".join([head, *body, foot]), "\r\n".join([head, *body, foot]), " ".join([head, *body, foot]), "\\n".join([head, *body, foot]),
+              head + "\n" + coded + "\n".join([*body, foot]), "\n".join([head, *body]), head + "\n" + "\n".join(body[:-1]),
+              head + "\n" + coded + "\n".join(body), "\n".join([head, *[line(64) for _ in range(20000)], foot]),
+              "\n".join([head, *[line(64) for _ in range(20000)]]), head]
+    texts = [(f"before 🙂 {x}", "\nwith words after it.") for x in blocks]
+    docs = spark.createDataFrame([(i, a + b) for i, (a, b) in enumerate(texts)], "doc_id long, text string")
+    spans = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("pem")] for r in secrets.scan_secrets(docs).collect()}
+    assert spans == {i: [f"pem:9:{len(a)}"] for i, (a, _) in enumerate(texts)}
+    got = {r.doc_id: r.text for r in secrets.redact_secrets(docs).collect()}
+    assert got == {i: f"before 🙂 [SECRET]{b}" for i, (_, b) in enumerate(texts)}
+    two = spark.createDataFrame([(1, f"{blocks[0]}\nThanks\n{blocks[5]}\nThat was all of it."), (2, f"{head}\nThanks for it\nNote: none")],
+                                "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secrets.redact_secrets(two).collect()} == {
+        1: "[SECRET]\nThanks\n[SECRET]\nThat was all of it.", 2: "[SECRET]\nThanks for it\nNote: none"}
+
+
+def test_private_key_is_asked_for_by_its_header_alone():
+    found = secrets.trigrams_of(secrets.trigram_query(secrets.MORE[2].pattern))
+    assert found and found == secrets.trigrams_of(secrets.trigram_query("(-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)"))
