@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, chunks, embed_dedup, katz, mixing, quality, secrets, simhash, suffix
+from . import balltree, bpe, chunks, embed_dedup, katz, mixing, pieces, quality, secrets, simhash, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=mixing.WEIGHTS)
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_katz, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup,
-                                   op7_suffix, op8_secrets, op9_chunks, op10_mixing)}
+                                   op7_suffix, op8_secrets, op9_chunks, op10_mixing, op11_pieces)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
