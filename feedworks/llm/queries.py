@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, chunks, embed_dedup, katz, mixing, pieces, prefix_trie, quality, secrets, simhash, suffix
+from . import balltree, bpe, chunks, embed_dedup, katz, mixing, pieces, prefix_trie, quality, secrets, simhash, spelling, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_katz, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup,
-                                   op7_suffix, op8_secrets, op9_chunks, op10_mixing, op11_pieces, op12_prefix_trie)}
+                                   op7_suffix, op8_secrets, op9_chunks, op10_mixing, op11_pieces, op12_prefix_trie,
+                                   op13_spelling)}
 ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
