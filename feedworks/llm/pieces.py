@@ -219,5 +219,6 @@ def encode_pieces(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
                 yield pd.DataFrame(out, columns=["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * with_ids])
 
     schema = "id string, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
-    return (packed.join(stored(gathered, "sp-gathered"), "block", "left").select("block", "ids", "lens", "texts", "answers")
+    # grouped as the blocks are bucketed: the answers move once, the texts never
+    return (packed.join(gathered, "block", "left").select("block", "ids", "lens", "texts", "answers")
             .mapInPandas(join, schema).withColumn("id", F.col("id").cast("long")).withColumnRenamed("id", id_col))
