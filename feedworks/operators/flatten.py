@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from feedworks.functions import lists
 from feedworks.functions.staged import clean_columns
@@ -19,6 +20,21 @@ def with_surrogate_id(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(name), *df.columns)
 
 
+def with_ids(rows: DataFrame, name: str, first: int = 0) -> DataFrame:
+    """K14 over loads: dense ids from ``first`` on for the rows of a Parquet scan.
+
+    Two passes: rows are counted by file, and the sums over the files before give each file its
+    first id; a row's place in its file does the rest.  Files and places stay what they
+    are however the scan is split, so a repeated task gives the same ids.  The sums,
+    one row for each file, are broadcast.
+    """
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", before.alias("_before"))
+    return placed.join(F.broadcast(sizes), "_file").select(
+        (F.lit(first).cast("long") + F.col("_before") + F.col("_place")).alias(name), *rows.columns)
+
+
 def explode_list(df: DataFrame, key: str, items: Column, item_name: str,
                  key_name: str | None = None) -> DataFrame:
     """One row per list item; rows whose list is empty or blank yield nothing."""

@@ -23,12 +23,22 @@ def partition_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def stage_counts(df: DataFrame, table: str, stages: dict[str, Column]) -> DataFrame:
+def stage_counts(df: DataFrame, table: str, stages: dict[str, Column], by_partition: bool = False) -> DataFrame:
     """A8 as a table: one row per (table, stage) with the number of rows of ``df`` that meet the
-    stage's condition, all counted in one pass."""
-    wide = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(f"_{i}") for i, c in enumerate(stages.values())])
+    stage's condition, all counted in one pass; with ``by_partition`` one per partition of
+    ``df`` too, the chunks of a batched loader."""
+    counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(f"_{i}") for i, c in enumerate(stages.values())]
     pairs = ", ".join(f"'{name}', _{i}" for i, name in enumerate(stages))
-    return wide.selectExpr(f"'{table}' AS table", f"stack({len(stages)}, {pairs}) AS (stage, rows)")
+    if by_partition:
+        # counted within each task: one row a partition, nothing to bring together
+        wide = df.groupBy(F.spark_partition_id().alias("partition")).agg(*counts)
+        return wide.selectExpr(f"'{table}' AS table", "partition", f"stack({len(stages)}, {pairs}) AS (stage, rows)")
+    return df.agg(*counts).selectExpr(f"'{table}' AS table", f"stack({len(stages)}, {pairs}) AS (stage, rows)")
+
+
+def totals(counts: DataFrame) -> DataFrame:
+    """The counts of :func:`stage_counts` by partition, summed up."""
+    return counts.groupBy("table", "stage").agg(F.sum("rows").alias("rows"))
 
 
 def throughput(rows: int, elapsed_ms: float) -> float:

@@ -44,10 +44,19 @@ def write_sorted(df: DataFrame, path: str, key: str, partitions: int | None = No
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", path: str | None = None) -> None:
     """Bucket and sort by ``key`` in the catalog, so later joins and aggregates on
-    ``key`` need no shuffle of this table."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    ``key`` need no shuffle of this table.  The rows are dealt out to the buckets first, so
+    that each bucket is one file, not one for every task."""
+    writer = df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def lookup(table: DataFrame, key: str, values: list) -> DataFrame:
+    """The rows with one of some keys.  Of a bucketed table Spark reads the buckets of
+    these keys alone, of one that :func:`write_sorted` wrote the row groups whose bounds
+    may hold them."""
+    return table.where(F.col(key).isin(list(values)))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -41,12 +41,9 @@ def new_rows(new: DataFrame, existing: DataFrame, keys, order=None) -> DataFrame
 
 
 def without(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """The ``rows`` whose keys ``existing`` does not hold.  ``existing`` is first cut to the keys
-    of ``rows``: where those are few, Spark sends them to the scan of ``existing`` and only
-    what is found moves, however much earlier loads have written."""
-    wanted = rows.select(*keys)
-    found = existing.select(*keys).join(wanted, keys, "left_semi")
-    return rows.join(found, keys, "left_anti")
+    """The ``rows`` whose keys ``existing`` does not hold.  Only the keys of ``existing`` are read;
+    where it is bucketed by them (:func:`write_index`) they don't move either."""
+    return rows.join(existing.select(*keys), keys, "left_anti")
 
 
 def keep_first_append(new: DataFrame, existing: DataFrame, keys, order=None) -> DataFrame:
@@ -63,3 +60,12 @@ def append_pairs(new_edges: DataFrame, existing: DataFrame, cols) -> DataFrame:
     """K4: edges a unique-pair load would add to ``existing``."""
     cols = _as_list(cols)
     return without(dedup_pairs(new_edges, cols), existing, cols)
+
+
+def write_index(df: DataFrame, table: str, keys, buckets: int, path: str | None = None, mode: str = "append") -> None:
+    """K2 / K4 on a large target: its keys in a catalog table bucketed by them.  A load then asks
+    ``without(rows, spark.table(table), keys)``: the new rows are dealt out to the buckets, and
+    what earlier loads have written stays where it is."""
+    keys = _as_list(keys)
+    writer = df.select(*keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)

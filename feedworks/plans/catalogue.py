@@ -14,16 +14,19 @@ independent DuckDB statement for the same result (used by the correctness gate).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks import functions as fx
-from feedworks.operators import changes, flatten, quality, reports, sinks, upsert
+from feedworks.operators import changes, flatten, ledger, metrics, quality, reports, sinks, stored, upsert
 from feedworks.operators.layout import spread
 from feedworks.plans import imports, suites
-from feedworks.schemas import RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS
+from feedworks.schemas import RECIPES_COLUMNS, REVIEWS_COLUMNS, TARGETS, USERS_COLUMNS
+from feedworks.session import shared_path
 from feedworks.sources import from_rows, table
-from feedworks.sources.csv_feed import split_lines
+from feedworks.sources.csv_feed import read_records, split_lines
 
 PART_USERS = suites.UserCols(key="p_partkey", name="p_name", gender="p_type", age="p_size",
                              followers="p_retailprice", following="p_size",
@@ -619,6 +622,123 @@ def q_import_review_rejects(spark, sf):
     return rej.groupBy("table", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ============================================================== K14 over loads, K1, A8 by partition
+def _halves(spark, sf):
+    li, cutoff = _t(spark, sf, "lineitem"), F.lit(LOAD_CUTOFF).cast("timestamp")
+    return li.filter(F.col("l_shipdate") < cutoff), li.filter(F.col("l_shipdate") >= cutoff)
+
+
+def q_surrogate_id_loads(spark, sf):
+    """Two loads into one table: the second goes on where the first ended."""
+    target, edges = shared_path(spark, "edges"), ("l_partkey", "l_suppkey")
+    for half in _halves(spark, sf):
+        unit = ledger.begin(spark, target, "users")
+        pairs = half.select(F.lit(None).cast("long").alias("id"), *[F.col(c).cast("int").alias(n) for c, n in zip(edges, ("user_id", "follower_id"))])
+        n, after = ledger.write_with_ids(pairs, target, "user_followers", unit, "id")
+        ledger.commit(spark, target, unit, [("user_followers", "loaded", n, after)])
+    rows = ledger.committed(spark, target, "user_followers", TARGETS["user_followers"])
+    return rows.agg(F.count("id").alias("rows"), F.count_distinct("id").alias("ids"), F.min("id").alias("first"), F.max("id").alias("last"),
+                    F.count_distinct(ledger.LOAD).alias("loads"))
+
+
+def q_load_report(spark, sf):
+    """A9 of two committed loads and one that broke off before its record."""
+    target = shared_path(spark, "loads")
+    for half, done in zip((*_halves(spark, sf), _t(spark, sf, "lineitem")), (True, True, False)):
+        unit = ledger.begin(spark, target, "users")
+        n = ledger.write(half.select(F.col("l_partkey").cast("int").alias("author_id")), target, "users", unit)
+        if done:
+            ledger.commit(spark, target, unit, [("users", "loaded", n, None)])
+    return ledger.report(spark, target).select("load_id", "table", "stage", "rows")
+
+
+def q_import_partition_metrics(spark, sf):
+    """A8 by scan partition, summed up: each chunk's counts come from the one pass over the feed."""
+    parts = _import_users(spark, sf)["partition_metrics"]
+    return metrics.totals(parts)
+
+
+# ============================================================== K2 K4 K13 on bucketed layouts
+def q_keep_first_bucketed(spark, sf):
+    """K2 against keys in a bucketed index: the rows that a load adds."""
+    old, new = _halves(spark, sf)
+    index, path = _index_name("keys"), shared_path(spark, "keys")
+    upsert.write_index(old, index, KEYS, buckets=8, path=path)
+    out = upsert.without(upsert.keep_first(new, KEYS), spark.table(index), KEYS)
+    spark.sql(f"DROP TABLE {index}")  # the name alone: the files stay, and ``out`` reads them
+    return out
+
+
+def _index_name(name: str) -> str:
+    return f"feedworks_{name}_{uuid.uuid4().hex}"
+
+
+def q_lookup_bucketed(spark, sf):
+    """The lines of the dearest part from a table bucketed by part."""
+    key = _t(spark, sf, "part").orderBy(F.desc("p_retailprice"), "p_partkey").select("p_partkey").first()[0]
+    index = _index_name("lines")
+    sinks.write_bucketed(_t(spark, sf, "lineitem"), index, "l_partkey", 8, path=shared_path(spark, "lines"))
+    out = sinks.lookup(spark.table(index), "l_partkey", [key])
+    spark.sql(f"DROP TABLE {index}")
+    return out
+
+
+# ============================================================== U1 U3 U4 Q14 on stored tables
+def _stored(spark, sf, name, key, width=500):
+    path = shared_path(spark, name)
+    stored.write_ranged(_t(spark, sf, name), path, key, width)
+    return path
+
+
+def q_stored_update(spark, sf):
+    path = _stored(spark, sf, "part", "p_partkey")
+    n = stored.update(spark, path, "p_retailprice", F.col("p_retailprice") + 1, F.col("p_size") < 30)
+    return stored.read_ranged(spark, path).select("p_partkey", "p_size", "p_retailprice", F.lit(n).cast("long").alias("changed"))
+
+
+def q_stored_delete(spark, sf):
+    path = _stored(spark, sf, "part", "p_partkey")
+    stored.delete(spark, path, F.coalesce(F.col("p_size"), F.lit(0)) > 40)
+    return stored.read_ranged(spark, path)
+
+
+def q_stored_delete_in_limit(spark, sf):
+    path = _stored(spark, sf, "part", "p_partkey")
+    stored.delete_in_limit(spark, path, "p_partkey", 500, F.col("p_size") > 45, 10)
+    return stored.read_ranged(spark, path)
+
+
+def q_stored_cascade(spark, sf):
+    """Urgent orders and their lines, both stored by ranges of the order's key."""
+    orders, lines = _stored(spark, sf, "orders", "o_orderkey", 5000), _stored(spark, sf, "lineitem", "l_orderkey", 5000)
+    doomed = _t(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    gone = stored.cascade_delete(spark, orders, "o_orderkey", 5000, doomed, [(lines, "l_orderkey", 5000)])
+    return stored.read_ranged(spark, lines).withColumn("orders_deleted", F.lit(gone[orders]).cast("long"))
+
+
+# ============================================================== S1 S3 with newlines in cells; marks
+def q_feed_marks(spark, sf):
+    """Private-use characters and backslashes in a cell come back as they were."""
+    odd = F.concat(F.lit('"Ann \ue000 \ue001 \ue0010 \\\\ Lee '), F.col("l_suppkey").cast("string"), F.lit('"'))
+    li = _t(spark, sf, "lineitem").select(F.concat(F.col("l_partkey").cast("string"), F.lit(","), odd, F.lit(",Male,1,1,1,,")).alias("_line"),
+                                          "l_orderkey", "l_linenumber")
+    return split_lines(li, USERS_COLUMNS).records.select("author_id", "author_name", "gender", "l_orderkey", "l_linenumber")
+
+
+def q_feed_multi_line(spark, sf):
+    """Users with a newline, a doubled quote and a blank line in the name, written as CSV text of
+    several files and read by many tasks."""
+    path = shared_path(spark, "feed")
+    s = lambda c: F.col(c).cast("string")
+    name = F.concat(F.lit('"Ann ""the\n\n'), s("l_suppkey"), F.lit('""\nLee, "'))
+    line = F.concat_ws(",", s("l_partkey"), name, F.lit("Male"), s("l_linenumber"), s("l_orderkey"), F.lit("1"), F.lit(""), F.lit(""))
+    # every file begins with its header
+    _t(spark, sf, "lineitem").repartitionByRange(4, "l_orderkey").select(line.alias("value")).write \
+        .option("header", True).option("quote", "").option("escape", "").option("escapeQuotes", False).option("sep", "\u0001").csv(path)
+    feed = read_records(spark, path, USERS_COLUMNS, ingest_order=False)
+    return feed.records.select("author_id", "author_name", "gender", "age", "followers_count")
+
+
 QUERIES = {
     "count_all": q_count_all,
     "filter_counts": q_filter_counts,
@@ -690,4 +810,15 @@ QUERIES = {
     "timing_summary": q_timing_summary,
     "parse_ids_compat": q_parse_ids_compat,
     "parse_strs_compat": q_parse_strs_compat,
+    "surrogate_id_loads": q_surrogate_id_loads,
+    "load_report": q_load_report,
+    "import_partition_metrics": q_import_partition_metrics,
+    "keep_first_bucketed": q_keep_first_bucketed,
+    "lookup_bucketed": q_lookup_bucketed,
+    "stored_update": q_stored_update,
+    "stored_delete": q_stored_delete,
+    "stored_delete_in_limit": q_stored_delete_in_limit,
+    "stored_cascade": q_stored_cascade,
+    "feed_marks": q_feed_marks,
+    "feed_multi_line": q_feed_multi_line,
 }

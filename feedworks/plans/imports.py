@@ -116,13 +116,13 @@ def _row_rejects(table: str, df: DataFrame, key: Column, reason: Column) -> Data
                      F.lit(None).cast("string").alias("record"), F.lit(None).cast("int").alias("lines"))
 
 
-def _metrics(table: str, typed: DataFrame) -> DataFrame:
+def _metrics(table: str, typed: DataFrame, by_partition: bool = False) -> DataFrame:
     """A8 in one pass over the cleaned feed: no join, no second scan."""
     readable, reason = F.col(READ).isNull(), F.col(quality.REASON)
     stages = {"read": readable, **{r: F.col(READ) == r for r in READ_ERRORS},
               "rejected": readable & reason.isNotNull(), "valid": reason.isNull()}
     cut = {f"cut:{c.removeprefix('_cut_')}": readable & F.col(c) for c in typed.columns if c.startswith("_cut_")}
-    return metrics.stage_counts(typed, table, {**stages, **cut})
+    return metrics.stage_counts(typed, table, {**stages, **cut}, by_partition)
 
 
 def _new_parents(valid: DataFrame, key: str, known: DataFrame | None, schema) -> tuple[DataFrame, DataFrame]:
@@ -184,7 +184,8 @@ def import_users(spark: SparkSession, source, multi_line: bool = False, persist:
         edge_rejects.append(_row_rejects(name, own.filter(~good), F.concat_ws("->", "user_id", "other"),
                                          F.when(~F.col("_user_ok"), F.lit("fk:user_id")).otherwise(F.lit(f"fk:{other}"))))
     return {"users": users, **tables, "rejects": _union([_feed_rejects("users", typed), *edge_rejects]),
-            "metrics": _metrics("users", typed), "cleaned": typed, "tagged_edges": edges}
+            "metrics": _metrics("users", typed),
+            "partition_metrics": _metrics("users", typed, by_partition=True), "cleaned": typed, "tagged_edges": edges}
 
 
 # =========================================================================== G2
@@ -239,6 +240,7 @@ def import_recipes(spark: SparkSession, source, users: DataFrame | None = None,
     parts.append(_row_rejects("recipe_children", keyed.filter(~F.col("_loaded")), F.col("recipe_id").cast("string"),
                               F.lit("fk:recipe_id")))
     return {"recipes": recipes, **children, "rejects": _union(parts), "metrics": _metrics("recipes", typed),
+            "partition_metrics": _metrics("recipes", typed, by_partition=True),
             "cleaned": typed, "tagged_children": keyed}
 
 
@@ -261,4 +263,5 @@ def import_reviews(spark: SparkSession, source, multi_line: bool = False, persis
     likers = flatten.explode_ids(_keyed(typed, "review_id"), "review_id", F.col("likes"), "liker_id")
     review_likers = conform(flatten.with_surrogate_id(likers, "like_id"), REVIEW_LIKERS)
     return {"reviews": reviews, "review_likers": review_likers, "rejects": _feed_rejects("reviews", typed),
-            "metrics": _metrics("reviews", typed), "cleaned": typed}
+            "metrics": _metrics("reviews", typed),
+            "partition_metrics": _metrics("reviews", typed, by_partition=True), "cleaned": typed}

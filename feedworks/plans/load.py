@@ -1,21 +1,38 @@
 """End-to-end load (G1-G3 in order): reset on request, import each feed against what its
-target holds, write every table, report.
+target holds, write every table, commit, report.
 
-Each table is written once and counted by the write itself (``metrics.observe``); the
-feed's own counts (A8) come from one pass over the cleaned feed.
+Each feed is a load of its own in the ledger (``operators.ledger``): a load that stops on the
+way, wherever that is, is not seen by readers, and running it again replaces what it left.
+Each table is counted by the write itself; the feed's own counts (A8) come from one pass
+over the cleaned feed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedworks.operators import metrics, sinks, upsert
+from feedworks.operators import ledger, metrics, sinks, upsert
 from feedworks.plans import imports
-from feedworks.schemas import TARGETS
-from feedworks.streaming.feed_stream import FEEDS, existing
+from feedworks.schemas import PARTITION_COUNTS, RECIPES_COLUMNS, REJECTS, REVIEWS_COLUMNS, TARGETS, USERS_COLUMNS
 
 ORDER = ("users", "recipes", "reviews")
+# Per feed, its columns, its import job, the parent table and key,
+# the unique-pair child tables and the plain child tables.
+FEEDS = {
+    "users": (USERS_COLUMNS, imports.import_users, ("users", "author_id"),
+              {"user_followers": ["user_id", "follower_id"],
+               "user_following": ["user_id", "following_id"]}, []),
+    "recipes": (RECIPES_COLUMNS, imports.import_recipes, ("recipes", "recipe_id"), {},
+                ["keywords", "recipe_ingredients", "recipe_instructions"]),
+    "reviews": (REVIEWS_COLUMNS, imports.import_reviews, ("reviews", "review_id"), {},
+                ["review_likers"]),
+}
+
+
+def schema_of(table: str) -> T.StructType:
+    return REJECTS if table.endswith("_rejects") else TARGETS[table]
 
 
 def load(spark: SparkSession, feeds: dict[str, object], target: str, reset: bool = False, **options) -> DataFrame:
@@ -23,41 +40,55 @@ def load(spark: SparkSession, feeds: dict[str, object], target: str, reset: bool
 
     Keys and unique pairs that a table has already are not written again; other children
     of a record are appended only if the record's parent is new with this load, so loading a
-    feed twice adds nothing.  ``options`` go to the imports.  Returns the report
+    feed twice adds nothing, and neither does running a load again that broke off.  Surrogate
+    ids go on from load to load.  A stored table that does not fit its target's schema is an
+    error before anything is written.  ``options`` go to the imports.  Returns the report
     (``table``, ``stage``, ``rows``), which is also written to ``target``/report.
     """
     if reset:
+        # records first: without them no reader sees the tables while these are emptied
+        sinks.write_parquet(sinks.empty_table(spark, ledger.COMMITS).drop(ledger.LOAD), f"{target}/commits")
         sinks.reset_targets(spark, TARGETS, target)
     report = []
     for feed in (f for f in ORDER if f in feeds):
-        _, job, (parent, key), pairs, plain = FEEDS[feed]
-        known = existing(spark, f"{target}/{parent}")
-        more = {f"known_{parent}": known}
-        if feed == "recipes":
-            more["users"] = existing(spark, f"{target}/users")
-        out = job(spark, feeds[feed], **more, **options)
-        counts = [(r["table"], r["stage"], r["rows"]) for r in out["metrics"].collect()]  # a dozen numbers
-        if plain and known is not None:
-            out |= {child: upsert.without(out[child], known, [key]) for child in plain}
-        for child, pair in pairs.items():
-            have = existing(spark, f"{target}/{child}")
-            if have is not None:
-                out[child] = upsert.append_pairs(out[child], have, pair)
-        # children first: which of them are new is told from the parents as they were
-        for name in (*pairs, *plain, parent):
-            counts.append((name, "loaded", _write(out[name], f"{target}/{name}", name)))
-        counts.append((feed, "rejects", _write(out["rejects"], f"{target}/{feed}_rejects", f"{feed}_rejects")))
-        for kept in ("cleaned", "tagged_edges", "tagged_children"):
-            if kept in out:
-                out[kept].unpersist()
-        report += counts
-    frame = spark.createDataFrame(report, "table string, stage string, rows long")
+        report += load_feed(spark, feed, feeds[feed], target, ledger.begin(spark, target, feed), **options)
+    frame = spark.createDataFrame([r[:3] for r in report], "table string, stage string, rows long")
     sinks.write_reports({"report": frame}, target)
     return frame.orderBy(F.col("table"), F.col("stage"))
 
 
-def _write(df: DataFrame, path: str, name: str) -> int:
-    """Append, and the number of rows written."""
-    observed, seen = metrics.observe(df, f"load_{name}")
-    observed.write.mode("append").parquet(path)
-    return seen.get["rows"]
+def load_feed(spark: SparkSession, feed: str, source, target: str, unit: ledger.Load, users: DataFrame | None = None,
+              **options) -> list[tuple[str, str, int, int | None]]:
+    """One load of one feed, up to its commit record; the (table, stage, rows, next_id) in it.
+    ``users``: those that authors of recipes must be among, where not the target's own."""
+    _, job, (parent, key), pairs, plain = FEEDS[feed]
+    tables = (*pairs, *plain, parent, f"{feed}_rejects")
+    for name in tables:
+        ledger.check_stored(spark, f"{target}/{name}", schema_of(name))
+    have = {name: ledger.committed(spark, target, name, schema_of(name)) for name in (parent, *pairs)}
+    more = {f"known_{parent}": have[parent]}
+    if feed == "recipes":
+        more["users"] = ledger.committed(spark, target, "users", TARGETS["users"]) if users is None else users
+    out = job(spark, source, **more, **options)
+    try:
+        # the feed is counted once, by partition; the totals are sums of what was written
+        ledger.write(sinks.conform(out["partition_metrics"], PARTITION_COUNTS), target, f"{feed}_partitions", unit)
+        parts = spark.read.schema(PARTITION_COUNTS).parquet(ledger.path_of(target, f"{feed}_partitions", unit))
+        counts = [(r["table"], r["stage"], r["rows"], None) for r in metrics.totals(parts).collect()]  # a dozen numbers
+        if have[parent] is not None:
+            out |= {child: upsert.without(out[child], have[parent], [key]) for child in plain}
+        out |= {child: upsert.append_pairs(out[child], have[child], pair) for child, pair in pairs.items() if have[child] is not None}
+        out[f"{feed}_rejects"] = out["rejects"]
+        for name in tables:
+            rows = sinks.conform(out[name], schema_of(name))
+            if name in (*pairs, *plain):
+                n, after = ledger.write_with_ids(rows, target, name, unit, schema_of(name).names[0])
+            else:
+                n, after = ledger.write(rows, target, name, unit), None
+            counts.append((name, "loaded", n, after))
+        ledger.commit(spark, target, unit, counts)
+    finally:
+        for kept in ("cleaned", "tagged_edges", "tagged_children"):
+            if kept in out:
+                out[kept].unpersist()
+    return counts

@@ -7,7 +7,7 @@ possessive quantifiers; with these patterns the matches are the same).
 
 from __future__ import annotations
 
-from feedworks.plans.catalogue import INT_CELLS, DOUBLE_CELLS
+from feedworks.plans.catalogue import DOUBLE_CELLS, INT_CELLS, LOAD_CUTOFF
 
 # --------------------------------------------------------------------------- helpers
 RE2_ITEM = r'(?:[^,"\\]|\\.?|"(?:[^"\\]|\\.?)*(?:"|$))+'
@@ -446,3 +446,27 @@ ORACLE["surrogate_id"] = 'SELECT count(*) AS "rows", count(*) AS ids, 0 AS negat
 ORACLE["timing_summary"] = """WITH m AS (SELECT event_type, avg(value) AS mean_ms, count(*) AS rounds FROM events GROUP BY 1)
     SELECT event_type, round(mean_ms, 6) AS mean_ms, rounds,
         round(mean_ms / (SELECT mean_ms FROM m WHERE event_type = 'click'), 6) AS ratio FROM m"""
+
+# --------------------------------------------------------------------------- loads and stored tables
+_CUT = f"TIMESTAMP '{LOAD_CUTOFF}'"
+ORACLE["surrogate_id_loads"] = """SELECT count(*) AS "rows", count(*) AS ids, 0 AS "first", count(*) - 1 AS "last", 2 AS loads
+    FROM lineitem WHERE l_shipdate IS NOT NULL"""
+ORACLE["load_report"] = f"""SELECT 'users-00000000000' || CASE WHEN l_shipdate < {_CUT} THEN '1' ELSE '2' END AS load_id,
+    'users' AS "table", 'loaded' AS stage, count(*) AS "rows" FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1"""
+ORACLE["import_partition_metrics"] = ORACLE["import_metrics"]
+ORACLE["keep_first_bucketed"] = f"""SELECT * FROM ({keep_first_sql(
+    f"(SELECT * FROM lineitem WHERE l_shipdate >= {_CUT})", KEYS, LINE_REST, LINE_COLS)}) n WHERE NOT EXISTS
+    (SELECT 1 FROM lineitem e WHERE e.l_shipdate < {_CUT} AND e.l_orderkey = n.l_orderkey AND e.l_linenumber = n.l_linenumber)"""
+ORACLE["lookup_bucketed"] = """SELECT * FROM lineitem WHERE l_partkey =
+    (SELECT p_partkey FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 1)"""
+ORACLE["stored_update"] = f"""SELECT *, (SELECT count(*) FROM part WHERE p_size < 30) AS changed FROM ({ORACLE["update_where"]})"""
+ORACLE["stored_delete"] = ORACLE["delete_where"]
+ORACLE["stored_delete_in_limit"] = ORACLE["delete_in_limit"]
+ORACLE["stored_cascade"] = f"""SELECT *, (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT') AS orders_deleted
+    FROM ({ORACLE["cascade_delete"]})"""
+ORACLE["feed_marks"] = """SELECT CAST(l_partkey AS VARCHAR) AS author_id,
+    'Ann ' || chr(57344) || ' ' || chr(57345) || ' ' || chr(57345) || '0 ' || chr(92) || ' Lee ' || CAST(l_suppkey AS VARCHAR) AS author_name,
+    'Male' AS gender, l_orderkey, l_linenumber FROM lineitem"""
+ORACLE["feed_multi_line"] = """SELECT CAST(l_partkey AS VARCHAR) AS author_id,
+    'Ann "the' || chr(10) || chr(10) || CAST(l_suppkey AS VARCHAR) || '"' || chr(10) || 'Lee, ' AS author_name, 'Male' AS gender,
+    CAST(l_linenumber AS VARCHAR) AS age, CAST(l_orderkey AS VARCHAR) AS followers_count FROM lineitem"""

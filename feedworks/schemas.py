@@ -113,3 +113,18 @@ TARGETS = {
     "recipe_instructions": RECIPE_INSTRUCTIONS, "reviews": REVIEWS,
     "review_likers": REVIEW_LIKERS,
 }
+
+REJECTS = T.StructType([
+    T.StructField("table", T.StringType(), True),
+    T.StructField("key", T.StringType(), True),
+    T.StructField("reject_reason", T.StringType(), True),
+    T.StructField("record", T.StringType(), True),
+    T.StructField("lines", T.IntegerType(), True),
+])
+
+PARTITION_COUNTS = T.StructType([
+    T.StructField("table", T.StringType(), True),
+    T.StructField("partition", T.IntegerType(), True),
+    T.StructField("stage", T.StringType(), True),
+    T.StructField("rows", T.LongType(), True),
+])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every feedworks job relies on.  The session zone is pinned to UTC so that
@@ -64,3 +66,26 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster names in ``spark.checkpoint.dir``.  There is no
+    folder of our own to fall back to, as on a cluster that would be each machine's own."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{root.rstrip('/')}/feedworks-{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and its path.  What is read twice from
+    there is the same rows in the same files both times, also in a repeated task."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`staged` or :func:`shared_path` gave."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

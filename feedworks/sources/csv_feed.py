@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from feedworks.schemas import CORRUPT_COLUMN, raw_schema
 
@@ -31,8 +32,9 @@ LINE = "_line"
 # A line is read as one cell: a separator no text should hold, and no quote.  Where a line
 # holds it all the same, the reader reports the whole line as a corrupt record.
 ONE_CELL = {"sep": "\u0001", "quote": "", "escape": ""}
-# Stands for an escaped backslash while a line is taken apart.
-_BACKSLASH = "\ue000"
+# The first stands for an escaped backslash while a line is taken apart.  Where the text has one of the two
+# itself, the second and a digit stand for it, so that it comes back as it was.
+_BACKSLASH, _MARK = "\ue000", "\ue001"
 
 
 @dataclass
@@ -59,10 +61,17 @@ def open_quote(line: Column) -> Column:
 
 def doubled_quotes(line: Column) -> Column:
     """``\\"`` as a doubled quote and ``\\\\`` as one backslash (marked until the cells are cut)."""
-    marked = F.replace(line, F.lit("\\\\"), F.lit(_BACKSLASH))
+    own = F.replace(F.replace(line, F.lit(_MARK), F.lit(_MARK + "1")), F.lit(_BACKSLASH), F.lit(_MARK + "0"))
+    marked = F.replace(own, F.lit("\\\\"), F.lit(_BACKSLASH))
     return F.replace(marked, F.lit('\\"'), F.lit('""'))
 
 
+def unmarked(cell: Column) -> Column:
+    """A cell with its own characters again in place of the marks of :func:`doubled_quotes`."""
+    plain = F.replace(cell, F.lit(_BACKSLASH), F.lit("\\"))
+    return F.replace(F.replace(plain, F.lit(_MARK + "0"), F.lit(_BACKSLASH)), F.lit(_MARK + "1"), F.lit(_MARK))
+
+
 def split_lines(lines: DataFrame, columns: list[str], line: str = LINE) -> Feed:
     """S1-S5 for text that comes line by line; other columns of ``lines`` stay with the records.
 
@@ -77,7 +86,7 @@ def split_lines(lines: DataFrame, columns: list[str], line: str = LINE) -> Feed:
     cells = F.from_csv(F.col("_text"), schema.simpleString()[7:-1].replace(":", " "), options)
     tagged = (lines.select(*others, F.col(line).alias("record"), text.alias("_text"))
               .withColumn(REASON, reason).withColumn("_cells", cells)
-              .select(*others, *[F.replace(F.col(f"_cells.{c}"), F.lit(_BACKSLASH), F.lit("\\")).alias(c) for c in columns],
+              .select(*others, *[unmarked(F.col(f"_cells.{c}")).alias(c) for c in columns],
                       "record", F.lit(1).alias("lines"), REASON))
     return _feed_of(tagged, columns)
 
@@ -102,18 +111,94 @@ def with_order(df: DataFrame, wanted: bool, file: Column, block: Column) -> Data
                                                 F.monotonically_increasing_id().alias("pos")))
 
 
-def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool = False,
+# A whole cell, and what leaves a quote open: quotes open a cell at its begin alone, and behind its closing
+# quote all is passed over up to the next separator, as the one-task reader does.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+_CELL = rf'(?:[ \t]*+{_QUOTED}"[^,]*+|(?![ \t]*+")[^,]*+)'
+_OPENS = rf'^(?:{_CELL},)*+[ \t]*+{_QUOTED}\z'
+_STAYS_OPEN = rf'^{_QUOTED[1:]}(?:\z|"[^,]*+(?:,{_CELL})*+,[ \t]*+{_QUOTED}\z)'
+# A quote between two pieces of text: only such lines need the patterns, in others every quote counts.
+_STRAY = r'[^",\s]\s*"\s*[^",\s]'
+
+
+def _states(df: DataFrame, part: list[str], order: str) -> DataFrame:
+    """``df`` with ``s0`` and ``s1``: whether a quote is open before a row, if none (one) is at the
+    begin of its part.  ``f0`` and ``f1`` tell the same of the end of a row for its own begin.  Rows that
+    end alike whatever their begin are fixed points; between them it only matters how often it changes."""
+    upto = W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    turns = F.when((F.col("f0") == 1) & (F.col("f1") == 0), 1).otherwise(0)
+    fixed = F.when(F.col("f0") == F.col("f1"), F.struct(F.col("f0").alias("to"), F.col("_turns").alias("at")))
+    df = df.withColumn("_turns", F.sum(turns).over(upto)).withColumn("_fixed", F.last(fixed, True).over(earlier))
+    before = F.col("_turns") - turns
+    state = lambda k: F.when(F.col("_fixed").isNull(), before + k).otherwise(
+        before + F.col("_fixed.to") - F.col("_fixed.at")) % 2
+    return df.withColumn("s0", state(0)).withColumn("s1", state(1)).drop("_turns", "_fixed")
+
+
+def read_records(spark: SparkSession, path, columns: list[str], ingest_order: bool = True, max_lines: int = 10_000) -> Feed:
+    """S1 / S3 with newlines in cells, for files of any size: read line by line by many tasks.
+
+    A line begins a record where no quote is open before it.  Each line tells whether it leaves
+    one open, for both cases before it, mostly by the parity of its quotes; running sums
+    give the same for all lines of a split and for the split as a whole, and how many
+    records begin in it.  Sums over the splits of a file, one row each, tell which case
+    holds and how the records of a split are numbered; then the lines of a record are
+    gathered by that number, from two splits where its quote crosses their border.
+    Records and rejects are those of the one-task reader; a record of over ``max_lines`` lines
+    (a quote that is never closed) is a reject with its first line and its number of lines,
+    so that no task holds the rest of a file.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("pos"))
+    stray, odd = F.col("value").rlike(_STRAY), open_quote(F.col("value"))
+    lines = lines.withColumns({"f0": F.when(stray, F.col("value").rlike(_OPENS)).otherwise(odd).cast("int"),
+                               "f1": F.when(stray, F.col("value").rlike(_STAYS_OPEN)).otherwise(~odd).cast("int")})
+    lines = _states(lines, ["file", "block"], "pos")
+    so_far = W.partitionBy("file", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    lines = lines.withColumns({f"begun{k}": F.sum(1 - F.col(f"s{k}")).over(so_far) for k in (0, 1)})
+    after = [F.max_by(F.when(F.col(f"s{k}") == 0, F.col("f0")).otherwise(F.col("f1")), "pos").alias(f"f{k}") for k in (0, 1)]
+    splits = _states(lines.groupBy("file", "block").agg(*after, F.max("begun0").alias("in0"), F.max("begun1").alias("in1")), ["file"], "block")
+    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.select("file", "block", F.col("s0").alias("open"), F.coalesce(
+        F.sum(F.when(F.col("s0") == 0, F.col("in0")).otherwise(F.col("in1"))).over(before), F.lit(0)).alias("base"))
+    numbered = lines.join(F.broadcast(splits), ["file", "block"]).select(  # one row for each split
+        "file", "block", "pos", "value", (F.col("base") + F.when(F.col("open") == 0, F.col("begun0")).otherwise(F.col("begun1"))).alias("record"))
+    numbered = numbered.where("record > 1")  # the first record of a file is its header
+    long = numbered.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines)
+    numbered = numbered.join(F.broadcast(long), ["file", "record"], "left")  # at most one row for each max_lines lines
+    place = F.struct("block", "pos", "value")
+    order = F.struct("file", F.col("first.block").alias("block"), F.col("first.pos").alias("pos")).alias(INGEST_ORDER)
+    text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
+    records = (numbered.where("n IS NULL").groupBy("file", "record").agg(F.sort_array(F.collect_list(place)).alias("lines"))
+               .withColumn("first", F.col("lines")[0]).select(order, text.alias("text")).where("text <> ''"))
+    schema = raw_schema(columns)
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    cells = F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "), options)
+    raw = records.select(INGEST_ORDER, cells.alias("cells")).select(INGEST_ORDER, "cells.*")
+    kept = split_records(raw, columns).tagged
+    cut = (numbered.where("n IS NOT NULL").groupBy("file", "record").agg(F.min(place).alias("first"), F.max("n").cast("int").alias("lines"))
+           .select(order, *[F.lit(None).cast("string").alias(c) for c in columns], F.col("first.value").alias("record"), "lines",
+                   F.lit("unterminated_quote").alias(REASON)))
+    tagged = kept.unionByName(cut)
+    return _feed_of(tagged if ingest_order else tagged.drop(INGEST_ORDER), columns)
+
+
+def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool | str = False,
               ingest_order: bool = True) -> Feed:
     """Scan one or many CSV files of a feed.
 
     By default a record is a line: large files are split over the cluster.
     ``multi_line=True`` accepts newlines inside quoted cells, but each file is read by one
-    task, and a file can't be split; use it for feeds that need it, cut into many files.
+    task; ``multi_line="split"`` gives the same of files that many tasks read
+    (:func:`read_records`), for two shuffles of the text.
     Quotes are ``"``, doubled inside a quoted cell.
 
     ``ingest_order`` adds a sortable ``_ingest_order`` (file path, split start, row
     position) used to make keep-first loads deterministic.
     """
+    if multi_line == "split":
+        return read_records(spark, path, columns, ingest_order)
     if not multi_line:
         return split_lines(read_lines(spark, path, ingest_order), columns)
     reader = (spark.read.schema(raw_schema(columns))

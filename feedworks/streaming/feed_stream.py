@@ -1,20 +1,13 @@
 """Incremental feed import with Structured Streaming.
 
-New CSV files landing in a folder are picked up as micro-batches.  Each batch goes
-through the same batch job (clean -> validate -> keep-first -> children, see
-``feedworks.plans.imports``) and is then loaded into Parquet targets with
-keep-first semantics against what earlier batches already loaded:
-
-* parent rows whose key is already in the target are skipped (never overwritten);
-* edges with a unique pair rule skip pairs already present; other child rows are
-  appended;
-* edges must reference loaded users (the target after this batch's parents);
-* rejects are appended with the batch id.
-
-A batch that is replayed after a failure writes nothing twice: its parents and
-unique pairs are already present, and child tables of a replayed batch are replaced
-through the batch-id partition.  The checkpoint goes to the shared folder named by
-``spark.checkpoint.dir``.
+New CSV files landing in a folder are picked up as micro-batches.  Each batch is a load
+like any other (``feedworks.plans.load.load_feed``), into the same tables and layout as batch
+loads: keep-first against what is committed already, ids that go on, counts and rejects.
+
+The commit record names the checkpoint and the batch.  A batch that is replayed after a
+failure finds its record and does nothing; one that broke off before its record replaces
+what it left.  So every batch counts once (A8, A9: ``operators.ledger.report``).  The
+checkpoint goes to the shared folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -23,40 +16,15 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from feedworks.operators import upsert
-from feedworks.plans import imports
-from feedworks.schemas import (CORRUPT_COLUMN, RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS,
-                               raw_schema)
+from feedworks.operators import ledger
+from feedworks.operators.ledger import existing  # noqa: F401
+from feedworks.plans.load import FEEDS, load_feed
+from feedworks.schemas import CORRUPT_COLUMN, raw_schema
 from feedworks.session import checkpoint_dir
 from feedworks.sources.csv_feed import (LINE, ONE_CELL, Feed, split_lines, split_records, whole_line,
                                         with_order)
 
-# Per feed, its columns, its import job, the parent table and key,
-# the unique-pair child tables and the plain child tables.
-FEEDS = {
-    "users": (USERS_COLUMNS, imports.import_users, ("users", "author_id"),
-              {"user_followers": ["user_id", "follower_id"],
-               "user_following": ["user_id", "following_id"]}, []),
-    "recipes": (RECIPES_COLUMNS, imports.import_recipes, ("recipes", "recipe_id"), {},
-                ["keywords", "recipe_ingredients", "recipe_instructions"]),
-    "reviews": (REVIEWS_COLUMNS, imports.import_reviews, ("reviews", "review_id"), {},
-                ["review_likers"]),
-}
-BATCH = "_batch_id"
-
-
-def existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``; None only where there is no such path.  Any other failure to
-    read it is an error: taken for a first load, it would append duplicates."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
 
 def _batch_feed(batch: DataFrame, columns: list[str]) -> Feed:
     # Row positions can only be numbered on the static batch, not in the stream.
@@ -64,35 +32,17 @@ def _batch_feed(batch: DataFrame, columns: list[str]) -> Feed:
     return split_lines(numbered, columns) if LINE in batch.columns else split_records(numbered, columns)
 
 
-def load_batch(spark: SparkSession, batch: DataFrame, batch_id: int, feed: str,
-               target: str, users: str | None = None) -> None:
-    """Load one micro-batch of raw feed rows into the targets under ``target``.  ``users`` is the
-    folder of the loaded users, which the authors of recipes must be among (Q11)."""
-    columns, job, (parent, key), pair_children, plain_children = FEEDS[feed]
-    extra = {f"known_{parent}": existing(spark, f"{target}/{parent}")}
-    if users and feed == "recipes":
-        extra["users"] = spark.read.parquet(users)
-    out = job(spark, _batch_feed(batch, columns), persist=True, **extra)
-    try:
-        out[parent].write.mode("append").parquet(f"{target}/{parent}")
-        for child, pair in pair_children.items():
-            rows = out[child].drop("id")
-            have = existing(spark, f"{target}/{child}")
-            if have is not None:
-                rows = upsert.append_pairs(rows, have.select(*pair), pair)
-            rows.withColumn("id", F.monotonically_increasing_id()) \
-                .select("id", *pair).write.mode("append").parquet(f"{target}/{child}")
-        for child in plain_children:
-            out[child].withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH) \
-                .parquet(f"{target}/{child}")
-        out["rejects"].withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH) \
-            .parquet(f"{target}/{feed}_rejects")
-    finally:
-        for kept in ("cleaned", "tagged_edges", "tagged_children"):
-            if kept in out:
-                out[kept].unpersist()
+def load_batch(spark: SparkSession, batch: DataFrame, batch_id: int, feed: str, target: str,
+               users: str | None = None, source: str = "stream") -> bool:
+    """Load one micro-batch of raw feed rows into the targets under ``target``; False for one
+    that ``source`` has loaded already.  ``users`` is the folder of the loaded users, which
+    the authors of recipes must be among (Q11), where they are not in the target's own."""
+    unit = ledger.begin(spark, target, feed, source, batch_id)
+    if unit is None:
+        return False
+    extra = {"users": spark.read.parquet(users)} if users and feed == "recipes" else {}
+    load_feed(spark, feed, _batch_feed(batch, FEEDS[feed][0]), target, unit, persist=True, **extra)
+    return True
 
 
 def start(spark: SparkSession, source_dir: str, target: str, feed: str = "users",
@@ -123,7 +73,7 @@ def start(spark: SparkSession, source_dir: str, target: str, feed: str = "users"
                            F.col("_metadata.file_block_start").alias("_block"))
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"feedworks-stream-{feed}")
     writer = (stream.writeStream.foreachBatch(
-        lambda df, batch_id: load_batch(spark, df, batch_id, feed, target, users))
+        lambda df, batch_id: load_batch(spark, df, batch_id, feed, target, users, ckpt))
         .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
