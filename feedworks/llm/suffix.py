@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .common import _BYTE, _ODD, mix64, stored
+from .common import _BYTE, _ODD, _SPACE, mix64, span_hashes, stored
 
 _INVERSE = pow(_ODD, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 GRAM = 96
+#: Words of a gram that a window of words is filed by.
+WORD_GRAM = 12
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -38,24 +40,30 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def gram_hashes(b: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from each place on (places with fewer left out)."""
-    n = len(b) - size + 1
+def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` values (bytes as random numbers, or hashes of words) from each place
+    on; places with fewer left out."""
+    n = len(values) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * _powers(_ODD, len(b)), out=total[1:])
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(_ODD, len(values)), out=total[1:])
     return mix64((total[size:] - total[:n]) * _powers(_INVERSE, n))
 
 
-def segments(b: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+def window_digests(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes, 128 bits together, of each window."""
+    return gram_hashes(values, length).view(np.int64), gram_hashes(mix64(values), length).view(np.int64)
+
+
+def segments(values: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(anchor hash, first window's start, last window's start) of the segments of all texts.
 
     The anchor of a window is its gram with the least upper hash half, of several the
-    last one: bytes of the window alone decide."""
-    hashes = gram_hashes(b, gram)
+    last one: values of the window alone decide."""
+    hashes = gram_hashes(values, gram)
     grams = length - gram + 1
-    n = len(b) - length + 1
+    n = len(values) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = (hashes & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))
@@ -94,7 +102,7 @@ def block_segments(lens: bytes, texts: bytes, length: int, gram: int, only=None)
     out = []
     for lo, hi in blocks.slices(offsets, 1 << 17):
         at, end = int(offsets[lo]), int(offsets[hi])
-        h, first, last = segments(b[at:end], offsets[lo:hi + 1] - at, length, gram)
+        h, first, last = segments(_BYTE[b[at:end]], offsets[lo:hi + 1] - at, length, gram)
         out.append((h.view(np.int64), first + at, last + at))
     h, first, last = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
     if only is not None:
@@ -106,19 +114,20 @@ def block_segments(lens: bytes, texts: bytes, length: int, gram: int, only=None)
 
 
 def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all suffixes in the order of their first ``depth`` bytes at least."""
+    """Starts of all suffixes in the order of their first ``depth`` bytes (or word numbers) at least."""
     n = len(t)
-    padded = np.concatenate([t, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[k:n + k]
+    h = 8 if t.dtype == np.uint8 else 1
+    key = t if h == 1 else np.zeros(n, np.uint64)
+    if h == 8:
+        padded = np.concatenate([t, np.zeros(8, np.uint8)]).astype(np.uint64)
+        for k in range(8):
+            key = (key << np.uint64(8)) | padded[k:n + k]
     order = np.argsort(key)
     k = key[order]
     head = np.concatenate([[True], k[1:] != k[:-1]])
     place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank = np.empty(n, np.int64)
     rank[order] = place
-    h = 8
     while h < depth:
         tied = np.ones(n, bool)
         tied[:-1] &= head[1:]
@@ -171,11 +180,15 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, starts: np.ndarray, most:
     return shared
 
 
-def repeated_windows(contents: list[bytes], weights: np.ndarray, length: int) -> list[np.ndarray]:
+def repeated_windows(contents: list, weights: np.ndarray, length: int) -> list[np.ndarray]:
     """Per content a mask of its windows that occur twice or more, content i being there
     weights[i] times."""
     sizes = np.array([len(c) for c in contents])
-    text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8)  # no byte of UTF-8
+    if isinstance(contents[0], bytes):
+        text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8)  # no byte of UTF-8
+    else:  # numbers of words, and one that none of them has
+        end = np.array([max((int(c.max(initial=0)) for c in contents)) + 1], np.int64)
+        text = np.concatenate([x for c in contents for x in (c, end)])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     order = suffix_array(text, length)
     shared = common_prefixes(text, order, starts, length)
@@ -239,18 +252,25 @@ def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int)
     def windows(batches):
         for batch in batches:
             for r in batch.itertuples():
-                w = gram_hashes(np.frombuffer(r.content, np.uint8), length).view(np.int64)
-                yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w})
-
-    # Many texts around one passage: no shard could hold them, their windows meet by digest.
-    many = stored(found.where(F.col("variants") > variants).mapInPandas(windows, "h long, d long, n long, k long, w long"), "sa-many")
-    often = stored(many.groupBy("h", "w").agg(F.sum("n").alias("n")).where("n >= 2").select("h", "w"), "sa-often")
+                w, w2 = window_digests(_BYTE[np.frombuffer(r.content, np.uint8)], length)
+                yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w, "w2": w2})
 
-    hot = (many.join(often, ["h", "w"]).groupBy("h", "d")  # one segment: no more rows than it has windows
-           .agg(F.sort_array(F.collect_list("k")).alias("k")).mapInPandas(_spans_of, "h long, d long, spans binary"))
+    hot = _hot(found.where(F.col("variants") > variants).mapInPandas(windows, MANY))
     return seen.select("block", "h", "d"), stored(usual, "sa-usual").unionByName(stored(hot, "sa-hot"))
 
 
+MANY = "h long, d long, n long, k long, w long, w2 long"
+
+
+def _hot(many: DataFrame) -> DataFrame:
+    """(``h``, ``d``, ``spans``) of windows that meet by digest: many texts around one passage, for
+    which no shard could hold the segments."""
+    many = stored(many, "sa-many")
+    often = stored(many.groupBy("h", "w", "w2").agg(F.sum("n").alias("n")).where("n >= 2").select("h", "w", "w2"), "sa-often")
+    return (many.join(often, ["h", "w", "w2"]).groupBy("h", "d")  # one segment: no more rows than it has windows
+            .agg(F.sort_array(F.collect_list("k")).alias("k")).mapInPandas(_spans_of, "h long, d long, spans binary"))
+
+
 def _spans_of(batches):
     for batch in batches:
         spans = []
@@ -261,19 +281,126 @@ def _spans_of(batches):
         yield pd.DataFrame({"h": batch["h"], "d": batch["d"], "spans": spans})
 
 
+# ---------------------------------------------------------------- passages of words
+def word_bounds(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all texts, which lie end to end."""
+    inside = ~_SPACE[b]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    border = offsets[(offsets > 0) & (offsets < len(b))]
+    first[border] = inside[border]
+    last[border - 1] = inside[border - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_segments(b: np.ndarray, offsets: np.ndarray, words: int, gram: int):
+    """(anchor hash, digest, first word of the first window, first word of the last one), words
+    being numbered through the block."""
+    out, before = [], 0
+    for lo, hi in blocks.slices(offsets, 1 << 19):
+        at, end = int(offsets[lo]), int(offsets[hi])
+        part, own = b[at:end], offsets[lo:hi + 1] - at
+        starts, ends = word_bounds(part, own)
+        values = span_hashes(part, starts, ends)
+        h, first, last = segments(values, np.searchsorted(starts, own), words, gram)
+        view = memoryview(values).cast("B")
+        d = np.array([_digest(view[8 * i:8 * (j + words)]) for i, j in zip(first.tolist(), last.tolist())], np.int64)
+        out.append((h.view(np.int64), d, first + before, last + before))
+        before += len(starts)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
+
+
+def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -> DataFrame:
+    """(``block``, ``passages``: array of (first, spans)): segments with repeated windows of
+    ``words`` words, by the same anchors and suffix arrays as strings of bytes, over the
+    numbers of the words.  White space between words is not compared."""
+
+    def listed(batches):
+        for batch in batches:
+            for r in batch.itertuples():
+                h, d, first, last = word_segments(*blocks.unpack(r.lens, r.texts), words, gram)
+                yield pd.DataFrame({"block": r.block, "h": h, "d": d, "first": first.astype(np.int32), "last": last.astype(np.int32)})
+
+    seen = stored(packed.select("block", "lens", "texts").mapInPandas(listed, "block long, h long, d long, first int, last int"), "sw-seen")
+    kinds = stored(seen.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("block", "first", "last")).alias("at")), "sw-kinds")
+    anchors = stored(kinds.groupBy("h").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("variants"))
+                     .where("all >= 2").select("h", "variants"), "sw-anchors")
+    wanted = kinds.join(anchors, "h").groupBy("at.block").agg(
+        F.collect_list(F.struct("h", "d", "n", "variants", "at.first", "at.last")).alias("wanted"))
+
+    def cut(batches):
+        for batch in batches:
+            for r in batch.itertuples():
+                b, offsets = blocks.unpack(r.lens, r.texts)
+                starts, ends = word_bounds(b, offsets)
+                rows = [(w["h"], w["d"], w["n"], w["variants"], b[starts[w["first"]]:ends[w["last"] + words - 1]].tobytes()) for w in r.wanted]
+                for k in range(0, len(rows), 4096):
+                    yield pd.DataFrame(rows[k:k + 4096], columns=["h", "d", "n", "variants", "content"])
+
+    found = stored(packed.join(stored(wanted, "sw-wanted"), "block").select("lens", "texts", "wanted")
+                   .mapInPandas(cut, "h long, d long, n long, variants long, content binary"), "sw-contents")
+
+    def hashes(content) -> np.ndarray:
+        b = np.frombuffer(content, np.uint8)
+        return span_hashes(b, *word_bounds(b, np.array([0, len(b)])))
+
+    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h", "d"], kind="stable")
+        each = [hashes(c) for c in pdf["content"]]
+        numbers = np.unique(np.concatenate(each), return_inverse=True)[1]
+        masks = repeated_windows(np.split(numbers, np.cumsum([len(x) for x in each])[:-1]), pdf["n"].to_numpy(), words)
+        spans = [_runs(m).tobytes() for m in masks]
+        return pd.DataFrame({"h": pdf["h"].to_numpy(), "d": pdf["d"].to_numpy(), "spans": spans})[[len(s) > 0 for s in spans]]
+
+    volume = found.where(F.col("variants") <= variants).agg(F.sum(F.length("content"))).first()[0] or 0
+    usual = (found.where(F.col("variants") <= variants)
+             .select("h", "d", "n", "content", F.pmod(F.xxhash64("h"), F.lit(max(1, -(-volume // (4 << 20))))).alias("shard"))
+             .groupBy("shard").applyInPandas(shard, "h long, d long, spans binary"))
+
+    def windows(batches):
+        for batch in batches:
+            for r in batch.itertuples():
+                w, w2 = window_digests(hashes(r.content), words)
+                yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w, "w2": w2})
+
+    hot = _hot(found.where(F.col("variants") > variants).mapInPandas(windows, MANY))
+    repeated = stored(usual, "sw-usual").unionByName(stored(hot, "sw-hot"))
+    return stored(seen.select("block", "h", "d", "first").join(repeated, ["h", "d"]).groupBy("block")
+                  .agg(F.collect_list(F.struct("first", "spans")).alias("passages")), "sw-todo")
+
+
+def covered(b: np.ndarray, offsets: np.ndarray, passages, words: int) -> np.ndarray:
+    """Bytes of each text under repeated passages, from the begin of a first word to the end of
+    a last one."""
+    starts, ends = word_bounds(b, offsets) if len(passages) else (None, None)
+    step = np.zeros(len(b) + 1, np.int32)
+    for p in passages:
+        bounds = np.frombuffer(p["spans"], np.int64) + p["first"]
+        np.add.at(step, starts[bounds[::2]], 1)
+        np.add.at(step, ends[bounds[1::2] - 1 + words - 1], -1)
+    under = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
+    return under[offsets[1:]] - under[offsets[:-1]]
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM,
-                   variants: int = 2048, with_kept: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (op7's contract) of each row; with
-    ``with_kept`` also the remaining bytes and the removed spans (array of start, end).
+                   variants: int = 2048, words: int = 51, with_kept: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (op7's contract) and n_shared of each row;
+    with ``with_kept`` also the remaining bytes and the removed spans (array of start, end).
+
+    ``n_shared``: bytes under runs of ``words`` words (white space between them aside) that also
+    begin anywhere else; such passages may be shorter than ``length`` and are told, not
+    removed.  Words are told apart by 64-bit hashes.
 
     Null texts count as empty; texts shorter than ``length`` lose nothing; null and
     repeated ids keep a row for each row, and repeated rows repeat each other; an empty
     table gives no rows; other columns are not read.
     """
-    if length < 2:
-        raise ValueError("length must be 2 or more")
+    if length < 2 or words < 2:
+        raise ValueError("length and words must be 2 or more")
     gram = min(gram, length)
     packed = blocks.pack(docs, "sa-blocks", id_col=id_col, text_col=text_col)
+    passages = repeated_passages(packed, words, min(WORD_GRAM, words), variants)
     seen, repeated = repeated_segments(packed, length, gram, variants)
     todo = stored(seen.join(repeated, ["h", "d"]).groupBy("block")
                   .agg(F.collect_list(F.struct("h", "d", "spans")).alias("repeats")), "sa-todo")
@@ -295,20 +422,22 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         else:
                             gone.append([start, end])
                 out, view, k = [], memoryview(b), 0
-                for i, (lo, hi) in zip(r.ids, zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                shared = covered(b, offsets, r.passages if r.passages is not None else [], words).tolist()
+                for i, lo, hi, under in zip(r.ids, offsets[:-1].tolist(), offsets[1:].tolist(), shared):
                     kept, at, own = [], lo, []  # views: the bytes are copied once
                     while k < len(gone) and gone[k][0] < hi:
                         kept.append(view[at:gone[k][0]])
                         own.append([gone[k][0] - lo, gone[k][1] - lo])
                         at, k = gone[k][1], k + 1
                     kept = b"".join([*kept, view[at:hi]])
-                    row = (i, hi - lo, hi - lo - len(kept), len(own), hashlib.sha256(kept).hexdigest())
+                    row = (i, hi - lo, hi - lo - len(kept), len(own), hashlib.sha256(kept).hexdigest(), under)
                     out.append((*row, kept, own) if with_kept else row)
-                yield pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+                yield pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared",
                                                  *(["kept", "spans"] if with_kept else [])])
 
-    schema = "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + \
+    schema = "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long" + \
         ", kept binary, spans array<array<long>>" * with_kept
-    return (packed.join(todo, "block", "left").select("ids", "lens", "texts", "repeats").mapInPandas(removed, schema)
-            .select(F.col("id").cast("long").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256",
+    return (packed.join(todo, "block", "left").join(passages, "block", "left").select("ids", "lens", "texts", "repeats", "passages")
+            .mapInPandas(removed, schema)
+            .select(F.col("id").cast("long").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared",
                     *(["kept", "spans"] if with_kept else [])))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,18 +11,33 @@ from feedworks.llm import suffix
 SF001 = "/root/testdata/sf0.001"
 
 
-def brute(rows, length):
+def brute_shared(rows, words):
+    """Bytes under runs of so many words that begin twice or more."""
+    texts = [[(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t in rows]
+    run = lambda w, k: tuple(x for _, _, x in w[k:k + words])
+    seen = Counter(run(w, k) for w in texts for k in range(len(w) - words + 1))
+    out = []
+    for w in texts:
+        under = set()
+        for k in range(len(w) - words + 1):
+            if seen[run(w, k)] > 1:
+                under.update(range(w[k][0], w[k + words - 1][1]))
+        out.append(len(under))
+    return out
+
+
+def brute(rows, length, words=51):
     raw = [(i, (t or "").encode()) for i, t in rows]
     seen = Counter(b[k:k + length] for _, b in raw for k in range(len(b) - length + 1))
     out = []
-    for i, b in raw:
+    for (i, b), shared in zip(raw, brute_shared(rows, words)):
         gone = np.zeros(len(b), bool)
         for k in range(len(b) - length + 1):
             if seen[b[k:k + length]] > 1:
                 gone[k:k + length] = True
         kept = bytes(np.frombuffer(b, np.uint8)[~gone])
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), shared))
     return sorted(out, key=str)
 
 
@@ -46,7 +62,8 @@ def test_shared_passages_and_odd_rows(spark, length, gram, variants):
              (104, "same row " * 60), (104, "same row " * 60), (105, "x" * (length - 1)), (106, "x" * (length - 1)), (107, "q" * length),
              (108, prose(4000))]
     df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, block string")
-    assert got(df, length=length, gram=gram, variants=variants) == brute(rows, length)
+    words = max(2, length // 8)
+    assert got(df, length=length, gram=gram, variants=variants, words=words) == brute(rows, length, words)
     assert got(spark.createDataFrame([], df.schema)) == []
 
 
@@ -57,6 +74,25 @@ def test_kept_bytes_and_spans(spark):
     assert rows == {1: (b"one ", [[4, 504]]), 2: (b" two", [[0, 500]])}
 
 
+@pytest.mark.parametrize("variants", [2048, 3])
+def test_short_passages_of_over_50_words_are_told(spark, variants):
+    """51 words of one to three letters, far under 400 bytes, in other surroundings and with other
+    white space; 50 words are not told, nor is one that has one word changed."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklm") for _ in range(n))
+    prose = lambda n: " ".join(word(rng.randint(5, 9)) for _ in range(n))
+    passages = [[word(rng.randint(1, 3)) for _ in range(51)] for _ in range(3)]
+    rows = [(i, f"{prose(30)} {' '.join(passages[0])} {prose(30)}") for i in range(8)]
+    rows += [(20, f"{prose(9)}\n" + "\n ".join(passages[1])), (21, "\t".join(passages[1]) + f" {prose(9)}")]
+    rows += [(30, f"{prose(60)} {' '.join(passages[2][:50])} {prose(60)}"), (31, f"{prose(60)} {' '.join(passages[2][:50])} {prose(60)}")]
+    rows += [(32, " ".join([*passages[2][:25], "other", *passages[2][26:]])), (40, prose(400)), (41, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = got(df, variants=variants)
+    assert out == brute(rows, 400)
+    shared = {r[0]: r[5] for r in out}
+    assert all(shared[i] for i in (*range(8), 20, 21)) and not any(shared[i] for i in (30, 31, 32, 40, 41))
+
+
 def test_suffix_order_and_common_prefixes():
     rng = np.random.default_rng(2)
     for n, letters in ((1, 2), (9, 1), (300, 2), (500, 4)):
