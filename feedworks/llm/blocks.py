@@ -44,7 +44,8 @@ def pack_keys(rows: DataFrame, name: str, block_bytes: int) -> DataFrame:
                              "texts": [zstandard.ZstdCompressor(level=3).compress(b"".join(raw))]})
 
     out = rows.select("key", "text").mapInPandas(packed, SCHEMA).select(F.monotonically_increasing_id().alias("block"), "*")
-    return bucketed(out, name, "block")
+    volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return bucketed(out, name, "block", volume)
 
 
 def pack(docs: DataFrame, name: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:

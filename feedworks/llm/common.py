@@ -10,6 +10,8 @@ import zipfile
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from feedworks.session import shared_path
+
 WORD = r"[^\x20\x09-\x0D]+"
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -42,32 +44,30 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder that the cluster names in
-    ``spark.checkpoint.dir``; one of our own only where that setting is empty (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="feedworks-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and
     a lost executor costs no recomputation of what came before."""
-    path = shared_dir(df.sparkSession, name)
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
-    """Like ``stored``, cut by a key into as many buckets as shuffles have partitions: joins
-    on the key need not move these rows."""
+#: Bytes of text in one bucket: a scan by buckets can't be split.
+BUCKET_BYTES = 64 << 20
+
+
+def bucketed(df: DataFrame, name: str, by: str, volume: int = 0) -> DataFrame:
+    """Like ``stored``, cut by a key into buckets: joins on the key need not move these rows.  As
+    many as shuffles have partitions, or more where ``volume``, the bytes of text in them, asks
+    for it.  The catalog is told of the table only until it is read; the files stay in the
+    shared folder like all others."""
     spark = df.sparkSession
     table = f"feedworks_{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, by).option("path", shared_dir(spark, name)).saveAsTable(table)
-    return spark.table(table)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-volume // BUCKET_BYTES))
+    df.write.bucketBy(n, by).option("path", shared_path(spark, name)).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
