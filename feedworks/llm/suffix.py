@@ -207,7 +207,8 @@ def _runs(mask: np.ndarray) -> np.ndarray:
 
 def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int) -> tuple[DataFrame, DataFrame]:
     """(``block``, ``h``, ``d``) of all segments, and (``h``, ``d``, ``spans``) of those with
-    repeated windows, spans being the bounds of their runs (binary of longs)."""
+    repeated windows, spans being the bounds of their runs (binary of longs).  Null spans: all
+    windows are, as the segment occurs again as it is and is the only kind with its anchor."""
 
     def listed(batches):
         for batch in batches:
@@ -220,7 +221,8 @@ def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int)
     kinds = stored(seen.groupBy("h", "d").agg(F.sum("n").alias("n"), F.min("block").alias("block")), "sa-kinds")
     anchors = stored(kinds.groupBy("h").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("variants"))
                      .where("all >= 2").select("h", "variants"), "sa-anchors")
-    wanted = kinds.join(anchors, "h").groupBy("block").agg(
+    whole = kinds.join(anchors.where("variants = 1"), "h").select("h", "d", F.lit(None).cast("binary").alias("spans"))
+    wanted = kinds.join(anchors.where("variants > 1"), "h").groupBy("block").agg(
         F.collect_list(F.struct("h", "d", "n", "variants")).alias("wanted"))  # no more than the block's own
 
     def cut(batches):
@@ -256,7 +258,7 @@ def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int)
                 yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w, "w2": w2})
 
     hot = _hot(found.where(F.col("variants") > variants).mapInPandas(windows, MANY))
-    return seen.select("block", "h", "d"), stored(usual, "sa-usual").unionByName(stored(hot, "sa-hot"))
+    return seen.select("block", "h", "d"), stored(usual, "sa-usual").unionByName(stored(hot, "sa-hot")).unionByName(whole)
 
 
 MANY = "h long, d long, n long, k long, w long, w2 long"
@@ -312,8 +314,8 @@ def word_segments(b: np.ndarray, offsets: np.ndarray, words: int, gram: int):
 
 
 def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -> DataFrame:
-    """(``block``, ``passages``: array of (first, spans)): segments with repeated windows of
-    ``words`` words, by the same anchors and suffix arrays as strings of bytes, over the
+    """(``block``, ``firsts``, ``lasts``, ``passages``): arrays of the first and last windows of the
+    segments with repeated windows of ``words`` words, and their spans as above, by the same anchors and suffix arrays as strings of bytes, over the
     numbers of the words.  White space between words is not compared."""
 
     def listed(batches):
@@ -323,11 +325,12 @@ def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -
                 yield pd.DataFrame({"block": r.block, "h": h, "d": d, "first": first.astype(np.int32), "last": last.astype(np.int32)})
 
     seen = stored(packed.select("block", "lens", "texts").mapInPandas(listed, "block long, h long, d long, first int, last int"), "sw-seen")
-    kinds = stored(seen.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("block", "first", "last")).alias("at")), "sw-kinds")
+    kinds = stored(seen.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("block", "first", "last")]), "sw-kinds")
     anchors = stored(kinds.groupBy("h").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("variants"))
                      .where("all >= 2").select("h", "variants"), "sw-anchors")
-    wanted = kinds.join(anchors, "h").groupBy("at.block").agg(
-        F.collect_list(F.struct("h", "d", "n", "variants", "at.first", "at.last")).alias("wanted"))
+    whole = kinds.join(anchors.where("variants = 1"), "h").select("h", "d", F.lit(None).cast("binary").alias("spans"))
+    wanted = kinds.join(anchors.where("variants > 1"), "h").groupBy("block").agg(
+        F.collect_list(F.struct("h", "d", "n", "variants", "first", "last")).alias("wanted"))
 
     def cut(batches):
         for batch in batches:
@@ -341,15 +344,18 @@ def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -
     found = stored(packed.join(stored(wanted, "sw-wanted"), "block").select("lens", "texts", "wanted")
                    .mapInPandas(cut, "h long, d long, n long, variants long, content binary"), "sw-contents")
 
-    def hashes(content) -> np.ndarray:
-        b = np.frombuffer(content, np.uint8)
-        return span_hashes(b, *word_bounds(b, np.array([0, len(b)])))
+    def hashes(contents) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of all contents, and where each begins."""
+        offsets = np.concatenate([[0], np.cumsum([len(c) for c in contents])])
+        b = np.frombuffer(b"".join(contents), np.uint8)
+        starts, ends = word_bounds(b, offsets)
+        return span_hashes(b, starts, ends), np.searchsorted(starts, offsets[:-1])
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "d"], kind="stable")
-        each = [hashes(c) for c in pdf["content"]]
-        numbers = np.unique(np.concatenate(each), return_inverse=True)[1]
-        masks = repeated_windows(np.split(numbers, np.cumsum([len(x) for x in each])[:-1]), pdf["n"].to_numpy(), words)
+        values, begin = hashes(list(pdf["content"]))
+        numbers = np.unique(values, return_inverse=True)[1]
+        masks = repeated_windows(np.split(numbers, begin[1:]), pdf["n"].to_numpy(), words)
         spans = [_runs(m).tobytes() for m in masks]
         return pd.DataFrame({"h": pdf["h"].to_numpy(), "d": pdf["d"].to_numpy(), "spans": spans})[[len(s) > 0 for s in spans]]
 
@@ -361,24 +367,25 @@ def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -
     def windows(batches):
         for batch in batches:
             for r in batch.itertuples():
-                w, w2 = window_digests(hashes(r.content), words)
+                w, w2 = window_digests(hashes([r.content])[0], words)
                 yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w, "w2": w2})
 
     hot = _hot(found.where(F.col("variants") > variants).mapInPandas(windows, MANY))
-    repeated = stored(usual, "sw-usual").unionByName(stored(hot, "sw-hot"))
-    return stored(seen.select("block", "h", "d", "first").join(repeated, ["h", "d"]).groupBy("block")
-                  .agg(F.collect_list(F.struct("first", "spans")).alias("passages")), "sw-todo")
+    repeated = stored(usual, "sw-usual").unionByName(stored(hot, "sw-hot")).unionByName(whole)
+    own = seen.join(repeated, ["h", "d"]).groupBy("block").agg(F.collect_list(F.struct("first", "last", "spans")).alias("p"))
+    return stored(own.select("block", F.col("p.first").alias("firsts"), F.col("p.last").alias("lasts"), F.col("p.spans").alias("passages")), "sw-todo")
 
 
-def covered(b: np.ndarray, offsets: np.ndarray, passages, words: int) -> np.ndarray:
+def covered(b: np.ndarray, offsets: np.ndarray, firsts, lasts, passages, words: int) -> np.ndarray:
     """Bytes of each text under repeated passages, from the begin of a first word to the end of
     a last one."""
-    starts, ends = word_bounds(b, offsets) if len(passages) else (None, None)
-    step = np.zeros(len(b) + 1, np.int32)
-    for p in passages:
-        bounds = np.frombuffer(p["spans"], np.int64) + p["first"]
-        np.add.at(step, starts[bounds[::2]], 1)
-        np.add.at(step, ends[bounds[1::2] - 1 + words - 1], -1)
+    if not len(passages):
+        return np.zeros(len(offsets) - 1, np.int64)
+    starts, ends = word_bounds(b, offsets)
+    runs = [np.array([0, z - a + 1]).tobytes() if p is None else p for a, z, p in zip(firsts.tolist(), lasts.tolist(), passages)]
+    bounds = np.frombuffer(b"".join(runs), np.int64).reshape(-1, 2) + np.repeat(firsts, [len(p) // 16 for p in runs])[:, None]
+    step = np.bincount(starts[bounds[:, 0]], minlength=len(b) + 1)
+    step -= np.bincount(ends[bounds[:, 1] + words - 2], minlength=len(b) + 1)
     under = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
     return under[offsets[1:]] - under[offsets[:-1]]
 
@@ -409,12 +416,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for r in batch.itertuples():
                 repeats = r.repeats if r.repeats is not None else []
-                b, offsets, h, d, first, _ = block_segments(r.lens, r.texts, length, gram, [x["h"] for x in repeats])
-                spans = {(x["h"], x["d"]): np.frombuffer(x["spans"], np.int64).tolist() for x in repeats}
+                b, offsets, h, d, first, last = block_segments(r.lens, r.texts, length, gram, [x["h"] for x in repeats])
+                spans = {(x["h"], x["d"]): x["spans"] if x["spans"] is None else np.frombuffer(x["spans"], np.int64).tolist() for x in repeats}
                 ends = set(offsets.tolist())  # a run that ends with its text does not go on in the next
                 gone: list[list[int]] = []  # maximal removed runs; windows come in the order of their starts
-                for key, at in zip(zip(h.tolist(), d.tolist()), first.tolist()):
-                    runs = iter(spans.get(key, ()))
+                for key, at, to in zip(zip(h.tolist(), d.tolist()), first.tolist(), last.tolist()):
+                    runs = spans.get(key, ())
+                    runs = iter((0, to - at + 1) if runs is None else runs)
                     for lo, hi in zip(runs, runs):
                         start, end = at + lo, at + hi - 1 + length
                         if gone and start <= gone[-1][1] and start not in ends:
@@ -422,7 +430,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         else:
                             gone.append([start, end])
                 out, view, k = [], memoryview(b), 0
-                shared = covered(b, offsets, r.passages if r.passages is not None else [], words).tolist()
+                shared = covered(b, offsets, *((r.firsts, r.lasts, r.passages) if r.passages is not None else ((), (), ())), words).tolist()
                 for i, lo, hi, under in zip(r.ids, offsets[:-1].tolist(), offsets[1:].tolist(), shared):
                     kept, at, own = [], lo, []  # views: the bytes are copied once
                     while k < len(gone) and gone[k][0] < hi:
@@ -437,7 +445,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     schema = "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long" + \
         ", kept binary, spans array<array<long>>" * with_kept
-    return (packed.join(todo, "block", "left").join(passages, "block", "left").select("ids", "lens", "texts", "repeats", "passages")
+    return (packed.join(todo, "block", "left").join(passages, "block", "left").select("ids", "lens", "texts", "repeats", "firsts", "lasts", "passages")
             .mapInPandas(removed, schema)
             .select(F.col("id").cast("long").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared",
                     *(["kept", "spans"] if with_kept else [])))
