@@ -195,13 +195,16 @@ def oracle_sql(weights=None, share=(1, 1), max_epochs: int = 3, seed: int = 11,
 WITH rows_ AS (SELECT doc_id, coalesce(lang, '{NONE}') AS lang, coalesce(source, '{NONE}') AS source,
     CASE WHEN {digits} <> '' THEN 'domain' || CAST(CAST({digits} AS BIGINT) % {families} AS VARCHAR) ELSE '{NONE}' END AS domain,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens FROM documents),
-leaf AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS available, sum(n_tokens)::HUGEINT * {max_epochs} AS cap,
-    {weight('source')} AS weight FROM rows_ GROUP BY domain, lang, source),
-lang_ AS (SELECT domain, lang, sum(cap)::HUGEINT AS cap, {weight('lang')} AS weight FROM leaf GROUP BY domain, lang),
-top_ AS (SELECT domain, sum(cap)::HUGEINT AS cap, {weight('domain')} AS weight, 0 AS root,
-    (sum(sum(available)) OVER () * {share[0]})::HUGEINT // {share[1]} AS budget0 FROM leaf GROUP BY domain),
+leaf AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS available,
+    CASE WHEN {weight('source')} > 0 THEN sum(n_tokens)::HUGEINT * {max_epochs} ELSE 0 END AS cap,
+    greatest({weight('source')}, 1) AS weight FROM rows_ GROUP BY domain, lang, source),
+lang_ AS (SELECT domain, lang, CASE WHEN {weight('lang')} > 0 THEN sum(cap)::HUGEINT ELSE 0 END AS cap, sum(available)::HUGEINT AS available,
+    greatest({weight('lang')}, 1) AS weight FROM leaf GROUP BY domain, lang),
+top_ AS (SELECT domain, CASE WHEN {weight('domain')} > 0 THEN sum(cap)::HUGEINT ELSE 0 END AS cap,
+    greatest({weight('domain')}, 1) AS weight, 0 AS root,
+    (sum(sum(available)) OVER () * {share[0]})::HUGEINT // {share[1]} AS budget0 FROM lang_ GROUP BY domain),
 {_FILL.format(name='top_f', parent='root', child='domain', source='top_')}
-lang_b AS (SELECT l.*, t.share AS budget0 FROM lang_ l JOIN top_f t USING (domain)),
+lang_b AS (SELECT l.* EXCLUDE (available), t.share AS budget0 FROM lang_ l JOIN top_f t USING (domain)),
 {_FILL.format(name='lang_f', parent='domain', child='lang', source='lang_b')}
 leaf_b AS (SELECT l.*, t.share AS budget0 FROM leaf l JOIN lang_f t USING (domain, lang)),
 {_FILL.format(name='leaf_f', parent='domain, lang', child='source', source='leaf_b')}

@@ -70,4 +70,23 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_quality, op2_katz, op3_simhash, op4_balltree, op5_bpe, op6_embed_dedup,
                                    op7_suffix, op8_secrets, op9_chunks, op10_mixing, op11_pieces, op12_prefix_trie,
                                    op13_spelling)}
-ORACLE: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
+
+# Vectors that are null or hold null or non-finite components take no part.
+_WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+OP4_SQL = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings WHERE {_WHOLE}),
+scores AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+OP6_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings WHERE {_WHOLE}
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT l.a, r.root FROM links l JOIN reach r ON l.b = r.vec_id),
+least AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)"""
+
+ORACLE: dict[str, str] = {"op4_balltree": OP4_SQL, "op6_embed_dedup": OP6_SQL, "op10_mixing": mixing.oracle_sql()}

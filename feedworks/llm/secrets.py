@@ -173,13 +173,27 @@ def _pieces(rule: Rule, text: Column) -> Column:
     return F.split(F.regexp_replace(text, F.lit(rule.pattern), F.lit(mark)), MARK)
 
 
-def _flagged(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str) -> DataFrame:
-    """``__row`` (all columns), ``__text`` without MARK, ``__rules`` that may match."""
+def _hidden(text: Column) -> Column:
+    """A text without MARK, from which :func:`_shown` makes the text again: what it has of the marks is
+    spelled as pairs.  No rule matches these characters."""
+    spelled = F.replace(F.replace(text, F.lit(OTHER), F.lit(OTHER + "\ue002")), F.lit(MARK), F.lit(OTHER + "\ue003"))
+    return F.when(text.rlike(f"[{MARK}{OTHER}]"), spelled).otherwise(text)
+
+
+def _shown(text: Column) -> Column:
+    plain = F.replace(F.replace(text, F.lit(OTHER + "\ue003"), F.lit(MARK)), F.lit(OTHER + "\ue002"), F.lit(OTHER))
+    return F.when(F.contains(text, F.lit(OTHER)), plain).otherwise(text)
+
+
+def _flagged(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, spell: bool = False) -> DataFrame:
+    """``__row`` (all columns), ``__text`` without MARK (its places kept, or with ``spell`` so that the
+    text can be had back), ``__rules`` that may match."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     asked = {k: q for k, q in queries.items() if q is not True}
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"),
-                       F.when(F.contains(text, F.lit(MARK)), F.translate(text, MARK, OTHER)).otherwise(text).alias("__text"))
+                       (_hidden(text) if spell else F.when(F.contains(text, F.lit(MARK)), F.translate(text, MARK, OTHER))
+                        .otherwise(text)).alias("__text"))
     if not asked:
         return rows.withColumn("__rules", F.array().cast("array<string>"))
     trigrams = sorted(set().union(*map(trigrams_of, asked.values())))
@@ -256,9 +270,9 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = MORE + BASE, *, id
                    text_col: str = "text", length_col: str | None = "n_chars", put: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced by ``put``, rule after rule; ``length_col``, if there
     is one, becomes the new length of a changed text.  Rows without secrets, null texts
-    among them, stay as they are; no row is dropped."""
+    among them, stay as they are, and so does the rest of a text; no row is dropped."""
     columns = docs.columns
-    x = _flagged(docs, rules, id_col, text_col).withColumn("__out", F.col("__text"))
+    x = _flagged(docs, rules, id_col, text_col, spell=True).withColumn("__out", F.col("__text"))
     for rule in rules:
         width = 3 if rule.group > 1 else 2
         x = x.withColumn("__cut", F.when(_may(rule), _pieces(rule, F.col("__out"))))
@@ -267,8 +281,9 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = MORE + BASE, *, id
               CASE WHEN length(__cut[i * {width} + {width - 1}]) >= {rule.least} THEN '{put}'
               ELSE __cut[i * {width} + 1] END)), ''), __cut[size(__cut) - 1]) ELSE __out END""")).drop("__cut")
     changed = F.col("__out") != F.col("__text")
-    new = {text_col: F.when(changed, F.col("__out")).otherwise(F.col(f"__row.`{text_col}`"))}
+    x = x.withColumn("__new", _shown(F.col("__out")))
+    new = {text_col: F.when(changed, F.col("__new")).otherwise(F.col(f"__row.`{text_col}`"))}
     if length_col in columns:
         old = F.col(f"__row.`{length_col}`")
-        new[length_col] = F.when(changed, F.length("__out").cast(docs.schema[length_col].dataType)).otherwise(old)
+        new[length_col] = F.when(changed, F.length("__new").cast(docs.schema[length_col].dataType)).otherwise(old)
     return x.select(*[new.get(c, F.col(f"__row.`{c}`")).alias(c) for c in columns])

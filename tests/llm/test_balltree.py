@@ -44,6 +44,12 @@ def test_ties_and_odd_rows(spark, shard_rows, query_rows):
     assert got(spark.createDataFrame([], SCHEMA)) == []
 
 
+def test_columns_that_clash_are_not_read(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(0, 200)]
+    df = spark.createDataFrame([(a, b, 1, "x", 2.0) for a, b in rows], "vec_id long, embedding array<float>, rank int, query_id string, score double")
+    assert got(df) == brute(rows, lambda i: i % 50 == 0)
+
+
 def test_bounds_hold_and_prune():
     rng = np.random.default_rng(4)
     x = np.floor(rng.standard_normal((2000, 8)) * 50 + rng.integers(-3, 4, (2000, 1)) * 200)

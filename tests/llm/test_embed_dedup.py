@@ -53,3 +53,10 @@ def test_groups_of_copies_and_odd_rows(spark, chunk):
     df = spark.createDataFrame([(a, b, 0) for a, b in rows], SCHEMA)
     assert got(df, chunk=chunk) == brute([(a, b) for a, b in rows])
     assert got(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_columns_that_clash_are_not_read(spark):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)]
+    df = spark.createDataFrame([(a, b, 1, "x", True) for a, b in rows],
+                               "vec_id long, embedding array<float>, n_links int, component_id string, kept boolean")
+    assert got(df) == brute(rows)

@@ -35,8 +35,9 @@ def brute(rows, weights, share, epochs, seed):
         leaves[domain, lang or "(none)", source or "(none)"].append((doc_id, len((text or "").encode().split())))
     have = {k: sum(n for _, n in v) for k, v in leaves.items()}
 
-    def cap(prefix):
-        return sum(n * epochs for k, n in have.items() if k[:len(prefix)] == prefix)
+    def cap(prefix):  # what weights of 0 further down shut off can't be spent
+        return sum(n * epochs for k, n in have.items() if k[:len(prefix)] == prefix and all(
+            weights.get(level, {}).get(name, 1) > 0 for level, name in list(zip(mixing.LEVELS, k))[len(prefix):]))
 
     def down(prefix, budget):
         if len(prefix) == 3:
@@ -64,7 +65,8 @@ def brute(rows, weights, share, epochs, seed):
 
 
 @pytest.mark.parametrize("weights,share,epochs", [(mixing.WEIGHTS, (1, 1), 3), ({}, (1, 2), 1),
-                                                  ({"domain": {"domain1": 0}, "source": {"src3": 50}}, (5, 1), 2)])
+                                                  ({"domain": {"domain1": 0}, "source": {"src3": 50}}, (5, 1), 2),
+                                                  ({"lang": {"en": 0, "de": 3}, "domain": {"domain2": 0}}, (4, 5), 1)])
 def test_matches_brute_force(spark, weights, share, epochs):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
@@ -81,6 +83,9 @@ def test_oracle_and_taken_rows(spark):
     assert sorted(tuple(r) for r in got.collect()) == want
     taken = mixing.take_mix(docs, weights=mixing.WEIGHTS)
     assert taken.columns == docs.columns
+    zero = {"lang": {"en": 0, "de": 3}, "domain": {"domain2": 0}}
+    want_zero = sorted(con.sql(mixing.oracle_sql(zero, (4, 5), 1)).fetchall())
+    assert sorted(tuple(r) for r in mixing.mix(docs, weights=zero, share=(4, 5), max_epochs=1).collect()) == want_zero
     assert sorted(r.doc_id for r in taken.collect()) == sorted(i for i, *_, n in want for _ in range(n))
 
 

@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -60,13 +61,17 @@ def test_secrets_leave_and_clean_texts_stay(stages):
 
 
 def test_mix_and_tokens(stages):
-    before = rows(stages["secrets"])
-    want = {r[0]: r[-1] for r in mixed([(i, r.text, r.lang, r.source) for i, r in before.items()], {}, (9, 10), 1, 11)}
+    before, mix = rows(stages["secrets"]), corpus_pipeline.MIX
+    want = {r[0]: r[-1] for r in mixed([(i, r.text, r.lang, r.source) for i, r in before.items()], mix["weights"], mix["share"],
+                                       mix["max_epochs"], 11)}
     after = rows(stages["mixing"])
     assert after == {i: before[i] for i, n in want.items() if n} and 0 < len(after) < len(before)
+    copies = Counter(r.doc_id for r in stages["mixing"].collect())
+    assert copies == {i: n for i, n in want.items() if n} and max(copies.values()) == 2  # the weights take effect
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
     ids = {i: enc.encode_ordinary(r.text) for i, r in after.items()}
+    assert Counter(r.doc_id for r in stages["bpe"].collect()) == copies
     assert {i: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for i, r in rows(stages["bpe"]).items()} == {
         i: (len(x), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest(), hashlib.sha256(after[i].text.encode()).hexdigest())
         for i, x in ids.items()}

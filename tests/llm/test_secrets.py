@@ -69,6 +69,15 @@ def test_redaction_updates_length_only_where_text_changed(spark):
     assert got == {1: ("[SECRET]", 8), 2: ("plain", 77), 3: (None, 5)}
 
 
+def test_redaction_gives_back_private_use_characters(spark):
+    odd = "\ue000 \ue001\ue000\ue002\ue003 \ue001\ue003 abc\ue000"
+    rows = [(1, f"{odd} token=abcdefghijkl {odd}"), (2, odd), (3, f"token=abcdefghijkl\ue000deadbeefdeadbeef\ue001")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact_secrets(docs).collect()}
+    want = {1: f"{odd} [SECRET] {odd}", 2: odd, 3: "[SECRET]\ue000[SECRET]\ue001"}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
 def test_trigram_queries():
     q = secrets.trigram_query
     assert q("[0-9a-f]{16,}") is True and q("ab") is True and q("x*") is True
