@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from feedworks.llm import bpe, mixing, quality, secrets, simhash
 from feedworks.llm.common import stored
 
-#: Of the tokens that are left, the mix takes nine tenths, each document once at most.
-MIX = {"share": (9, 10), "max_epochs": 1}
+#: The mix has nine tenths of the tokens that are left.  Domains and languages get shares by these target
+#: weights; sources that weigh much for their size are taken up to twice, those that weigh little in part.
+MIX = {"share": (9, 10), "max_epochs": 2, "weights": mixing.WEIGHTS}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
