@@ -128,25 +128,26 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank = np.empty(n, np.int64)
     rank[order] = place
-    while h < depth:
-        tied = np.ones(n, bool)
-        tied[:-1] &= head[1:]
-        tied &= head
-        todo = np.flatnonzero(~tied)
-        if not len(todo):
-            break
+    # only the places of suffixes that are tied are gone through again
+    todo = np.flatnonzero(~(head & np.append(head[1:], True)))
+    group = place[todo]
+    while h < depth and len(todo):
         pos = order[todo]
         after = np.where(pos + h < n, rank[np.minimum(pos + h, n - 1)] + 1, 0)
-        sub = np.argsort((place[todo].astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64))
-        order[todo], after = pos[sub], after[sub]
-        group = place[todo]
+        # the groups are in order already, which a merging sort makes use of
+        sub = np.argsort((group << 32) | after, kind="stable")
+        pos, after = pos[sub], after[sub]
+        order[todo] = pos
         fresh = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
-        head[todo] = fresh
-        place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-        rank[order[todo]] = place[todo]
+        group = np.maximum.accumulate(np.where(fresh, todo, 0))
+        rank[pos] = group
+        tied = ~(fresh & np.append(fresh[1:], True))
+        todo, group = todo[tied], group[tied]
         h *= 2
     # what is still equal goes by position, so that the order is the same in every run
-    return order[np.argsort((place.astype(np.uint64) << np.uint64(32)) | order.astype(np.uint64))]
+    pos = order[todo]
+    order[todo] = pos[np.argsort((group << 32) | pos, kind="stable")]
+    return order
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
