@@ -4,6 +4,10 @@ A node's inner products with a query are at most q . centre + |q| * radius.  Fir
 shard looks into the leaf with the highest bound; the k-th best score of all shards
 together is then shared, and each shard searches on with it, nodes in the order of
 their bounds, dropping those that can't reach the current k-th score.
+
+The queries go to the trees: a task builds the tree of its shard once and streams the blocks
+of queries through it.  Where there are fewer shards than shuffles have partitions, a shard
+has several lanes, each with its own copy of the tree and its own part of the blocks.
 """
 
 from __future__ import annotations
@@ -18,6 +22,18 @@ from .common import ship, stored
 from .vectors import blob, finite, matrix
 
 LONG = 2**63 - 1
+KINDS = (np.int16, np.int32, np.float64)
+
+
+def narrow(a: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest of ``KINDS`` that holds them all, which the first byte names."""
+    top = np.abs(a).max(initial=0.0)
+    kind = next(i for i, t in enumerate(KINDS) if t is np.float64 or top <= np.iinfo(t).max)
+    return bytes([kind]) + blob(a.astype(KINDS[kind]))
+
+
+def wide(data: bytes, dim: int) -> np.ndarray:
+    return np.frombuffer(data, KINDS[data[0]], offset=1).reshape(-1, dim).astype(np.float64)
 
 
 class BallTree:
@@ -142,60 +158,66 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, scale: float = 25
     def whole(column) -> np.ndarray:
         return np.floor(matrix(column) * scale)
 
-    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "ids": [blob(pdf["id"].to_numpy(np.int64))],
-                             "points": [blob(whole(pdf["v"]))]})
-
-    def ask(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="stable")
-        return pd.DataFrame({"dim": [key[0]], "block": [key[1]], "qids": [blob(pdf["id"].to_numpy(np.int64))],
-                             "queries": [blob(whole(pdf["v"]))]})
+        return pd.DataFrame({"dim": [key[0]], "part": [key[1]], "ids": [blob(pdf["id"].to_numpy(np.int64))],
+                             "points": [narrow(whole(pdf["v"]))]})
 
     keyed = rows.select("*", F.size("v").alias("dim"))
-    trees = (keyed.select("dim", F.pmod(place, F.lit(shards)).alias("shard"), "id", "v").groupBy("dim", "shard")
-             .applyInPandas(build, "dim int, shard long, ids binary, points binary"))
-    queries = (keyed.where("q").select("dim", F.pmod(place, F.lit(blocks)).alias("block"), "id", "v").groupBy("dim", "block")
-               .applyInPandas(ask, "dim int, block long, qids binary, queries binary"))
-    trees, queries = stored(trees, "top-trees"), stored(queries, "top-queries")
+
+    def blobs(part: DataFrame, number: int, name: str, column: str) -> DataFrame:
+        return stored(part.select("dim", F.pmod(place, F.lit(number)).alias("part"), "id", "v").groupBy("dim", "part")
+                      .applyInPandas(gather, "dim int, part long, ids binary, points binary"), name).withColumnRenamed("part", column)
+
+    trees, queries = blobs(keyed, shards, "top-trees", "shard"), blobs(keyed.where("q"), blocks, "top-queries", "block")
+    lanes = min(blocks, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
+
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    def meet(asked_blocks: DataFrame) -> DataFrame:
+        # the stated query set against all shards, block by block; a tree comes before its blocks
+        own = trees.select("dim", "shard", numbers(lanes).alias("lane"), F.lit(-1).cast("long").alias("block"), "ids", "points",
+                           F.lit(None).cast("binary").alias("floors"))
+        each = asked_blocks.select("dim", numbers(shards).alias("shard"), (F.col("block") % lanes).alias("lane"), "block", "ids",
+                                   "points", "floors")
+        return (own.unionByName(each).repartition("dim", "shard", "lane")
+                .sortWithinPartitions("dim", "shard", "lane", "block"))
 
     def run(with_floor: bool):
         def searched(batches):
-            built = (None, None)
+            tree, built = None, None
             for batch in batches:
                 for r in batch.itertuples():
-                    if built[0] != (r.dim, r.shard):
-                        built = ((r.dim, r.shard), BallTree(np.frombuffer(r.ids, np.int64),
-                                                            np.frombuffer(r.points).reshape(-1, r.dim)))
-                    qid = np.frombuffer(r.qids, np.int64)
-                    floor = np.frombuffer(r.floors) if with_floor else np.full(len(qid), -np.inf)
-                    q = np.frombuffer(r.queries).reshape(-1, r.dim)
-                    ids, scores = search(built[1], qid, q, floor, k, not with_floor)
+                    ids, points = np.frombuffer(r.ids, np.int64), wide(r.points, r.dim)
+                    if r.block < 0:
+                        tree, built = BallTree(ids, points), (r.dim, r.shard)
+                        continue
+                    if built != (r.dim, r.shard):
+                        continue  # no vector of this length in the shard
+                    floor = np.frombuffer(r.floors) if with_floor else np.full(len(ids), -np.inf)
+                    near, scores = search(tree, ids, points, floor, k, not with_floor)
                     i, j = np.nonzero(scores != -np.inf)
                     # where an id stands for several vectors, its queries stay apart by their place
-                    yield pd.DataFrame({"dim": r.dim, "block": r.block, "place": i, "query_id": qid[i], "vec_id": ids[i, j],
+                    yield pd.DataFrame({"dim": r.dim, "block": r.block, "place": i, "query_id": ids[i], "vec_id": near[i, j],
                                         "score": [max(-LONG - 1, min(LONG, int(s))) for s in scores[i, j]]})
         return searched
 
-    def pairs(asked_blocks: DataFrame) -> DataFrame:
-        # the stated query set against all shards, block by block: a row for each pair of blobs
-        each = asked_blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-        return trees.join(each, ["dim", "shard"]).repartition("dim", "shard", "block")
-
     schema = "dim int, block long, place int, query_id long, vec_id long, score long"
     best = W.partitionBy("dim", "block", "place").orderBy(F.desc("score"), "vec_id")
-    seen = stored(pairs(queries).mapInPandas(run(False), schema), "top-first")
+    seen = stored(meet(queries.withColumn("floors", F.lit(None).cast("binary"))).mapInPandas(run(False), schema), "top-first")
     kth = (seen.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("dim", "block", "place", "score"))
 
     def floors(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in left.itertuples():
-            floor = np.full(len(r.qids) // 8, -np.inf)
+            floor = np.full(len(r.ids) // 8, -np.inf)
             floor[right["place"].to_numpy()] = right["score"].to_numpy()
-            out.append((r.dim, r.block, r.qids, r.queries, blob(floor - np.abs(floor) * 1e-15)))
-        return pd.DataFrame(out, columns=["dim", "block", "qids", "queries", "floors"])
+            out.append((r.dim, r.block, r.ids, r.points, blob(floor - np.abs(floor) * 1e-15)))
+        return pd.DataFrame(out, columns=["dim", "block", "ids", "points", "floors"])
 
     shared = stored(queries.groupBy("dim", "block").cogroup(kth.groupBy("dim", "block"))
-                    .applyInPandas(floors, "dim int, block long, qids binary, queries binary, floors binary"), "top-floors")
-    found = pairs(shared).mapInPandas(run(True), schema)
+                    .applyInPandas(floors, "dim int, block long, ids binary, points binary, floors binary"), "top-floors")
+    found = meet(shared).mapInPandas(run(True), schema)
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
