@@ -232,13 +232,9 @@ def _spanning(found, ids) -> tuple[np.ndarray, np.ndarray]:
     return row[keep], row[root[keep]]
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, parts: int,
-             chunk: int) -> tuple[DataFrame, DataFrame]:
-    """(``id``, ``fp``) of all rows, and of each fingerprint ``fp``, ``least`` (its smallest id),
+def _classes(fps: DataFrame, distance: int, parts: int, chunk: int) -> DataFrame:
+    """Of each fingerprint in the table (``id``, ``fp``): ``fp``, ``least`` (its smallest id),
     ``component`` (the fingerprint that names its group) and ``component_id``."""
-    ship(docs.sparkSession)
-    fps = stored(docs.select(F.col(id_col).cast("long").alias("id"),
-                             fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")
     classes = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
     # a fingerprint is the node's name: rows without an id connect others as well
     links = stored(link_fingerprints(classes.select("fp", F.col("fp").alias("id")), distance, parts, chunk), "simhash-links")
@@ -246,7 +242,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance
     member = stored(classes.join(comp, classes["fp"] == comp["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-members")
     low = stored(member.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-low")
-    return fps, stored(member.join(low, "component"), "simhash-table")
+    return stored(member.join(low, "component"), "simhash-table")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -260,7 +256,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     it has an id.  Repeated rows appear as often as they do in ``docs``; an empty table
     gives no rows; other columns are not read.
     """
-    fps, table = _classes(docs, id_col, text_col, shingle, distance, parts, chunk)
+    ship(docs.sparkSession)
+    fps = stored(docs.select(F.col(id_col).cast("long").alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")
+    table = _classes(fps, distance, parts, chunk)
     # each class once on the right; copies of one text may be a third of the left: both are plain scans
     return (fps.join(table.select("fp", "component_id"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
@@ -271,11 +269,12 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, all their columns, that stay when each group of near-duplicates
     keeps one: that of the smallest id (rows without an id stay only where no row of the
     group has one), of several rows of that id one with the smallest fingerprint."""
-    _, table = _classes(docs, id_col, text_col, shingle, distance, parts, chunk)
+    ship(docs.sparkSession)
+    rows = stored(docs.select(F.struct("*").alias("__row"), F.col(id_col).cast("long").alias("__id"),
+                              fingerprint(F.col(text_col), shingle).alias("__own")), "simhash-rows")
+    table = _classes(rows.select(F.col("__id").alias("id"), F.col("__own").alias("fp")), distance, parts, chunk)
     own = table.where("least <=> component_id").groupBy("component_id", "component").agg(F.min("fp").alias("__fp"))
     own = stored(own.select("__fp", F.col("component_id").alias("__keep")), "simhash-kept")
-    rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).cast("long").alias("__id"),
-                       fingerprint(F.col(text_col), shingle).alias("__own"))
     # merge: the same plan whatever the size of the list; copies differ in their id, so no key is hot
     kept = rows.join(own.hint("merge"), (rows["__own"] == own["__fp"]) & rows["__id"].eqNullSafe(own["__keep"]), "left_semi")
     return kept.dropDuplicates(["__own", "__id"]).select("__row.*")
