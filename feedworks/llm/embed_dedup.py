@@ -4,6 +4,11 @@ distributed connected components.
 Equal vectors are one class.  Two vectors at an angle share one sign with probability
 1 - angle / pi; enough tables are taken that a pair right at the threshold meets in
 none of them with probability ``miss`` at most.
+
+Short sketches meet in the tables first: whole numbers near 127 times the first coordinates of
+the unit vector in a random orthonormal base.  Distances of sketches can't be much above those
+of the vectors, so who has no sketch near enough in any table has no link.  Only the others'
+vectors are sent to the tables.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .buckets import hot_buckets, pair_tiles, runs, whole_runs
 from .common import ship, stored
@@ -21,6 +27,10 @@ from .graph import components
 from .simhash import _spanning
 from .vectors import blob, finite, matrix
 
+#: Coordinates of a sketch, one byte each.
+SKETCH = 32
+KEYS = ["dim", "tab", "sig", "block"]
+
 
 def table_shape(n: int, threshold: float, miss: float) -> tuple[int, int]:
     """Signs per key and number of tables: about 64 vectors a bucket if they lay evenly."""
@@ -29,19 +39,42 @@ def table_shape(n: int, threshold: float, miss: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
 
 
+def scaled(column) -> np.ndarray:
+    """Vectors as doubles, each times a power of two (exact) so that its squares don't overflow."""
+    x = matrix(column)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def signatures(x: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
-    """Keys of the rows of ``x`` in all tables (int32)."""
-    planes = np.random.default_rng([seed, x.shape[1]]).standard_normal((x.shape[1], bits * tables))
-    signs = (x @ planes > 0).reshape(len(x), tables, bits)
+    """Keys of the rows of ``x`` (from ``scaled``) in all tables (int32).  Planes and vectors are
+    rounded to whole numbers whose sums are exact, so a vector's keys don't depend on its batch."""
+    dim = x.shape[1]
+    planes = np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
+    planes = np.clip(np.rint(np.ldexp(planes, 12)), -2**15, 2**15)
+    whole = np.rint(np.ldexp(x, 37 - math.ceil(math.log2(dim))))
+    signs = (whole @ planes > 0).reshape(len(x), tables, bits)
     return (signs * (1 << np.arange(bits))).sum(2).astype(np.int32)
 
 
+def sketches(x: np.ndarray, seed: int) -> np.ndarray:
+    dim = x.shape[1]
+    base = np.linalg.qr(np.random.default_rng([seed, dim, 1]).standard_normal((dim, min(dim, SKETCH))))[0]
+    return np.rint(127 * (x / np.sqrt((x * x).sum(1, keepdims=True))) @ base).astype(np.int8)
+
+
+def reach(threshold: float) -> float:
+    """Largest squared distance of sketches of vectors with a cosine of ``threshold`` or more:
+    both ends of each coordinate may be off by a half."""
+    return (127 * math.sqrt(max(0.0, 2 - 2 * threshold)) + math.sqrt(SKETCH) + 0.01) ** 2
+
+
 def link_classes(classes: DataFrame, threshold: float = 0.95, miss: float = 1e-6, chunk: int = 512,
                  seed: int = 5) -> DataFrame:
     """From (``node`` long, ``vec`` array, ``copies`` long): rows (a, b, n).  With b null, n
     is a part of the number of vectors linked to class a, itself left out; else (a, b)
     is a link of two classes.  Each pair is counted in the first table where it meets."""
     bits, tables = table_shape(classes.count(), threshold, miss)
+    kind = np.float32 if classes.schema["vec"].dataType.elementType == T.FloatType() else np.float64
 
     def keys(batches):
         for batch in batches:
@@ -50,12 +83,11 @@ def link_classes(classes: DataFrame, threshold: float = 0.95, miss: float = 1e-6
             dims = batch["vec"].map(len).to_numpy()
             for d in np.unique(dims):
                 part = batch[dims == d]
-                x = matrix(part["vec"])
-                x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])  # exact; no overflow in squares
-                yield d, part["node"].to_numpy(), part["copies"].to_numpy(), x, signatures(x, bits, tables, seed)
+                x = scaled(part["vec"])
+                yield d, part, x, signatures(x, bits, tables, seed)
 
     def buckets(batches):
-        for d, _, _, _, sig in keys(batches):
+        for d, _, _, sig in keys(batches):
             yield pd.DataFrame({"dim": d, "tab": np.repeat(np.arange(tables), len(sig)), "sig": sig.T.ravel()})
 
     sizes = (classes.mapInPandas(buckets, "dim int, tab int, sig int").groupBy("dim", "tab", "sig")
@@ -63,10 +95,11 @@ def link_classes(classes: DataFrame, threshold: float = 0.95, miss: float = 1e-6
     hot = {(r["dim"], r["tab"], r["sig"]): -(-r["n"] // chunk) for r in hot_buckets(sizes, chunk)}
     held = ship(classes.sparkSession).sparkContext.broadcast(hot)  # hot_buckets bounds it
 
-    def entries(batches):
-        """role: 1 index, 2 probe, 3 both; a hot bucket of k pieces becomes k x k blocks."""
-        for d, node, copies, x, sig in keys(batches):
-            vec, all_keys = [blob(r) for r in x], [blob(s) for s in sig]
+    def entries(batches, rest):
+        """Entries of the tables.  role: 1 index, 2 probe, 3 both; a hot bucket of k pieces
+        becomes k x k blocks.  ``rest``: the further columns of rows ``row``."""
+        for d, part, x, sig in keys(batches):
+            node, more = part["node"].to_numpy(), rest(part, x)
             cut = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
             for t in range(tables):
                 k = np.array([held.value.get((d, t, s), 1) for s in sig[:, t].tolist()])
@@ -79,44 +112,74 @@ def link_classes(classes: DataFrame, threshold: float = 0.95, miss: float = 1e-6
                     role.append(np.repeat([1, 2, 3], [k[i] - 1, k[i] - 1, 1]))
                 row = np.concatenate(row)
                 yield pd.DataFrame({"dim": d, "tab": t, "sig": sig[row, t], "block": np.concatenate(block), "node": node[row],
-                                    "copies": copies[row], "role": np.concatenate(role), "vec": [vec[i] for i in row],
-                                    "keys": [all_keys[i] for i in row]})
+                                    "role": np.concatenate(role), **{c: v[row] for c, v in more.items()}})
 
-    def verify(batches):
-        names = ["dim", "tab", "sig", "block"]
-        for batch in whole_runs(batches, names):
+    def each(rows) -> np.ndarray:
+        return np.array([blob(r) for r in rows], object)
+
+    def short(batches):
+        return entries(batches, lambda part, x: {"sketch": each(sketches(x, seed))})
+
+    def whole(batches):
+        return entries(batches, lambda part, x: {"copies": part["copies"].to_numpy(), "vec": each(matrix(part["vec"]).astype(kind))})
+
+    def tiles(batches):
+        """Of the entries of one length: dimension, rows, and the pairs that meet, in tiles."""
+        for batch in whole_runs(batches, KEYS):
             for d, part in batch.groupby("dim", sort=False):
-                bounds = runs([part[c].to_numpy() for c in names])
-                role, node, copies = (part[c].to_numpy() for c in ("role", "node", "copies"))
-                tab, sig = part["tab"].to_numpy(), np.frombuffer(b"".join(part["keys"]), np.int32).reshape(len(part), tables)
-                x = np.frombuffer(b"".join(part["vec"]), np.float64).reshape(len(part), d)
-                size = np.sqrt(np.einsum("ij,ij->i", x, x))
-                links, found = np.zeros(len(part), np.int64), []
-                for i, j in pair_tiles(bounds, np.flatnonzero(role & 2), np.flatnonzero(role & 1), 1 << 16):
-                    once = node[i] > node[j]
-                    i, j = i[once], j[once]
-                    near = np.einsum("ij,ij->i", x[i], x[j]) / (size[i] * size[j]) >= threshold
-                    i, j = i[near], j[near]
-                    if not len(i):
-                        continue
-                    first = np.argmax(sig[i] == sig[j], axis=1) == tab[i]
-                    i, j = i[first], j[first]
-                    np.add.at(links, i, copies[j])
-                    np.add.at(links, j, copies[i])
-                    found.append((i, j))
-                    if sum(len(f[0]) for f in found) > 1 << 18:
-                        found = [_spanning(found, node)]
-                if found:
-                    a, b = _spanning(found, node)
-                    yield pd.DataFrame({"a": node[a], "b": node[b], "n": 0})
-                some = np.flatnonzero(links)
-                if len(some):
-                    yield pd.DataFrame({"a": node[some], "b": pd.array([None] * len(some), "Int64"), "n": links[some]})
-
-    spread = (classes.mapInPandas(entries, "dim int, tab int, sig int, block long, node long, copies long, role int, "
-                                           "vec binary, keys binary")
-              .repartition("dim", "tab", "sig", "block").sortWithinPartitions("dim", "tab", "sig", "block"))
-    return spread.mapInPandas(verify, "a long, b long, n long")
+                bounds, role = runs([part[c].to_numpy() for c in KEYS]), part["role"].to_numpy()
+                yield d, part, pair_tiles(bounds, np.flatnonzero(role & 2), np.flatnonzero(role & 1), 1 << 16)
+
+    def meet(batches):
+        most = reach(threshold)
+        for d, part, pairs in tiles(batches):
+            node = part["node"].to_numpy()
+            y = np.frombuffer(b"".join(part["sketch"]), np.int8).reshape(len(part), -1).astype(np.float32)  # sums stay exact
+            near = np.zeros(len(part), bool)
+            for i, j in pairs:
+                once = node[i] > node[j]
+                i, j = i[once], j[once]
+                apart = y[i] - y[j]
+                close = np.einsum("ij,ij->i", apart, apart) <= most
+                near[i[close]] = near[j[close]] = True
+            yield pd.DataFrame({"node": np.unique(node[near])})
+
+    def verify(batches):
+        for d, part, pairs in tiles(batches):
+            tab, node, copies = (part[c].to_numpy() for c in ("tab", "node", "copies"))
+            x = scaled(np.frombuffer(b"".join(part["vec"]), kind).reshape(len(part), d))
+            size = np.sqrt(np.einsum("ij,ij->i", x, x))
+            links, found = np.zeros(len(part), np.int64), []
+            for i, j in pairs:
+                once = node[i] > node[j]
+                i, j = i[once], j[once]
+                near = np.einsum("ij,ij->i", x[i], x[j]) / (size[i] * size[j]) >= threshold
+                i, j = i[near], j[near]
+                if not len(i):
+                    continue
+                some, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+                sig = signatures(x[some], bits, tables, seed)
+                first = np.argmax(sig[at[:len(i)]] == sig[at[len(i):]], axis=1) == tab[i]
+                i, j = i[first], j[first]
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
+                found.append((i, j))
+                if sum(len(f[0]) for f in found) > 1 << 18:
+                    found = [_spanning(found, node)]
+            if found:
+                a, b = _spanning(found, node)
+                yield pd.DataFrame({"a": node[a], "b": node[b], "n": 0})
+            some = np.flatnonzero(links)
+            if len(some):
+                yield pd.DataFrame({"a": node[some], "b": pd.array([None] * len(some), "Int64"), "n": links[some]})
+
+    def tabled(rows: DataFrame, fill, more: str) -> DataFrame:
+        return (rows.mapInPandas(fill, f"dim int, tab int, sig int, block long, node long, role int, {more}")
+                .repartition(*KEYS).sortWithinPartitions(*KEYS))
+
+    met = stored(tabled(classes.select("node", "vec"), short, "sketch binary").mapInPandas(meet, "node long").distinct(), "vec-met")
+    return (tabled(classes.join(met, "node", "left_semi"), whole, "copies long, vec binary")
+            .mapInPandas(verify, "a long, b long, n long"))
 
 
 def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95,
@@ -130,7 +193,9 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
     table gives no rows; other columns are not read.
     """
     ship(vectors.sparkSession)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    single = vectors.schema[vec_col].dataType.elementType == T.FloatType()
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"),
+                          F.col(vec_col).cast("array<float>" if single else "array<double>").alias("vec"))
     nonzero = F.exists("vec", lambda v: v != 0)
     rows = stored(rows.withColumn("vec", F.when(finite("vec") & F.coalesce(nonzero, F.lit(False)), F.col("vec")))
                   .withColumn("h", F.when(F.col("vec").isNotNull(), F.xxhash64("vec"))), "vec-rows")

@@ -60,3 +60,30 @@ def test_columns_that_clash_are_not_read(spark):
     df = spark.createDataFrame([(a, b, 1, "x", True) for a, b in rows],
                                "vec_id long, embedding array<float>, n_links int, component_id string, kept boolean")
     assert got(df) == brute(rows)
+
+
+def test_doubles_are_not_rounded(spark):
+    x = [[1.0, 0.0], [1.0, 1e-9], [1.0, 2e-9], [0.0, 1.0]]
+    x += [[1.0, 0.3286841051788632], [1.0, 0.3286841]]  # a cosine just under 0.95 with the first, and one just over
+    rows = list(enumerate(x))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    size = [np.sqrt(np.dot(v, v)) for v in x]
+    want = {i: sum(i != j and np.dot(v, w) / (size[i] * size[j]) >= 0.95 for j, w in rows) for i, v in rows}
+    assert {r[0]: r[1] for r in embed_dedup.near_vectors(df).collect()} == want
+
+
+@pytest.mark.parametrize("dim", [3, 40, 200])
+@pytest.mark.parametrize("threshold", [0.5, 0.95, 1.0])
+def test_sketches_of_near_vectors_are_near(dim, threshold):
+    rng = np.random.default_rng(dim)
+    x = rng.standard_normal((3000, dim))
+    y = x * rng.uniform(0.1, 9, (3000, 1)) + rng.standard_normal((3000, dim)) * rng.uniform(0, 1, (3000, 1)) * (threshold < 1)
+    near = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1)) >= threshold
+    a, b = (embed_dedup.sketches(embed_dedup.scaled(list(v)), 5).astype(int) for v in (x, y))
+    assert near.sum() > 500 and (((a - b) ** 2).sum(1)[near] <= embed_dedup.reach(threshold)).all()
+
+
+def test_keys_do_not_depend_on_the_batch():
+    x = embed_dedup.scaled(list(np.random.default_rng(2).standard_normal((500, 64))))
+    keys = embed_dedup.signatures(x, 8, 25, 5)
+    assert all((embed_dedup.signatures(x[i:i + n], 8, 25, 5) == keys[i:i + n]).all() for i in range(0, 480, 37) for n in (1, 3, 20))
