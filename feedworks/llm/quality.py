@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, pack_texts, ship, span_hashes, text_slices, word_bounds
+from .common import mix64, pack_texts, ship, span_hashes, stored, text_slices, word_bounds
 
 #: Byte classes of token shapes: lower, upper, digit, beyond ASCII; every other byte is its own.
 _CLASS = np.arange(256, dtype=np.uint64) + np.uint64(16)
@@ -22,6 +22,8 @@ _CLASS[ord("a"):ord("z") + 1] = 1
 _CLASS[ord("A"):ord("Z") + 1] = 2
 _CLASS[ord("0"):ord("9") + 1] = 3
 _CLASS[128:] = 4
+#: Slices of the sample, taken or left whole.
+SLICES = 256
 
 
 def feature_pairs(texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,16 +129,20 @@ class QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_rows: int = 16000, bits: int = 18, min_docs: int = 3,
-        cost: float = 1.0, epochs: int = 30, seed: int = 7) -> QualityModel:
+        label_col: str = "quality", max_rows: int = 16000, max_bytes: int = 256 << 20, bits: int = 18,
+        min_docs: int = 3, cost: float = 1.0, epochs: int = 30, seed: int = 7) -> QualityModel:
     """Fit on the labelled ``docs``.
 
     ``max_rows`` bounds the labelled rows learnt from (the documented bound): where
     there are more, rows are taken by a hash of their id with that expected number.
+    ``max_bytes`` bounds their features (four bytes each, 2**bits at most in one text): the
+    sample is cut by a hash of the id into ``SLICES`` slices, and one that doesn't fit into what
+    the slices before it left is not learnt from.  So neither very long texts nor an id on
+    very many rows fill the one task that fits.
     A document with several labels has their majority (a tie counts as 0); null ids
     and null labels are ignored.  With one class or no labels at all the model is the
     constant that fits.  Label counts and the sample's features are all that is
-    gathered: at most ``max_rows`` documents in one task, 2**bits weights on the driver.
+    gathered: at most ``max_bytes`` in one task, 2**bits weights on the driver.
     """
     given = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("__y"))
              .where("__id IS NOT NULL AND __y IS NOT NULL").groupBy("__id")
@@ -174,7 +180,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         return pd.DataFrame({"at": [at.tobytes()], "r": [ratio[at].astype(np.float32).tobytes()],
                              "w": [w[at].astype(np.float32).tobytes()], "bias": [float(bias)]})
 
-    got = (rows.mapInPandas(features, "g int, id long, y int, f binary").groupBy("g")
+    sample = stored(rows.mapInPandas(features, "g int, id long, y int, f binary"), "quality-sample")
+    part = F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(SLICES))
+    taken, total = [], 0
+    for r in sample.groupBy(part.alias("part")).agg(F.sum(F.length("f")).alias("n")).orderBy("part").collect():  # SLICES rows at most
+        if total + r["n"] <= max_bytes:
+            taken.append(r["part"])
+            total += r["n"]
+    got = (sample.where(part.isin(taken)).groupBy("g")
            .applyInPandas(learn, "at binary, r binary, w binary, bias double").collect())
     if not got:
         none = np.zeros(0, np.float32)

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -103,3 +104,75 @@ def test_the_sample_is_bounded_and_the_same_each_time(spark, bound):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     a, b = (quality.fit(docs, labels, max_rows=bound) for _ in range(2))
     assert np.array_equal(a.features, b.features) and np.array_equal(a.weights, b.weights) and a.bias == b.bias
+
+
+def brute_features(text):
+    """Words, word pairs and runs of one to three token shapes, as tuples instead of hashes."""
+    def kind(byte):
+        return "a" if 97 <= byte <= 122 else "A" if 65 <= byte <= 90 else "0" if 48 <= byte <= 57 else "u" if byte > 127 else byte
+    tokens = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    shapes = [(kind(t[0]), kind(t[min(1, len(t) - 1)]), kind(t[-1]), i > 0 and tokens[i - 1] == t) for i, t in enumerate(tokens)]
+    out = {("w", t) for t in tokens} | {("ww", *tokens[i:i + 2]) for i in range(len(tokens) - 1)}
+    return out | {("s", *shapes[i:i + n]) for n in (1, 2, 3) for i in range(len(shapes) - n + 1)}
+
+
+def brute_scores(train, texts, bits=18, min_docs=3):
+    """Scores by plain dictionaries and a projected gradient on the whole dual problem."""
+    seen = {1: {}, -1: {}}
+    for text, y in train:
+        for f in brute_features(text):
+            seen[y][f] = seen[y].get(f, 0) + 1
+    sums = {y: sum(seen[y].values()) + 2 ** bits for y in seen}
+    ratio = {f: np.log((seen[1].get(f, 0) + 1) / sums[1]) - np.log((seen[-1].get(f, 0) + 1) / sums[-1])
+             for f in {*seen[1], *seen[-1]} if seen[1].get(f, 0) + seen[-1].get(f, 0) >= min_docs}
+    names = {f: i for i, f in enumerate(ratio)}
+
+    def row(text):
+        v = np.zeros(len(names) + 1)
+        for f in brute_features(text):
+            if f in names:
+                v[names[f]] = ratio[f]
+        v /= max(np.sqrt((v * v).sum()), 1e-12)
+        v[-1] = 1.0
+        return v
+
+    x, y = np.array([row(t) for t, _ in train]), np.array([y for _, y in train], float)
+    q = (x * y[:, None]) @ (x * y[:, None]).T
+    alpha, step = np.zeros(len(y)), 1 / np.linalg.norm(q, 2)
+    for _ in range(20000):
+        alpha = np.clip(alpha + step * (1 - q @ alpha), 0, 1)
+    w = x.T @ (alpha * y)
+    return [1 / (1 + np.exp(-4 * (row(t) @ w))) for t in texts]
+
+
+def test_scores_are_those_of_a_plain_version(spark):
+    rng = np.random.default_rng(11)
+    good, bad = "the river runs under old stone bridges at dawn".split(), "BUY now!! $$$ click 4free win win ### x9".split()
+    data = []
+    for i in range(90):
+        mixed = [str(rng.choice(good if rng.random() < (0.8 if i % 2 else 0.35) else bad)) for _ in range(int(rng.integers(3, 25)))]
+        data.append((i, " ".join(mixed), i % 2))
+    data += [(90, "", 0), (91, None, 1), (92, "é ü \n the river", 1), (93, "never seen words", 0)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, quality int")
+    out = {r.doc_id: r for r in quality.score_quality(docs.drop("quality"), docs.select("doc_id", "quality"), epochs=3000).collect()}
+    learnt = [(t, 1 if y else -1) for i, t, y in data if zlib.crc32(str(i).encode()) % 5]
+    want = brute_scores(learnt, [t for _, t, _ in data])
+    for (i, _, _), score in zip(data, want):
+        assert out[i].score == pytest.approx(score, abs=0.02)
+        assert out[i].predicted == int(out[i].score >= 0.3)
+    assert len({round(s, 2) for s in want}) > 20
+
+
+def test_the_features_of_the_sample_are_bounded(spark):
+    long = " ".join(f"w{i}" for i in range(5000))
+    data = [(i, f"good words {i % 7} here" if i % 2 else f"BAD!! ### {i % 7} $$$") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)] + [(1000, 1), (1001, 0)], "doc_id long, quality int")
+    few = spark.createDataFrame(data, "doc_id long, text string")
+    more = few.union(spark.createDataFrame([(1000, long), (1001, "again and again")] + [(1001, "again and again")] * 3000, "doc_id long, text string"))
+    # the long text and the repeated id lie in slices that don't fit; all other slices are learnt from
+    free, bound = quality.fit(more, labels), quality.fit(more, labels, max_bytes=60_000)
+    assert len(bound.features) and len(bound.features) < len(free.features)
+    rows = {r.doc_id: r.predicted for r in quality.score_quality(few, labels, max_bytes=60_000).collect()}
+    assert all(rows[i] == i % 2 for i, _ in data)
+    nothing = quality.fit(few, labels, max_bytes=0)
+    assert len(nothing.features) == 0 and nothing.bias == 0.0
