@@ -1,9 +1,10 @@
 """Katz backoff language model over words.
 
 Good-Turing counts c* = d(c) c for small counts; what they give up goes to the words not
-seen after a context, in proportion to their unigram probabilities, with backoff weights
-that make every context's distribution sum to one exactly.  One unknown word stands
-for all words that are not in the training texts.
+seen after a context, in proportion to their probabilities after the context without its
+first word, and so on down to single words, with backoff weights that make every
+context's distribution sum to one exactly.  One unknown word stands for all words that
+are not in the training texts.  The context of a text's first words ends at its start.
 
 Counts meet in tables that are cut by key range (shards) and by block of texts: a block
 asks each shard for the counts of its own n-grams and gets them in the order asked.
@@ -89,7 +90,8 @@ class Unigrams:
 
 
 class _Block:
-    """The tokens of a block, its distinct words and, once word counts are known, its pairs."""
+    """The tokens of a block and, level by level, their n-grams: ``known`` and ``answered`` take
+    what the shards say of a level, ``grams`` goes on to the next one."""
 
     def __init__(self, lens: bytes, texts: bytes, trained: bytes):
         self.tokens, self.starts = token_arrays(lens, texts)
@@ -99,32 +101,44 @@ class _Block:
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.word, self.train, len(self.words)).astype(np.int64)
 
-    def pairs(self, counts: np.ndarray, model: Unigrams, shards: int) -> None:
-        """Distinct pairs of known words in the order (shard, context, pair).  A context with more
-        than a quarter of a shard's share of the tokens is parted by its words."""
-        first = np.zeros(len(self.tokens), bool)
-        first[self.starts[:-1]] = True
-        context = np.roll(self.tokens, 1)
-        context[first] = START
-        self.context_count = np.roll(counts[self.word], 1)
-        self.context_count[first] = model.ends
+    def known(self, counts: np.ndarray) -> None:
         self.count = counts[self.word]
         self.words = self.word = None  # not needed any more
-        self.open = np.flatnonzero((self.count > 0) & (self.context_count > 0))
+
+    def grams(self, level: int, model: Unigrams, shards: int) -> None:
+        """Distinct grams of ``level`` words whose context and whose end (all but the first word) have
+        been seen, in the order (shard, context, gram).  A context with more than a quarter of
+        a shard's share of the tokens is parted by its words.  ``count`` is that of the end."""
+        context_count = np.roll(self.count, 1)
+        if level == 2:
+            context, under = np.roll(self.tokens, 1), None
+            context[self.starts[:-1]], context_count[self.starts[:-1]] = START, model.ends
+        else:
+            context, under = np.roll(pair_keys(self.context, self.tokens), 1), self.context_count
+            context_count[self.starts[:-1]] = 0  # there the context ends at the start: a lower level has it
+        self.open = np.flatnonzero((self.count > 0) & (context_count > 0))
         key = pair_keys(context[self.open], self.tokens[self.open])
-        keys, at, pair = np.unique(key, return_index=True, return_inverse=True)
+        keys, at, gram = np.unique(key, return_index=True, return_inverse=True)
         del key
         at = self.open[at]
-        parts = 1 + self.context_count[at] * 4 * shards // max(model.tokens, 1)
+        parts = 1 + context_count[at] * 4 * shards // max(model.tokens, 1)
         salt = (mix64(self.tokens[at]) % parts.astype(np.uint64))
         shard = shard_of(mix64(context[at] + salt), shards)
         order = np.lexsort((keys, context[at], shard))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        self.context, self.pair, self.shard = context, rank[pair], shard[order]
+        self.context, self.context_count, self.gram, self.shard = context, context_count, rank[gram], shard[order]
         at = at[order]
-        self.pair_context, self.pair_word, self.pair_word_count = context[at], self.tokens[at], self.count[at]
-        self.pair_count = np.bincount(self.pair, self.train[self.open], len(order)).astype(np.int64)
+        self.gram_context, self.gram_word, self.gram_known = context[at], self.tokens[at], self.count[at]
+        self.gram_under = None if under is None else under[at]
+        self.gram_count = np.bincount(self.gram, self.train[self.open], len(order)).astype(np.int64)
+
+    def answered(self, counts: np.ndarray) -> None:
+        """``count`` becomes that of the grams; where they are not open it is 0."""
+        self.count = np.zeros(len(self.tokens), np.int64)
+        if len(self.open):
+            self.count[self.open] = counts[self.gram]
+        self.gram = self.shard = self.gram_context = self.gram_word = self.gram_known = self.gram_under = self.gram_count = None
 
 
 def _answer(parts, dtype=np.int32) -> np.ndarray:
@@ -141,15 +155,18 @@ N_COLUMNS = [f"n{r}" for r in range(1, TOP + 1)]
 
 
 def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10,
-                block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+                order: int = 2, block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (op2's contract).
 
-    Learns bigrams from the rows whose crc32(id) is not divisible by ``folds``.  Null and empty
+    Learns n-grams of up to ``order`` words (2 or more) from the rows whose crc32(id) is not
+    divisible by ``folds``; each further word is one more pass and one more table.  Null and empty
     texts have the end token alone; null ids are training rows; repeated rows are counted
     and returned as often as they appear; an empty table gives no rows; other columns
     are not read.  Words are told apart by 64-bit hashes.  Where no row is left to learn from,
     every token has probability one in ``score``'s model of a single unknown word.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     flag = held_out(id_col, folds)
     named = docs.select(F.concat_ws(":", flag.cast("int").cast("string"), F.col(id_col).cast("string")).alias("key"),
@@ -196,99 +213,129 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lost = sum((sums[f"n{r}"] or 0) * (r - small[r]) for r in range(1, TOP))
     rest = n_words - sum(sums[f"n{r}"] or 0 for r in range(1, TOP))
     model = Unigrams(n_tokens, n_words, sums["ends"] or 0, small, (lost + LEAST * rest) / n_tokens if n_tokens else 1.0)
-    with_words = packed.join(gathered(answers, "counted", "katz-counted"), "block")
-
-    def ask_pairs(batches):
-        for batch in batches:
-            for r in batch.itertuples():
-                own = _Block(r.lens, r.texts, trained(r.ids))
-                own.pairs(_answer(r.counted), model, shards)
-                rows = []
-                for s, at in by_shard(own.shard):
-                    context = own.pair_context[at]
-                    first = np.concatenate([[0], np.flatnonzero(context[1:] != context[:-1]) + 1])
-                    runs = np.diff(np.concatenate([first, [len(context)]]))
-                    rows.append((r.block, s, context[first].tobytes(), squeeze(runs.astype(np.int32)), own.pair_word[at].tobytes(),
-                                 squeeze(own.pair_word_count[at].astype(np.int32)), squeeze(own.pair_count[at].astype(np.int32))))
-                yield pd.DataFrame(rows, columns=["block", "shard", "contexts", "runs", "words", "known", "counts"])
-
-    def count_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = [np.frombuffer(x, np.uint64) for x in pdf["words"]]
-        word = np.concatenate(words)
-        context = np.concatenate([np.repeat(np.frombuffer(c, np.uint64), spread(n, np.int32))
-                                  for c, n in zip(pdf["contexts"], pdf["runs"])])
-        _, at, where = np.unique(pair_keys(context, word), return_index=True, return_inverse=True)
-        totals = np.bincount(where, np.concatenate([spread(c, np.int32) for c in pdf["counts"]])).astype(np.int64)
-        known = np.concatenate([spread(c, np.int32) for c in pdf["known"]])[at].astype(np.int64)
-        out = pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"],
-                            "counts": [squeeze(x.astype(np.int32)) for x in
-                                       np.split(totals[where], np.cumsum([len(w) for w in words])[:-1])]})
-        # what the backoff weights of the contexts need: how many words by count, and their unigram mass
-        seen = totals > 0
-        names, group = np.unique(context[at][seen], return_inverse=True)
-        sums = np.zeros((len(names), TOP + 1))
-        np.add.at(sums, (group, np.minimum(totals[seen], TOP) - 1), 1)
-        sums[:, TOP] = np.bincount(group, np.where(totals[seen] >= TOP, totals[seen], 0), len(names))
-        mass = np.bincount(group, model.probability(known[seen]), len(names))
-        out["contexts"], out["sums"], out["mass"] = None, None, None
-        out.at[out.index[0], "contexts"] = names.tobytes()
-        out.at[out.index[0], "sums"] = squeeze(sums.astype(np.int64))
-        out.at[out.index[0], "mass"] = squeeze(mass)
-        out[N_COLUMNS] = 0
-        out.loc[out.index[0], N_COLUMNS] = _of_counts(totals)
-        return out
-
-    pairs = stored(with_words.select("block", "ids", "lens", "texts", "counted")
-                   .mapInPandas(ask_pairs, "block long, shard long, contexts binary, runs binary, words binary, known binary, counts binary")
-                   .groupBy("shard").applyInPandas(count_pairs, "block long, shard long, counts binary, contexts binary, sums binary, "
-                                                                f"mass binary, {n_schema}"), "katz-pairs")
-    sums = pairs.agg(*[F.sum(c).alias(c) for c in N_COLUMNS]).first()
-    pair_small = discounted([sums[c] or 0 for c in N_COLUMNS])
-
-    def unroll(batches):
-        for batch in batches:
-            for r in batch.itertuples():
-                s, names = spread(r.sums).reshape(-1, TOP + 1), np.frombuffer(r.contexts, np.int64)
-                total = s[:, :TOP - 1] @ np.arange(1, TOP) + s[:, TOP]
-                kept = s[:, :TOP - 1] @ pair_small[1:] + s[:, TOP] - LEAST * s[:, TOP - 1]
-                yield pd.DataFrame({"context": names, "total": total, "kept": kept, "mass": spread(r.mass, np.float64)})
-
-    weights = (pairs.where("contexts IS NOT NULL").select("contexts", "sums", "mass")
-               .mapInPandas(unroll, "context long, total long, kept double, mass double").groupBy("context")
-               .agg(F.sum("total").alias("total"), F.sum("kept").alias("kept"), F.sum("mass").alias("mass"))
-               .select("context", F.log10((1 - F.col("kept") / F.col("total")) / (1 - F.col("mass"))).alias("weight")))
+    asked = packed.join(gathered(answers, "counted", "katz-counted"), "block")
+
+    def walked(r, level: int) -> _Block:
+        """A block that knows the counts of all levels before ``level``."""
+        own = _Block(r.lens, r.texts, trained(r.ids))
+        own.known(_answer(r.counted))
+        for k in range(2, level):
+            own.grams(k, model, shards)
+            own.answered(_answer(getattr(r, f"grams{k}")))
+        return own
+
+    def ask_grams(level: int):
+        def ask(batches):
+            for batch in batches:
+                for r in batch.itertuples():
+                    own = walked(r, level)
+                    own.grams(level, model, shards)
+                    rows = []
+                    for s, at in by_shard(own.shard):
+                        context = own.gram_context[at]
+                        first = np.concatenate([[0], np.flatnonzero(context[1:] != context[:-1]) + 1])
+                        runs = np.diff(np.concatenate([first, [len(context)]]))
+                        under = None if own.gram_under is None else squeeze(own.gram_under[at][first].astype(np.int32))
+                        rows.append((r.block, s, context[first].tobytes(), squeeze(runs.astype(np.int32)), under, own.gram_word[at].tobytes(),
+                                     squeeze(own.gram_known[at].astype(np.int32)), squeeze(own.gram_count[at].astype(np.int32))))
+                    yield pd.DataFrame(rows, columns=["block", "shard", "contexts", "runs", "under", "words", "known", "counts"])
+        return ask
+
+    def count_grams(below: np.ndarray | None):
+        """Counts of a shard's grams and what the weights of its contexts need; ``below``: c* of the level
+        below, None where that is the words."""
+        def count(pdf: pd.DataFrame) -> pd.DataFrame:
+            words = [np.frombuffer(x, np.uint64) for x in pdf["words"]]
+            word = np.concatenate(words)
+            runs = [spread(n, np.int32) for n in pdf["runs"]]
+            context = np.concatenate([np.repeat(np.frombuffer(c, np.uint64), n) for c, n in zip(pdf["contexts"], runs)])
+            _, at, where = np.unique(pair_keys(context, word), return_index=True, return_inverse=True)
+            totals = np.bincount(where, np.concatenate([spread(c, np.int32) for c in pdf["counts"]])).astype(np.int64)
+            known = np.concatenate([spread(c, np.int32) for c in pdf["known"]])[at].astype(np.int64)
+            out = pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"],
+                                "counts": [squeeze(x.astype(np.int32)) for x in
+                                           np.split(totals[where], np.cumsum([len(w) for w in words])[:-1])]})
+            # of each context: how many words by count, and what the level below gives to them
+            seen = totals > 0
+            if below is None:
+                lower = model.probability(known[seen])
+            else:
+                under = np.concatenate([np.repeat(spread(u, np.int32), n) for u, n in zip(pdf["under"], runs)])[at]
+                lower = stars(known[seen], below) / under[seen]
+            names, group = np.unique(context[at][seen], return_inverse=True)
+            sums = np.zeros((len(names), TOP + 1))
+            np.add.at(sums, (group, np.minimum(totals[seen], TOP) - 1), 1)
+            sums[:, TOP] = np.bincount(group, np.where(totals[seen] >= TOP, totals[seen], 0), len(names))
+            mass = np.bincount(group, lower, len(names))
+            out["contexts"], out["sums"], out["mass"] = None, None, None
+            out.at[out.index[0], "contexts"] = names.tobytes()
+            out.at[out.index[0], "sums"] = squeeze(sums.astype(np.int64))
+            out.at[out.index[0], "mass"] = squeeze(mass)
+            out[N_COLUMNS] = 0
+            out.loc[out.index[0], N_COLUMNS] = _of_counts(totals)
+            return out
+        return count
+
+    def unroll(small: np.ndarray):
+        def rows(batches):
+            for batch in batches:
+                for r in batch.itertuples():
+                    s, names = spread(r.sums).reshape(-1, TOP + 1), np.frombuffer(r.contexts, np.int64)
+                    total = s[:, :TOP - 1] @ np.arange(1, TOP) + s[:, TOP]
+                    kept = s[:, :TOP - 1] @ small[1:] + s[:, TOP] - LEAST * s[:, TOP - 1]
+                    yield pd.DataFrame({"context": names, "total": total, "kept": kept, "mass": spread(r.mass, np.float64)})
+        return rows
+
+    smalls: list[np.ndarray] = []
+    weights = None
+    given = ["block", "ids", "lens", "texts", "counted"]
+    for level in range(2, order + 1):
+        grams = stored(asked.select(*given)
+                       .mapInPandas(ask_grams(level), "block long, shard long, contexts binary, runs binary, under binary, words binary, "
+                                                      "known binary, counts binary")
+                       .groupBy("shard").applyInPandas(count_grams(smalls[-1] if smalls else None),
+                                                       "block long, shard long, counts binary, contexts binary, sums binary, "
+                                                       f"mass binary, {n_schema}"), f"katz-grams{level}")
+        sums = grams.agg(*[F.sum(c).alias(c) for c in N_COLUMNS]).first()
+        smalls.append(discounted([sums[c] or 0 for c in N_COLUMNS]))
+        more = (grams.where("contexts IS NOT NULL").select("contexts", "sums", "mass")
+                .mapInPandas(unroll(smalls[-1]), "context long, total long, kept double, mass double").groupBy("context")
+                .agg(F.sum("total").alias("total"), F.sum("kept").alias("kept"), F.sum("mass").alias("mass"))
+                .select("context", F.log10((1 - F.col("kept") / F.col("total")) / (1 - F.col("mass"))).alias("weight")))
+        weights = more if weights is None else weights.unionByName(more)
+        asked = asked.join(gathered(grams, f"grams{level}", f"katz-gathered{level}"), "block", "left")
+        given.append(f"grams{level}")
 
     def evaluate(batches):
         for batch in batches:
             for r in batch.itertuples():
-                own = _Block(r.lens, r.texts, trained(r.ids))
-                own.pairs(_answer(r.counted), model, shards)
-                both = np.zeros(len(own.tokens), np.int64)
-                both[own.open] = _answer(r.paired)[own.pair] if len(own.open) else 0
-                single = np.log10(model.probability(own.count))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    direct = np.log10(stars(both, pair_small) / own.context_count)
-                log = np.where(both > 0, direct, single)
-                base = np.log10((own.count + 0.1) / (model.tokens + 0.1 * (model.words + 1)))
+                own = walked(r, 2)
                 first = own.starts[:-1]
+                log = np.log10(model.probability(own.count))
+                base = np.add.reduceat(np.log10((own.count + 0.1) / (model.tokens + 0.1 * (model.words + 1))), first)
+                n_known = np.add.reduceat((own.count > 0).astype(np.int64), first)
+                for level, small in enumerate(smalls, 2):
+                    own.grams(level, model, shards)
+                    own.answered(_answer(getattr(r, f"grams{level}")))
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        log = np.where(own.count > 0, np.log10(stars(own.count, small) / own.context_count), log)
+                    # tokens that back off from a context that has been seen
+                    off = np.flatnonzero((own.count == 0) & (own.context_count > 0))
+                    if len(off):
+                        text = np.searchsorted(own.starts, off, "right") - 1
+                        by = np.lexsort((own.context[off], text))
+                        text, context = text[by], own.context[off][by]
+                        at = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (context[1:] != context[:-1])]))
+                        yield frame(r.block, text[at], context=context[at].view(np.int64), times=np.diff(np.concatenate([at, [len(text)]])))
                 yield frame(r.block, np.arange(len(first)), id=pd.Series(list(r.ids), dtype=object), n_tokens=np.diff(own.starts),
-                            n_known=np.add.reduceat((own.count > 0).astype(np.int64), first),
-                            base=np.add.reduceat(base, first), score=np.add.reduceat(log, first))
-                # tokens that back off from a context that has been seen
-                off = np.flatnonzero((both == 0) & (own.context_count > 0))
-                if len(off):
-                    text = np.searchsorted(own.starts, off, "right") - 1
-                    order = np.lexsort((own.context[off], text))
-                    text, context = text[order], own.context[off][order]
-                    at = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (context[1:] != context[:-1])]))
-                    yield frame(r.block, text[at], context=context[at].view(np.int64), times=np.diff(np.concatenate([at, [len(text)]])))
+                            n_known=n_known, base=base, score=np.add.reduceat(log, first))
 
     def frame(block, k, **columns):
         kinds = {"id": object, "n_tokens": "Int64", "n_known": "Int64", "base": float, "score": float, "context": "Int64", "times": "Int64"}
         none = {c: pd.Series([None] * len(k), dtype=t) for c, t in kinds.items() if c not in columns}
         return pd.DataFrame({"block": block, "k": k, **{c: columns.get(c, none.get(c)) for c in kinds}})
 
-    done = stored(with_words.join(gathered(pairs, "paired", "katz-paired"), "block", "left").select("block", "ids", "lens", "texts", "counted", "paired")
+    done = stored(asked.select(*given)
                   .mapInPandas(evaluate, "block long, k long, id string, n_tokens long, n_known long, base double, score double, "
                                              "context long, times long"), "katz-texts")
     weights = stored(weights, "katz-weights")
