@@ -10,7 +10,7 @@ trimmed once and cast at most once.  All stages are narrow: no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks.functions import lists, numeric, temporal, text
@@ -29,6 +29,16 @@ OTHER_KINDS = {
 }
 
 
+def worked_out(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns``, each computed once for a row, whatever is filtered on them later.
+
+    Catalyst copies the expressions of a projection into every filter on them, with all that
+    they are made of; a chain of stages then is computed anew at each of its uses, in one
+    method too large to be compiled.  It does not look into the rows that ``inline``
+    makes: filters on these columns stay above."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def clean_columns(df: DataFrame, specs: list[tuple[str, str, str]],
                   keep: list[str] = (), raw_doubles: bool = False,
                   max_len: int | None = text.DEFAULT_MAX_LEN, cut_flags: bool = False) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from feedworks.functions.staged import worked_out
 from feedworks.schemas import CORRUPT_COLUMN, raw_schema
 
 INGEST_ORDER = "_ingest_order"
@@ -78,14 +79,13 @@ def split_lines(lines: DataFrame, columns: list[str], line: str = LINE) -> Feed:
     Backslash-escaped and doubled quotes are both read.
     """
     others = [c for c in lines.columns if c != line and c not in columns]
-    text = doubled_quotes(F.col(line))
+    text = lines.select(*others, F.col(line).alias("record"), doubled_quotes(F.col(line)).alias("_text"))
     reason = F.when(open_quote(F.col("_text")), F.lit("unterminated_quote")) \
         .when(field_count(F.col("_text")) < F.lit(len(columns)), F.lit("short_record"))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE"}
     cells = F.from_csv(F.col("_text"), schema.simpleString()[7:-1].replace(":", " "), options)
-    tagged = (lines.select(*others, F.col(line).alias("record"), text.alias("_text"))
-              .withColumn(REASON, reason).withColumn("_cells", cells)
+    tagged = (worked_out(text, **{REASON: reason}).withColumn("_cells", cells)
               .select(*others, *[unmarked(F.col(f"_cells.{c}")).alias(c) for c in columns],
                       "record", F.lit(1).alias("lines"), REASON))
     return _feed_of(tagged, columns)
@@ -175,7 +175,7 @@ def read_records(spark: SparkSession, path, columns: list[str], ingest_order: bo
     schema = raw_schema(columns)
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     cells = F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "), options)
-    raw = records.select(INGEST_ORDER, cells.alias("cells")).select(INGEST_ORDER, "cells.*")
+    raw = records.select(INGEST_ORDER, F.inline(F.array(cells)))  # cut once; see ``worked_out``
     kept = split_records(raw, columns).tagged
     cut = (numbered.where("n IS NOT NULL").groupBy("file", "record").agg(F.min(place).alias("first"), F.max("n").cast("int").alias("lines"))
            .select(order, *[F.lit(None).cast("string").alias(c) for c in columns], F.col("first.value").alias("record"), "lines",
@@ -229,7 +229,7 @@ def split_records(raw: DataFrame, columns: list[str]) -> Feed:
         .when(corrupt & (field_count(line) < F.lit(len(columns))), F.lit("short_record"))
     lines = F.length(record) - F.length(F.replace(record, F.lit("\n"), F.lit(""))) + 1
     others = [c for c in raw.columns if c not in columns and c != CORRUPT_COLUMN]
-    tagged = raw.withColumn(REASON, reason).select(*others, *columns, record.alias("record"), lines.alias("lines"), REASON)
+    tagged = worked_out(raw, **{REASON: reason}).select(*others, *columns, record.alias("record"), lines.alias("lines"), REASON)
     return _feed_of(tagged, columns)
 
 
