@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from feedworks.functions import lists
-from feedworks.functions.staged import clean_columns
+from feedworks.functions.staged import clean_columns, worked_out
 from feedworks.functions.text import _col, jtrim, safe_str
 
 
@@ -52,9 +52,9 @@ def explode_ids(df: DataFrame, key: str, cell, id_name: str, key_name: str | Non
     """
     out_key = key_name or key
     parts = lists.id_items(cell, compat=compat)
-    raw = df.select(F.col(key).alias(out_key), *keep, F.explode(parts).alias("_item"))
-    out = clean_columns(raw, [(id_name, "int", "_item")], keep=[out_key, *keep]) \
-        .select(out_key, id_name, *keep).filter(F.col(id_name).isNotNull())
+    raw = worked_out(df, _parts=parts).select(F.col(key).alias(out_key), *keep, F.explode("_parts").alias("_item"))
+    ids = clean_columns(raw, [("_id", "int", "_item")], keep=[out_key, *keep])
+    out = worked_out(ids, **{id_name: F.col("_id")}).select(out_key, id_name, *keep).filter(F.col(id_name).isNotNull())
     if drop_self:
         out = out.filter(F.col(id_name) != F.col(out_key))
     return out

@@ -62,13 +62,17 @@ def fits(raw, parsed, name: str) -> Rule:
 
 
 # ------------------------------------------------------------------ split
-def tag(df: DataFrame, rules: list[Rule], read: str | None = None) -> DataFrame:
-    """Add ``reject_reason``: that of the reader (column ``read``), else the name of the first
-    failed rule, else null."""
+def reason_of(rules: list[Rule], read: str | None = None) -> Column:
+    """The reason of the reader (column ``read``), else the name of the first failed rule, else null."""
     reason = F.lit(None).cast("string")
     for rule in reversed(rules):
         reason = F.when(rule.failed(), F.lit(rule.name)).otherwise(reason)
-    return df.withColumn(REASON, F.coalesce(F.col(read), reason) if read else reason)
+    return F.coalesce(F.col(read), reason) if read else reason
+
+
+def tag(df: DataFrame, rules: list[Rule], read: str | None = None) -> DataFrame:
+    """Add ``reject_reason`` (:func:`reason_of`)."""
+    return df.withColumn(REASON, reason_of(rules, read))
 
 
 def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:

@@ -2,8 +2,10 @@
 
 Each job returns lazy DataFrames in a dict; nothing runs until the caller writes
 them.  The cleaned feed, with the reason of every record that is turned down, feeds the
-parent table, its child tables, the rejects and the counts, so it is persisted (memory
-and disk; on executor loss Spark recomputes the lost blocks from the scan).
+parent table, its child tables, the rejects and the counts.  Who writes several of these
+keeps it with ``keep`` (memory and disk; on executor loss Spark recomputes the lost
+blocks from the scan).  One output alone is made from the scan, with the columns it needs:
+a copy of the cleaned feed is several times larger than the feed and costs more than that.
 
 Rejects of every step share one layout: ``table, key, reject_reason, record, lines``
 (the text and its number of lines for records that could not be read).  ``metrics`` (A8)
@@ -19,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.functions.staged import clean_columns
+from feedworks.functions.staged import clean_columns, worked_out
 from feedworks.functions.text import DEFAULT_MAX_LEN, jtrim
 from feedworks.operators import flatten, metrics, quality, upsert
 from feedworks.operators.layout import spread
@@ -67,16 +69,31 @@ def _source(spark, source, columns, multi_line, partitions) -> DataFrame:
 
 
 def _persist(df: DataFrame, persist) -> DataFrame:
-    """Keep the cleaned feed for its several outputs.
+    """What several outputs are made of.
 
-    ``True``: memory and disk on the executors (lost blocks are recomputed from the
-    scan).  ``"checkpoint"``: a reliable checkpoint in the shared
-    ``spark.checkpoint.dir`` (lineage cut; nothing recomputed after an executor
-    loss).  ``False``: recompute per output.
+    ``"checkpoint"``: a reliable checkpoint in the shared ``spark.checkpoint.dir`` (lineage
+    cut; nothing recomputed after an executor loss).  ``True``: kept from the moment that
+    :func:`keep` is called on the outputs, until then recomputed per output.
+    ``False``: recompute per output.
     """
-    if persist == "checkpoint":
-        return materialize(df)
-    return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    return materialize(df) if persist == "checkpoint" else df
+
+
+KEPT = ("cleaned", "tagged_edges", "tagged_children")
+
+
+def keep(out: dict[str, DataFrame], persist=True) -> None:
+    """Keep in memory and on disk what the outputs of a job share, for a caller that writes several
+    of them: plans made before find it too."""
+    for name in KEPT:
+        if persist is True and name in out:
+            out[name].persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def release(out: dict[str, DataFrame]) -> None:
+    for name in KEPT:
+        if name in out:
+            out[name].unpersist()
 
 
 def _key_rule(key: str) -> quality.Rule:
@@ -93,7 +110,11 @@ def _typed(src: DataFrame, key: str, specs, keep: list[str], rules: list[quality
     named = src.withColumn("_key", F.coalesce(jtrim(key), F.regexp_extract("record", r"^\s*([^,]*)", 1)))
     typed = clean_columns(named, specs, keep=[*keep, "_key", "record", "lines", READ, *order], raw_doubles=raw_doubles,
                           max_len=max_len, cut_flags=True)
-    return _persist(quality.tag(typed, rules, read=READ), persist)
+    # every output filters on the key and the reason: they are worked out once, not in each filter
+    reason = quality.reason_of(rules, READ)
+    tagged = worked_out(typed.withColumn(quality.REASON, reason).withColumnsRenamed({key: "_key_once", quality.REASON: "_reason_once"}),
+                        **{key: F.col("_key_once"), quality.REASON: F.col("_reason_once")}).drop("_key_once", "_reason_once")
+    return _persist(tagged, persist)
 
 
 def _valid(typed: DataFrame, drop: list[str]) -> DataFrame:

@@ -70,6 +70,7 @@ def load_feed(spark: SparkSession, feed: str, source, target: str, unit: ledger.
     if feed == "recipes":
         more["users"] = ledger.committed(spark, target, "users", TARGETS["users"]) if users is None else users
     out = job(spark, source, **more, **options)
+    imports.keep(out, options.get("persist", True))
     try:
         # the feed is counted once, by partition; the totals are sums of what was written
         ledger.write(sinks.conform(out["partition_metrics"], PARTITION_COUNTS), target, f"{feed}_partitions", unit)
@@ -88,7 +89,5 @@ def load_feed(spark: SparkSession, feed: str, source, target: str, unit: ledger.
             counts.append((name, "loaded", n, after))
         ledger.commit(spark, target, unit, counts)
     finally:
-        for kept in ("cleaned", "tagged_edges", "tagged_children"):
-            if kept in out:
-                out[kept].unpersist()
+        imports.release(out)
     return counts

@@ -11,7 +11,8 @@ from feedworks.operators import sinks
 from feedworks.plans import imports, suites
 from feedworks.plans.load import load
 from feedworks.schemas import RECIPES_COLUMNS, REVIEWS_COLUMNS, USERS_COLUMNS
-from feedworks.sources import read_feed
+from feedworks.sources import from_rows, read_feed
+from feedworks.sources.csv_feed import read_records, split_lines
 
 
 def _key(row):
@@ -288,3 +289,37 @@ def test_load_twice_adds_nothing(spark, feed_dir):
 def test_import_with_checkpoint(spark, feed_dir):
     out = imports.import_users(spark, os.path.join(feed_dir, "users.csv"), multi_line=True, persist="checkpoint")
     assert out["users"].count() == 5 and out["user_followers"].count() == 4
+
+
+# ------------------------------------------------------------------ work done once for a row
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_filters_on_read_and_rule_reasons_compute_nothing_again(spark):
+    lines = spark.createDataFrame([('1,"Ann ""A""",Male,3,1,1,"2,3","4"', 1), ("2,short", 2)], "_line string, _ingest_order int")
+    feed = split_lines(lines, USERS_COLUMNS)
+    for df in (feed.records, feed.rejects):
+        assert _optimized(df).count("regexp_replace(") <= 2  # the length of a line without its quotes, and without commas
+    out = imports.import_users(spark, feed)
+    assert _optimized(out["users"]).count("from_csv(") == 1
+    assert [r["author_id"] for r in out["users"].collect()] == [1]
+    assert [(r["key"], r["reject_reason"]) for r in out["rejects"].where("table = 'users'").collect()] == [("2", "short_record")]
+
+
+def test_records_with_newlines_are_cut_once(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_text('h\n1,"Ann\n\nLee",Male,3,1,1,,\n2,x\n')
+    feed = read_records(spark, str(path), USERS_COLUMNS, ingest_order=False)
+    assert _optimized(feed.records).count("from_csv(") == 1
+    assert [(r["author_id"], r["author_name"]) for r in feed.records.collect()] == [("1", "Ann\n\nLee")]
+    assert [(r["key"], r["reject_reason"]) for r in feed.rejects.collect()] == [("2", "short_record")]
+
+
+def test_one_output_alone_keeps_no_copy_of_the_feed(spark):
+    rows = spark.createDataFrame([("1", "Ann", "Male", "3", "1", "1", "1", "1")], USERS_COLUMNS)
+    out = imports.import_users(spark, from_rows(rows, USERS_COLUMNS))
+    assert out["users"].count() == 1 and not out["cleaned"].is_cached
+    imports.keep(out)
+    assert out["cleaned"].is_cached and "InMemoryRelation" in out["users"].select("*")._jdf.queryExecution().withCachedData().toString()
+    imports.release(out)
