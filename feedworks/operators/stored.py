@@ -40,7 +40,9 @@ def _within(ranges: list) -> Column:
 
 
 def _rewrite(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(path)
+    """A range is dealt to one task: where each task holds rows of all ranges, as after a join, it
+    would write a file for each, and there are tasks times ranges of them."""
+    rows.repartition(RANGE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(path)
 
 
 def update(spark: SparkSession, path: str, column: str, value, cond: Column) -> int:
