@@ -4,9 +4,10 @@ Every window of ``length`` bytes is filed under its anchor, the least of the has
 byte grams, so equal windows meet under one anchor.  Consecutive windows with one
 anchor make a segment.  Anchors that occur once are done with.  Of the others each
 distinct segment goes once, with the number of its occurrences, to the shard of its
-anchor; there a suffix array is refined by prefix doubling (Larsson and Sadakane),
-common prefixes are worked out (Kasai), and suffixes that share ``length`` bytes are
-one string.  Shards are cut by content, so no string lies in two of them.
+anchor; there a suffix array is refined by prefix doubling (Larsson and Sadakane), and
+suffixes that share ``length`` bytes are one string.  An anchor with more segments than an
+array should hold is filed again, its windows by the bytes that neighbouring ones have in
+common.  Shards are cut by content, so no string lies in two of them.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ _POWERS: dict[int, np.ndarray] = {}
 GRAM = 96
 #: Words of a gram that a window of words is filed by.
 WORD_GRAM = 12
+#: Text of one suffix array, about; each byte of it takes some 100 bytes while the array is built.
+PIECE_BYTES = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -51,13 +54,16 @@ def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
     return mix64((total[size:] - total[:n]) * _powers(_INVERSE, n))
 
 
-def window_digests(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes, 128 bits together, of each window."""
-    return gram_hashes(values, length).view(np.int64), gram_hashes(mix64(values), length).view(np.int64)
+def span_digests(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of values, from ``first`` to before ``end``."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix64(values) * _powers(_ODD, len(values)), out=total[1:])
+    size = (end - first).astype(np.uint64)
+    return mix64((total[end] - total[first]) * _powers(_INVERSE, len(values) + 1)[first] + mix64(size)).view(np.int64)
 
 
 def segments(values: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(anchor hash, first window's start, last window's start) of the segments of all texts.
+    """(anchor hash, first window's start, last window's start, anchor's start) of the segments of all texts.
 
     The anchor of a window is its gram with the least upper hash half, of several the
     last one: values of the window alone decide."""
@@ -65,7 +71,7 @@ def segments(values: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     grams = length - gram + 1
     n = len(values) - length + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
     low = (hashes & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))
     span = 1
     while 2 * span <= grams:
@@ -82,13 +88,13 @@ def segments(values: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     inside = np.cumsum(whole[:n]) > 0
     start = np.flatnonzero(inside)
     if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
     anchor = at[start]
     # the windows of two texts are never next to each other: a text's last places start none
     new = np.flatnonzero((anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)) + 1
     first = np.concatenate([[0], new])
     last = np.concatenate([new, [len(start)]]) - 1
-    return hashes[anchor[first]], start[first], start[last]
+    return hashes[anchor[first]], start[first], start[last], anchor[first]
 
 
 def _digest(data) -> int:
@@ -102,7 +108,7 @@ def block_segments(lens: bytes, texts: bytes, length: int, gram: int, only=None)
     out = []
     for lo, hi in blocks.slices(offsets, 1 << 17):
         at, end = int(offsets[lo]), int(offsets[hi])
-        h, first, last = segments(_BYTE[b[at:end]], offsets[lo:hi + 1] - at, length, gram)
+        h, first, last, _ = segments(_BYTE[b[at:end]], offsets[lo:hi + 1] - at, length, gram)
         out.append((h.view(np.int64), first + at, last + at))
     h, first, last = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
     if only is not None:
@@ -113,27 +119,42 @@ def block_segments(lens: bytes, texts: bytes, length: int, gram: int, only=None)
     return b, offsets, h, d, first, last
 
 
-def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all suffixes in the order of their first ``depth`` bytes (or word numbers) at least."""
+def _refined(t: np.ndarray, depth: int, left: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Suffixes in the order of their first ``depth`` bytes (or word numbers) exactly, the rank of
+    each by position, and the places and ranks of those that are tied.
+
+    With ``left``, the number of values from each position to the end of its own text, only
+    suffixes with ``depth`` values left are ranked to that depth: they never ask for a shorter one."""
     n = len(t)
-    h = 8 if t.dtype == np.uint8 else 1
-    key = t if h == 1 else np.zeros(n, np.uint64)
-    if h == 8:
-        padded = np.concatenate([t, np.zeros(8, np.uint8)]).astype(np.uint64)
-        for k in range(8):
-            key = (key << np.uint64(8)) | padded[k:n + k]
+    h = min(8, depth) if t.dtype == np.uint8 else 1
+    key = t
+    if t.dtype == np.uint8:
+        padded = np.concatenate([t, np.zeros(16, np.uint8)])
+        key = np.empty(n, np.uint64)
+        for k in range(min(8, n)):
+            part = key[k::8]
+            part[:] = padded[k:k + 8 * len(part)].view(">u8")
+        key >>= np.uint64(8 * (8 - h))
     order = np.argsort(key)
     k = key[order]
     head = np.concatenate([[True], k[1:] != k[:-1]])
     place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
     rank[order] = place
     # only the places of suffixes that are tied are gone through again
     todo = np.flatnonzero(~(head & np.append(head[1:], True)))
     group = place[todo]
     while h < depth and len(todo):
+        step = min(h, depth - h)
         pos = order[todo]
-        after = np.where(pos + h < n, rank[np.minimum(pos + h, n - 1)] + 1, 0)
+        if left is None:
+            after = np.where(pos + step < n, rank[np.minimum(pos + step, n - 1)] + 1, 0)
+        else:
+            whole = left[pos] >= h + step
+            todo, group, pos = todo[whole], group[whole], pos[whole]
+            if not len(todo):
+                break
+            after = rank[pos + step]
         # the groups are in order already, which a merging sort makes use of
         sub = np.argsort((group << 32) | after, kind="stable")
         pos, after = pos[sub], after[sub]
@@ -143,7 +164,13 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
         rank[pos] = group
         tied = ~(fresh & np.append(fresh[1:], True))
         todo, group = todo[tied], group[tied]
-        h *= 2
+        h += step
+    return order, rank, todo, group
+
+
+def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
+    """Starts of all suffixes in the order of their first ``depth`` bytes (or word numbers)."""
+    order, _, todo, group = _refined(t, depth)
     # what is still equal goes by position, so that the order is the same in every run
     pos = order[todo]
     order[todo] = pos[np.argsort((group << 32) | pos, kind="stable")]
@@ -191,13 +218,13 @@ def repeated_windows(contents: list, weights: np.ndarray, length: int) -> list[n
         end = np.array([max((int(c.max(initial=0)) for c in contents)) + 1], np.int64)
         text = np.concatenate([x for c in contents for x in (c, end)])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-    order = suffix_array(text, length)
-    shared = common_prefixes(text, order, starts, length)
-    first = np.concatenate([[0], np.flatnonzero(shared[order[1:]] < length) + 1])
-    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
-    total = np.add.reduceat(weights[owner[order]], first)
-    often = np.empty(len(text), bool)
-    often[order] = np.repeat(total >= 2, np.diff(np.concatenate([first, [len(text)]])))
+    left = np.repeat(starts + sizes, sizes + 1) - np.arange(len(text))
+    _, rank, _, _ = _refined(text, length, left)
+    window = np.flatnonzero(left >= length)
+    rank = rank[window]  # equal ranks: the same ``length`` values
+    total = np.bincount(rank, np.repeat(weights, sizes + 1)[window])
+    often = np.zeros(len(text), bool)
+    often[window] = total[rank] >= 2
     return [often[s:s + n - length + 1] for s, n in zip(starts, sizes)]
 
 
@@ -239,47 +266,115 @@ def repeated_segments(packed: DataFrame, length: int, gram: int, variants: int)
     found = stored(packed.join(stored(wanted, "sa-wanted"), "block").select("lens", "texts", "wanted")
                    .mapInPandas(cut, "h long, d long, n long, variants long, content binary"), "sa-contents")
 
-    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "d"], kind="stable")
-        masks = repeated_windows(list(pdf["content"]), pdf["n"].to_numpy(), length)
-        spans = [_runs(m).tobytes() for m in masks]
-        return pd.DataFrame({"h": pdf["h"].to_numpy(), "d": pdf["d"].to_numpy(), "spans": spans})[[len(s) > 0 for s in spans]]
+    repeated = _repeated(found, "sa", _bytes_of, length, gram, variants)
+    return seen.select("block", "h", "d"), repeated.unionByName(whole)
 
-    # pieces of about 2 MB of text; equal windows share h, and so their piece
-    volume = found.where(F.col("variants") <= variants).agg(F.sum(F.length("content"))).first()[0] or 0
-    shards = max(1, -(-volume // (2 << 20)))
-    usual = (found.where(F.col("variants") <= variants)
-             .select("h", "d", "n", "content", F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"))
-             .groupBy("shard").applyInPandas(shard, "h long, d long, spans binary"))
 
-    def windows(batches):
-        for batch in batches:
-            for r in batch.itertuples():
-                w, w2 = window_digests(_BYTE[np.frombuffer(r.content, np.uint8)], length)
-                yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w, "w2": w2})
+def _bytes_of(contents) -> tuple:
+    """All values of some contents, where each content begins (and the last ends), the bytes of a
+    run of values, and their digests."""
+    raw = b"".join(contents)
+    values = _BYTE[np.frombuffer(raw, np.uint8)]
+    return (values, np.concatenate([[0], np.cumsum([len(c) for c in contents])]), lambda i, j: raw[i:j],
+            lambda first, end: np.array([_digest(raw[i:j]) for i, j in zip(first.tolist(), end.tolist())], np.int64))
+
 
-    hot = _hot(found.where(F.col("variants") > variants).mapInPandas(windows, MANY))
-    return seen.select("block", "h", "d"), stored(usual, "sa-usual").unionByName(stored(hot, "sa-hot")).unionByName(whole)
+def _widths(span: int) -> list[int]:
+    """Windows of a slot at each filing, of up to ``span`` with one anchor; in the end each is alone."""
+    return [4 ** k for k in range(8, 0, -1) if 4 * 4 ** k <= span] + [1]
 
 
-MANY = "h long, d long, n long, k long, w long, w2 long"
+SLOTS = "h long, d long, n long, at long, windows long, h2 long, d2 long, content binary"
 
 
-def _hot(many: DataFrame) -> DataFrame:
-    """(``h``, ``d``, ``spans``) of windows that meet by digest: many texts around one passage, for
-    which no shard could hold the segments."""
-    many = stored(many, "sa-many")
-    often = stored(many.groupBy("h", "w", "w2").agg(F.sum("n").alias("n")).where("n >= 2").select("h", "w", "w2"), "sa-often")
-    return (many.join(often, ["h", "w", "w2"]).groupBy("h", "d")  # one segment: no more rows than it has windows
-            .agg(F.sort_array(F.collect_list("k")).alias("k")).mapInPandas(_spans_of, "h long, d long, spans binary"))
+def _slots(values_of, length: int, gram: int, width: int):
+    """Cuts segments into slots of up to ``width`` windows by the windows' places before their
+    anchor, and files each slot (``h2``) by all that its windows have in common.
+
+    Equal windows have the anchor at the same place, so they lie in slots of one key.  A
+    segment has no more slots than its windows by ``width``, and one."""
+
+    def cut(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.iloc[lo:lo + 256]
+                values, begin, take, digests = values_of(list(part["content"]))
+                _, first, last, anchor = segments(values, begin, length, gram)  # one of each content
+                most, least = (anchor - first) // width, (anchor - last) // width
+                many = most - least + 1
+                i = np.repeat(np.arange(len(part)), many)
+                slot = most[i] - (np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many))
+                a = np.maximum(first[i], anchor[i] - slot * width - width + 1)
+                z = np.minimum(last[i], anchor[i] - slot * width)
+                core = gram_hashes(values, length - width + 1)[anchor[i] - slot * width]
+                h = part["h"].to_numpy()[i]
+                h2 = mix64(core + mix64(h.view(np.uint64) + mix64((slot * 4096 + width).astype(np.uint64))))
+                yield pd.DataFrame({"h": h, "d": part["d"].to_numpy()[i], "n": part["n"].to_numpy()[i], "at": a - first[i], "windows": z - a + 1,
+                                    "h2": h2.view(np.int64), "d2": digests(a, z + length),
+                                    "content": [take(x, y) for x, y in zip(a.tolist(), (z + length).tolist())]})
+
+    return cut
+
+
+def _repeated(found: DataFrame, name: str, values_of, length: int, gram: int, variants: int) -> DataFrame:
+    """(``h``, ``d``, ``spans``) of the segments ``found`` (``h``, ``d``, ``n``, ``variants``,
+    ``content``) with repeated windows.  Anchors with over ``variants`` segments are filed by
+    slots, and those slots again by narrower ones, until an array can hold what shares a key; a
+    slot of one window has one kind a key."""
 
+    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h", "d"], kind="stable")
+        contents = list(pdf["content"])
+        if values_of is not _bytes_of:
+            values, begin, _, _ = values_of(contents)
+            contents = np.split(np.unique(values, return_inverse=True)[1], begin[1:-1])
+        masks = repeated_windows(contents, pdf["n"].to_numpy(), length)
+        spans = [_runs(m).tobytes() for m in masks]
+        return pd.DataFrame({"h": pdf["h"].to_numpy(), "d": pdf["d"].to_numpy(), "spans": spans})[[len(s) > 0 for s in spans]]
 
-def _spans_of(batches):
+    small, known, levels = [], [], []
+    for width in [*_widths(length - gram + 1), 0]:
+        hot = found.where(F.col("variants") > variants)
+        if not width or hot.isEmpty():
+            small.append(found)
+            break
+        small.append(found.where(F.col("variants") <= variants))
+        slots = hot.mapInPandas(_slots(values_of, length, gram, width), SLOTS)
+        slots = stored(slots.withColumn("row", F.monotonically_increasing_id()), f"{name}-slots")
+        kinds = stored(slots.groupBy("h2", "d2").agg(F.sum("n").alias("n"), F.min("row").alias("row")), f"{name}-slot-kinds")
+        keys = stored(kinds.groupBy("h2").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("variants"))
+                      .where("all >= 2").select("h2", "variants"), f"{name}-slot-keys")
+        one = kinds.join(keys.where("variants = 1"), "h2")
+        known.append(one.select(F.col("h2").alias("h"), F.col("d2").alias("d"), F.lit(None).cast("binary").alias("spans")))
+        levels.append(slots.select("h", "d", "at", "windows", "h2", "d2"))
+        wanted = kinds.join(keys.where("variants > 1"), "h2").select("row", "n", "variants")
+        found = stored(slots.drop("n").join(wanted, "row").select(F.col("h2").alias("h"), F.col("d2").alias("d"), "n", "variants", "content"), f"{name}-slot-contents")
+    usual = small[0].select("h", "d", "n", "content")
+    for other in small[1:]:
+        usual = usual.unionByName(other.select("h", "d", "n", "content"))
+    # equal windows share h, and so their piece
+    shards = max(1, -(-(usual.agg(F.sum(F.length("content"))).first()[0] or 0) // PIECE_BYTES))
+    out = stored(usual.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard")
+                 .applyInPandas(shard, "h long, d long, spans binary"), f"{name}-usual")
+    below = out
+    for slots, whole in zip(levels[::-1], known[::-1]):
+        answers = below.unionByName(whole).select(F.col("h").alias("h2"), F.col("d").alias("d2"), "spans")
+        below = stored(slots.join(answers, ["h2", "d2"]).groupBy("h", "d")  # one segment: no more rows than it has slots
+                       .agg(F.sort_array(F.collect_list(F.struct("at", "windows", "spans"))).alias("slots"))
+                       .mapInPandas(_joined, "h long, d long, spans binary"), f"{name}-hot").unionByName(out)
+    return below
+
+
+def _joined(batches):
+    """Spans of segments from those of their slots, which lie end to end."""
     for batch in batches:
         spans = []
-        for k in batch["k"]:
-            mask = np.zeros(int(k[-1]) + 1, bool)
-            mask[np.asarray(k, np.int64)] = True
+        for slots in batch["slots"]:
+            mask = np.zeros(slots[-1]["at"] + slots[-1]["windows"], bool)
+            for x in slots:
+                bounds = [0, x["windows"]] if x["spans"] is None else np.frombuffer(x["spans"], np.int64).tolist()
+                for lo, hi in zip(bounds[::2], bounds[1::2]):
+                    mask[x["at"] + lo:x["at"] + hi] = True
             spans.append(_runs(mask).tobytes())
         yield pd.DataFrame({"h": batch["h"], "d": batch["d"], "spans": spans})
 
@@ -306,14 +401,24 @@ def word_segments(b: np.ndarray, offsets: np.ndarray, words: int, gram: int):
         part, own = b[at:end], offsets[lo:hi + 1] - at
         starts, ends = word_bounds(part, own)
         values = span_hashes(part, starts, ends)
-        h, first, last = segments(values, np.searchsorted(starts, own), words, gram)
-        view = memoryview(values).cast("B")
-        d = np.array([_digest(view[8 * i:8 * (j + words)]) for i, j in zip(first.tolist(), last.tolist())], np.int64)
+        h, first, last, _ = segments(values, np.searchsorted(starts, own), words, gram)
+        d = span_digests(values, first, last + words)
         out.append((h.view(np.int64), d, first + before, last + before))
         before += len(starts)
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
 
 
+def _words_of(contents) -> tuple:
+    """As ``_bytes_of``, of words: their hashes, and where each content's begin."""
+    offsets = np.concatenate([[0], np.cumsum([len(c) for c in contents])])
+    raw = b"".join(contents)
+    b = np.frombuffer(raw, np.uint8)
+    starts, ends = word_bounds(b, offsets)
+    values = span_hashes(b, starts, ends)
+    return (values, np.searchsorted(starts, offsets), lambda i, j: raw[starts[i]:ends[j - 1]],
+            lambda first, end: span_digests(values, first, end))
+
+
 def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -> DataFrame:
     """(``block``, ``firsts``, ``lasts``, ``passages``): arrays of the first and last windows of the
     segments with repeated windows of ``words`` words, and their spans as above, by the same anchors and suffix arrays as strings of bytes, over the
@@ -345,34 +450,7 @@ def repeated_passages(packed: DataFrame, words: int, gram: int, variants: int) -
     found = stored(packed.join(stored(wanted, "sw-wanted"), "block").select("lens", "texts", "wanted")
                    .mapInPandas(cut, "h long, d long, n long, variants long, content binary"), "sw-contents")
 
-    def hashes(contents) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words of all contents, and where each begins."""
-        offsets = np.concatenate([[0], np.cumsum([len(c) for c in contents])])
-        b = np.frombuffer(b"".join(contents), np.uint8)
-        starts, ends = word_bounds(b, offsets)
-        return span_hashes(b, starts, ends), np.searchsorted(starts, offsets[:-1])
-
-    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "d"], kind="stable")
-        values, begin = hashes(list(pdf["content"]))
-        numbers = np.unique(values, return_inverse=True)[1]
-        masks = repeated_windows(np.split(numbers, begin[1:]), pdf["n"].to_numpy(), words)
-        spans = [_runs(m).tobytes() for m in masks]
-        return pd.DataFrame({"h": pdf["h"].to_numpy(), "d": pdf["d"].to_numpy(), "spans": spans})[[len(s) > 0 for s in spans]]
-
-    volume = found.where(F.col("variants") <= variants).agg(F.sum(F.length("content"))).first()[0] or 0
-    usual = (found.where(F.col("variants") <= variants)
-             .select("h", "d", "n", "content", F.pmod(F.xxhash64("h"), F.lit(max(1, -(-volume // (4 << 20))))).alias("shard"))
-             .groupBy("shard").applyInPandas(shard, "h long, d long, spans binary"))
-
-    def windows(batches):
-        for batch in batches:
-            for r in batch.itertuples():
-                w, w2 = window_digests(hashes([r.content])[0], words)
-                yield pd.DataFrame({"h": r.h, "d": r.d, "n": r.n, "k": np.arange(len(w)), "w": w, "w2": w2})
-
-    hot = _hot(found.where(F.col("variants") > variants).mapInPandas(windows, MANY))
-    repeated = stored(usual, "sw-usual").unionByName(stored(hot, "sw-hot")).unionByName(whole)
+    repeated = _repeated(found, "sw", _words_of, words, gram, variants).unionByName(whole)
     own = seen.join(repeated, ["h", "d"]).groupBy("block").agg(F.collect_list(F.struct("first", "last", "spans")).alias("p"))
     return stored(own.select("block", F.col("p.first").alias("firsts"), F.col("p.last").alias("lasts"), F.col("p.spans").alias("passages")), "sw-todo")
 

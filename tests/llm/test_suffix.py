@@ -135,3 +135,46 @@ def test_long_repeats_with_an_order_of_limited_depth(seed):
         while k < length and max(a, b) + k < len(raw) and raw[a + k] == raw[b + k]:
             k += 1
         assert shared[b] == k
+
+
+def test_equal_ranks_for_equal_windows_of_any_length():
+    """The last doubling ends at the window's length itself, also under eight bytes and next to NULs."""
+    rng = random.Random(3)
+    for length in (2, 3, 7, 8, 9, 12, 16, 31):
+        contents = [bytes(rng.choice(b"ab\0") for _ in range(rng.randint(length, 60))) for _ in range(30)] + [b"ab" * 40, b"\0" * 50]
+        weights = np.array([1] * 31 + [3])
+        seen = Counter()
+        for c, w in zip(contents, weights):
+            for k in range(len(c) - length + 1):
+                seen[c[k:k + length]] += int(w)
+        want = [[seen[c[k:k + length]] >= 2 for k in range(len(c) - length + 1)] for c in contents]
+        assert [m.tolist() for m in suffix.repeated_windows(contents, weights, length)] == want
+        numbers = [np.frombuffer(c, np.uint8).astype(np.int64) for c in contents]
+        assert [m.tolist() for m in suffix.repeated_windows(numbers, weights, length)] == want
+
+
+def test_hot_anchor_makes_a_row_for_a_slot_and_goes_to_arrays(spark, monkeypatch):
+    """One passage in many surroundings: its segments are cut into a few slots each, not into a row for
+    each window, and what is left of them meets in suffix arrays."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, side = noise(300), noise(120)
+    rows = [(i, noise(rng.randint(130, 200)) + passage + noise(rng.randint(130, 200))) for i in range(60)]
+    rows += [(100 + i, side[i:] + passage + side[:100 - i]) for i in range(0, 40, 7)] + [(i + 500, t) for i, t in rows[:4]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, before = {}, suffix.stored
+
+    def keep(rows, name):
+        kept.setdefault(name, []).append(out := before(rows, name))
+        return out
+
+    monkeypatch.setattr(suffix, "stored", keep)
+    assert got(df, variants=8) == brute(rows, 400)
+    contents = kept["sa-contents"][0].where("variants > 8")
+    segments, windows = contents.count(), contents.selectExpr("sum(length(content) - 399)").first()[0]
+    assert segments > 60 and windows > 50 * segments
+    assert segments <= kept["sa-slots"][0].count() < windows / 15
+    # no more slots than four of each slot before, and one
+    for above, slots in zip(kept["sa-slot-contents"], kept["sa-slots"][1:]):
+        assert slots.count() <= 5 * above.where("variants > 8").count()
+    assert "sa-many" not in kept and "sw-many" not in kept
