@@ -26,6 +26,7 @@ from pyspark.sql import Window as W
 
 from feedworks.functions.staged import worked_out
 from feedworks.schemas import CORRUPT_COLUMN, raw_schema
+from feedworks.sources.splits import BORDERS, FOUND, HEADER, KEEPS, RECORD, TURNS, WITHIN, borders, read
 
 INGEST_ORDER = "_ingest_order"
 REASON = "reject_reason"
@@ -122,8 +123,8 @@ _STRAY = r'[^",\s]\s*"\s*[^",\s]'
 
 
 def _states(df: DataFrame, part: list[str], order: str) -> DataFrame:
-    """``df`` with ``s0`` and ``s1``: whether a quote is open before a row, if none (one) is at the
-    begin of its part.  ``f0`` and ``f1`` tell the same of the end of a row for its own begin.  Rows that
+    """``df`` with ``s0``: whether a quote is open before a row, if none is at the begin of its part.  ``f0``
+    and ``f1`` tell whether one is at the end of a row, if none (one) is at its own begin.  Rows that
     end alike whatever their begin are fixed points; between them it only matters how often it changes."""
     upto = W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
@@ -131,57 +132,88 @@ def _states(df: DataFrame, part: list[str], order: str) -> DataFrame:
     fixed = F.when(F.col("f0") == F.col("f1"), F.struct(F.col("f0").alias("to"), F.col("_turns").alias("at")))
     df = df.withColumn("_turns", F.sum(turns).over(upto)).withColumn("_fixed", F.last(fixed, True).over(earlier))
     before = F.col("_turns") - turns
-    state = lambda k: F.when(F.col("_fixed").isNull(), before + k).otherwise(
-        before + F.col("_fixed.to") - F.col("_fixed.at")) % 2
-    return df.withColumn("s0", state(0)).withColumn("s1", state(1)).drop("_turns", "_fixed")
-
-
-def read_records(spark: SparkSession, path, columns: list[str], ingest_order: bool = True, max_lines: int = 10_000) -> Feed:
+    state = F.when(F.col("_fixed").isNull(), before).otherwise(before + F.col("_fixed.to") - F.col("_fixed.at")) % 2
+    return df.withColumn("s0", state).drop("_turns", "_fixed")
+
+
+def _splits(borders: DataFrame) -> DataFrame:
+    """One row for each split: how it begins, and the pieces in it of the record that is open at its begin
+    (``head``) and of the one that is open at its end (``tail``), each under the number of the split in which
+    this record begins; 0 stands for the header of the file."""
+    # All columns are used behind the exchange, so that it is the same one wherever the splits are asked for.
+    rows = borders.repartition("file").select(F.inline(F.array(F.struct(*borders.columns))))
+    rows = _states(rows, ["file"], "block").withColumns({
+        "split": F.row_number().over(W.orderBy("file", "block")), "first": F.row_number().over(W.partitionBy("file").orderBy("block")) == 1,
+        "open": F.col("s0") == 1})
+    case = lambda c: F.when(F.col("open"), F.col(c.format(1))).otherwise(F.col(c.format(0)))
+    closes, before = case("closes{}"), W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("own", F.when(closes | ~F.col("open"), F.when(F.col("first") & ~closes, 0).otherwise(F.col("split"))))
+    piece = lambda record, pos, n, text: F.struct(record.alias("record"), "split", pos.alias("pos"), n.alias("n"), text.cast("string").alias("text"))
+    return rows.select("file", "block", "split", F.when(F.col("open"), WITHIN).when(F.col("first"), HEADER).otherwise(RECORD).alias("begin"),
+                       F.when(F.col("open"), piece(F.last("own", True).over(before), F.lit(0).cast("long"), F.col("head_n"), F.col("head"))).alias("head"),
+                       F.when((case("f{}") == 1) & F.col("own").isNotNull(),
+                              piece(F.col("own"), case("tail{}_pos"), case("tail{}_n"), case("tail{}"))).alias("tail"))
+
+
+def _put_together(splits: DataFrame, lines: DataFrame, max_lines: int) -> DataFrame:
+    """The records that cross the borders of splits, from their pieces."""
+    pieces = splits.select("file", "block", "begin", F.explode(F.array("head", "tail")).alias("piece")).where("piece.record > 0") \
+        .select("file", "block", "begin", "piece.*")
+    # pieces that were too long to be kept for a case that might not hold: their splits are read again
+    missing = pieces.where("text IS NULL").select("file", "block", "split", "begin").distinct()
+    again = _read(lines.join(F.broadcast(missing), ["file", "block"]), max_lines, True).select("split", "pos", F.col("text").alias("_found"))
+    pieces = pieces.join(again, ["split", "pos"], "left").withColumn("text", F.coalesce("text", "_found"))
+    pieces = pieces.withColumn("total", F.sum("n").over(W.partitionBy("record")))
+    text = F.when(F.col("total") > max_lines, F.substring_index("text", "\n", 1)).otherwise(F.col("text"))
+    parts = F.sort_array(F.collect_list(F.struct("split", "pos", text.alias("text")))).alias("parts")
+    return pieces.groupBy("record").agg(parts, F.max("total").alias("n")).select(
+        F.col("parts")[0]["split"].alias("split"), F.col("parts")[0]["pos"].alias("pos"), "n",
+        F.when(F.col("n") > max_lines, F.col("parts")[0]["text"]).otherwise(F.array_join("parts.text", "\n")).alias("text"))
+
+
+def _read(lines: DataFrame, max_lines: int, pieces: bool = False) -> DataFrame:
+    found = lines.select(F.col("value").cast("binary"), "code", "split", "begin").mapInArrow(read(max_lines, pieces), FOUND)
+    return found.withColumn("text", F.col("text").cast("string"))
+
+
+def read_records(spark: SparkSession, path, columns: list[str], ingest_order: bool = True, max_lines: int = 10_000,
+                 room: int = 1 << 18) -> Feed:
     """S1 / S3 with newlines in cells, for files of any size: read line by line by many tasks.
 
     A line begins a record where no quote is open before it.  Each line tells whether it leaves
-    one open, for both cases before it, mostly by the parity of its quotes; running sums
-    give the same for all lines of a split and for the split as a whole, and how many
-    records begin in it.  Sums over the splits of a file, one row each, tell which case
-    holds and how the records of a split are numbered; then the lines of a record are
-    gathered by that number, from two splits where its quote crosses their border.
+    one open, for both cases before it, mostly by the parity of its quotes.  The lines are
+    read twice, each split from its begin to its end, and no line is sorted or sent to another
+    task.  The first time a split gives one row: both cases at its end, and the lines
+    next to its borders that may belong to a record of the next or the last split.  Sums over the splits
+    of a file tell which case holds; so the second time each split gives the records that lie
+    within it, and those that cross a border are put together from the rows of the splits.
     Records and rejects are those of the one-task reader; a record of over ``max_lines`` lines
     (a quote that is never closed) is a reject with its first line and its number of lines,
-    so that no task holds the rest of a file.
+    so that no task holds the rest of a file.  Of lines next to a border up to ``room`` bytes are kept
+    the first time; only splits with a longer piece of a record are read a third time.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                                         F.monotonically_increasing_id().alias("pos"))
-    stray, odd = F.col("value").rlike(_STRAY), open_quote(F.col("value"))
-    lines = lines.withColumns({"f0": F.when(stray, F.col("value").rlike(_OPENS)).otherwise(odd).cast("int"),
-                               "f1": F.when(stray, F.col("value").rlike(_STAYS_OPEN)).otherwise(~odd).cast("int")})
-    lines = _states(lines, ["file", "block"], "pos")
-    so_far = W.partitionBy("file", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-    lines = lines.withColumns({f"begun{k}": F.sum(1 - F.col(f"s{k}")).over(so_far) for k in (0, 1)})
-    after = [F.max_by(F.when(F.col(f"s{k}") == 0, F.col("f0")).otherwise(F.col("f1")), "pos").alias(f"f{k}") for k in (0, 1)]
-    splits = _states(lines.groupBy("file", "block").agg(*after, F.max("begun0").alias("in0"), F.max("begun1").alias("in1")), ["file"], "block")
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    splits = splits.select("file", "block", F.col("s0").alias("open"), F.coalesce(
-        F.sum(F.when(F.col("s0") == 0, F.col("in0")).otherwise(F.col("in1"))).over(before), F.lit(0)).alias("base"))
-    numbered = lines.join(F.broadcast(splits), ["file", "block"]).select(  # one row for each split
-        "file", "block", "pos", "value", (F.col("base") + F.when(F.col("open") == 0, F.col("begun0")).otherwise(F.col("begun1"))).alias("record"))
-    numbered = numbered.where("record > 1")  # the first record of a file is its header
-    long = numbered.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines)
-    numbered = numbered.join(F.broadcast(long), ["file", "record"], "left")  # at most one row for each max_lines lines
-    place = F.struct("block", "pos", "value")
-    order = F.struct("file", F.col("first.block").alias("block"), F.col("first.pos").alias("pos")).alias(INGEST_ORDER)
-    text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
-    records = (numbered.where("n IS NULL").groupBy("file", "record").agg(F.sort_array(F.collect_list(place)).alias("lines"))
-               .withColumn("first", F.col("lines")[0]).select(order, text.alias("text")).where("text <> ''"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    quoted, stray, odd = F.contains("value", F.lit('"')), F.col("value").rlike(_STRAY), open_quote(F.col("value"))
+    bits = F.col("value").rlike(_OPENS).cast("int") + 2 * F.col("value").rlike(_STAYS_OPEN).cast("int")
+    code = F.when(~quoted, KEEPS).when(stray, bits).when(odd, TURNS).otherwise(KEEPS).cast("tinyint")
+    lines = lines.withColumn("code", code)
+    splits = _splits(lines.select(F.col("value").cast("binary"), "code", "file", "block").mapInArrow(borders(max_lines, room), BORDERS))
+    known = F.broadcast(splits.select("file", "block", "split", "begin"))  # one row for each split
+    found = _read(lines.join(known, ["file", "block"], "left"), max_lines).unionByName(_put_together(splits, lines, max_lines)) \
+        .where((F.col("n") > max_lines) | (F.col("text") != ""))
+    if ingest_order:
+        found = found.join(F.broadcast(splits.select("split", "file", "block")), "split") \
+            .withColumn(INGEST_ORDER, F.struct("file", "block", "pos"))
     schema = raw_schema(columns)
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    cells = F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "), options)
-    raw = records.select(INGEST_ORDER, F.inline(F.array(cells)))  # cut once; see ``worked_out``
-    kept = split_records(raw, columns).tagged
-    cut = (numbered.where("n IS NOT NULL").groupBy("file", "record").agg(F.min(place).alias("first"), F.max("n").cast("int").alias("lines"))
-           .select(order, *[F.lit(None).cast("string").alias(c) for c in columns], F.col("first.value").alias("record"), "lines",
-                   F.lit("unterminated_quote").alias(REASON)))
-    tagged = kept.unionByName(cut)
-    return _feed_of(tagged if ingest_order else tagged.drop(INGEST_ORDER), columns)
+    long = F.when(F.col("n") > max_lines, F.struct("text", F.col("n").cast("int").alias("n")))
+    cells = F.from_csv(F.when(F.col("n") <= max_lines, F.col("text")), schema.simpleString()[7:-1].replace(":", " "), options)
+    raw = found.select(*[INGEST_ORDER] * ingest_order, long.alias("_long"), F.inline(F.array(cells)))  # cut once; see ``worked_out``
+    cut = F.col("_long").isNotNull()
+    tagged = split_records(raw, columns).tagged.withColumns({
+        "record": F.when(cut, F.col("_long.text")).otherwise(F.col("record")), "lines": F.when(cut, F.col("_long.n")).otherwise(F.col("lines")),
+        REASON: F.when(cut, F.lit("unterminated_quote")).otherwise(F.col(REASON))}).drop("_long")
+    return _feed_of(tagged, columns)
 
 
 def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool | str = False,
@@ -191,7 +223,7 @@ def read_feed(spark: SparkSession, path, columns: list[str], multi_line: bool |
     By default a record is a line: large files are split over the cluster.
     ``multi_line=True`` accepts newlines inside quoted cells, but each file is read by one
     task; ``multi_line="split"`` gives the same of files that many tasks read
-    (:func:`read_records`), for two shuffles of the text.
+    (:func:`read_records`), for reading the text twice.
     Quotes are ``"``, doubled inside a quoted cell.
 
     ``ingest_order`` adds a sortable ``_ingest_order`` (file path, split start, row

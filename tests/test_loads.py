@@ -5,6 +5,7 @@ import tempfile
 import uuid
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from feedworks.operators import flatten, ledger, metrics, sinks, stored, upsert
 from feedworks.plans.load import load
 from feedworks.schemas import TARGETS, USERS_COLUMNS
 from feedworks.session import shared_path, staged
+from feedworks.sources import splits
 from feedworks.sources.csv_feed import read_feed, read_records
 
 HEAD = "h1,h2,h3,h4,h5,h6,h7,h8\n"
@@ -279,3 +281,64 @@ def test_a_quote_that_is_never_closed_does_not_gather_the_file(spark):
     assert [r.author_id for r in feed.records.collect()] == ["1"]
     assert [(r.key, r.record, r.lines, r.reject_reason) for r in feed.rejects.collect()] == [
         ("2", '2,"Bo,Male,30,1,1,,', 191, "unterminated_quote")]
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of ``df`` have written; it is run for it."""
+    df.collect()
+
+    def of(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return of(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return of(node.plan())
+        written = node.metrics().get("shuffleRecordsWritten")
+        children = node.children()
+        return (written.get().value() if written.isDefined() else 0) + sum(of(children.apply(i)) for i in range(children.length()))
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes",
+                                             "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield lambda size, batch=10_000: (spark.conf.set("spark.sql.files.maxPartitionBytes", str(size)),
+                                      spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch)))
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_lines_of_a_split_stay_with_the_task_that_reads_them(spark, small_splits):
+    """A task's memory does not grow with the lines of a split: none is sorted or held for a window."""
+    path = file_of(HEAD + "".join(f'{k},"Ann ""the\n\n{k}""\nLee, ",Male,1,{k},1,,\n' for k in range(1500)))
+    small_splits(8000)
+    records = read_records(spark, path, USERS_COLUMNS).records
+    assert spark.read.text(path).rdd.getNumPartitions() > 3
+    assert shuffled_rows(records) < 100  # of 6,001 lines
+    assert sorted((int(r.author_id), r.author_name, r.followers_count) for r in records.collect()) == [
+        (k, f'Ann "the\n\n{k}"\nLee, ', str(k)) for k in range(1500)]
+
+
+@pytest.mark.parametrize("size,batch,room", [(60, 2, 0), (170, 3, 40), (400, 1, 10)])
+def test_pieces_without_room_are_read_again(spark, small_splits, size, batch, room):
+    path = file_of(NASTY + '7,"' + "long\n" * 200 + 'end",Male,1,1,1,,\n8,Fay,Male,30,1,1,,\n')
+    want = read_feed(spark, path, USERS_COLUMNS, multi_line=True)
+    small_splits(size, batch)
+    got = read_records(spark, path, USERS_COLUMNS, room=room)
+    rows = lambda df, columns: sorted(tuple(str(x) for x in r) for r in df.select(*columns).collect())
+    assert rows(got.records, USERS_COLUMNS) == rows(want.records, USERS_COLUMNS)
+    assert rows(got.rejects, ["key", "reject_reason", "lines"]) == rows(want.rejects, ["key", "reject_reason", "lines"])
+    order = [r[0] for r in got.records.orderBy("_ingest_order").select("author_id").collect()]
+    assert order == [r[0] for r in want.records.orderBy("_ingest_order").select("author_id").collect()]
+
+
+def test_states_of_lines_are_those_of_one_line_after_the_other():
+    codes = np.random.default_rng(1).integers(0, 4, 500)
+    for state in (0, 1):
+        want, at = [], state
+        for code in codes:
+            want.append(at := int(code) >> at & 1)
+        assert splits.open_after(codes, state).tolist() == want
+        assert splits.open_after(codes[:1], state).tolist() == want[:1]
