@@ -172,7 +172,8 @@ def _put_together(splits: DataFrame, lines: DataFrame, max_lines: int) -> DataFr
 
 
 def _read(lines: DataFrame, max_lines: int, pieces: bool = False) -> DataFrame:
-    found = lines.select(F.col("value").cast("binary"), "code", "split", "begin").mapInArrow(read(max_lines, pieces), FOUND)
+    place = F.col("split").cast("long") * 16 + F.col("begin") * 4 + F.col("code")
+    found = lines.select(F.col("value").cast("binary"), place.alias("place")).mapInArrow(read(max_lines, pieces), FOUND)
     return found.withColumn("text", F.col("text").cast("string"))
 
 
@@ -195,9 +196,10 @@ def read_records(spark: SparkSession, path, columns: list[str], ingest_order: bo
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     quoted, stray, odd = F.contains("value", F.lit('"')), F.col("value").rlike(_STRAY), open_quote(F.col("value"))
     bits = F.col("value").rlike(_OPENS).cast("int") + 2 * F.col("value").rlike(_STAYS_OPEN).cast("int")
-    code = F.when(~quoted, KEEPS).when(stray, bits).when(odd, TURNS).otherwise(KEEPS).cast("tinyint")
+    code = F.when(~quoted, KEEPS).when(stray, bits).when(odd, TURNS).otherwise(KEEPS)
     lines = lines.withColumn("code", code)
-    splits = _splits(lines.select(F.col("value").cast("binary"), "code", "file", "block").mapInArrow(borders(max_lines, room), BORDERS))
+    place = (F.col("block") * 4 + F.col("code")).alias("place")
+    splits = _splits(lines.select(F.col("value").cast("binary"), place, "file").mapInArrow(borders(max_lines, room), BORDERS))
     known = F.broadcast(splits.select("file", "block", "split", "begin"))  # one row for each split
     found = _read(lines.join(known, ["file", "block"], "left"), max_lines).unionByName(_put_together(splits, lines, max_lines)) \
         .where((F.col("n") > max_lines) | (F.col("text") != ""))

@@ -1,9 +1,11 @@
 """Records of many lines in the splits of a file, each read once from its begin to its end.
 
 A line comes with a code: bit 0 tells whether it leaves a quote open where none was before it,
-bit 1 the same where one was.  What a task holds is a batch of lines and, of the record
-that is not closed yet, up to ``most`` lines (of a longer one the first line and how many).
-Before it is known how a split begins, both cases are kept, each with ``room`` bytes of text only.
+bit 1 the same where one was.  It shares a number, ``place``, with what holds for the whole
+split, since each further column takes longer to reach Python than a line takes there.
+What a task holds is a batch of lines and, of the record that is not closed yet, up to
+``most`` lines (of a longer one the first line and how many).  Before it is known how a
+split begins, both cases are kept, each with ``room`` bytes of text only.
 """
 
 from __future__ import annotations
@@ -51,13 +53,12 @@ def open_after(codes: np.ndarray, state: int) -> np.ndarray:
     return (since + turns) & 1
 
 
-def runs(*columns: pa.Array):
+def runs(numbers: np.ndarray, names: pa.Array | None = None):
     """Begin and end of the rows that follow each other with the same values."""
-    n = len(columns[0])
-    new = np.zeros(max(n - 1, 0), bool)
-    for c in columns:
-        new |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
-    at = [0, *(np.flatnonzero(new) + 1).tolist(), n]
+    new = numbers[1:] != numbers[:-1]
+    if names is not None:
+        new |= pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)
+    at = [0, *(np.flatnonzero(new) + 1).tolist(), len(numbers)]
     return [(a, b) for a, b in zip(at, at[1:]) if b > a]
 
 
@@ -88,14 +89,14 @@ class Split:
 
 
 def borders(most: int, room: float):
-    """For ``mapInArrow`` over (``value``, ``code``, ``file``, ``block``): a row for each split."""
+    """For ``mapInArrow`` over (``value``, ``place``: block and code, ``file``): a row for each split."""
     def run(batches):
         split = None
         for batch in batches:
-            value, code, file, block = batch.columns
-            value, codes, done = value.cast(pa.binary()), code.to_numpy(), []
-            for a, b in runs(file, block):
-                key = (file[a].as_py(), block[a].as_py())
+            value, place, file = batch.columns
+            value, codes, block, done = value.cast(pa.binary()), place.to_numpy() & 3, place.to_numpy() >> 2, []
+            for a, b in runs(block, file):
+                key = (file[a].as_py(), int(block[a]))
                 if split is None or key != split.key:
                     done += [split] if split else []
                     split = Split(key, most, room)
@@ -117,21 +118,21 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def read(most: int, pieces: bool = False):
-    """For ``mapInArrow`` over (``value``, ``code``, ``split``, ``begin``): the records that begin and end in one
+    """For ``mapInArrow`` over (``value``, ``place``: split, begin and code): the records that begin and end in one
     split, without headers; of one with over ``most`` lines the first line.  With ``pieces`` the lines of each
     split before the first and behind the last of them."""
     def run(batches):
         at = None
         for batch in batches:
-            value, code, split, begin = batch.columns
-            if split.null_count:
+            value, place = batch.columns
+            if place.null_count:
                 raise ValueError("the files or their splits have changed while they were read")
-            value, codes = value.cast(pa.binary()), code.to_numpy()
+            value, codes, split = value.cast(pa.binary()), place.to_numpy() & 3, place.to_numpy() >> 4
             for a, b in runs(split):
-                if split[a].as_py() != at:
+                if split[a] != at:
                     if pieces and at is not None and held.n:
                         yield _batch([held.row(at)], _FOUND)
-                    at, first = split[a].as_py(), begin[a].as_py()
+                    at, first = int(split[a]), place[a].as_py() >> 2 & 3
                     state, n, held, piece = int(first == WITHIN), 0, Open(most), first != RECORD
                 after = open_after(codes[a:b], state)
                 ends = np.flatnonzero(after == 0)
